@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from zonewright.llm.fingerprints import op8_document_fingerprints
 from zonewright.llm.packing import op3_packing
+from zonewright.llm.quality import op4_quality_rules
 
-_QUERIES = (op3_packing,)
+_QUERIES = (op3_packing, op4_quality_rules, op8_document_fingerprints)
 
 
 def queries() -> dict:
