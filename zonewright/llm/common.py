@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import math
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,3 +75,28 @@ def spread_rank(df: DataFrame, group: list[str], buckets: list[tuple[str, Column
 
 def buckets_for(rows: int, each: int, most: int = 65536) -> int:
     return max(1, min(most, math.ceil(rows / each)))
+
+
+def per_process(name: str, make: Callable[[], Any]) -> Any:
+    """make(), once in each Python process: what a worker has loaded serves all its tasks."""
+    held = sys.modules.setdefault("zonewright_worker_state", types.ModuleType("zonewright_worker_state"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
+class Remembered(dict):
+    """A dict that computes what it lacks. When it is full the newer half goes: words seen first are the frequent ones."""
+
+    def __init__(self, compute: Callable[[str], Any], most: int):
+        super().__init__()
+        self.compute, self.most = compute, most
+
+    def __missing__(self, key: str) -> Any:
+        value = self[key] = self.compute(key)
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            for key in list(self)[self.most // 2 :]:
+                del self[key]

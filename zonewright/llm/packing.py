@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,26 +25,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import buckets_for, hash_bucket, table
+from zonewright.llm.common import Remembered, buckets_for, hash_bucket, per_process, table
 
 CAPACITY = 1024
 PIECE = 256
 DOCS_PER_BLOCK = 256
 END_ID = 0
-#: Words whose ids a worker keeps; beyond that it starts afresh.
-CACHED_WORDS = 300_000
+#: Words whose ids a worker remembers.
+CACHED_WORDS = 150_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
-#: White space other than single blanks or newlines between words; such a text is encoded in one piece.
-_UNUSUAL = re.compile(r"\s\s|[^\S \n]|^\s|\s$|\x00")
+#: A word as the fast path knows it: no white space but one blank before it.
+_WORD = re.compile(r" ?\S+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes: printable Latin-1 as it is, the rest from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Token ids of texts as little-endian uint32 bytes, by `tokenizers`, with the ids of words remembered.
 
     The vocabulary's pre-tokenizer starts a new unit at each single blank and newline, so ids of words joined are the
-    ids of the text; texts with other white space take the whole-text path.
+    ids of the text; texts with other white space take the whole-text path. A word of letters is one unit and goes to
+    the merges at once.
     """
 
     def __init__(self, path: str):
@@ -51,21 +60,35 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _UNUSUAL.search(t) else t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") for t in texts]
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        known = self.words
-        missing = list(set().union(*(s for s in split if s is not None)) - known.keys())
-        if missing:
-            known.update(zip(missing, self._plain(missing), strict=True))
-        get = known.__getitem__
-        return [b"".join(map(get, s)) if s is not None else self._plain([t])[0] for s, t in zip(split, texts, strict=True)]
+        self.merges, self.letters = self.tokenizer.model, _byte_letters()
+        self.words = Remembered(self._word, CACHED_WORDS)
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        mapped = unit.encode("utf-8").decode("latin-1").translate(self.letters)
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found]) if (found := self.merges.tokenize(mapped)) else b""
+
+    def _word(self, word: str) -> bytes | None:
+        """None: the word stands in unusual white space, and its text must be encoded whole."""
+        if word == "\n":
+            return self._unit(word)
+        if not _WORD.fullmatch(word):
+            return None
+        letters = word[1:] if word[0] == " " else word
+        if letters.isalpha():
+            return self._unit(word)
+        if letters[:-1].isalpha() and letters[-1] in ".,":
+            return self._unit(word[:-1]) + self._unit(word[-1])
+        return self._plain(word)
+
+    def encode(self, text: str) -> bytes:
+        self.words.trim()
+        try:
+            return b"".join(map(self.words.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
+        except TypeError:  # an unusual word among them
+            return self._plain(text)
 
 
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int, int]]:
@@ -124,14 +147,14 @@ def windows_for(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]
 
 def _pieces(path: str, capacity: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = per_process(f"encoder {path}", lambda: Encoder(path))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids += end
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = encoder.encode(text or "") + end
                     n = len(ids) // 4
                     rows += [(doc_id, s, m, zlib.crc32(ids[4 * s : 4 * (s + m)]), n) for s, m in cuts(n, capacity, piece)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
