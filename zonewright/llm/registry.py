@@ -6,10 +6,11 @@ from zonewright.llm.fingerprints import op8_document_fingerprints
 from zonewright.llm.licenses import op7_license_scans
 from zonewright.llm.mixing import op9_mixing_sources
 from zonewright.llm.packing import op3_packing
+from zonewright.llm.pii import op1_pii_surrogates
 from zonewright.llm.quality import op4_quality_rules
 from zonewright.llm.sharding import op10_sharding
 
-_QUERIES = (op3_packing, op4_quality_rules, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding)
+_QUERIES = (op1_pii_surrogates, op3_packing, op4_quality_rules, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding)
 
 
 def queries() -> dict:
