@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from zonewright.llm.chat import OP6_SQL, op6_chat_formatting
 from zonewright.llm.fingerprints import op8_document_fingerprints
+from zonewright.llm.jaccard_join import op5_ngram_jaccard_join
 from zonewright.llm.licenses import op7_license_scans
 from zonewright.llm.mixing import op9_mixing_sources
 from zonewright.llm.packing import op3_packing
@@ -11,7 +12,7 @@ from zonewright.llm.pii import op1_pii_surrogates
 from zonewright.llm.quality import op4_quality_rules
 from zonewright.llm.sharding import op10_sharding
 
-_QUERIES = (op1_pii_surrogates, op3_packing, op4_quality_rules, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding)
+_QUERIES = (op1_pii_surrogates, op3_packing, op4_quality_rules, op5_ngram_jaccard_join, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding)
 
 
 def queries() -> dict:
