@@ -75,8 +75,9 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     quotas = [rows // shards + (s < rows % shards) for s in range(shards)]
     quota, most = quotas[-1], max(1, quotas[0] // 4)
 
-    groups = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    linked = nodes.join(groups, "group")  # copies of one text may be many: the join is a sort-merge that AQE splits
+    # written first, so that the join has an exchange of its own, which AQE splits where copies of one text are many
+    groups = materialize(nodes.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "groups")
+    linked = nodes.join(groups, "group")
     # ties in doc_id: members with equal ids and texts are alike, so any order among them gives the same rows
     linked = linked.withColumn("part", F.xxhash64("group", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / most))))
     linked = materialize(linked.select("doc_id", "size", "text_crc32", "part", hash_bucket(shards, "doc_id").alias("first")), "linked")
