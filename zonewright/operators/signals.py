@@ -132,7 +132,7 @@ def ranker_reply(rows: DataFrame, json: str = "body") -> DataFrame:
     """(name, phase2_score 0..100, phase2_reason up to 120) from replies that are arrays; a bad score is 0, rows without a
     name are dropped."""
     items = rows.select(F.inline(F.from_json(json, "array<struct<name: string, score: string, reason: string>>")))
-    score = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(100), F.round(F.col("score").try_cast("double")).cast("int"))), F.lit(0))
+    score = F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(F.round(F.col("score").try_cast("double")).cast("int"), F.lit(0))))
     return items.filter("trim(name) <> ''").select(F.lower(F.trim("name")).alias("name"), score.alias("phase2_score"), F.substring(F.trim("reason"), 1, 120).alias("phase2_reason"))
 
 
