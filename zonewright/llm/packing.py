@@ -85,6 +85,8 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         self.words.trim()
+        if "\0" in text:  # the mark between words below
+            return self._plain(text)
         try:
             return b"".join(map(self.words.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
         except TypeError:  # an unusual word among them
