@@ -26,8 +26,9 @@ TRAINED = "assistant"
 #: Rounds of doubling after which a cycle of parents is given up: longer paths cannot be.
 ROUNDS = 40
 
-# What follows the first character of a control string.
-_REST = r"(?:\|[A-Za-z0-9_]{1,40}\||/?s>|/?INST\]|/?SYS>>|</?SYS>>|(?:bos|eos|pad|unk|start_of_turn|end_of_turn|begin_of_text)>)"
+# What follows the first character of a control string. None of it holds a first character itself, so that
+# escaping one string never changes how another is found.
+_REST = r"(?:\|[A-Za-z0-9_]{1,40}\||/?s>|/?INST\]|/?SYS>>|(?:bos|eos|pad|unk|start_of_turn|end_of_turn|begin_of_text)>)"
 _ESCAPE = rf"([<\[])(\\*)(?={_REST})"
 _UNESCAPE = rf"([<\[])\\(\\*)(?={_REST})"
 
@@ -139,6 +140,6 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(16 + length(role) + length(text)
-    + len(regexp_extract_all(text, '[<\[]\\*(\|[A-Za-z0-9_]{1,40}\||/?s>|/?INST\]|/?SYS>>|</?SYS>>|(bos|eos|pad|unk|start_of_turn|end_of_turn|begin_of_text)>)'))) AS BIGINT) AS formatted_chars
+    + len(regexp_extract_all(text, '[<\[]\\*(\|[A-Za-z0-9_]{1,40}\||/?s>|/?INST\]|/?SYS>>|(bos|eos|pad|unk|start_of_turn|end_of_turn|begin_of_text)>)'))) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id
 """
