@@ -1,7 +1,7 @@
 """N-gram Jaccard join by chosen paths: classes of near-duplicate documents.
 
 A text is the set of its word n-grams (five words, lower case, hashed to 32 bits). Equal sets are one representative. Each
-representative gets a sketch of minhashes, and every run of the join grows a forest of buckets: a bucket picks a few sketch
+representative has a sketch of minhashes, and every run of the join grows a forest of buckets: a bucket picks a few sketch
 coordinates by a hash of its own path and splits its members by the values there, so two sets of similarity s stay
 together with probability s a split. The expected number of picks is 1 / threshold, which keeps the number of common
 buckets of a pair at the threshold steady. Buckets with few members are compared by brute force on the exact sets; larger
@@ -94,7 +94,8 @@ def sketch(items: np.ndarray, coordinates: int = SKETCH) -> np.ndarray:
     return out
 
 
-_SETS = "row binary, doc_id long, set_id binary, size int, items binary"
+_SETS = "row binary, doc_id long, set_id binary, size int, sketch binary"
+_ITEMS = "row binary, items binary"
 
 
 def _sets(n: int):
@@ -110,17 +111,23 @@ def _sets(n: int):
                         continue
                     items = grams(text, n, words)
                     raw = items.tobytes()
-                    rows.append((row, doc_id, hashlib.blake2b(raw, digest_size=16).digest(), len(items), raw))
+                    rows.append((row, doc_id, hashlib.blake2b(raw, digest_size=16).digest(), len(items), sketch(items).tobytes() if len(items) else b""))
                 types = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=[x.split()[0] for x in _SETS.split(", ")])
 
     return run
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = [sketch(np.frombuffer(x.as_py(), np.uint32)).tobytes() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "sketch"])
+def _items(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = per_process("gram_words", lambda: Remembered(_word_hash, CACHED_WORDS))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                made = [grams(t.as_py() or "", n, words).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=["row", "items"])
+
+    return run
 
 
 def _children(coordinates: int, threshold: float, all_runs: int | None):
@@ -253,11 +260,11 @@ def _count(threshold: float):
     return compare
 
 
-def candidate_links(content: DataFrame, *, threshold: float, recall: float) -> DataFrame:
-    """(a, b): verified links that span what the chosen paths found; content: id, size, items of non-empty sets."""
-    names = materialize(content.select("id", "items").mapInArrow(_sketches, "id long, sketch binary"), "sketches")
+def candidate_buckets(names: DataFrame, *, threshold: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
+    """What the chosen paths bring together: (ids) arrays of small buckets, each once, and (id, path) of what is still
+    large after the last split, if anything is. names: id, sketch."""
     frontier = names.mapInArrow(_children(SKETCH, threshold, runs_for(recall, threshold)), "id long, path long")
-    found, links = None, None
+    found, rest = None, None
     for level in range(LEVELS):
         # buckets of one have nobody to meet; counts are summed before the shuffle, so a hot bucket is one row a task
         frontier = materialize(frontier, "frontier")
@@ -269,15 +276,21 @@ def candidate_links(content: DataFrame, *, threshold: float, recall: float) -> D
         if large.isEmpty():
             break
         if level == LEVELS - 1:
-            rest = large.select("id", F.col("path").alias("class_id")).join(content.select("id", "size", "items", F.lit(1).cast("long").alias("copies")), "id")
-            dealt = _deal(rest, "class_id", threshold)
-            links = dealt.mapInArrow(by_group(3, _span(threshold, 4, 5)), "a long, b long")
+            rest = large.select("id", "path")
         frontier = large.select("id", "path").join(names, "id").select("id", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), "id long, path long")
     # runs find the same buckets again and again: each is compared once
-    buckets = found.distinct().select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
+    return materialize(found.distinct(), "small-buckets"), rest
+
+
+def verified_links(small: DataFrame, rest: DataFrame | None, content: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that span what is similar inside the buckets; content: id, size, items, copies of their members."""
+    buckets = small.select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
     compared = buckets.join(content.select("id", "items"), "id").select("bucket", "id", "items").repartition("bucket").sortWithinPartitions("bucket", "id")
-    spans = compared.mapInArrow(by_group(1, _span(threshold, 1, 2)), "a long, b long")
-    return materialize((spans if links is None else spans.unionByName(links)).distinct(), "links")
+    links = compared.mapInArrow(by_group(1, _span(threshold, 1, 2)), "a long, b long")
+    if rest is not None:
+        dealt = _deal(rest.select("id", F.col("path").alias("class_id")).join(content, "id"), "class_id", threshold)
+        links = links.unionByName(dealt.mapInArrow(by_group(3, _span(threshold, 4, 5)), "a long, b long"))
+    return materialize(links.distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -326,12 +339,16 @@ def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall
     documents with an equal set), n_text_links (other sets linked to its own), n_links (other documents linked)."""
     rows = docs.select(row_key(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = materialize(rows.mapInArrow(_sets(n), _SETS), "sets")
-    reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.first("size").alias("size"))
+    reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     reps = materialize(reps.withColumn("id", F.xxhash64("set_id")), "reps")
-    content = sets.filter("size > 0").select(F.xxhash64("set_id").alias("id"), "size", "items").dropDuplicates(["id"])
-    content = materialize(content.join(reps.select("id", "copies"), "id"), "content")
-    labels = components(candidate_links(content, threshold=threshold, recall=recall))
-    labels = materialize(labels, "classes")
+    small, rest = candidate_buckets(reps.filter("size > 0").select("id", "sketch"), threshold=threshold, recall=recall)
+    # only members of buckets need their sets: those of one row each are made again and shuffled
+    members = small.select(F.explode("ids").alias("id"))
+    members = (members if rest is None else members.unionByName(rest.select("id"))).distinct()
+    members = materialize(reps.select("row", "id", "size", "copies").join(members, "id", "left_semi"), "members")
+    content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members, "row").dropDuplicates(["id"])
+    content = materialize(content.select("id", "size", "items", "copies"), "content")
+    labels = materialize(components(verified_links(small, rest, content, threshold)), "classes")
     whole = reps.join(labels, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
     least = whole.groupBy("class").agg(F.min("least").alias("class_id"))
     if counting:
