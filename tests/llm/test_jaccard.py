@@ -81,6 +81,7 @@ def test_classes_and_links_equal_brute_force(docs):
 
 def test_deep_recursion_finds_the_same_classes(docs, monkeypatch):
     monkeypatch.setattr(jj, "SMALL", 4)
+    monkeypatch.setattr(jj, "MIDDLE", 20)
     monkeypatch.setattr(jj, "LEVELS", 3)
     monkeypatch.setattr(jj, "BLOCK", 16)
     label, links, _ = brute(corpus())

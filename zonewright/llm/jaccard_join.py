@@ -4,8 +4,8 @@ A text is the set of its word n-grams (five words, lower case, hashed to 32 bits
 representative has a sketch of minhashes, and every run of the join grows a forest of buckets: a bucket picks a few sketch
 coordinates by a hash of its own path and splits its members by the values there, so two sets of similarity s stay
 together with probability s a split. The expected number of picks is 1 / threshold, which keeps the number of common
-buckets of a pair at the threshold steady. Buckets with few members are compared by brute force on the exact sets; larger
-ones split on. After `LEVELS` splits what is still large is compared too, in blocks. Runs are independent repetitions; their
+buckets of a pair at the threshold steady. Buckets with few members are compared by brute force on the exact sets,
+middle-sized ones in blocks; larger ones split on. After `LEVELS` splits what is still large is compared in blocks too. Runs are independent repetitions; their
 number follows from the target recall. Links found in a bucket leave the task as a spanning forest only, and connected
 components over these links are the classes.
 
@@ -32,11 +32,12 @@ from zonewright.llm.common import Remembered, materialize, per_process, spread_r
 
 N = 5
 THRESHOLD = 0.8
-RECALL = 0.999
+RECALL = 0.99
 #: Coordinates of a sketch.
 SKETCH = 64
-#: Members up to which a bucket is compared by brute force.
-SMALL = 48
+#: Members up to which a bucket is compared by brute force in one task, and in blocks over several.
+SMALL = 256
+MIDDLE = 1024
 LEVELS = 10
 #: Members of a block in exact comparisons.
 BLOCK = 128
@@ -261,22 +262,26 @@ def _count(threshold: float):
 
 
 def candidate_buckets(names: DataFrame, *, threshold: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
-    """What the chosen paths bring together: (ids) arrays of small buckets, each once, and (id, path) of what is still
-    large after the last split, if anything is. names: id, sketch."""
+    """What the chosen paths bring together: (ids) arrays of small buckets, each once, and (id, path) of the middle-sized
+    ones and of what is still large after the last split, if there are any. names: id, sketch."""
     frontier = names.mapInArrow(_children(SKETCH, threshold, runs_for(recall, threshold)), "id long, path long")
     found, rest = None, None
     for level in range(LEVELS):
         # buckets of one have nobody to meet; counts are summed before the shuffle, so a hot bucket is one row a task
         frontier = materialize(frontier, "frontier")
-        counts = frontier.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        counts = materialize(frontier.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "counts")
         held = materialize(frontier.join(counts, "path"), "buckets")
         small = held.filter(F.col("members") <= SMALL).groupBy("path").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids")
         found = small if found is None else found.unionByName(small)
         large = held.filter(F.col("members") > SMALL)
         if large.isEmpty():
             break
-        if level == LEVELS - 1:
-            rest = large.select("id", "path")
+        last = level == LEVELS - 1
+        blocked = (large if last else large.filter(F.col("members") <= MIDDLE)).select("id", "path")
+        rest = blocked if rest is None else rest.unionByName(blocked)
+        large = large.filter(F.col("members") > MIDDLE)
+        if last or large.isEmpty():
+            break
         frontier = large.select("id", "path").join(names, "id").select("id", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), "id long, path long")
     # runs find the same buckets again and again: each is compared once
     return materialize(found.distinct(), "small-buckets"), rest
