@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from zonewright.functions import names, rules, scoring, text
 from zonewright.operators import graph, metrics, observations, ranking, signals, snapshot, state
 from zonewright.plans import jobs
+from zonewright.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -608,3 +609,199 @@ def metrics_index_facts(spark, sf_dir):
 def jobs_refilter(spark, sf_dir):
     rows = _words(spark, sf_dir).select("name", F.lit(None).cast("string").alias("snapshot_category"), F.lit(50).alias("score"), F.lit(3).alias("evidence"))
     return jobs.refilter(rows).agg(F.count(F.lit(1)).alias("kept"))
+
+
+# --- more of the inventory, over the same stand-ins -------------------------------------------------------------------
+
+
+@query(f"WITH {_SIGNAL_SQL} SELECT name FROM signals WHERE cert_history IS NULL OR cert_history")
+def signals_ns_prefilter(spark, sf_dir):
+    rows = _signals(spark, sf_dir).select("name", F.when(F.col("cert_history"), "NXDOMAIN").when(~F.col("cert_history"), "NOERROR").alias("rcode"))
+    available, _ = signals.name_servers(F.col("rcode"), F.array(F.lit("NS1.example.")))
+    return signals.keep_unless_registered(rows.withColumn("dns_available", available)).select("name")
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 4 = 1 THEN true WHEN id % 4 = 2 THEN false END AS listed FROM signals""")
+def signals_blocklist(spark, sf_dir):
+    k = F.col("id") % 4
+    answers = F.when(k == 1, F.array(F.lit("127.0.0.2"))).when(k == 3, F.array(F.lit("127.255.255.254")))
+    return _signals(spark, sf_dir).select("name", signals.blocklist_listed(answers, k == 2).alias("listed"))
+
+
+@query("""SELECT event_id, event_type = 'click' AS flagged, CASE WHEN event_type = 'click' THEN 'A,B' ELSE '' END AS types FROM events""")
+def signals_threats(spark, sf_dir):
+    body = F.when(F.col("event_type") == "click", '{"matches": [{"threatType": "B"}, {"threatType": "A"}, {"threatType": "B"}]}').otherwise("{}")
+    flagged, types = signals.threat_reply(body)
+    return _t(spark, sf_dir, "events").select("event_id", flagged.alias("flagged"), F.array_join(types, ",").alias("types"))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 2 = 0 THEN true WHEN id % 3 = 0 THEN false END AS is_available, CASE WHEN id % 2 = 1 AND id % 3 = 0 THEN strftime(wayback_last_snapshot, '%Y-%m-%d') END AS expiration_date FROM signals""")
+def signals_registry_reply(spark, sf_dir):
+    k = F.col("id")
+    body = F.when((k % 2 == 1) & (k % 3 == 0) & F.col("wayback_last_snapshot").isNotNull(), F.concat(F.lit('{"events": [{"eventAction": "expiration", "eventDate": "'), F.col("wayback_last_snapshot").cast("string"), F.lit('T00:00:00Z"}]}')))
+    rows = _signals(spark, sf_dir).select("name", F.when(k % 2 == 0, 404).when(k % 3 == 0, 200).otherwise(429).alias("http_status"), body.alias("body"))
+    return signals.registry_reply(rows).select("name", "is_available", "expiration_date")
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 AND id % 2 = 0 THEN 'clean' ELSE 'unknown' END AS category FROM signals WHERE id % 2 = 0""")
+def signals_requested_only(spark, sf_dir):
+    rows = _signals(spark, sf_dir)
+    return signals.requested_only(rows.filter("id % 2 = 0"), rows.filter("id % 3 = 0").select("name", signals.category(F.lit(" Clean. ")).alias("category")))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CAST(least(100, greatest(0, id % 150)) AS INT) AS phase2_score, 'because ' || tld AS phase2_reason FROM signals""")
+def signals_ranker_reply(spark, sf_dir):
+    body = F.to_json(F.array(F.struct(F.col("name"), (F.col("id") % 150).cast("string").alias("score"), F.concat(F.lit(" because "), F.col("tld"), F.lit(" ")).alias("reason"))))
+    return signals.ranker_reply(_signals(spark, sf_dir).select(body.alias("body")))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, id % 6 = 0 AS was_published FROM signals WHERE id % 2 = 0""")
+def signals_publication(spark, sf_dir):
+    rows = _signals(spark, sf_dir)
+    return signals.with_publication(rows.filter("id % 2 = 0").select("name"), rows.filter("id % 3 = 0"))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 THEN 50 ELSE 0 END AS phase2_score, CASE WHEN id % 3 = 0 THEN 'ok' ELSE 'not scored' END AS phase2_reason FROM signals""")
+def ranking_ranker_scores(spark, sf_dir):
+    rows = _signals(spark, sf_dir)
+    return ranking.with_ranker_scores(rows.select("name"), rows.filter("id % 3 = 0").select("name", F.lit(50).alias("phase2_score"), F.lit("ok").alias("phase2_reason")))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, tld, CASE WHEN tld IN ('n1', 'n2') THEN 'rdap.one.example' WHEN tld = 'n3' THEN 'rdap.two.example' ELSE '_unknown' END AS host FROM signals""")
+def ranking_hosts_of_tlds(spark, sf_dir):
+    services = spark.createDataFrame([(["n1", "n2"], ["https://Rdap.One.example/x/"]), (["n3"], ["https://rdap.two.example"])], "tlds array<string>, urls array<string>")
+    return ranking.hosts_of_tlds(_signals(spark, sf_dir).select("name", "tld"), services)
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, 0 AS place FROM signals WHERE id % 3 = 0 UNION ALL SELECT name, 1 FROM signals WHERE id % 2 = 0 AND id % 3 <> 0""")
+def state_held_ahead(spark, sf_dir):
+    rows = _signals(spark, sf_dir)
+    return snapshot.concat_ahead(rows.filter("id % 3 = 0").select("name"), rows.filter("id % 2 = 0").select("name"))
+
+
+@query(f"""WITH {_SCORED_SQL} SELECT name FROM scored WHERE id % 5 = 0 AND coalesce(wayback_snapshots, 0) > 0 ORDER BY score DESC, name LIMIT 40""")
+def state_targets(spark, sf_dir):
+    rows = _scored(spark, sf_dir).withColumn("snapshot_category", F.when(F.col("id") % 5 == 0, "unknown").otherwise("clean"))
+    return state.targets(rows, "unknown", 40).select("name")
+
+
+@query(f"""WITH {_SCORED_SQL} SELECT name FROM scored WHERE score >= 40 AND evidence >= 3 AND id % 3 <> 0 AND id % 7 <> 0""")
+def state_qualifying(spark, sf_dir):
+    rows = _scored(spark, sf_dir)
+    rows = rows.withColumn("verdict", scoring.verdict(F.lit(False), F.lit(None).cast("string"), F.col("score"), F.col("evidence")))
+    return state.qualifying(rows, rows.filter("id % 3 = 0"), rows.filter("id % 7 = 0").select(F.upper("name").alias("name"))).select("name")
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, 'clean' AS snapshot_category, CASE WHEN id % 2 = 0 THEN 'spam' END AS shadow_category FROM signals""")
+def state_shadow_category(spark, sf_dir):
+    rows = _signals(spark, sf_dir).select("id", "name", F.lit("clean").alias("snapshot_category"))
+    return state.apply_category(rows, rows.filter("id % 2 = 0").select("name", F.lit("spam").alias("category")), shadow=True).select("name", "snapshot_category", "shadow_category")
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name FROM signals WHERE id % 2 = 0 AND id % 3 <> 0""")
+def state_new_entries(spark, sf_dir):
+    rows = _signals(spark, sf_dir).select("id", "name")
+    return state.new_entries(rows.filter("id % 3 = 0"), rows.filter("id % 2 = 0").unionByName(rows.filter("id % 4 = 0"))).select("name")
+
+
+_EXCERPT_SQL = """
+cache AS (SELECT page_id, 'p' || page_id AS name, CASE WHEN page_id % 5 > 0 THEN nullif(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '') END AS title, CASE WHEN page_id % 2 = 0 THEN '20250101000000' ELSE '20260110000000' END AS stamp FROM pages WHERE page_id % 3 > 0)
+"""
+
+
+def _excerpts(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages").filter("page_id % 3 > 0")
+    title = F.when(F.col("page_id") % 5 > 0, F.regexp_extract("html", "<h1>([^<]*)</h1>", 1))
+    stamp = F.when(F.col("page_id") % 2 == 0, "20250101000000").otherwise("20260110000000")
+    empty = F.array().cast("array<string>")
+    excerpt = F.struct(stamp.alias("snapshot_timestamp"), title.alias("title"), F.lit(None).cast("string").alias("meta_description"), empty.alias("h1"), empty.alias("h2"))
+    return pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), excerpt.alias("excerpt"))
+
+
+@query(f"""WITH {_EXCERPT_SQL} SELECT 'p' || pages.page_id AS name, CASE WHEN title IS NULL THEN 'missing' WHEN date_diff('day', strptime(stamp, '%Y%m%d%H%M%S')::DATE, DATE '2026-01-20') > 90 THEN 'refetch' ELSE 'reused' END AS excerpt_source FROM pages LEFT JOIN cache USING (page_id)""")
+def state_cached_excerpts(spark, sf_dir):
+    rows = _t(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"))
+    return state.cached_excerpts(rows, _excerpts(spark, sf_dir), F.lit("2026-01-20").cast("date"), 90).select("name", "excerpt_source")
+
+
+@query(f"""WITH {_EXCERPT_SQL}, u AS (SELECT 'p' || page_id AS name, CASE WHEN page_id % 4 = 0 THEN 'new' END AS title FROM pages WHERE page_id % 2 = 0)
+SELECT coalesce(c.name, u.name) AS name, CASE WHEN u.name IS NULL OR (u.title IS NULL AND c.title IS NOT NULL) THEN c.title ELSE u.title END AS title FROM cache c FULL JOIN u ON c.name = u.name""")
+def state_cache_merge(spark, sf_dir):
+    empty = F.array().cast("array<string>")
+    updates = _t(spark, sf_dir, "pages").filter("page_id % 2 = 0").select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"),
+        F.struct(F.lit("20260119000000").alias("snapshot_timestamp"), F.when(F.col("page_id") % 4 == 0, "new").alias("title"), F.lit(None).cast("string").alias("meta_description"), empty.alias("h1"), empty.alias("h2")).alias("excerpt"),
+    )
+    return state.merge_cache(_excerpts(spark, sf_dir), updates).select("name", F.nullif(F.trim("excerpt.title"), F.lit("")).alias("title"))
+
+
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, 'a=https://a.example/' || name || ',b=https://b.example/?q=' || name AS links FROM signals""")
+def scoring_registrar_links(spark, sf_dir):
+    links = scoring.registrar_links(F.col("name"), {"a": "https://a.example/{domain}", "b": "https://b.example/?q={domain}"})
+    return _signals(spark, sf_dir).select("name", F.array_join(F.transform(links, lambda x: F.concat(x["name"], F.lit("="), x["url"])), ",").alias("links"))
+
+
+@query(f"""WITH {_SCORED_SQL} SELECT name, CASE WHEN id % 2 = 0 THEN 'Caution' WHEN score >= 70 THEN 'Clean' WHEN score >= 40 THEN 'Promising' ELSE 'Caution' END AS verdict FROM scored""")
+def scoring_verdict_fallback(spark, sf_dir):
+    return _scored(spark, sf_dir).select("name", scoring.verdict_or_fallback(F.when(F.col("id") % 2 == 0, "Caution").otherwise("other"), F.col("score")).alias("verdict"))
+
+
+@query(f"""WITH {_SCORED_SQL} SELECT CASE WHEN score >= 70 AND evidence >= 3 THEN 'Clean' WHEN score >= 40 AND evidence >= 3 THEN 'Promising' ELSE 'Caution' END AS verdict, count(*) AS n FROM scored GROUP BY 1""")
+def metrics_verdicts(spark, sf_dir):
+    rows = _scored(spark, sf_dir)
+    return metrics.value_counts(rows.select(scoring.verdict(F.lit(False), F.lit(None).cast("string"), F.col("score"), F.col("evidence")).alias("verdict")), "verdict")
+
+
+@query(f"""WITH {_YEARLY_SQL} SELECT release, 'Apr–Jun ' || release[1:4] AS label FROM (SELECT DISTINCT release FROM yearly)""")
+def graph_release_labels(spark, sf_dir):
+    known = names.release_table(spark, 1990, 2035).select("release", "label")
+    return _yearly(spark, sf_dir).select("release").distinct().join(F.broadcast(known), "release")
+
+
+@query(f"""WITH {_WORDS_SQL} SELECT name FROM words WHERE contains(name, 'crypto') OR contains(split_part(name, '.', 1), 'the') OR contains(name, 'vape')""")
+def rules_soft_signal(spark, sf_dir):
+    return _words(spark, sf_dir).filter(rules.soft_signal(F.col("name"), rules.Rules(soft=("crypto", "the", "vape"))))
+
+
+@query(r"""WITH l AS (SELECT trim(unnest(string_split(text, chr(10)))) AS line FROM documents) SELECT DISTINCT regexp_replace(lower(regexp_extract(line, '^(\S+)', 1)), '\.+$', '') AS name FROM l WHERE line <> '' AND NOT regexp_matches(line, '^[;$]') AND regexp_replace(lower(regexp_extract(line, '^(\S+)', 1)), '\.+$', '') <> ''""")
+def sources_owner_names(spark, sf_dir):
+    lines = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    return lines.select(readers.owner_name(F.col("line")).alias("name")).filter("name <> ''").distinct()
+
+
+@query("""WITH c AS (SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS t FROM pages) SELECT page_id, CASE WHEN t = '' THEN NULL WHEN length(t) > 40 THEN rtrim(t[1:39]) || '…' ELSE t END AS title FROM c""")
+def text_excerpt_title(spark, sf_dir):
+    raw = F.replace(F.regexp_extract("html", "<h1>([^<]*)</h1>", 1), F.lit("&amp;"), F.lit("&"))
+    return _t(spark, sf_dir, "pages").select("page_id", text.excerpt_title(raw, F.lit("example.com"), 40).alias("title"))
+
+
+@query(f"""WITH {_ARCHIVE_SQL}, d AS (SELECT domain, min(drop_date) AS first_seen, max(drop_date) AS last_seen, count(*) AS links FROM archive GROUP BY domain), m AS (SELECT min(drop_date) AS lo FROM archive)
+SELECT domain, links FROM d, m WHERE links >= 20 AND first_seen > lo""")
+def archive_candidates(spark, sf_dir):
+    rows = _archive(spark, sf_dir)
+    docs = rows.groupBy("domain").agg(F.min("drop_date").alias("first_seen"), F.max("drop_date").alias("last_seen"), F.count(F.lit(1)).alias("links"))
+    low = rows.agg(F.min("drop_date")).first()[0]  # one row
+    return observations.candidates(docs, tld="com", least_links=20, first_after=str(low) if low else None, sort="links").select("domain", "links")
+
+
+@query(f"""WITH {_SCORED_SQL} SELECT name, CASE WHEN id % 3 = 0 THEN 'fresh' ELSE 'carried' END AS list FROM scored""")
+def jobs_front_page(spark, sf_dir):
+    fresh, carried = jobs.front_page(_scored(spark, sf_dir).withColumn("days_listed", (F.col("id") % 3).cast("int")))
+    return fresh.select("name", F.lit("fresh").alias("list")).unionByName(carried.select("name", F.lit("carried").alias("list")))
+
+
+@query(f"""WITH {_SCORED_SQL}, q AS (SELECT * FROM scored WHERE score >= 40 AND evidence >= 3 AND id % 3 <> 0)
+SELECT name, CASE WHEN id % 4 = 0 THEN 'remembered_failure' WHEN coalesce(wayback_snapshots, 0) > 0 THEN 'absent' ELSE 'no_capture' END AS excerpt_from FROM q""")
+def jobs_page_selection(spark, sf_dir):
+    rows = _scored(spark, sf_dir)
+    rows = rows.withColumn("verdict", scoring.verdict(F.lit(False), F.lit(None).cast("string"), F.col("score"), F.col("evidence")))
+    none = F.lit(None).cast("struct<snapshot_timestamp: string, title: string, meta_description: string, h1: array<string>, h2: array<string>>")
+    cache = rows.filter("id % 4 = 0").select("name", none.alias("excerpt"))
+    return jobs.page_selection(rows, rows.filter("id % 3 = 0"), rows.limit(0).select("name"), cache, F.lit("2026-01-20").cast("date")).select("name", "excerpt_from")
+
+
+@query("""WITH d AS (SELECT DISTINCT 'user' || user_id || '.com' AS domain, CAST(ts AS DATE) AS first_seen_date FROM events) SELECT strftime(first_seen_date, '%Y-%m') AS month, count(*) AS events FROM d GROUP BY 1""")
+def jobs_backfill(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit(".com")).alias("name"), F.to_date("ts").alias("first_seen_date"), F.to_date("ts").alias("snapshot_date"))
+    none = spark.createDataFrame([], "domain string, drop_date date, source string, month string")
+    return jobs.backfill(rows, none).groupBy("month").agg(F.count(F.lit(1)).alias("events"))

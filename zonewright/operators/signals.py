@@ -64,6 +64,17 @@ def name_servers(rcode: Column, servers: Column) -> tuple[Column, Column]:
     return F.when(rcode == "NXDOMAIN", True).when((rcode == "NOERROR") & (F.size(clean) > 0), False), clean
 
 
+def keep_unless_registered(rows: DataFrame) -> DataFrame:
+    """Rows whose name is not known to be registered (dns_available is not false): unknown passes."""
+    return rows.filter(~F.col("dns_available").eqNullSafe(F.lit(False)))
+
+
+def with_publication(available: DataFrame, published: DataFrame) -> DataFrame:
+    """All available rows, with was_published."""
+    marks = published.select("name").distinct().withColumn("_published", F.lit(True))
+    return available.join(marks, "name", "left").withColumn("was_published", F.col("_published").isNotNull()).drop("_published")
+
+
 def nearest_capture(rows: DataFrame, target: Column) -> DataFrame:
     """The successful HTML capture (domain, stamp, http_status, mime) nearest to target, the newer of two; the newest
     without a target."""
