@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, materialize, per_process, spread_rank, table, unused
+from zonewright.llm.common import Remembered, bounded_broadcast, materialize, per_process, spread_rank, table, unused
 
 N = 5
 THRESHOLD = 0.8
@@ -42,6 +42,8 @@ LEVELS = 10
 #: Members of a block in exact comparisons.
 BLOCK = 128
 CACHED_WORDS = 150_000
+#: Repeated rows up to which their keys are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_ROWS = 20_000
 _FACTORS = np.random.default_rng(0x5DEECE66D).integers(1, 1 << 63, (2, SKETCH), dtype=np.uint64) | np.uint64(1)
 
 
@@ -376,11 +378,14 @@ def keep_one(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recal
     dropped = materialize(found.join(alone, "class", "left_anti").select("row").distinct().join(chosen, "row", "left_anti"), "dropped")
     # a kept row may have exact repetitions in every column; only such rows are made distinct
     repeated = found.groupBy("row").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("row")
-    special = materialize(dropped.select("row", F.lit(True).alias("drop")).unionByName(repeated.join(dropped, "row", "left_anti").select("row", F.lit(False).alias("drop"))), "special")
-    mark, drop = unused(docs.columns, "_row"), unused(docs.columns, "_drop")
-    marked = docs.withColumn(mark, row_key(docs)).join(special.select(F.col("row").alias(mark), F.col("drop").alias(drop)), mark, "left")
-    plain = marked.filter(F.col(drop).isNull())
-    once = marked.filter(~F.col(drop)).dropDuplicates([mark])
+    repeated = materialize(repeated.join(dropped, "row", "left_anti"), "repeated")
+    mark = unused(docs.columns, "_row")
+    marked = docs.withColumn(mark, row_key(docs))
+    as_mark = lambda keys: keys.select(F.col("row").alias(mark))
+    if repeated.isEmpty():
+        return marked.join(as_mark(dropped), mark, "left_anti").select(*docs.columns)
+    plain = marked.join(as_mark(dropped.unionByName(repeated)), mark, "left_anti")
+    once = marked.join(bounded_broadcast(as_mark(repeated), BROADCAST_ROWS), mark, "left_semi").dropDuplicates([mark])
     return plain.select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
