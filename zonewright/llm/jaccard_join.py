@@ -353,8 +353,11 @@ def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall
     members = small.select(F.explode("ids").alias("id"))
     members = (members if rest is None else members.unionByName(rest.select("id"))).distinct()
     members = materialize(reps.select("row", "id", "size", "copies").join(members, "id", "left_semi"), "members")
-    content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members, "row").dropDuplicates(["id"])
+    # always by shuffle: the members grow with the input, whatever their size here
+    content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members.hint("merge"), "row")
     content = materialize(content.select("id", "size", "items", "copies"), "content")
+    if not content.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").isEmpty():
+        content = materialize(content.dropDuplicates(["id"]), "content")  # rows repeated in every column
     labels = materialize(components(verified_links(small, rest, content, threshold)), "classes")
     whole = reps.join(labels, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
     least = whole.groupBy("class").agg(F.min("least").alias("class_id"))
