@@ -213,7 +213,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
 def op2_language_id(spark, sf_dir):
     out = identify_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
-    return out.drop("text").withColumn("language_probability", F.round("language_probability", 6))
+    out = out.drop("text").withColumn("language_probability", F.round("language_probability", 6))
+    return out.withColumnRenamed("language_kept", "kept")
 
 
 def language_id_pages(spark, sf_dir):
