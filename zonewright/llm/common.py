@@ -39,6 +39,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: int = 1000) -> None:
+    """Let Arrow batches of this session hold at most so many rows: rows here are texts or sets of kilobytes, and the
+    default of 10,000 rows a batch costs each Python worker and its executor tens of megabytes several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= most:
+        spark.conf.set(key, str(most))
+
+
 def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
     """df with a broadcast hint if it has at most most_rows rows (it should be materialized), else as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

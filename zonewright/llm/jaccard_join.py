@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, bounded_broadcast, materialize, per_process, spread_rank, table, unused
+from zonewright.llm.common import Remembered, bounded_broadcast, materialize, per_process, small_batches, spread_rank, table, unused
 
 N = 5
 THRESHOLD = 0.8
@@ -213,15 +213,16 @@ def by_group(keys: int, compare):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:keys] != current:
-                    if held:
-                        out += compare(held)
-                    current, held = row[:keys], []
-                held.append(row)
-            if out:
-                yield _long_columns(out)
+            for at in range(0, batch.num_rows, 512):
+                out = []
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
+                    if row[:keys] != current:
+                        if held:
+                            out += compare(held)
+                        current, held = row[:keys], []
+                    held.append(row)
+                if out:
+                    yield _long_columns(out)
         if held and (out := compare(held)):
             yield _long_columns(out)
 
@@ -344,6 +345,7 @@ def row_key(docs: DataFrame):
 def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, counting: bool = True) -> DataFrame:
     """One row per document: row (its key), doc_id, set_id, class_id (the least doc_id of its class), n_copies (other
     documents with an equal set), n_text_links (other sets linked to its own), n_links (other documents linked)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(row_key(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = materialize(rows.mapInArrow(_sets(n), _SETS), "sets")
     reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
