@@ -59,7 +59,11 @@ def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lan
     """A model from at most `sample` texts of each label; labels are the distinct values of a short list."""
     rows = labelled.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).filter("label is not null and length(text) > 0")
     marks = rows.select("label", F.xxhash64("text").alias("mark")).distinct()
-    order = Window.partitionBy("label").orderBy("mark")
+    # hashes are spread evenly: a share that leaves some four samples a label holds the least ones, and no task ranks more
+    sizes = materialize(marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "labels")
+    share = F.shiftrightunsigned("mark", 1) / F.lit(float(1 << 63)) * F.col("n")
+    marks = marks.join(bounded_broadcast(sizes, BROADCAST_HOSTS), "label").filter(share <= 4 * sample).select("label", "mark")
+    order = Window.partitionBy("label").orderBy(F.shiftrightunsigned("mark", 1), "mark")
     chosen = materialize(marks.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= sample).select("label", "mark"), "sample")
     texts = rows.withColumn("mark", F.xxhash64("text")).join(bounded_broadcast(chosen, BROADCAST_HOSTS), ["label", "mark"], "left_semi").dropDuplicates(["label", "mark"])
     # the sample is small: a few tasks sum its trigrams, and the driver gets a row for each task and label
