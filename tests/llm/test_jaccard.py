@@ -123,3 +123,27 @@ def test_overlaps():
         for j in range(7):
             a, b = set(items[i].tolist()), set(items[j].tolist())
             assert near[i, j] == (len(a & b) >= 0.4 * len(a | b))
+
+
+def test_deep_buckets_get_the_runs_their_depth_needs(spark, monkeypatch):
+    # pairs just above the threshold, among texts that share so much that buckets split many times
+    monkeypatch.setattr(jj, "SMALL", 4)
+    monkeypatch.setattr(jj, "MIDDLE", 8)
+    r = random.Random(7)
+    word = lambda: "".join(r.choices("abcdefghijklmnop", k=6))
+    shared, texts = [word() for _ in range(260)], []
+    for _ in range(120):
+        own = [word() for _ in range(140)]
+        texts += [" ".join(shared + own), " ".join(shared + own[:100] + [word() for _ in range(40)])]
+    label, links, _ = brute(texts)
+    assert len(set(label)) == 120 and set(links.values()) == {1}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {x["doc_id"]: x["class_id"] for x in jj.classes(df).collect()}
+    assert [i for i in range(0, 240, 2) if rows[i] != rows[i + 1]] == []
+    assert len(set(rows.values())) == 120
+
+
+def test_runs_grow_with_depth():
+    assert jj.runs_for(jj.RECALL, jj.THRESHOLD) == 11
+    needed = [jj.runs_for(jj.RECALL, jj.THRESHOLD, d) for d in range(2, jj.LEVELS + 1)]
+    assert needed == sorted(needed) and needed[-1] > 35

@@ -6,7 +6,9 @@ coordinates by a hash of its own path and splits its members by the values there
 together with probability s a split. The expected number of picks is 1 / threshold, which keeps the number of common
 buckets of a pair at the threshold steady. Buckets with few members are compared by brute force on the exact sets,
 middle-sized ones in blocks; larger ones split on. After `LEVELS` splits what is still large is compared in blocks too. Runs are independent repetitions; their
-number follows from the target recall. Links found in a bucket leave the task as a spanning forest only, and connected
+number follows from the target recall for pairs two splits deep. Members of buckets that split on further have more runs
+among themselves, as many as the depth really reached asks for; there, buckets within one class found so far are left out,
+as they can link nothing new. Links found in a bucket leave the task as a spanning forest only, and connected
 components over these links are the classes.
 
 Links are then counted exactly inside the classes: members in order of set size, in blocks, each block against those whose
@@ -32,7 +34,7 @@ from zonewright.llm.common import Remembered, bounded_broadcast, materialize, pe
 
 N = 5
 THRESHOLD = 0.8
-RECALL = 0.99
+RECALL = 0.999
 #: Coordinates of a sketch.
 SKETCH = 64
 #: Members up to which a bucket is compared by brute force in one task, and in blocks over several.
@@ -133,7 +135,7 @@ def _items(n: int):
     return run
 
 
-def _children(coordinates: int, threshold: float, all_runs: int | None):
+def _children(coordinates: int, threshold: float, all_runs: range | None):
     """Splits: (id, path, level) rows from rows with a sketch; at the root for every run, below for the bucket's path."""
     chance = 1 / (threshold * coordinates)
     numbers = np.arange(coordinates, dtype=np.uint64)
@@ -152,8 +154,8 @@ def _children(coordinates: int, threshold: float, all_runs: int | None):
                 continue
             values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, coordinates).astype(np.uint64)
             ids = batch.column(0)
-            roots = _mix(np.arange(1, all_runs + 1, dtype=np.uint64) * _MIX[0]) if all_runs else None
-            for k in range(all_runs or 1):
+            roots = _mix(np.arange(all_runs.start + 1, all_runs.stop + 1, dtype=np.uint64) * _MIX[0]) if all_runs else None
+            for k in range(len(all_runs) if all_runs else 1):
                 path = np.full(batch.num_rows, roots[k]) if all_runs else batch.column(2).to_numpy().view(np.uint64)
                 member, coordinate = np.nonzero(picks(path[:1]).repeat(len(path), 0) if all_runs else picks(path))
                 child = _mix(_mix(path[member] + (coordinate.astype(np.uint64) + np.uint64(1)) * _MIX[1]) + values[member, coordinate] * _MIX[0])
@@ -264,15 +266,24 @@ def _count(threshold: float):
     return compare
 
 
-def candidate_buckets(names: DataFrame, *, threshold: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
-    """What the chosen paths bring together: (ids) arrays of small buckets, each once, and (id, path) of the middle-sized
-    ones and of what is still large after the last split, if there are any. names: id, sketch."""
-    frontier = names.mapInArrow(_children(SKETCH, threshold, runs_for(recall, threshold)), "id long, path long")
-    found, rest = None, None
+def candidate_buckets(names: DataFrame, runs: range, *, threshold: float, labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
+    """What the chosen paths of some runs bring together: (ids) arrays of small buckets, each once, (id, path) of the
+    middle-sized ones and of what is still large after the last split, if there are any, (id) of the members that split
+    more than twice, if there are any, and the number of splits reached. names: id, sketch. labels: (id, class_id) of the
+    classes found so far; buckets within one of them are left out."""
+    frontier = names.mapInArrow(_children(SKETCH, threshold, runs), "id long, path long")
+    found, rest, deep = None, None, None
+    known = None if labels is None else names.select("id").join(labels, "id", "left").select("id", F.coalesce("class_id", "id").alias("label"))
+    worth = F.col("members") > 1
+    if known is not None:
+        known = materialize(known, "known")
+        worth &= F.col("least") < F.col("most")
     for level in range(LEVELS):
         # buckets of one have nobody to meet; counts are summed before the shuffle, so a hot bucket is one row a task
         frontier = materialize(frontier, "frontier")
-        counts = materialize(frontier.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "counts")
+        sums = [F.count(F.lit(1)).alias("members")] + ([] if known is None else [F.min("label").alias("least"), F.max("label").alias("most")])
+        counted = frontier if known is None else frontier.join(known, "id")
+        counts = materialize(counted.groupBy("path").agg(*sums).filter(worth).select("path", "members"), "counts")
         held = materialize(frontier.join(counts, "path"), "buckets")
         small = held.filter(F.col("members") <= SMALL).groupBy("path").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids")
         found = small if found is None else found.unionByName(small)
@@ -285,9 +296,11 @@ def candidate_buckets(names: DataFrame, *, threshold: float, recall: float) -> t
         large = large.filter(F.col("members") > MIDDLE)
         if last or large.isEmpty():
             break
+        if level >= 1:  # the third split comes
+            deep = large.select("id") if deep is None else deep.unionByName(large.select("id"))
         frontier = large.select("id", "path").join(names, "id").select("id", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), "id long, path long")
     # runs find the same buckets again and again: each is compared once
-    return materialize(found.distinct(), "small-buckets"), rest
+    return materialize(found.distinct(), "small-buckets"), rest, None if deep is None else materialize(deep.distinct(), "deep"), level + 1
 
 
 def verified_links(small: DataFrame, rest: DataFrame | None, content: DataFrame, threshold: float) -> DataFrame:
@@ -350,17 +363,28 @@ def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall
     sets = materialize(rows.mapInArrow(_sets(n), _SETS), "sets")
     reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     reps = materialize(reps.withColumn("id", F.xxhash64("set_id")), "reps")
-    small, rest = candidate_buckets(reps.filter("size > 0").select("id", "sketch"), threshold=threshold, recall=recall)
+    names = reps.filter("size > 0").select("id", "sketch")
+    runs = runs_for(recall, threshold)
+    small, rest, deep, depth = candidate_buckets(names, range(runs), threshold=threshold)
     # only members of buckets need their sets: those of one row each are made again and shuffled
     members = small.select(F.explode("ids").alias("id"))
-    members = (members if rest is None else members.unionByName(rest.select("id"))).distinct()
+    for more in (rest, deep):
+        members = members if more is None else members.unionByName(more.select("id"))
+    members = members.distinct()
     members = materialize(reps.select("row", "id", "size", "copies").join(members, "id", "left_semi"), "members")
     # always by shuffle: the members grow with the input, whatever their size here
     content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members.hint("merge"), "row")
     content = materialize(content.select("id", "size", "items", "copies"), "content")
     if not content.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").isEmpty():
         content = materialize(content.dropDuplicates(["id"]), "content")  # rows repeated in every column
-    labels = materialize(components(verified_links(small, rest, content, threshold)), "classes")
+    links = verified_links(small, rest, content, threshold)
+    labels = materialize(components(links), "classes")
+    # a pair that parts deeper down meets less often in a run; both of its members are deep then, so these go on alone
+    while deep is not None and (needed := runs_for(recall, threshold, depth)) > runs:
+        small, rest, _, reached = candidate_buckets(names.join(deep, "id", "left_semi"), range(runs, needed), threshold=threshold, labels=labels)
+        runs, depth = needed, max(depth, reached)
+        links = links.unionByName(verified_links(small, rest, content, threshold))
+        labels = materialize(components(links), "classes")
     whole = reps.join(labels, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
     least = whole.groupBy("class").agg(F.min("least").alias("class_id"))
     if counting:
