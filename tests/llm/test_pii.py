@@ -86,3 +86,13 @@ def test_detection_equals_plain_patterns_on_the_corpus(spark):
 def test_patterns_read_like_sql_functions(spark):
     df = spark.createDataFrame([("x 4012888888881881 y",)], "t string")
     assert df.select(pii.entities(F.col("t"))).first()[0] == ["4012888888881881"]
+
+
+def test_no_secret_stays_in_the_output(spark):
+    secrets = ["p@ssw0rd1", "p@ss.word-1!tail", "пароль1", "ПАРОЛЬпароль", "motdepasséé", "!!!!!!!!", "a@b@c@d@e", "x.y@z.1234567"]
+    rows = run(spark, [f"login password={s} end" for s in secrets])
+    for i, s in enumerate(secrets):
+        out = rows[i]["text"]
+        assert rows[i]["n"] == 1 and s not in out and out.startswith("login password=") and out.endswith(" end")
+    assert not set("пароль1") <= set(rows[2]["text"]) and re.search("[а-я]{6}[0-9] end", rows[2]["text"])
+    assert not rows[1]["text"].endswith("tail end") and "@ssw0rd1" not in rows[0]["text"]

@@ -41,7 +41,7 @@ PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-]
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
-ANY = f"{EMAIL}|{KEYED}|{SECRET}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
+ANY = f"{SECRET}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
 #: What every entity has somewhere; the quick test that most texts fail.
 SOME = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|(?i:password|passwd|secret|api_key|token)"
 
@@ -58,6 +58,12 @@ ENDINGS = {
     ("cyrillic", "f"): "рия лена сия мила вина дора нела рика".split(),
     ("cyrillic", "s"): "ский цын ров лин дов тен хин гин".split(),
 }
+# Letters that stand for others of their script in secrets.
+LETTERS = {
+    "[а-яё]": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "[А-ЯЁ]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", r"\p{IsCyrillic}": "абвгдежзийклмнопрстуфхцчшщъыьэюя", r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת", r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", r"\p{IsHan}": "一二三四五六七八九十人大小中山水火木金土日月", r"\p{IsHiragana}": "あいうえおかきくけこさしすせそ", r"\p{IsKatakana}": "アイウエオカキクケコサシスセソ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하", r"\p{IsDevanagari}": "कखगघचछजझटठडढणतथदधनपफबभम", r"\p{IsThai}": "กขคงจชซดตถทนบปผพฟมยรลวสหอ", r"\p{Nd}": "0123456789", r"\p{Lu}": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"[^\x00-\x7F]": "abcdefghijklmnopqrstuvwxyz",
+}
 
 
 def _literal(values: list[str]) -> Column:
@@ -70,7 +76,7 @@ def entities(text: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    rules = [("email", "@"), ("name", rf"^(?:{_TITLE})\.? \p{{Lu}}"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*$"), ("bank", f"^{BANK}$")]
+    rules = [("email", f"^{EMAIL}$"), ("name", rf"^(?:{_TITLE})\.? \p{{Lu}}"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*[0-9]$"), ("bank", f"^{BANK}$")]
     return reduce(lambda rest, r: F.when(value.rlike(r[1]), r[0]).otherwise(rest), reversed(rules), F.lit("secret"))
 
 
@@ -128,9 +134,11 @@ def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Colum
 
     made = F.when(type_ == "email", email).when(type_ == "phone", phone).when(type_ == "card", card).when(type_ == "access_key", access).when(type_ == "bank", bank).when(type_ == "address", address)
     made = made.when(type_ == "given_m", named("m")).when(type_ == "given_f", named("f")).when(type_ == "surname", named("s"))
-    made = made.otherwise(shuffled(lambda c, i: F.lit(False)))
-    # a format whose values are used up gets longer
-    return made if attempt < ATTEMPTS else F.concat(made, F.substring(digest, 1, 16))
+    other = lambda c, i: reduce(lambda rest, r: F.when(c.rlike(r[0]), F.substring(F.lit(r[1]), draw(i) % len(r[1]) + 1, F.lit(1))).otherwise(rest), reversed(LETTERS.items()), c)
+    secret = F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike(r"[\x00-\x7F]"), like(c, i)).otherwise(other(c, i))), "")
+    made = made.otherwise(F.when(canonical.rlike(r"[^\x00-\x7F]"), secret).otherwise(shuffled(lambda c, i: F.lit(False))))
+    # a format whose values are used up gets longer; what cannot be drawn at all is not repeated
+    return made if attempt < ATTEMPTS else F.concat(F.when(F.lower(made) == F.lower(canonical), "").otherwise(made), F.substring(digest, 1, 16))
 
 
 def luhn(digits: Column) -> Column:
