@@ -33,17 +33,21 @@ TITLES = {
 }
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 KEYED = r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-SECRET = r"(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=api_key=)|(?<=token=)|(?<=token = \")|(?<=api_key = \")|(?<=secret = \")|(?<=password = \"))[^\s\"']{6,}"
+_SET = r"[=:][ \t]{0,4}[\"']?"
+#: The cheap looks back come first: most places fail them.
+SECRET = rf"(?<=[=: \t\"'])(?![\"'])(?<={_SET})(?<=(?i:password|passwd|secret|api_key|token)[\"']?[ \t]{{0,4}}{_SET})[^\s\"']{{6,}}"
 BANK = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?!\.?[0-9])"
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
+#: Goes on over inner capitals, hyphens and apostrophes, but for a possessive s; one small letter at least.
+_WORD = r"\p{Lu}(?=[\p{L}\p{M}'’-]*\p{Ll})(?:[\p{L}\p{M}]|-(?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))+"
+NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})?"
 ANY = f"{SECRET}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
 #: What every entity has somewhere; the quick test that most texts fail.
-SOME = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|(?i:password|passwd|secret|api_key|token)"
+SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|(?i:password|passwd|secret|api_key|token)"
 
 # Syllables of invented names by script, with the endings of given names by gender.
 SYLLABLES = {
