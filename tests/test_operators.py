@@ -232,6 +232,16 @@ def test_daily_run(spark):
     assert rows(out["header"]) == [(1, 1, 0)]
 
 
+def test_daily_run_keeps_all_names_without_a_ranker(spark):
+    names_ = ["garden.com", "market.com", "silver.com"]
+    zone = lambda ns: spark.createDataFrame([("com", n) for n in ns], "tld string, name string")
+    previous = spark.createDataFrame([], "tld string, name string, first_seen_date date, wayback_unknown boolean, wayback_unknown_attempts int, score int")
+    deny, available = spark.createDataFrame([], "name string"), spark.createDataFrame([(n, True) for n in names_], "name string, is_available boolean")
+    evidence = spark.createDataFrame([(n, 500, dt.date(2025, 1, 1), 6.0, True, 900, False, False, False, "clean") for n in names_], "name string, wayback_snapshots int, wayback_last_snapshot date, open_page_rank double, cert_history boolean, cc_source_domain_count int, spam_flagged boolean, surbl_listed boolean, spamhaus_listed boolean, snapshot_category string")
+    out = jobs.daily_run(zone([*names_, "stays.com"]), zone(["stays.com"]), previous, deny, available, evidence, day(), jobs.Daily(narrow_to=1))
+    assert sorted(r["name"] for r in out["scored"].select("name").collect()) == names_
+
+
 def test_candidates_and_changes(spark):
     d = lambda n: dt.date(2026, 1, n)
     docs = spark.createDataFrame([("a.com", "available", 5, 2, d(1), d(9), 2001), ("b.com", "dropped", None, 0, d(5), d(5), None)], "domain string, status string, links int, captures int, first_seen date, last_seen date, first_year int")

@@ -37,8 +37,8 @@ def daily_run(yesterday: DataFrame, today: DataFrame, previous: DataFrame, denyl
     """
     drops = staged(filtered_drops(yesterday, today, c), "drops")
     lexical = drops.filter("reject_reason is null").drop("reject_reason")
-    narrowed = ranking.pre_narrow(lexical, c.narrow_to)
-    free = narrowed.join(availability.filter("is_available").select("name"), "name", "left_semi")
+    # without a ranker the whole list goes on: only what a ranker is sent is narrowed
+    free = lexical.join(availability.filter("is_available").select("name"), "name", "left_semi")
     enriched = free.join(evidence, "name", "left").withColumn("dropped_date", day)
     remembered = denylist.select(F.lower("name").alias("name"), F.lit(True).alias("_remembered")).dropDuplicates(["name"])
     judged = enriched.join(remembered, "name", "left")
