@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import sys
 import tempfile
 import types
@@ -19,13 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, a local master gets one of its own; on a
+    cluster that is an error, as other machines could not read it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share (master: {master})")
     own = tempfile.mkdtemp(prefix="zonewright-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
@@ -36,7 +41,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of materialized tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
@@ -64,21 +79,24 @@ def hash_bucket(n: int, *cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
-def spread_rank(df: DataFrame, group: list[str], buckets: list[tuple[str, Column]], order: list[Column], name: str) -> DataFrame:
-    """Gapless long ranks from 0 in each group, ordered by the bucket columns, then by order.
+def spread_rank(df: DataFrame, group: list[str], buckets: list[tuple[str, Column]], order: list[Column], name: str, weight: str | None = None) -> DataFrame:
+    """Gapless long ranks from 0 in each group, ordered by the bucket columns, then by order; with a weight column: the
+    sum of the weights before the row in that order.
 
-    No task sees a whole group: rows are ranked inside (group, buckets), and the offsets come from the counts.
+    No task sees a whole group: rows are ranked inside (group, buckets), and the offsets come from the sums of these.
     Buckets are ints that the caller makes from hashes, so that each holds a bounded share of the rows.
     """
     for n, c in buckets:
         df = df.withColumn(n, c)
     keys = group + [n for n, _ in buckets]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    each = F.lit(1) if weight is None else F.col(weight)
+    counts = df.groupBy(*keys).agg(F.sum(each).alias("_n"))
     w = Window.partitionBy(*group).orderBy(*[n for n, _ in buckets]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    ranked = df.withColumn("_in", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    joined = ranked.join(offsets, keys)
-    return joined.withColumn(name, (F.col("_offset") + F.col("_in") - 1).cast("long")).drop("_in", "_offset", *[n for n, _ in buckets])
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    before = F.row_number().over(inside) - 1 if weight is None else F.coalesce(F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = df.withColumn("_in", before).join(offsets, keys)
+    return joined.withColumn(name, (F.col("_offset") + F.col("_in")).cast("long")).drop("_in", "_offset", *[n for n, _ in buckets])
 
 
 def buckets_for(rows: int, each: int, most: int = 65536) -> int:

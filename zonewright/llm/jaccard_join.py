@@ -4,19 +4,30 @@ A text is the set of its word n-grams (five words, lower case, hashed to 32 bits
 representative has a sketch of minhashes, and every run of the join grows a forest of buckets: a bucket picks a few sketch
 coordinates by a hash of its own path and splits its members by the values there, so two sets of similarity s stay
 together with probability s a split. The expected number of picks is 1 / threshold, which keeps the number of common
-buckets of a pair at the threshold steady. Buckets with few members are compared by brute force on the exact sets,
-middle-sized ones in blocks; larger ones split on. After `LEVELS` splits what is still large is compared in blocks too. Runs are independent repetitions; their
-number follows from the target recall for pairs two splits deep. Members of buckets that split on further have more runs
-among themselves, as many as the depth really reached asks for; there, buckets within one class found so far are left out,
-as they can link nothing new. Links found in a bucket leave the task as a spanning forest only, and connected
-components over these links are the classes.
-
-Links are then counted exactly inside the classes: members in order of set size, in blocks, each block against those whose
-sizes can still reach the threshold; only sums leave a task, never pairs.
+buckets of a pair at the threshold steady. Runs are independent repetitions; their number follows from the target recall
+for pairs two splits deep. Members of buckets that split on further have more runs among themselves, as many as the depth
+really reached asks for.
+
+Only signatures travel with buckets: two bits of each minhash, 32 bytes a set. Small buckets are compared by brute force
+on these; a pair goes on if they agree as often as a pair at the threshold does, less `SIGMAS` standard deviations (a loss
+of 1e-4 of the pairs right at the threshold, far below that of the paths; less above it). Connected sets of such pairs are
+candidate groups, kept as labels. Buckets whose members all have one label have nothing to tell and are left out, which is
+what becomes of dense groups: a first pass over a few runs links the members of each bucket with one of them. Larger
+buckets with several labels split on, and what is left after `LEVELS` splits is compared in blocks.
+
+Then each member of a candidate group gets its exact set, once, and all pairs of a group are compared exactly: groups of
+up to `BLOCK` sets (or as many grams as so many sets of `BLOCK` grams have) in one task, larger ones in pairs of blocks.
+There, the distance to one member of the group decides most pairs without a comparison: Jaccard distance is a metric, so
+two sets whose distances to that member sum to at most 1 - threshold are linked, and two whose distances differ by more
+are not. The former are counted from a histogram of distances; pairs of blocks with undecided pairs only are compared.
+What leaves a task is a spanning forest of links and sums of links, never pairs. Connected components over the links are
+the classes.
 
 Defined cases: null text is in a class of its own; a text with fewer words than n has one gram of all its words; texts
 without words have equal (empty) sets and form one class; repeated rows are copies of each other; a null doc_id is passed
-through (as class id it gives way to others); an empty table gives no rows; other columns are ignored.
+through (as class id it gives way to others); an empty table gives no rows; other columns are ignored. Texts of any length
+are read whole; the memory of a task grows with its longest text, and a very long one weighs as many grams as it has.
+Sets are told apart by 64 bits of a 128-bit digest: of n different sets n * n / 2 ** 65 pairs are taken for one.
 """
 
 from __future__ import annotations
@@ -24,29 +35,36 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, bounded_broadcast, materialize, per_process, small_batches, spread_rank, table, unused
+from zonewright.llm.common import Remembered, bounded_broadcast, discard, materialize, per_process, small_batches, spread_rank, table, unused
 
 N = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-#: Coordinates of a sketch.
+#: Coordinates of a sketch that buckets split by, and of a signature (two bits each, 32 in a long).
 SKETCH = 64
-#: Members up to which a bucket is compared by brute force in one task, and in blocks over several.
-SMALL = 256
-MIDDLE = 1024
+SIGNATURE = 128
+SIGMAS = 4
+#: Members up to which the signatures of a bucket are compared by brute force in one task.
+SMALL = 1024
 LEVELS = 10
-#: Members of a block in exact comparisons.
-BLOCK = 128
+#: Runs of the first pass.
+FIRST_RUNS = 3
+#: Sets of a block in exact comparisons; its square is the number of grams that a block may have.
+BLOCK = 1024
+#: Steps of a distance between 0 and 1.
+STEPS = 1000
 CACHED_WORDS = 150_000
 #: Repeated rows up to which their keys are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 20_000
-_FACTORS = np.random.default_rng(0x5DEECE66D).integers(1, 1 << 63, (2, SKETCH), dtype=np.uint64) | np.uint64(1)
+_FACTORS = np.random.default_rng(0x5DEECE66D).integers(1, 1 << 63, (2, SIGNATURE), dtype=np.uint64) | np.uint64(1)
+_LONGS = [f"s{i}" for i in range(SIGNATURE // 32)]
 
 
 def runs_for(recall: float, threshold: float, levels: int = 2) -> int:
@@ -58,6 +76,12 @@ def runs_for(recall: float, threshold: float, levels: int = 2) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
+def least_agreement(threshold: float) -> int:
+    """Coordinates of two signatures that must agree for the pair to be looked at."""
+    p = threshold + (1 - threshold) / 4
+    return max(1, math.floor(SIGNATURE * p - SIGMAS * math.sqrt(SIGNATURE * p * (1 - p))))
+
+
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
@@ -84,13 +108,13 @@ def grams(text: str, n: int, words: Remembered) -> np.ndarray:
     return np.unique((code >> np.uint64(32)).astype(np.uint32))
 
 
-def sketch(items: np.ndarray, coordinates: int = SKETCH) -> np.ndarray:
+def sketch(items: np.ndarray, coordinates: int = SIGNATURE) -> np.ndarray:
     """Minhashes of a non-empty set, one for each coordinate."""
     out = np.empty(coordinates, np.uint32)
     factor = _FACTORS[:, :coordinates]
     least = np.full(coordinates, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(items), 4096):  # long texts in stretches, to bound the memory
-        x = items[at : at + 4096].astype(np.uint64)
+    for at in range(0, len(items), 2048):  # long texts in stretches, to bound the memory
+        x = items[at : at + 2048].astype(np.uint64)
         h = (x[None, :] + factor[1][:, None]) * factor[0][:, None]
         h ^= h >> np.uint64(31)
         h *= _MIX[1]
@@ -99,7 +123,13 @@ def sketch(items: np.ndarray, coordinates: int = SKETCH) -> np.ndarray:
     return out
 
 
-_SETS = "row binary, doc_id long, set_id binary, size int, sketch binary"
+def signatures(sketches: np.ndarray) -> np.ndarray:
+    """[set, long]: the two lowest bits of each coordinate of [set, coordinate]."""
+    bits = (sketches & np.uint32(3)).astype(np.uint64).reshape(len(sketches), -1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
+    return np.bitwise_or.reduce(bits, axis=2)
+
+
+_SETS = "row binary, doc_id long, set_id binary, size int, sketch binary, " + ", ".join(f"{s} long" for s in _LONGS)
 _ITEMS = "row binary, items binary"
 
 
@@ -109,16 +139,17 @@ def _sets(n: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                rows = []
-                for row, doc_id, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if text is None:
-                        rows.append((row, doc_id, b"null" + row, -1, b""))
-                        continue
-                    items = grams(text, n, words)
-                    raw = items.tobytes()
-                    rows.append((row, doc_id, hashlib.blake2b(raw, digest_size=16).digest(), len(items), sketch(items).tobytes() if len(items) else b""))
-                types = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=[x.split()[0] for x in _SETS.split(", ")])
+                ids, sizes, sketches, minima = [], [], [], np.zeros((part.num_rows, SIGNATURE), np.uint32)
+                for k, (row, text) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True)):
+                    items = grams(text or "", n, words)
+                    if len(items):
+                        minima[k] = sketch(items)
+                    ids.append(b"null" + row if text is None else hashlib.blake2b(items.tobytes(), digest_size=16).digest())
+                    sizes.append(-1 if text is None else len(items))
+                    sketches.append(minima[k, :SKETCH].tobytes() if len(items) else b"")
+                signed = signatures(minima).view(np.int64)
+                columns = [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), *(pa.array(c) for c in signed.T.copy())]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _SETS.split(", ")])
 
     return run
 
@@ -135,8 +166,11 @@ def _items(n: int):
     return run
 
 
+_CHILDREN = "id long, label long, path long"
+
+
 def _children(coordinates: int, threshold: float, all_runs: range | None):
-    """Splits: (id, path, level) rows from rows with a sketch; at the root for every run, below for the bucket's path."""
+    """Splits: (id, label, path) rows from rows with id, label, sketch; at the root for every run, below for the path."""
     chance = 1 / (threshold * coordinates)
     numbers = np.arange(coordinates, dtype=np.uint64)
 
@@ -152,65 +186,114 @@ def _children(coordinates: int, threshold: float, all_runs: range | None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, coordinates).astype(np.uint64)
-            ids = batch.column(0)
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(batch.num_rows, coordinates).astype(np.uint64)
             roots = _mix(np.arange(all_runs.start + 1, all_runs.stop + 1, dtype=np.uint64) * _MIX[0]) if all_runs else None
             for k in range(len(all_runs) if all_runs else 1):
-                path = np.full(batch.num_rows, roots[k]) if all_runs else batch.column(2).to_numpy().view(np.uint64)
+                path = np.full(batch.num_rows, roots[k]) if all_runs else batch.column(3).to_numpy().view(np.uint64)
                 member, coordinate = np.nonzero(picks(path[:1]).repeat(len(path), 0) if all_runs else picks(path))
                 child = _mix(_mix(path[member] + (coordinate.astype(np.uint64) + np.uint64(1)) * _MIX[1]) + values[member, coordinate] * _MIX[0])
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(member)), pa.array(child.view(np.int64))], names=["id", "path"])
+                at = pa.array(member)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(child.view(np.int64))], names=["id", "label", "path"])
 
     return run
 
 
-def overlaps(items: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all pairs of the sets."""
-    n = len(items)
-    if n == 2:
-        one = len(np.intersect1d(*items, assume_unique=True))
-        return np.array([[len(items[0]), one], [one, len(items[1])]], np.float64)
-    flat = np.concatenate(items) if n else np.zeros(0, np.uint32)
-    owner = np.repeat(np.arange(n), [len(x) for x in items])
-    values, number, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times[number] > 1
-    columns = np.cumsum(times > 1) - 1
-    out = np.zeros((n, n), np.float32)
-    own, col = owner[shared], columns[number[shared]]
-    width = int((times > 1).sum())
-    order = np.argsort(col, kind="stable")
-    own, col = own[order], col[order]
-    for at in range(0, width, 8192):  # a strip of the member-by-gram matrix at a time
-        a, b = np.searchsorted(col, [at, at + 8192])
-        strip = np.zeros((n, min(8192, width - at)), np.float32)
-        strip[own[a:b], col[a:b] - at] = 1
-        out += strip @ strip.T
-    return out
+def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For edges (a, b): (node, least node of its component), for nodes that are not the least."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        least = np.minimum(label[a], label[b])
+        for x in (label[a], label[b], a, b):
+            np.minimum.at(new, x, least)
+        while ((hop := new[new]) != new).any():
+            new = hop
+        if (new == label).all():
+            moved = label != np.arange(len(nodes))
+            return nodes[moved], nodes[label[moved]]
+        label = new
 
 
-def similar(items: list[np.ndarray], threshold: float) -> np.ndarray:
-    """Which pairs of the sets have a Jaccard similarity of the threshold or more."""
-    both = overlaps(items).astype(np.float64)
-    sizes = np.array([len(x) for x in items], np.float64)
-    np.fill_diagonal(both, sizes)
-    return both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6
+def _agreeing(least: int):
+    """For mapInArrow over rows with one column, the members of a bucket as (label, signature): edges (a, b) that span
+    what the agreeing pairs of different labels connect in a batch of buckets."""
+    pairs, most = np.uint64(0x5555555555555555), SIGNATURE - least
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                lists = batch.column(0).slice(at, 256)
+                lengths = np.diff(lists.offsets.to_numpy())
+                flat = lists.flatten()
+                label, *longs = (flat.field(i).to_numpy() for i in range(1 + len(_LONGS)))
+                signed = np.stack([x.view(np.uint64) for x in longs], axis=1)
+                after = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(label)) - 1  # members of the bucket behind each
+                here, step, found = np.nonzero(after > 0)[0], 1, []
+                while len(here):
+                    x = signed[here] ^ signed[here + step]
+                    near = np.bitwise_count((x | (x >> np.uint64(1))) & pairs).sum(axis=1) <= most
+                    near &= label[here] != label[here + step]
+                    if near.any():
+                        found.append((label[here[near]], label[here[near] + step]))
+                    step += 1
+                    here = here[after[here] >= step]
+                if found:
+                    a, b = spanning_forest(*(np.concatenate(x) for x in zip(*found)))
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """(member, least member of its component) for members that have a smaller one."""
-    n = len(near)
-    label = np.arange(n)
-    while True:
-        new = np.where(near, label[None, :], n).min(axis=1)
-        new = np.minimum(new, label)
-        new = new[new]
-        if (new == label).all():
-            return [(i, int(x)) for i, x in enumerate(label) if x != i]
-        label = new
+    return run
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """[left, right]: sizes of the intersections; without right, of all pairs of left."""
+    flat, owner = np.concatenate(left), np.repeat(np.arange(len(left)), [len(x) for x in left])
+    if right is None:
+        values, number, times = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = times > 1
+        column = np.cumsum(shared) - 1
+        width, keep = int(shared.sum()), shared[number]
+        sides = [(owner[keep], column[number[keep]])] * 2
+        shape = (len(left), len(left))
+    else:
+        other = np.concatenate(right)
+        values = np.intersect1d(flat, other)
+        width, shape, sides = len(values), (len(left), len(right)), []
+        for f, o in ((flat, owner), (other, np.repeat(np.arange(len(right)), [len(x) for x in right]))):
+            column = np.searchsorted(values, f)
+            keep = column < width
+            keep[keep] = values[column[keep]] == f[keep]
+            sides.append((o[keep], column[keep]))
+    ordered = [(own[order], col[order]) for own, col in sides for order in [np.argsort(col, kind="stable")]]
+    out = np.zeros(shape, np.float32)
+    for at in range(0, width, 4096):  # a strip of the member-by-gram matrices at a time
+        strips = []
+        for n, (own, col) in zip(shape, ordered, strict=True):
+            a, b = np.searchsorted(col, [at, at + 4096])
+            strip = np.zeros((n, min(4096, width - at)), np.float32)
+            strip[own[a:b], col[a:b] - at] = 1
+            strips.append(strip)
+        out += strips[0] @ strips[1].T
+    return out
+
+
+def similar(left: list[np.ndarray], threshold: float, right: list[np.ndarray] | None = None) -> np.ndarray:
+    """[left, right]: which pairs have a Jaccard similarity of the threshold or more; without right, of all pairs of left."""
+    sizes = np.array([len(x) for x in left], np.float64)
+    other = sizes if right is None else np.array([len(x) for x in right], np.float64)
+    if right is None and len(left) == 2:
+        one = float(len(np.intersect1d(*left, assume_unique=True)))
+        both = np.array([[sizes[0], one], [one, sizes[1]]])
+    else:
+        both = overlaps(left, right).astype(np.float64)
+        if right is None:
+            np.fill_diagonal(both, sizes)
+    return both >= threshold * (sizes[:, None] + other[None, :] - both) - 1e-6
 
 
 def by_group(keys: int, compare):
-    """For mapInArrow over sorted rows: compare(columns as lists of one group), whose leading columns are the keys."""
+    """For mapInArrow over sorted rows: compare(rows of one group), whose leading columns are the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -224,99 +307,63 @@ def by_group(keys: int, compare):
                         current, held = row[:keys], []
                     held.append(row)
                 if out:
-                    yield _long_columns(out)
+                    yield _compared(out)
         if held and (out := compare(held)):
-            yield _long_columns(out)
+            yield _compared(out)
 
     return run
 
 
-def _long_columns(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    names = ["a", "b"] if len(columns) == 2 else ["id", "text_links", "doc_links"]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+_COMPARED = "a long, b long, sets long, docs long"
 
 
-def _span(threshold: float, id_at: int, items_at: int):
-    """Links (a, b) that span what is similar in one group."""
-
-    def compare(rows: list[tuple]) -> list[tuple]:
-        rows = sorted(rows, key=lambda r: r[id_at])
-        ids = [r[id_at] for r in rows]
-        return [(ids[a], ids[b]) for a, b in _forest(similar([np.frombuffer(r[items_at], np.uint32) for r in rows], threshold))]
-
-    return compare
+def _compared(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=[x.split()[0] for x in _COMPARED.split(", ")])
 
 
-def _count(threshold: float):
-    """Numbers of links (id, other sets, other documents) between the two blocks of a group, or inside one block.
+def _compare(threshold: float, limit: int):
+    """Links (a, b) that span what is similar between the two blocks of a group or inside its one block, and for each set
+    the numbers of links (a, null, sets, docs) that its distance to the group's pivot doesn't decide.
 
-    Rows: class, i, j, block, id, items, copies.
+    Rows: class_id, i, j, block, id, distance, copies, items.
     """
 
     def compare(rows: list[tuple]) -> list[tuple]:
-        near = similar([np.frombuffer(r[5], np.uint32) for r in rows], threshold)
-        np.fill_diagonal(near, False)
-        if rows[0][1] != rows[0][2]:  # pairs inside one block are counted where it meets itself
-            across = np.array([r[3] == r[1] for r in rows])
-            near &= across[:, None] != across[None, :]
-        sets, docs = near.sum(axis=1), near @ np.array([r[6] for r in rows], np.int64)
-        return [(r[4], int(n), int(m)) for r, n, m in zip(rows, sets, docs, strict=True) if n]
+        at = sum(r[3] == r[1] for r in rows)
+        ids, distance, copies = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
+        items = [np.frombuffer(r[7], np.uint32) for r in rows]
+        inside = rows[0][1] == rows[0][2]
+        near = similar(items, threshold) if inside else similar(items[:at], threshold, items[at:])
+        one, other = (slice(None), slice(None)) if inside else (slice(None, at), slice(at, None))
+        if inside:
+            np.fill_diagonal(near, False)
+        a, b = np.nonzero(np.triu(near) if inside else near)
+        if not len(a):
+            return []
+        out = [(int(x), int(y), None, None) for x, y in zip(*spanning_forest(ids[one][a], ids[other][b]), strict=True)]
+        near &= distance[one][:, None] + distance[other][None, :] > limit
+        for side, who, whom in [(near, one, other)] + ([] if inside else [(near.T, other, one)]):
+            counts = zip(ids[who], side.sum(axis=1), side @ copies[whom], strict=True)
+            out += [(int(x), None, int(n), int(m)) for x, n, m in counts if n]
+        return out
 
     return compare
 
 
-def candidate_buckets(names: DataFrame, runs: range, *, threshold: float, labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
-    """What the chosen paths of some runs bring together: (ids) arrays of small buckets, each once, (id, path) of the
-    middle-sized ones and of what is still large after the last split, if there are any, (id) of the members that split
-    more than twice, if there are any, and the number of splits reached. names: id, sketch. labels: (id, class_id) of the
-    classes found so far; buckets within one of them are left out."""
-    frontier = names.mapInArrow(_children(SKETCH, threshold, runs), "id long, path long")
-    found, rest, deep = None, None, None
-    known = None if labels is None else names.select("id").join(labels, "id", "left").select("id", F.coalesce("class_id", "id").alias("label"))
-    worth = F.col("members") > 1
-    if known is not None:
-        known = materialize(known, "known")
-        worth &= F.col("least") < F.col("most")
-    for level in range(LEVELS):
-        # buckets of one have nobody to meet; counts are summed before the shuffle, so a hot bucket is one row a task
-        frontier = materialize(frontier, "frontier")
-        sums = [F.count(F.lit(1)).alias("members")] + ([] if known is None else [F.min("label").alias("least"), F.max("label").alias("most")])
-        counted = frontier if known is None else frontier.join(known, "id")
-        counts = materialize(counted.groupBy("path").agg(*sums).filter(worth).select("path", "members"), "counts")
-        held = materialize(frontier.join(counts, "path"), "buckets")
-        small = held.filter(F.col("members") <= SMALL).groupBy("path").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids")
-        found = small if found is None else found.unionByName(small)
-        large = held.filter(F.col("members") > SMALL)
-        if large.isEmpty():
-            break
-        last = level == LEVELS - 1
-        blocked = (large if last else large.filter(F.col("members") <= MIDDLE)).select("id", "path")
-        rest = blocked if rest is None else rest.unionByName(blocked)
-        large = large.filter(F.col("members") > MIDDLE)
-        if last or large.isEmpty():
-            break
-        if level >= 1:  # the third split comes
-            deep = large.select("id") if deep is None else deep.unionByName(large.select("id"))
-        frontier = large.select("id", "path").join(names, "id").select("id", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), "id long, path long")
-    # runs find the same buckets again and again: each is compared once
-    return materialize(found.distinct(), "small-buckets"), rest, None if deep is None else materialize(deep.distinct(), "deep"), level + 1
-
-
-def verified_links(small: DataFrame, rest: DataFrame | None, content: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that span what is similar inside the buckets; content: id, size, items, copies of their members."""
-    buckets = small.select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
-    compared = buckets.join(content.select("id", "items"), "id").select("bucket", "id", "items").repartition("bucket").sortWithinPartitions("bucket", "id")
-    links = compared.mapInArrow(by_group(1, _span(threshold, 1, 2)), "a long, b long")
-    if rest is not None:
-        dealt = _deal(rest.select("id", F.col("path").alias("class_id")).join(content, "id"), "class_id", threshold)
-        links = links.unionByName(dealt.mapInArrow(by_group(3, _span(threshold, 4, 5)), "a long, b long"))
-    return materialize(links.distinct(), "links")
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (class_id, id, items, items of the pivot): the distance in steps, rounded up."""
+    for batch in batches:
+        steps = []
+        for mine, pivot in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            a, b = np.frombuffer(mine, np.uint32), np.frombuffer(pivot, np.uint32)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            steps.append(-((both - len(a) - len(b) + both) * STEPS // (len(a) + len(b) - both)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(steps, pa.int32())], names=["class_id", "id", "distance"])
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, class_id): the least id of each connected component, for all ids in links (a, b)."""
-    both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "graph")
+    both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "graph")
     labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "id"), "labels")
     while True:
         seen = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("seen")), "b").groupBy("a").agg(F.min("seen").alias("seen"))
@@ -324,30 +371,136 @@ def components(links: DataFrame) -> DataFrame:
         # and on to the label of the label: paths shrink by half each round
         jump = labels.select(F.col("id").alias("next"), F.col("label").alias("further"))
         moved = materialize(hop.join(jump, "next", "left").select("id", F.least("next", F.coalesce("further", "next")).alias("label"), F.col("label").alias("before")), "labels")
-        labels = moved.select("id", "label")
+        discard(labels)
+        labels = moved
         if moved.filter("label < before").isEmpty():
-            return labels.withColumnRenamed("label", "class_id")
+            discard(both)
+            return labels.select("id", F.col("label").alias("class_id"))
+
+
+def _relabelled(names: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
+    """(id, label, columns) of names, with the labels that links (a, b) between labels connect made one."""
+    merged = components(links).withColumnRenamed("id", "label")
+    return materialize(names.join(merged, "label", "left").withColumn("label", F.coalesce("class_id", "label")).select("id", "label", *columns), "names")
 
 
-def _deal(members: DataFrame, group: str, threshold: float) -> DataFrame:
-    """(group, i, j, block, id, items, copies), dealt and sorted by group, i, j: blocks of each group beside those they
-    can be similar to. Blocks follow the size of the sets, and a set of size s meets only sizes up to s / threshold."""
-    # ranks from counts by size, so no task orders a whole group
-    ranked = spread_rank(members.select("id", group, "size"), [group], [("_size", F.col("size")), ("_mix", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int"))], ["id"], "rank")
-    placed = materialize(ranked.select("id", group, "size", F.floor(F.col("rank") / BLOCK).cast("int").alias("block")), "blocks")
-    blocks = placed.groupBy(group, "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    left = blocks.select(F.col(group), F.col("block").alias("i"), F.col("high").alias("reach"))
-    right = blocks.select(F.col(group), F.col("block").alias("j"), F.col("low").alias("least"))
-    meets = left.join(right, group).filter((F.col("j") >= F.col("i")) & (F.col("least") * threshold <= F.col("reach") + 1e-9)).select(group, "i", "j")
-    sides = meets.select(group, "i", "j", F.col("i").alias("block")).unionByName(meets.filter("i < j").select(group, "i", "j", F.col("j").alias("block")))
-    dealt = placed.select("id", group, "block").join(sides, [group, "block"]).join(members.select("id", group, "items", "copies"), ["id", group])
-    return dealt.select(group, "i", "j", "block", "id", "items", "copies").repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", "block", "id")
+def _disagreement(left: str, right: str) -> Column:
+    """Coordinates in which the signatures in two groups of columns differ."""
+    differ = [F.col(f"{left}{s}").bitwiseXOR(F.col(f"{right}{s}")) for s in _LONGS]
+    return reduce(Column.__add__, [F.bit_count((x.bitwiseOR(F.shiftrightunsigned(x, 1))).bitwiseAND(F.lit(0x5555555555555555))) for x in differ])
+
+
+def pivot_links(names: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """(a, b): for members of root buckets the one bucket whose least member agrees with them best, if any does enough."""
+    held = materialize(names.select("id", "label", "sketch").mapInArrow(_children(SKETCH, threshold, runs), _CHILDREN).select("id", "path"), "frontier")
+    pivots = held.groupBy("path").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("path", "pivot")
+    signed = names.select("id", *_LONGS)
+    pivots = pivots.join(signed.select(F.col("id").alias("pivot"), *[F.col(s).alias(f"of_{s}") for s in _LONGS]), "pivot")
+    met = held.join(pivots, "path").filter("id != pivot").join(signed, "id").select("id", "pivot", _disagreement("", "of_").alias("differ"))
+    best = met.filter(F.col("differ") <= SIGNATURE - least_agreement(threshold)).groupBy("id").agg(F.min(F.struct("differ", "pivot")).alias("best"))
+    links = materialize(best.select(F.col("id").alias("a"), F.col("best.pivot").alias("b")), "pivots")
+    discard(held)
+    return links
+
+
+def candidate_links(names: DataFrame, runs: range, threshold: float) -> tuple[DataFrame, DataFrame | None, int]:
+    """What the chosen paths of some runs bring together: (a, b) links between labels, (id) of the members that split more
+    than twice, if there are any, and the number of splits reached. names: id, label, sketch, signature."""
+    frontier = names.select("id", "label", "sketch").mapInArrow(_children(SKETCH, threshold, runs), _CHILDREN)
+    signed = names.select("id", *_LONGS)
+    member = F.struct("label", *_LONGS).alias("member")
+    links, deep = None, None
+
+    def agreeing(buckets: DataFrame) -> DataFrame:
+        nonlocal links
+        found = materialize(buckets.mapInArrow(_agreeing(least_agreement(threshold)), "a long, b long"), "candidates")
+        links = found if links is None else links.unionByName(found)
+
+    held = None
+    for level in range(LEVELS):
+        # buckets of one label have nothing to tell; counts are summed before the shuffle, so a hot bucket is one row a task
+        frontier = materialize(frontier, "frontier")
+        if held is not None:
+            discard(held)
+        counts = frontier.groupBy("path").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("least"), F.max("label").alias("most"))
+        held = materialize(frontier.join(counts.filter("least < most").select("path", "members"), "path"), "buckets")
+        discard(frontier)
+        agreeing(held.filter(F.col("members") <= SMALL).join(signed, "id").groupBy("path").agg(F.collect_list(member).alias("bucket")).select("bucket"))
+        large = held.filter(F.col("members") > SMALL)
+        if large.isEmpty():
+            break
+        if level == LEVELS - 1:  # blocks of hashes, each with each
+            count = F.ceil(F.col("members") * 2 / SMALL).cast("int")
+            dealt = large.join(signed, "id").withColumn("at", F.pmod(F.xxhash64("id", "path"), count).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), count - 1)))
+            agreeing(dealt.groupBy("path", F.least("at", "to").alias("i"), F.greatest("at", "to").alias("j")).agg(F.collect_list(member).alias("bucket")).select("bucket"))
+            break
+        if level >= 1:  # the third split comes
+            found = materialize(large.select("id").distinct(), "deep")
+            deep = found if deep is None else deep.unionByName(found)
+        frontier = large.select("id", "label", "path").join(names.select("id", "sketch"), "id").select("id", "label", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), _CHILDREN)
+    discard(held)
+    return links, None if deep is None else materialize(deep.distinct(), "deep"), level + 1
 
 
-def count_links(members: DataFrame, threshold: float) -> DataFrame:
-    """(id, text_links, doc_links), exactly, inside classes: members: id, class_id, size, items, copies."""
-    counted = _deal(members, "class_id", threshold).mapInArrow(by_group(3, _count(threshold)), "id long, text_links long, doc_links long")
-    return counted.groupBy("id").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
+def candidate_groups(names: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """(id, label) of the sets in candidate groups of two or more; names: id, sketch, signature."""
+    names = names.withColumn("label", F.col("id"))
+    names = _relabelled(names, pivot_links(names, range(FIRST_RUNS), threshold), "sketch", *_LONGS)
+    runs = runs_for(recall, threshold)
+    links, deep, depth = candidate_links(names, range(runs), threshold)
+    # a pair that parts deeper down meets less often in a run; both of its members are deep then, so these go on alone
+    while deep is not None and (needed := runs_for(recall, threshold, depth)) > runs:
+        names, before = _relabelled(names, links, "sketch", *_LONGS), names
+        discard(before)
+        links, _, reached = candidate_links(names.join(deep, "id", "left_semi"), range(runs, needed), threshold)
+        runs, depth = needed, max(depth, reached)
+    labels = _relabelled(names, links)
+    discard(names)
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("label")
+    return materialize(labels.join(sizes, "label").select("id", "label"), "groups")
+
+
+def compared(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that span what is similar in the groups, and (id, sets, docs), the exact numbers of other sets and of
+    their documents linked to each; members: id, class_id, size, copies, items."""
+    limit = math.floor((1 - threshold) * STEPS + 1e-6)
+    weighed = members.withColumn("weight", F.greatest(F.col("size"), F.lit(BLOCK)).cast("long"))
+    groups = weighed.groupBy("class_id").agg(F.count(F.lit(1)).alias("members"), F.sum("weight").alias("weight"), F.min(F.struct(-F.col("copies"), "id")).alias("first"))
+    large = materialize(groups.filter(F.col("weight") > BLOCK * BLOCK).select("class_id", "members", F.col("first.id").alias("pivot")), "large-groups")
+    one = members.join(large.select("class_id"), "class_id", "left_anti")
+    zero = F.lit(0)
+    dealt = one.select("class_id", zero.alias("i"), zero.alias("j"), zero.alias("block"), "id", F.lit(STEPS).alias("distance"), "copies", "items")
+    certain_links, certain = None, None
+    if not large.isEmpty():
+        pivots = members.join(large.select(F.col("pivot").alias("id")), "id", "left_semi").select("class_id", F.col("items").alias("of_pivot"))
+        far = members.join(pivots, "class_id").select("class_id", "id", "items", "of_pivot").mapInArrow(_distances, "class_id long, id long, distance int")
+        far = materialize(far, "distances").join(weighed.select("id", "copies", "weight"), "id").join(large, "class_id")
+        # order by distance; places come from sums, so no task orders a whole group
+        mix = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / 10_000)).cast("int")
+        placed = spread_rank(far, ["class_id"], [("_distance", F.col("distance")), ("_mix", mix)], ["id"], "before", "weight")
+        placed = materialize(placed.select("class_id", "id", "distance", "copies", "pivot", F.floor(F.col("before") / (BLOCK * BLOCK)).cast("int").alias("block")), "blocks")
+        certain_links = placed.filter((F.col("distance") <= limit) & (F.col("id") != F.col("pivot"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+        histogram = placed.groupBy("class_id", "distance").agg(F.count(F.lit(1)).alias("sets"), F.sum("copies").alias("docs"))
+        upto = Window.partitionBy("class_id").orderBy("distance")
+        steps = placed.select("class_id").distinct().select("class_id", F.explode(F.sequence(F.lit(0), F.lit(limit))).alias("distance"))
+        sums = steps.join(histogram, ["class_id", "distance"], "left").select("class_id", "distance", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in ("sets", "docs")])
+        sums = sums.select("class_id", (limit - F.col("distance")).alias("distance"), "sets", "docs")
+        itself = (F.col("distance") * 2 <= limit).cast("int")
+        certain = placed.join(sums, ["class_id", "distance"]).select(F.col("id").alias("a"), (F.col("sets") - itself).alias("sets"), (F.col("docs") - itself * F.col("copies")).alias("docs"))
+        # blocks with undecided pairs: one of the two at least lies beyond half the limit
+        blocks = placed.groupBy("class_id", "block").agg(F.min("distance").alias("low"), F.max("distance").alias("high"))
+        left = blocks.select("class_id", F.col("block").alias("i"), F.col("low").alias("i_low"), F.col("high").alias("i_high"))
+        right = blocks.select("class_id", F.col("block").alias("j"), F.col("low").alias("j_low"), F.col("high").alias("j_high")).filter(F.col("j_high") * 2 > limit)
+        meets = left.join(right, "class_id").filter((F.col("i") <= F.col("j")) & (F.col("i_high") + F.col("j_high") > limit) & (F.col("j_low") - F.col("i_high") <= limit + 1)).select("class_id", "i", "j")
+        sides = meets.select("class_id", "i", "j", F.col("i").alias("block")).unionByName(meets.filter("i < j").select("class_id", "i", "j", F.col("j").alias("block")))
+        many = placed.select("class_id", "id", "distance", "copies", "block").join(sides, ["class_id", "block"]).join(members.select("id", "items"), "id")
+        dealt = dealt.unionByName(many.select(*dealt.columns))
+    dealt = dealt.repartition("class_id", "i", "j").sortWithinPartitions("class_id", "i", "j", "block", "id")
+    found = materialize(dealt.mapInArrow(by_group(3, _compare(threshold, limit)), _COMPARED), "compared")
+    links, counts = found.filter("b is not null").select("a", "b"), found.filter("b is null").select("a", "sets", "docs")
+    if certain is not None:
+        links, counts = links.unionByName(certain_links), counts.unionByName(certain)
+    return links, counts.groupBy(F.col("a").alias("id")).agg(F.sum("sets").alias("text_links"), F.sum("docs").alias("doc_links"))
 
 
 def row_key(docs: DataFrame):
@@ -355,51 +508,36 @@ def row_key(docs: DataFrame):
     return F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(docs.columns)]), {"ignoreNullFields": "false"}).cast("binary")))
 
 
-def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, counting: bool = True) -> DataFrame:
+def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document: row (its key), doc_id, set_id, class_id (the least doc_id of its class), n_copies (other
     documents with an equal set), n_text_links (other sets linked to its own), n_links (other documents linked)."""
     small_batches(docs.sparkSession)
     rows = docs.select(row_key(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = materialize(rows.mapInArrow(_sets(n), _SETS), "sets")
-    reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    reps = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("size", "sketch", *_LONGS)])
     reps = materialize(reps.withColumn("id", F.xxhash64("set_id")), "reps")
-    names = reps.filter("size > 0").select("id", "sketch")
-    runs = runs_for(recall, threshold)
-    small, rest, deep, depth = candidate_buckets(names, range(runs), threshold=threshold)
-    # only members of buckets need their sets: those of one row each are made again and shuffled
-    members = small.select(F.explode("ids").alias("id"))
-    for more in (rest, deep):
-        members = members if more is None else members.unionByName(more.select("id"))
-    members = members.distinct()
-    members = materialize(reps.select("row", "id", "size", "copies").join(members, "id", "left_semi"), "members")
-    # always by shuffle: the members grow with the input, whatever their size here
-    content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members.hint("merge"), "row")
-    content = materialize(content.select("id", "size", "items", "copies"), "content")
+    groups = candidate_groups(reps.filter("size > 0").select("id", "sketch", *_LONGS), threshold=threshold, recall=recall)
+    members = materialize(reps.select("row", "id", "size", "copies").join(groups.withColumnRenamed("label", "class_id"), "id"), "members")
+    # only these need their sets, which are made again; always by shuffle: the members grow with the input, whatever their size here
+    content = rows.select("row", "text").mapInArrow(_items(n), _ITEMS).join(members.hint("merge"), "row").drop("row")
+    content = materialize(content, "content")
     if not content.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").isEmpty():
         content = materialize(content.dropDuplicates(["id"]), "content")  # rows repeated in every column
-    links = verified_links(small, rest, content, threshold)
-    labels = materialize(components(links), "classes")
-    # a pair that parts deeper down meets less often in a run; both of its members are deep then, so these go on alone
-    while deep is not None and (needed := runs_for(recall, threshold, depth)) > runs:
-        small, rest, _, reached = candidate_buckets(names.join(deep, "id", "left_semi"), range(runs, needed), threshold=threshold, labels=labels)
-        runs, depth = needed, max(depth, reached)
-        links = links.unionByName(verified_links(small, rest, content, threshold))
-        labels = materialize(components(links), "classes")
+    links, counts = compared(content, threshold)
+    labels = components(links)
     whole = reps.join(labels, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
     least = whole.groupBy("class").agg(F.min("least").alias("class_id"))
-    if counting:
-        whole = whole.join(count_links(content.join(labels, "id"), threshold), "id", "left")
-    else:
-        whole = whole.withColumn("text_links", F.lit(0)).withColumn("doc_links", F.lit(0))
-    whole = whole.join(least, "class").select(
+    whole = whole.join(counts, "id", "left").join(least, "class").select(
         "set_id", "class", "class_id", (F.col("copies") - 1).alias("n_copies"), F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links"), (F.coalesce("doc_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links")
     )
+    whole = materialize(whole, "classes")
+    discard(content, members, reps)
     return sets.select("row", "doc_id", "set_id").join(whole, "set_id")
 
 
 def keep_one(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """docs with one row of each class: the one with the least doc_id, then the least key of its whole row."""
-    found = materialize(classes(docs, n=n, threshold=threshold, recall=recall, counting=False).select("row", "doc_id", "class"), "members")
+    found = materialize(classes(docs, n=n, threshold=threshold, recall=recall).select("row", "doc_id", "class"), "members")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     kept = found.groupBy("class").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("members"))
     alone = kept.filter("members = 1")
