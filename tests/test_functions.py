@@ -46,6 +46,7 @@ def test_unknown_evidence_passes(spark):
 
 
 def test_spam_terms_stand_between_other_characters(spark):
+    assert values(spark, ["a c++ b", "c+++", "cc"], rules.spam_matches(F.array("x"), rules.Rules(spam_terms=("c++", "(x"), spam_cjk=()))) == [["c++"], ["c++"], []]
     r = rules.Rules(spam_terms=("cialis",), spam_cjk=("赌场",))
     got = values(spark, ["especialistas", "买cialis药", "in 赌场 x", None], rules.spam_matches(F.array("x"), r))
     assert got == [[], ["cialis"], ["赌场"], []]
@@ -80,17 +81,28 @@ def test_link_history_is_checked_as_a_whole(spark):
 
 
 def test_verdicts(spark):
-    rows = [(False, None, 80, 3), (False, None, 80, 2), (True, None, 80, 3), (False, "parked", 80, 3), (False, None, 50, 3), (None, None, None, None)]
-    got = values(spark, rows, scoring.verdict(F.col("s"), F.col("c"), F.col("n"), F.col("e")), "s boolean, c string, n int, e int")
-    assert got == ["Clean", "Caution", "Caution", "Caution", "Promising", "Caution"]
+    none = (None, None, None)
+    rows = [(False, None, 80, 3, *none), (False, None, 80, 2, *none), (True, None, 80, 3, *none), (False, "parked", 80, 3, *none), (None, None, None, None, *none), (False, None, 55, 3, 500, 3.0, 100)]
+    rows += [(False, None, 55, 3, 5000, 0.0, 0), (False, None, 55, 3, 1500, 1.5, 0), (False, None, 55, 3, 1500, None, 10), (False, None, 35, 3, 99999, 9.0, 99999), (False, None, 80, 2, 1500, 1.5, 0)]
+    got = values(spark, rows, scoring.verdict(F.col("s"), F.col("c"), F.col("n"), F.col("e")), "s boolean, c string, n int, e int, wayback_snapshots int, open_page_rank double, cc_source_domain_count int")
+    assert got == ["Clean", "Caution", "Caution", "Caution", "Caution", "Caution", "Caution", "Promising", "Promising", "Caution", "Caution"]
+
+
+def test_evidence_counts_sources_and_no_links(spark):
+    schema = SIGNALS + ", wayback_last_snapshot date, surbl_listed boolean, spamhaus_listed boolean, spam_flagged boolean, wayback_unknown boolean, previous_registrar string"
+    rows = [("a.com", None, None, None, 7, None, None, None, None, True, None), ("b.com", 0, 0.0, False, None, None, None, None, None, None, None)]
+    assert values(spark, rows, scoring.evidence_count(), schema) == [0, 3]
+    assert values(spark, rows, scoring.evidence_count(unknown_captures=F.col("wayback_unknown")), schema) == [1, 3]
+    assert values(spark, rows, scoring.evidence_count(scoring.Scoring(sources={}), F.col("wayback_unknown")), schema) == [2, 3]
 
 
 def test_texts_of_others(spark):
     x = F.col("x")
     assert values(spark, ["a‮b\x00c   d", "x" * 12, None], text.clean_untrusted(x, 10)) == ["a b c d", "x" * 9 + "…", None]
-    assert values(spark, ["Привет мир", "hello", "日本語です", "漢字", "", "한국"], text.writing_system(x)) == ["Cyrillic", None, "Japanese", "Chinese", None, "Korean"]
+    assert values(spark, ["Привет мир", "hello", "日本語です", "漢字", "", "한국"], text.writing_system(x)) == ["Cyrillic", None, "Japanese", "Chinese or Japanese", None, "Korean"]
+    assert values(spark, ["कखगघ", "אבגד", "αβγδ אבגד", "2026 - 漢字", "ab漢字", "abc漢字", "ＡＢＣＤ", "Cafe é", "ｱｲｳ", "שּׁשּׂ", "😀🚀"], text.writing_system(x)) == ["non-English", "Hebrew", "non-English", "Chinese or Japanese", "Chinese or Japanese", None, None, None, "Japanese", "Hebrew", None]
     assert values(spark, ["https://e.com/a?x=1&ref=old#top", "https://e.com/"], text.with_parameters(x, {"ref": "new"})) == ["https://e.com/a?x=1&ref=new#top", "https://e.com/?ref=new"]
-    assert values(spark, ["Home", " Example.com ", "A shop"], text.excerpt_title(x, F.lit("example.com"))) == [None, None, "A shop"]
+    assert values(spark, ["Home.", " Example.com ", "example", "A shop.", None], text.excerpt_title(x, F.lit("example.com"), denied=("home",))) == [None, None, None, "A shop.", None]
     assert values(spark, ["20260101000000", "junk", None], text.excerpt_age_days(x, F.lit("2026-01-31").cast("date"))) == [30, None, None]
     assert [str(v) if v else v for v in values(spark, ["2026-01-02", "2026-01-02T03:04:05.678Z", "soon"], text.parse_time(x))] == ["2026-01-02 00:00:00", "2026-01-02 03:04:05", None]
 

@@ -110,7 +110,7 @@ def test_streaming_ingest_is_idempotent(spark, tmp_path):
 
 
 def test_denylist_and_eviction(spark):
-    deny = spark.createDataFrame([("old.com", dt.date(2025, 1, 1))], "name string, classified_date date")
+    deny = spark.createDataFrame([("Old.com", dt.date(2025, 1, 1))], "name string, classified_date date")
     found = spark.createDataFrame([("New.com",), ("new.com",), ("OLD.com",)], "name string")
     assert rows(state.denylist_additions(deny, found, day(), "v"), "name") == [("new.com",)]
 
@@ -178,6 +178,7 @@ def test_quota_by_hash_is_reproducible(spark):
     quotas = spark.createDataFrame([("h", 5)], "host string, quota int")
     a, b, c = (rows(ranking.within_quota(d, quotas, day)) for d, day in ((df, "20260101"), (df.repartition(9), "20260101"), (df, "20260102")))
     assert a == b and len(a) == 5 and a != c
+    assert ranking.within_quota(df, spark.createDataFrame([("other", 5)], "host string, quota int")).count() == 100
 
 
 def test_hosts_of_tlds(spark):

@@ -46,13 +46,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- the link graph ---------------------------------------------------------------------------------------------------
 
 _COUNTS_SQL = """
-edges AS (SELECT DISTINCT l_suppkey AS from_id, l_partkey AS to_id FROM lineitem WHERE l_quantity >= 48),
+edges AS (SELECT DISTINCT l_suppkey AS from_id, l_partkey AS to_id FROM lineitem),
 inbound AS (SELECT to_id, count(*) AS n FROM edges GROUP BY to_id)
 """
 
 
 def _graph(spark, sf_dir):
-    edges = _t(spark, sf_dir, "lineitem").filter("l_quantity >= 48").select(F.col("l_suppkey").alias("from_id"), F.col("l_partkey").alias("to_id"))
+    edges = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("from_id"), F.col("l_partkey").alias("to_id"))
     vertices = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("com.part"), F.col("p_partkey").cast("string")).alias("reversed_domain"))
     return vertices, edges
 
@@ -311,7 +311,7 @@ def rules_lexical(spark, sf_dir):
 
 
 _SIGNAL_SQL = """
-spent AS (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total, max(o_orderdate) AS last FROM orders GROUP BY o_custkey),
+spent AS (SELECT o_custkey, count(*) * 60 AS n, sum(o_totalprice) AS total, max(o_orderdate) AS last FROM orders GROUP BY o_custkey),
 signals AS (SELECT c_custkey AS id, 'customer' || c_custkey || '.n' || c_nationkey AS name, 'n' || c_nationkey AS tld, n AS wayback_snapshots, CAST(last AS DATE) AS wayback_last_snapshot,
   CASE WHEN c_acctbal > 0 THEN c_acctbal / 1000 END AS open_page_rank, CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 3 = 1 END AS cert_history,
   CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 1000 END AS cc_source_domain_count, CASE WHEN c_custkey % 7 > 0 THEN c_custkey % 7 = 3 END AS spam_flagged,
@@ -320,7 +320,7 @@ signals AS (SELECT c_custkey AS id, 'customer' || c_custkey || '.n' || c_nationk
 
 
 def _signals(spark, sf_dir):
-    spent = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("wayback_snapshots"), F.to_date(F.max("o_orderdate")).alias("wayback_last_snapshot"))
+    spent = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg((F.count(F.lit(1)) * 60).alias("wayback_snapshots"), F.to_date(F.max("o_orderdate")).alias("wayback_last_snapshot"))
     k = F.col("c_custkey")
     return _t(spark, sf_dir, "customer").join(spent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         k.alias("id"), F.concat(F.lit("customer"), k.cast("string"), F.lit(".n"), F.col("c_nationkey").cast("string")).alias("name"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("tld"),
@@ -334,16 +334,20 @@ parts AS (SELECT *, CASE WHEN wayback_snapshots IS NOT NULL THEN least(1, log10(
   least(1, greatest(0, (30 - length(split_part(name, '.', 1))) / 28)) AS d, CASE WHEN cc_source_domain_count IS NOT NULL THEN least(1, log10(greatest(cc_source_domain_count, 0) + 1) / 4) END AS e FROM signals),
 scored AS (SELECT *, CAST(greatest(0, least(100, round_even((coalesce(a * 0.3, 0) + coalesce(b * 0.4, 0) + coalesce(c * 0.2, 0) + coalesce(d * 0.1, 0) + coalesce(e * 0.3, 0))
    / (CASE WHEN a IS NULL THEN 0 ELSE 0.3::DOUBLE END + CASE WHEN b IS NULL THEN 0 ELSE 0.4::DOUBLE END + CASE WHEN c IS NULL THEN 0 ELSE 0.2::DOUBLE END + 0.1::DOUBLE + CASE WHEN e IS NULL THEN 0 ELSE 0.3::DOUBLE END) * 100, 0))) AS INT) AS score,
-  CAST(wayback_snapshots IS NOT NULL AS INT) + CAST(b IS NOT NULL AS INT) + CAST(c IS NOT NULL AS INT) + CAST(e IS NOT NULL AS INT) + CAST(surbl_listed IS NOT NULL AS INT) + CAST(spam_flagged IS NOT NULL AS INT) AS evidence FROM parts)
+  CAST(wayback_snapshots IS NOT NULL AS INT) + CAST(b IS NOT NULL AS INT) + CAST(c IS NOT NULL AS INT) + CAST(surbl_listed IS NOT NULL AS INT) + CAST(spam_flagged IS NOT NULL AS INT) AS evidence FROM parts)
 """
 
 
+_VERDICT_SQL = """CASE WHEN score >= 70 AND evidence >= 3 THEN 'Clean' WHEN score >= 40 AND evidence >= 3 AND coalesce(wayback_snapshots, 0) >= 1000
+  AND (coalesce(open_page_rank, 0) >= 1.5 OR coalesce(cc_source_domain_count, 0) >= 10) THEN 'Promising' ELSE 'Caution' END"""
+
+
 def _scored(spark, sf_dir):
     rows = _signals(spark, sf_dir)
     return rows.withColumn("score", scoring.score()).withColumn("evidence", scoring.evidence_count())
 
 
-@query(f"WITH {_SCORED_SQL} SELECT name, score, evidence, CASE WHEN score >= 70 AND evidence >= 3 THEN 'Clean' WHEN score >= 40 AND evidence >= 3 THEN 'Promising' ELSE 'Caution' END AS verdict FROM scored")
+@query(f"WITH {_SCORED_SQL} SELECT name, score, evidence, {_VERDICT_SQL} AS verdict FROM scored")
 def scoring_scores(spark, sf_dir):
     rows = _scored(spark, sf_dir)
     return rows.select("name", "score", "evidence", scoring.verdict(rules.soft_signal(F.col("name")), F.lit(None).cast("string"), F.col("score"), F.col("evidence")).alias("verdict"))
@@ -404,7 +408,7 @@ def ranking_page_after(spark, sf_dir):
     return ranking.page_after(_scored(spark, sf_dir).select("name", "score"), 25, after=(60, "customer5"))
 
 
-_REASON_SQL = """CASE WHEN spam_flagged THEN 'spam' WHEN surbl_listed THEN 'blocklist_a' WHEN id % 13 = 0 THEN 'toxic_remembered' WHEN wayback_snapshots < 10 THEN 'no_captures' END"""
+_REASON_SQL = """CASE WHEN spam_flagged THEN 'spam' WHEN surbl_listed THEN 'blocklist_a' WHEN id % 13 = 0 THEN 'toxic_remembered' WHEN wayback_snapshots < 600 THEN 'no_captures' END"""
 
 
 @query(f"WITH {_SIGNAL_SQL} SELECT reason, count(*) AS rejected FROM (SELECT {_REASON_SQL} AS reason FROM signals) WHERE reason IS NOT NULL GROUP BY reason")
@@ -412,7 +416,7 @@ def rules_evidence(spark, sf_dir):
     rows = _signals(spark, sf_dir)
     denied = rows.filter("id % 13 = 0").select("name", F.lit(True).alias("remembered"))
     joined = rows.join(denied, "name", "left")
-    reason = rules.evidence_reason(F.col("spam_flagged"), F.col("surbl_listed"), F.col("spamhaus_listed"), F.lit(None).cast("string"), F.col("remembered"), F.col("wayback_snapshots"), least_captures=10)
+    reason = rules.evidence_reason(F.col("spam_flagged"), F.col("surbl_listed"), F.col("spamhaus_listed"), F.lit(None).cast("string"), F.col("remembered"), F.col("wayback_snapshots"), least_captures=600)
     return metrics.reason_histogram(joined.withColumn("reject_reason", reason))
 
 
@@ -526,9 +530,27 @@ def text_clean(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", text.clean_untrusted(F.col("text"), 80).alias("clean"))
 
 
-@query("SELECT doc_id, CAST(NULL AS VARCHAR) AS script FROM documents")
+#: Letters that stand for a to j in the texts of every ninth document, by its place: so the query meets each script.
+_SCRIPT_LETTERS = ("абвгдежзий", "αβγδεζηθικ", "אבגדהוזחטי", "ابتثجحخدذر", "กขคงจชซฌญฎ", "漢字仮名交文章例示", "ひらがなカタカナも", "한글자모음절들의글", "क\u0916गघचछजझटठ")
+_SCRIPT_SQL = """
+given AS (SELECT doc_id, translate(lower(text), 'abcdefghij', [{letters}][CAST(doc_id % 10 AS INT)]) AS t FROM documents WHERE doc_id % 10 > 0 UNION ALL SELECT doc_id, text FROM documents WHERE doc_id % 10 = 0),
+n AS (SELECT doc_id, len(regexp_extract_all(t, '\\p{{L}}')) AS letters, len(regexp_extract_all(t, '[A-Za-z\\x{{C0}}-\\x{{D6}}\\x{{D8}}-\\x{{F6}}\\x{{F8}}-\\x{{24F}}]')) AS latin,
+  [len(regexp_extract_all(t, '\\p{{Cyrillic}}')), len(regexp_extract_all(t, '\\p{{Greek}}')), len(regexp_extract_all(t, '\\p{{Hebrew}}')), len(regexp_extract_all(t, '\\p{{Arabic}}')), len(regexp_extract_all(t, '\\p{{Thai}}')), len(regexp_extract_all(t, '\\p{{Han}}'))] AS c,
+  len(regexp_extract_all(t, '[\\p{{Hiragana}}\\p{{Katakana}}]')) AS kana, len(regexp_extract_all(t, '\\p{{Hangul}}')) AS hangul, len(regexp_extract_all(t, '\\p{{Devanagari}}')) AS other FROM given)
+SELECT doc_id, CASE WHEN letters = 0 OR letters = latin OR (letters - latin) * 2 < letters THEN NULL WHEN kana > 0 THEN 'Japanese' WHEN hangul > 0 THEN 'Korean'
+  WHEN other >= list_max(c) OR len(list_filter(c, lambda x: x = list_max(c))) > 1 THEN 'non-English'
+  ELSE ['Cyrillic', 'Greek', 'Hebrew', 'Arabic', 'Thai', 'Chinese or Japanese'][list_position(c, list_max(c))] END AS script FROM n
+""".format(letters=", ".join(f"'{x}'" for x in _SCRIPT_LETTERS))
+
+
+@query(f"WITH {_SCRIPT_SQL}")
 def text_writing_system(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", text.writing_system(F.col("text")).alias("script"))
+    place = (F.col("doc_id") % 10).cast("int")
+    low = F.lower("text")
+    given = F.col("text")
+    for k, letters in enumerate(_SCRIPT_LETTERS, 1):
+        given = F.when(place == k, F.translate(low, "abcdefghij", letters)).otherwise(given)
+    return _t(spark, sf_dir, "documents").select("doc_id", text.writing_system(given).alias("script"))
 
 
 @query(r"""SELECT doc_id, array_to_string(list_filter(['trash', 'worthless', 'of the'], lambda t: regexp_matches(lower(text), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])')), ',') AS terms FROM documents""")
@@ -575,7 +597,7 @@ def jobs_newsletter_picks(spark, sf_dir):
     return jobs.newsletter_picks(_scored(spark, sf_dir).withColumn("days_listed", (F.col("id") % 3).cast("int")), 2, 20).select("name", "score")
 
 
-@query(f"""WITH {_SCORED_SQL}, r AS (SELECT name, id % 2 = 0 AS asked, CASE WHEN score >= 70 AND evidence >= 3 THEN 'Clean' WHEN score >= 40 AND evidence >= 3 THEN 'Promising' ELSE 'Caution' END AS verdict, id % 3 = 0 AS listed FROM scored)
+@query(f"""WITH {_SCORED_SQL}, r AS (SELECT name, id % 2 = 0 AS asked, {_VERDICT_SQL} AS verdict, id % 3 = 0 AS listed FROM scored)
 SELECT name, CASE WHEN NOT listed THEN 'missing' WHEN verdict = 'Caution' THEN 'wrong_verdict' ELSE 'eligible' END AS state FROM r WHERE asked""")
 def jobs_review_selection(spark, sf_dir):
     rows = _scored(spark, sf_dir)
@@ -605,10 +627,15 @@ def metrics_index_facts(spark, sf_dir):
     return metrics.index_facts(_scored(spark, sf_dir).withColumn("dropped_date", F.col("wayback_last_snapshot")))
 
 
-@query(f"WITH {_WORDS_SQL}, {_TRIGRAM_SQL}, r AS (SELECT name, l, {_STRUCTURAL_SQL} AS s FROM t) SELECT count(*) AS kept FROM r WHERE s IS NULL")
+@query(f"""WITH {_WORDS_SQL}, w AS (SELECT name, split_part(name, '.', 1) AS l, length(name) AS n FROM words), r AS (SELECT *, {_STRUCTURAL_SQL} AS s FROM w),
+scored AS (SELECT name, l, n, n * 7 % 100 AS score, n % 5 AS evidence, n * 200 AS wayback_snapshots, n / 5 AS open_page_rank, CASE WHEN n % 2 = 0 THEN n END AS cc_source_domain_count FROM r WHERE s IS NULL)
+SELECT name, CASE WHEN contains(l, 'crypto') OR contains(l, 'vape') OR contains(l, 'dating') OR n % 6 = 0 THEN 'Caution' ELSE {_VERDICT_SQL} END AS verdict FROM scored""")
 def jobs_refilter(spark, sf_dir):
-    rows = _words(spark, sf_dir).select("name", F.lit(None).cast("string").alias("snapshot_category"), F.lit(50).alias("score"), F.lit(3).alias("evidence"))
-    return jobs.refilter(rows).agg(F.count(F.lit(1)).alias("kept"))
+    n = F.length("name")
+    rows = _words(spark, sf_dir).select(
+        "name", F.when(n % 6 == 0, "parked").alias("snapshot_category"), (n * 7 % 100).alias("score"), (n % 5).alias("evidence"), (n * 200).alias("wayback_snapshots"), (n / 5).alias("open_page_rank"), F.when(n % 2 == 0, n).alias("cc_source_domain_count")
+    )
+    return jobs.refilter(rows).select("name", "verdict")
 
 
 # --- more of the inventory, over the same stand-ins -------------------------------------------------------------------
@@ -685,7 +712,7 @@ def state_targets(spark, sf_dir):
     return state.targets(rows, "unknown", 40).select("name")
 
 
-@query(f"""WITH {_SCORED_SQL} SELECT name FROM scored WHERE score >= 40 AND evidence >= 3 AND id % 3 <> 0 AND id % 7 <> 0""")
+@query(f"""WITH {_SCORED_SQL} SELECT name FROM scored WHERE {_VERDICT_SQL} <> 'Caution' AND id % 3 <> 0 AND id % 7 <> 0""")
 def state_qualifying(spark, sf_dir):
     rows = _scored(spark, sf_dir)
     rows = rows.withColumn("verdict", scoring.verdict(F.lit(False), F.lit(None).cast("string"), F.col("score"), F.col("evidence")))
@@ -746,7 +773,7 @@ def scoring_verdict_fallback(spark, sf_dir):
     return _scored(spark, sf_dir).select("name", scoring.verdict_or_fallback(F.when(F.col("id") % 2 == 0, "Caution").otherwise("other"), F.col("score")).alias("verdict"))
 
 
-@query(f"""WITH {_SCORED_SQL} SELECT CASE WHEN score >= 70 AND evidence >= 3 THEN 'Clean' WHEN score >= 40 AND evidence >= 3 THEN 'Promising' ELSE 'Caution' END AS verdict, count(*) AS n FROM scored GROUP BY 1""")
+@query(f"""WITH {_SCORED_SQL} SELECT {_VERDICT_SQL} AS verdict, count(*) AS n FROM scored GROUP BY 1""")
 def metrics_verdicts(spark, sf_dir):
     rows = _scored(spark, sf_dir)
     return metrics.value_counts(rows.select(scoring.verdict(F.lit(False), F.lit(None).cast("string"), F.col("score"), F.col("evidence")).alias("verdict")), "verdict")
@@ -769,10 +796,18 @@ def sources_owner_names(spark, sf_dir):
     return lines.select(readers.owner_name(F.col("line")).alias("name")).filter("name <> ''").distinct()
 
 
-@query("""WITH c AS (SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS t FROM pages) SELECT page_id, CASE WHEN t = '' THEN NULL WHEN length(t) > 40 THEN rtrim(t[1:39]) || '…' ELSE t END AS title FROM c""")
+#: Titles for every fifth page that say nothing, with the page's own name among them.
+_EMPTY_TITLES = ("Untitled.", " it WORKS ", "Example.com", "..example..")
+
+
+@query("""WITH c AS (SELECT page_id, CASE page_id % 10 WHEN 1 THEN 'Untitled.' WHEN 2 THEN 'it WORKS' WHEN 3 THEN 'Example.com' WHEN 4 THEN '..example..' ELSE trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) END AS t FROM pages),
+x AS (SELECT page_id, CASE WHEN length(t) > 40 THEN rtrim(t[1:39]) || '…' ELSE t END AS t FROM c)
+SELECT page_id, CASE WHEN t <> '' AND lower(trim(t, '.')) NOT IN ('untitled', 'it works', 'example.com', 'example') THEN t END AS title FROM x""")
 def text_excerpt_title(spark, sf_dir):
     raw = F.replace(F.regexp_extract("html", "<h1>([^<]*)</h1>", 1), F.lit("&amp;"), F.lit("&"))
-    return _t(spark, sf_dir, "pages").select("page_id", text.excerpt_title(raw, F.lit("example.com"), 40).alias("title"))
+    for k, t in enumerate(_EMPTY_TITLES, 1):
+        raw = F.when(F.col("page_id") % 10 == k, t).otherwise(raw)
+    return _t(spark, sf_dir, "pages").select("page_id", text.excerpt_title(raw, F.lit("example.com"), 40, denied=("untitled", "it works")).alias("title"))
 
 
 @query(f"""WITH {_ARCHIVE_SQL}, d AS (SELECT domain, min(drop_date) AS first_seen, max(drop_date) AS last_seen, count(*) AS links FROM archive GROUP BY domain), m AS (SELECT min(drop_date) AS lo FROM archive)
@@ -790,7 +825,7 @@ def jobs_front_page(spark, sf_dir):
     return fresh.select("name", F.lit("fresh").alias("list")).unionByName(carried.select("name", F.lit("carried").alias("list")))
 
 
-@query(f"""WITH {_SCORED_SQL}, q AS (SELECT * FROM scored WHERE score >= 40 AND evidence >= 3 AND id % 3 <> 0)
+@query(f"""WITH {_SCORED_SQL}, q AS (SELECT * FROM scored WHERE {_VERDICT_SQL} <> 'Caution' AND id % 3 <> 0)
 SELECT name, CASE WHEN id % 4 = 0 THEN 'remembered_failure' WHEN coalesce(wayback_snapshots, 0) > 0 THEN 'absent' ELSE 'no_capture' END AS excerpt_from FROM q""")
 def jobs_page_selection(spark, sf_dir):
     rows = _scored(spark, sf_dir)

@@ -66,14 +66,11 @@ def vowel_ratio(text: Column) -> Column:
 
 def entropy(text: Column) -> Column:
     """Shannon entropy in bits a character, lower-cased; 0 for the empty text."""
-    chars = F.filter(F.split(F.lower(text), ""), lambda c: c != "")
-    n = F.size(chars).cast("double")
-
-    def add(total: Column, c: Column) -> Column:
-        p = F.size(F.filter(chars, lambda x: x == c)) / n
-        return total - p * F.log2(p)
-
-    return F.aggregate(F.array_sort(F.array_distinct(chars)), F.lit(0.0), add)
+    low = F.lower(text)
+    # equal characters stand together once they are sorted: one run each
+    runs = F.regexp_extract_all(F.array_join(F.array_sort(F.split(low, "")), ""), F.lit(r"(?s)(.)\1*"), F.lit(0))
+    share = lambda run: F.length(run) / F.length(low).cast("double")
+    return F.aggregate(runs, F.lit(0.0), lambda total, run: total - share(run) * F.log2(share(run)))
 
 
 def has_repeat_run(text: Column, n: int) -> Column:

@@ -47,28 +47,32 @@ def first_of(*rules: tuple[Column, Column | str]) -> Column:
 
 def _first_hit(terms: tuple[str, ...], hit) -> Column:
     """The first term, in the order of the list, that hit() holds for."""
-    if not terms:
-        return F.lit(None).cast("string")
-    return F.get(F.filter(F.array(*[F.lit(t) for t in terms]), hit), F.lit(0))
+    return F.coalesce(*[F.when(hit(t), t) for t in terms], F.lit(None).cast("string"))
+
+
+def _literally(term: str) -> str:
+    """A pattern of the term's own characters."""
+    return "".join(c if c.isalnum() or c == " " else rf"\x{{{ord(c):x}}}" for c in term)
 
 
 def matched_keyword(name: Column, rules: Rules = DEFAULT) -> Column:
     """An exact token, coarse or fine; else a coarse token that goes on after a prefix."""
     coarse = names.coarse_tokens(name)
     both = F.array_union(coarse, names.fine_tokens(name))
-    exact = _first_hit(rules.keywords, lambda t: F.array_contains(both, t))
-    begun = _first_hit(rules.prefixes, lambda t: F.exists(coarse, lambda c: F.startswith(c, t) & (F.length(c) > F.length(t))))
+    exact = F.get(F.array_intersect(F.array(*[F.lit(t) for t in rules.keywords]), both), F.lit(0)) if rules.keywords else F.lit(None).cast("string")
+    low = F.lower(name)
+    begun = _first_hit(rules.prefixes, lambda t: low.rlike(rf"(?:^|[.-]){_literally(t)}[^.-]"))
     return F.coalesce(exact, begun)
 
 
 def matched_substring(name: Column, rules: Rules = DEFAULT) -> Column:
     label = F.lower(names.label(name))
-    return _first_hit(rules.substrings, lambda t: F.contains(label, t))
+    return _first_hit(rules.substrings, lambda t: F.contains(label, F.lit(t)))
 
 
 def soft_signal(name: Column, rules: Rules = DEFAULT) -> Column:
     label = F.lower(names.label(name))
-    return F.coalesce(_first_hit(rules.soft, lambda t: F.contains(label, t)).isNotNull(), F.lit(False))
+    return _first_hit(rules.soft, lambda t: F.contains(label, F.lit(t))).isNotNull()
 
 
 def structural_reason(name: Column, rules: Rules = DEFAULT) -> Column:
@@ -119,14 +123,14 @@ def spam_matches(fields: Column, rules: Rules = DEFAULT) -> Column:
     """Spam terms in an array of fields, in the order of the lists. A Latin term stands between other characters than
     ASCII letters and digits; terms of other scripts stand anywhere; none spans two fields."""
     text = F.lower(F.array_join(F.filter(fields, lambda x: x.isNotNull()), "\n"))
-    latin = [F.when(text.rlike(rf"(?<![a-z0-9]){t}(?![a-z0-9])"), t) for t in rules.spam_terms]
+    latin = [F.when(text.rlike(rf"(?<![a-z0-9]){_literally(t)}(?![a-z0-9])"), t) for t in rules.spam_terms]
     other = [F.when(F.contains(text, F.lit(t)), t) for t in rules.spam_cjk]
     return F.array_compact(F.array(*latin, *other))
 
 
 def parked_marker(html: Column, rules: Rules = DEFAULT) -> Column:
     low = F.lower(html)
-    return _first_hit(rules.parked, lambda t: F.contains(low, t))
+    return _first_hit(rules.parked, lambda t: F.contains(low, F.lit(t)))
 
 
 def all_pass(*reasons: Column) -> Column:

@@ -12,17 +12,22 @@ from zonewright.functions import names
 
 @dataclass(frozen=True)
 class Scoring:
-    """Weights and thresholds; a source is a name with the columns that witness it."""
+    """Weights and thresholds; a source is a name with the columns that witness it. Link counts are no source: a name that
+    the graph lacks is not one that was looked up in vain. Without sources each of `fields` is one."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"captures": 0.3, "rank": 0.4, "cert": 0.2, "length": 0.1, "links": 0.3})
     shortest: int = 2
     longest: int = 30
     sources: dict[str, tuple[str, ...]] = field(
-        default_factory=lambda: {"captures": ("wayback_snapshots", "wayback_last_snapshot"), "rank": ("open_page_rank",), "cert": ("cert_history",), "links": ("cc_source_domain_count",), "blocklists": ("surbl_listed", "spamhaus_listed"), "spam": ("spam_flagged",)}
+        default_factory=lambda: {"captures": ("wayback_snapshots", "wayback_last_snapshot"), "rank": ("open_page_rank",), "cert": ("cert_history",), "blocklists": ("surbl_listed", "spamhaus_listed"), "spam": ("spam_flagged",)}
     )
+    fields: tuple[str, ...] = ("wayback_snapshots", "wayback_last_snapshot", "open_page_rank", "cert_history", "previous_registrar")
     clean_from: int = 70
     promising_from: int = 40
     least_evidence: int = 3
+    promising_captures: int = 1000
+    promising_rank: float = 1.5
+    promising_links: int = 10
     floor_score: int = 40
     floor_evidence: int = 3
 
@@ -64,22 +69,26 @@ def score(c: Scoring = DEFAULT) -> Column:
 def evidence_count(c: Scoring = DEFAULT, unknown_captures: Column | None = None) -> Column:
     """How many sources have a value; unknown_captures: rows whose captures count although they are unknown."""
     total = F.lit(0)
-    for name, columns in c.sources.items():
+    for name, columns in (c.sources or {x: (x,) for x in c.fields}).items():
         some = F.coalesce(*[F.col(x).cast("string") for x in columns]).isNotNull()
-        if name == "captures" and unknown_captures is not None:
+        if unknown_captures is not None and (name == "captures" or all(x.startswith("wayback") for x in columns)):
             some = some | F.coalesce(unknown_captures, F.lit(False))
         total = total + some.cast("int")
     return total
 
 
 def verdict(soft: Column, category: Column, score_: Column, evidence: Column, c: Scoring = DEFAULT) -> Column:
+    """Clean by score and evidence; Promising needs captures, and rank or links, as well; unknown signals count as 0. Rows
+    have wayback_snapshots, open_page_rank and cc_source_domain_count."""
     s, e = F.coalesce(score_, F.lit(0)), F.coalesce(evidence, F.lit(0))
     enough = e >= c.least_evidence
+    reaches = lambda column, least: F.coalesce(F.col(column) >= least, F.lit(least <= 0))
+    grown = reaches("wayback_snapshots", c.promising_captures) & (reaches("open_page_rank", c.promising_rank) | reaches("cc_source_domain_count", c.promising_links))
     return (
         F.when(F.coalesce(soft, F.lit(False)), "Caution")
         .when(F.coalesce(category, F.lit("")).isin("parked", "empty"), "Caution")
         .when((s >= c.clean_from) & enough, "Clean")
-        .when((s >= c.promising_from) & enough, "Promising")
+        .when((s >= c.promising_from) & enough & grown, "Promising")
         .otherwise("Caution")
     )
 

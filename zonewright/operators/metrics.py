@@ -11,7 +11,9 @@ def reason_histogram(rows: DataFrame, reason: str = "reject_reason", renamed: di
     cut = F.substring_index(F.col(reason), "(", 1)
     for old, new in (renamed or {}).items():
         cut = F.when(cut == old, new).otherwise(cut)
-    return rows.filter(F.col(reason).isNotNull()).groupBy(cut.alias("reason")).agg(F.count(F.lit(1)).alias("rejected"))
+    # a filter before the sums, or on their key, moves below whatever made the rows distinct, and the reason with it
+    counts = rows.groupBy(cut.alias("reason")).agg(F.count(F.lit(1)).alias("rejected"), F.max(cut).alias("_some"))
+    return counts.filter("_some is not null").drop("_some")
 
 
 def three_states(rows: DataFrame, *columns: str) -> DataFrame:

@@ -45,9 +45,13 @@ def within_quota(rows: DataFrame, quotas: DataFrame, day: str | None = None) ->
         order = [F.desc_nulls_last("phase2_score"), F.col("name")]
     else:
         order = [F.xxhash64("name", F.lit(day or "")), F.col("name")]
-    joined = rows.join(F.broadcast(quotas.select("host", "quota")), "host", "left")
-    ranked = joined.withColumn("_rank", F.row_number().over(Window.partitionBy("host").orderBy(*order)))
-    return ranked.filter(F.col("quota").isNull() | (F.col("_rank") <= F.col("quota"))).drop("_rank", "quota")
+    joined = rows.join(quotas.select("host", "quota"), "host", "left")
+    free, asked = joined.filter("quota is null"), joined.filter("quota is not null")
+    # first in slices of each host, so that one host's names are not ordered in one task
+    for slices in (64, 1):
+        place = F.row_number().over(Window.partitionBy("host", F.pmod(F.xxhash64("name"), F.lit(slices))).orderBy(*order))
+        asked = asked.withColumn("_rank", place).filter(F.col("_rank") <= F.col("quota")).drop("_rank")
+    return free.unionByName(asked).drop("quota")
 
 
 def with_ranker_scores(rows: DataFrame, scores: DataFrame, placeholder: str = "not scored") -> DataFrame:
@@ -59,7 +63,7 @@ def hosts_of_tlds(rows: DataFrame, services: DataFrame) -> DataFrame:
     """rows with host: of the first url that serves the tld, `_unknown` without one. services: tlds array, urls array."""
     first = services.select(F.explode("tlds").alias("tld"), F.lower(F.try_parse_url(F.get("urls", F.lit(0)), F.lit("HOST"))).alias("host"), F.monotonically_increasing_id().alias("at"))
     table = first.groupBy("tld").agg(F.min_by("host", "at").alias("host"))
-    return rows.join(F.broadcast(table), "tld", "left").withColumn("host", F.coalesce("host", F.lit("_unknown")))
+    return rows.join(table, "tld", "left").withColumn("host", F.coalesce("host", F.lit("_unknown")))
 
 
 def similar_rows(rows: DataFrame, group: str = "tld", n: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ def drops(yesterday: DataFrame, today: DataFrame) -> DataFrame:
 def revalidate(carried: DataFrame, today: DataFrame, day: Column) -> DataFrame:
     """Carried rows whose name is not back. Rows of a loaded tld get last_validated_date; the others pass unchanged."""
     loaded = today.select("tld").distinct().withColumn("_loaded", F.lit(True))
-    gone = carried.join(today.select("tld", "name").distinct(), ["tld", "name"], "left_anti").join(F.broadcast(loaded), "tld", "left")
+    gone = carried.join(today.select("tld", "name").distinct(), ["tld", "name"], "left_anti").join(loaded, "tld", "left")
     old = F.col("last_validated_date") if "last_validated_date" in carried.columns else F.lit(None).cast("date")
     return gone.withColumn("last_validated_date", F.when(F.col("_loaded"), day).otherwise(old)).drop("_loaded")
 
