@@ -1,57 +1,26 @@
-"""What the operators of this subpackage share: table access, the shared folder, distributed ranks."""
+"""What the operators of this subpackage share: table access, distributed ranks, state of Python workers."""
 
 from __future__ import annotations
 
 import math
-import re
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zonewright.sources.staging import discard, staged as materialize
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["Remembered", "bounded_broadcast", "buckets_for", "discard", "hash_bucket", "materialize", "per_process", "small_batches", "spread_rank", "table", "told_apart", "unused"]
+#: Rows of one id from which on they are told apart, and ids of that kind up to which their list is broadcast.
+MANY_ROWS = 1000
+BROADCAST_IDS = 20_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none, a local master gets one of its own; on a
-    cluster that is an error, as other machines could not read it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    master = spark.sparkContext.master
-    if not re.fullmatch(r"local(\[.*\])?", master):
-        raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share (master: {master})")
-    own = tempfile.mkdtemp(prefix="zonewright-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.materialized_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete the folders of materialized tables that nothing reads any more."""
-    for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
@@ -99,8 +68,21 @@ def spread_rank(df: DataFrame, group: list[str], buckets: list[tuple[str, Column
     return joined.withColumn(name, (F.col("_offset") + F.col("_in")).cast("long")).drop("_in", "_offset", *[n for n, _ in buckets])
 
 
-def buckets_for(rows: int, each: int, most: int = 65536) -> int:
-    return max(1, min(most, math.ceil(rows / each)))
+def buckets_for(rows: int) -> int:
+    """Buckets of hashes for so many rows: as many as rows in each, so that neither a bucket nor a list of all of them grows
+    faster than the root of the input."""
+    return max(1, math.isqrt(max(0, rows - 1)) + 1)
+
+
+def told_apart(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with a long that differs among the rows of one key where these are more than MANY_ROWS, and is 0
+    for others: hashes of key and name then spread a hot or null key over many buckets. Which of them gets which number
+    depends on how the rows are partitioned, so the result is to be used once or written."""
+    many = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times")).filter(F.col("_times") > MANY_ROWS).select(F.col(key).alias("_key"), F.lit(True).alias("_many")), "repeated-keys")
+    if many.isEmpty():
+        return rows.withColumn(name, F.lit(0).cast("long"))
+    marked = rows.join(bounded_broadcast(many, BROADCAST_IDS), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return marked.withColumn(name, F.when(F.col("_many"), F.monotonically_increasing_id()).otherwise(0)).drop("_key", "_many")
 
 
 def per_process(name: str, make: Callable[[], Any]) -> Any:

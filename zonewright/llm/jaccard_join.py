@@ -4,15 +4,16 @@ A text is the set of its word n-grams (five words, lower case, hashed to 32 bits
 representative has a sketch of minhashes, and every run of the join grows a forest of buckets: a bucket picks a few sketch
 coordinates by a hash of its own path and splits its members by the values there, so two sets of similarity s stay
 together with probability s a split. The expected number of picks is 1 / threshold, which keeps the number of common
-buckets of a pair at the threshold steady. Runs are independent repetitions; their number follows from the target recall
-for pairs two splits deep. Members of buckets that split on further have more runs among themselves, as many as the depth
-really reached asks for.
+buckets of a pair at the threshold steady. Every run begins with two splits. Runs are independent repetitions; their number
+follows from the target recall for pairs two splits deep. Members of buckets that split on further have more runs among
+themselves, as many as the depth really reached asks for.
 
 Only signatures travel with buckets: two bits of each minhash, 32 bytes a set. Small buckets are compared by brute force
 on these; a pair goes on if they agree as often as a pair at the threshold does, less `SIGMAS` standard deviations (a loss
 of 1e-4 of the pairs right at the threshold, far below that of the paths; less above it). Connected sets of such pairs are
 candidate groups, kept as labels. Buckets whose members all have one label have nothing to tell and are left out, which is
-what becomes of dense groups: a first pass over a few runs links the members of each bucket with one of them. Larger
+what becomes of dense groups: a first pass over a few runs links the members of each bucket with one of them that they
+agree with. Larger
 buckets with several labels split on, and what is left after `LEVELS` splits is compared in blocks.
 
 Then each member of a candidate group gets its exact set, once, and all pairs of a group are compared exactly: groups of
@@ -52,7 +53,7 @@ SKETCH = 64
 SIGNATURE = 128
 SIGMAS = 4
 #: Members up to which the signatures of a bucket are compared by brute force in one task.
-SMALL = 1024
+SMALL = 2048
 LEVELS = 10
 #: Runs of the first pass.
 FIRST_RUNS = 3
@@ -170,18 +171,21 @@ _CHILDREN = "id long, label long, path long"
 
 
 def _children(coordinates: int, threshold: float, all_runs: range | None):
-    """Splits: (id, label, path) rows from rows with id, label, sketch; at the root for every run, below for the path."""
+    """Splits: (id, label, path) rows from rows with id, label, sketch; two from the root for every run, one for a path."""
     chance = 1 / (threshold * coordinates)
     numbers = np.arange(coordinates, dtype=np.uint64)
 
-    def picks(path: np.ndarray) -> np.ndarray:
+    def picks(path: np.ndarray, root: bool = False) -> np.ndarray:
         """[bucket, coordinate]: whether the bucket splits by it; at the root one does at least."""
         draw = _mix(_mix(path[:, None] + numbers[None, :] * _MIX[0]))
         chosen = draw < np.uint64(int(chance * 2**64))
-        if all_runs:
+        if root:
             chosen[np.arange(len(path)), np.argmin(draw, axis=1)] = True
         return chosen
 
+    def below(path: np.ndarray, coordinate: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return _mix(_mix(path + (coordinate.astype(np.uint64) + np.uint64(1)) * _MIX[1]) + value * _MIX[0])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -189,9 +193,15 @@ def _children(coordinates: int, threshold: float, all_runs: range | None):
             values = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(batch.num_rows, coordinates).astype(np.uint64)
             roots = _mix(np.arange(all_runs.start + 1, all_runs.stop + 1, dtype=np.uint64) * _MIX[0]) if all_runs else None
             for k in range(len(all_runs) if all_runs else 1):
-                path = np.full(batch.num_rows, roots[k]) if all_runs else batch.column(3).to_numpy().view(np.uint64)
-                member, coordinate = np.nonzero(picks(path[:1]).repeat(len(path), 0) if all_runs else picks(path))
-                child = _mix(_mix(path[member] + (coordinate.astype(np.uint64) + np.uint64(1)) * _MIX[1]) + values[member, coordinate] * _MIX[0])
+                if all_runs:
+                    first = np.nonzero(picks(roots[k : k + 1], root=True)[0])[0]
+                    owner, begun = np.repeat(np.arange(batch.num_rows), len(first)), np.tile(first, batch.num_rows)
+                    path = below(roots[k], begun, values[owner, begun])
+                else:
+                    owner, path = np.arange(batch.num_rows), batch.column(3).to_numpy().view(np.uint64)
+                split, coordinate = np.nonzero(picks(path))
+                member = owner[split]
+                child = below(path[split], coordinate, values[member, coordinate])
                 at = pa.array(member)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(child.view(np.int64))], names=["id", "label", "path"])
 
@@ -391,14 +401,13 @@ def _disagreement(left: str, right: str) -> Column:
 
 
 def pivot_links(names: DataFrame, runs: range, threshold: float) -> DataFrame:
-    """(a, b): for members of root buckets the one bucket whose least member agrees with them best, if any does enough."""
+    """(a, b): each member of the buckets of some runs with the bucket's least member, where they agree enough."""
     held = materialize(names.select("id", "label", "sketch").mapInArrow(_children(SKETCH, threshold, runs), _CHILDREN).select("id", "path"), "frontier")
     pivots = held.groupBy("path").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("path", "pivot")
     signed = names.select("id", *_LONGS)
     pivots = pivots.join(signed.select(F.col("id").alias("pivot"), *[F.col(s).alias(f"of_{s}") for s in _LONGS]), "pivot")
-    met = held.join(pivots, "path").filter("id != pivot").join(signed, "id").select("id", "pivot", _disagreement("", "of_").alias("differ"))
-    best = met.filter(F.col("differ") <= SIGNATURE - least_agreement(threshold)).groupBy("id").agg(F.min(F.struct("differ", "pivot")).alias("best"))
-    links = materialize(best.select(F.col("id").alias("a"), F.col("best.pivot").alias("b")), "pivots")
+    met = held.join(pivots, "path").filter("id != pivot").join(signed, "id").select(F.col("id").alias("a"), F.col("pivot").alias("b"), _disagreement("", "of_").alias("differ"))
+    links = materialize(met.filter(F.col("differ") <= SIGNATURE - least_agreement(threshold)).select("a", "b"), "pivots")
     discard(held)
     return links
 
@@ -417,7 +426,7 @@ def candidate_links(names: DataFrame, runs: range, threshold: float) -> tuple[Da
         links = found if links is None else links.unionByName(found)
 
     held = None
-    for level in range(LEVELS):
+    for splits in range(2, LEVELS + 1):
         # buckets of one label have nothing to tell; counts are summed before the shuffle, so a hot bucket is one row a task
         frontier = materialize(frontier, "frontier")
         if held is not None:
@@ -429,17 +438,16 @@ def candidate_links(names: DataFrame, runs: range, threshold: float) -> tuple[Da
         large = held.filter(F.col("members") > SMALL)
         if large.isEmpty():
             break
-        if level == LEVELS - 1:  # blocks of hashes, each with each
+        if splits == LEVELS:  # blocks of hashes, each with each
             count = F.ceil(F.col("members") * 2 / SMALL).cast("int")
             dealt = large.join(signed, "id").withColumn("at", F.pmod(F.xxhash64("id", "path"), count).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), count - 1)))
             agreeing(dealt.groupBy("path", F.least("at", "to").alias("i"), F.greatest("at", "to").alias("j")).agg(F.collect_list(member).alias("bucket")).select("bucket"))
             break
-        if level >= 1:  # the third split comes
-            found = materialize(large.select("id").distinct(), "deep")
-            deep = found if deep is None else deep.unionByName(found)
+        found = materialize(large.select("id").distinct(), "deep")
+        deep = found if deep is None else deep.unionByName(found)
         frontier = large.select("id", "label", "path").join(names.select("id", "sketch"), "id").select("id", "label", "sketch", "path").mapInArrow(_children(SKETCH, threshold, None), _CHILDREN)
     discard(held)
-    return links, None if deep is None else materialize(deep.distinct(), "deep"), level + 1
+    return links, None if deep is None else materialize(deep.distinct(), "deep"), splits
 
 
 def candidate_groups(names: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
