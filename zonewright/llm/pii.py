@@ -5,32 +5,39 @@ keys and other secrets, and names after a title. Every entity has a canonical fo
 lower case, a given name or surname in lower case), so different spellings of one entity keep one surrogate. A surrogate
 comes from a keyed SHA-256 of type, canonical form and attempt, and looks like the original: digits for digits, letters
 for letters of the same case, the separators as written, a valid check digit where there was one, octets in range, given
-names of the same gender and script. Collisions are checked over the whole corpus: a surrogate that is a real entity, or
-that another entity has, is drawn again, so distinct entities stay distinct. Texts without entities never move; texts with
-some are joined with their replacements by a hash of the text.
-
-Defined cases: null text stays null; empty and clean texts stay as they are; repeated rows are rewritten alike; n_chars,
-if there is such a column, is set anew in rewritten rows; other columns stay as they are, whatever their names; an empty
-table gives no rows.
+names of the same gender and script (letter by letter of the same script where there are no syllables for it), other
+initials for initials; titles and particles of names stay. Collisions are checked over the whole corpus: a surrogate that
+is a real entity, or that another entity has, is drawn again, so distinct entities stay distinct. Entities that draw in
+vain `ATTEMPTS` times (of formats with few values, nearly all of them real) take each other's forms in a keyed ring. What
+has no surrogate even then is an error: nothing found is ever written as it was.
+
+Every text is searched once, and the rows with their findings are written once. Texts without entities move no further;
+texts with some are joined with their replacements by a hash of the text.
+
+Defined cases: null text stays null; empty and clean texts stay as they are; repeated rows are rewritten alike; a text of
+any length is searched whole; of ties for a surrogate the least canonical form wins; n_chars, if there is such a column,
+is set anew in rewritten rows; other columns stay as they are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonewright.llm.common import materialize, table, unused
 
 KEY = "surrogates-v1"
-ATTEMPTS = 12
+ATTEMPTS = 16
 
 # The patterns of the entities, and the titles that mark a name with their gender.
 TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"),
+    "m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
+    "n": ("Dr", "Prof", "Professor", "Doctor", "Mx", "Доктор"),
 }
+PARTICLES = ("van", "von", "der", "den", "de", "di", "da", "del", "della", "la", "le", "du", "dos", "das", "bin", "ibn", "al", "el", "ter", "ten", "zu", "zum", "zur", "af", "y")
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 KEYED = r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
 _SET = r"[=:][ \t]{0,4}[\"']?"
@@ -41,14 +48,29 @@ ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-_TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-#: Goes on over inner capitals, hyphens and apostrophes, but for a possessive s; one small letter at least.
-_WORD = r"\p{Lu}(?=[\p{L}\p{M}'’-]*\p{Ll})(?:[\p{L}\p{M}]|-(?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))+"
-NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})?"
+_TITLES = sorted({x for ts in TITLES.values() for t in ts for x in (t, t.upper())}, key=lambda x: (-len(x), x))
+_TITLE = "|".join(_TITLES)
+#: Goes on over inner capitals, hyphens and apostrophes, but for a possessive s; with one small letter at least, in
+#: capitals throughout, or of letters that have no case.
+_GOES_ON = r"(?:[\p{L}\p{M}]|[-‐‑](?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))"
+_WORD = rf"\p{{Lu}}(?=[\p{{L}}\p{{M}}'’‐‑-]*\p{{Ll}}){_GOES_ON}+"
+_CAPITALS = rf"\p{{Lu}}(?![\p{{L}}\p{{M}}'’‐‑-]*\p{{Ll}}){_GOES_ON}+"
+_UNCASED = r"\p{Lo}[\p{Lo}\p{M}]*"
+_INITIALS = r"(?:\p{Lu}\.)+"
+_PARTICLE = rf"(?:{'|'.join(PARTICLES)}|\p{{Lu}})"
+
+
+def _person(word: str, words: int) -> str:
+    return rf"(?:{_INITIALS} ?)*(?:{_PARTICLE} )*{word}(?: {_INITIALS})*(?: (?:{_PARTICLE} )*{word}){{0,{words - 1}}}"
+
+
+NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? (?:{_person(_WORD, 3)}|{_person(_CAPITALS, 2)}|{_UNCASED})"
 ANY = f"{SECRET}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
 #: What every entity has somewhere; the quick test that most texts fail.
-SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|(?i:password|passwd|secret|api_key|token)"
+SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE})\.? \p{{L}}|(?i:password|passwd|secret|api_key|token)"
 
+#: Types of the parts of a name that get surrogates.
+_OF_NAMES = ("given_m", "given_f", "given_n", "surname")
 # Syllables of invented names by script, with the endings of given names by gender.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ha jo ka ke la le li lo ma me mi mo na ne ni no ra re ri ro sa ta".split(),
@@ -80,24 +102,48 @@ def entities(text: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    rules = [("email", f"^{EMAIL}$"), ("name", rf"^(?:{_TITLE})\.? \p{{Lu}}"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*[0-9]$"), ("bank", f"^{BANK}$")]
+    rules = [("email", f"^{EMAIL}$"), ("name", f"^{NAME}$"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*[0-9]$"), ("bank", f"^{BANK}$")]
     return reduce(lambda rest, r: F.when(value.rlike(r[1]), r[0]).otherwise(rest), reversed(rules), F.lit("secret"))
 
 
 def parts(value: Column) -> Column:
-    """The entities in a finding: array of (place, type, canonical, before): one, or given name and surname after the
-    title; `before` is written before the surrogate."""
+    """The entities in a finding: array of (place, type, canonical, before), where `before` is written before the
+    surrogate; of a name: the title, particles (both of type `kept`), initials, given name and surnames."""
     k = kind(value)
-    words = F.split(value, " ")
-    title = F.regexp_replace(F.get(words, F.lit(0)), r"\.$", "")
-    gender = F.when(title.isin(*TITLES["m"]), "given_m").otherwise("given_f")
-    last = F.get(words, F.size(words) - 1)
-    entry = lambda i, t, c, b: F.struct(F.lit(i).alias("place"), t.alias("type"), c.alias("canonical"), b.alias("before"))
-    start = F.concat(F.get(words, F.lit(0)), F.lit(" "))
-    full = F.array(entry(0, gender, F.lower(F.get(words, F.lit(1))), start), entry(1, F.lit("surname"), F.lower(last), F.lit(" ")))
-    short = F.array(entry(0, F.lit("surname"), F.lower(last), start))
+    # initials that touch each other or the next word are parts of their own
+    words = F.split(F.regexp_replace(value, r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[ \u0001]")
+    spaced = F.split(F.regexp_replace(F.regexp_replace(value, r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[^ \u0001]", ""), "")
+    title = F.lower(F.regexp_replace(F.get(words, F.lit(0)), r"\.$", ""))
+    gender = F.when(title.isin(*[t.lower() for t in TITLES["m"]]), "given_m").when(title.isin(*[t.lower() for t in TITLES["f"]]), "given_f").otherwise("given_n")
+    sort = F.transform(words, lambda w, i: F.when((i == 0) | w.isin(*PARTICLES), "kept").when(w.rlike(f"^{_INITIALS}$"), "initials").otherwise("word"))
+    names = F.size(F.filter(sort, lambda x: x == "word"))
+    first = F.array_position(sort, F.lit("word")) - 1
+    of_name = F.transform(
+        words,
+        lambda w, i: F.struct(
+            i.alias("place"),
+            F.when(F.get(sort, i) != "word", F.get(sort, i)).when((names > 1) & (i == first), gender).otherwise("surname").alias("type"),
+            F.when(F.get(sort, i) == "word", F.lower(w)).otherwise(w).alias("canonical"),
+            F.when((i > 0) & (F.get(spaced, i - 1) == " "), " ").otherwise("").alias("before"),
+        ),
+    )
     plain = F.when(k.isin("card", "phone", "social"), F.regexp_replace(value, "[^0-9+]", "")).when(k == "email", F.lower(value)).when(k == "bank", F.regexp_replace(value, " ", "")).otherwise(value)
-    return F.when(k != "name", F.array(entry(0, k, plain, F.lit("")))).when(F.size(words) > 2, full).otherwise(short)
+    return F.when(k != "name", F.array(F.struct(F.lit(0).alias("place"), k.alias("type"), plain.alias("canonical"), F.lit("").alias("before")))).otherwise(of_name)
+
+
+def other_initials(value: Column, key: str) -> Column:
+    """Each capital of initials moved on in its alphabet by a keyed step."""
+    step = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{key}|initials|"), value), 256), 1, 4), 16, 10).cast("int")
+    alphabets = [LETTERS["[А-ЯЁ]"], "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+
+    def moved(c: Column) -> Column:
+        out = F.substring(F.lit(alphabets[-1]), step % 26 + 1, F.lit(1))  # capitals of other alphabets
+        for letters in alphabets:
+            at = F.instr(F.lit(letters), c)
+            out = F.when(at > 0, F.substring(F.lit(letters), (at + step % (len(letters) - 1)) % len(letters) + 1, F.lit(1))).otherwise(out)
+        return F.when(c == ".", c).otherwise(out)
+
+    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), moved), "")
 
 
 def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Column:
@@ -130,19 +176,21 @@ def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Colum
     bank = shuffled(lambda c, i: i < 2)
     address = F.array_join(F.transform(F.split(canonical, r"\."), lambda c, i: (draw(i) % 254 + 1).cast("string")), ".")
 
+    other = lambda c, i: reduce(lambda rest, r: F.when(c.rlike(r[0]), F.substring(F.lit(r[1]), draw(i) % len(r[1]) + 1, F.lit(1))).otherwise(rest), reversed(LETTERS.items()), c)
+    foreign = F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike(r"[\x00-\x7F]"), like(c, i)).otherwise(other(c, i))), "")
+
     def name(script: str, gender: str) -> Column:
-        return F.initcap(F.concat(*[F.get(_literal(SYLLABLES[script]), draw(F.lit(i)) % len(SYLLABLES[script])) for i in range(2 + attempt // 3)], F.get(_literal(ENDINGS[script, gender]), draw(F.lit(9)) % len(ENDINGS[script, gender]))))
+        ends = ENDINGS[script, "m"] + ENDINGS[script, "f"] if gender == "n" else ENDINGS[script, gender]
+        return F.initcap(F.concat(*[F.get(_literal(SYLLABLES[script]), draw(F.lit(i)) % len(SYLLABLES[script])) for i in range(2 + attempt // 3)], F.get(_literal(ends), draw(F.lit(9)) % len(ends))))
 
     def named(gender: str) -> Column:
-        return F.when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic", gender)).otherwise(name("latin", gender))
+        return F.when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic", gender)).when(canonical.rlike(r"[a-z]"), name("latin", gender)).otherwise(F.initcap(foreign))
 
     made = F.when(type_ == "email", email).when(type_ == "phone", phone).when(type_ == "card", card).when(type_ == "access_key", access).when(type_ == "bank", bank).when(type_ == "address", address)
-    made = made.when(type_ == "given_m", named("m")).when(type_ == "given_f", named("f")).when(type_ == "surname", named("s"))
-    other = lambda c, i: reduce(lambda rest, r: F.when(c.rlike(r[0]), F.substring(F.lit(r[1]), draw(i) % len(r[1]) + 1, F.lit(1))).otherwise(rest), reversed(LETTERS.items()), c)
-    secret = F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike(r"[\x00-\x7F]"), like(c, i)).otherwise(other(c, i))), "")
-    made = made.otherwise(F.when(canonical.rlike(r"[^\x00-\x7F]"), secret).otherwise(shuffled(lambda c, i: F.lit(False))))
-    # a format whose values are used up gets longer; what cannot be drawn at all is not repeated
-    return made if attempt < ATTEMPTS else F.concat(F.when(F.lower(made) == F.lower(canonical), "").otherwise(made), F.substring(digest, 1, 16))
+    made = made.when(type_ == "given_m", named("m")).when(type_ == "given_f", named("f")).when(type_ == "given_n", named("n")).when(type_ == "surname", named("s"))
+    marks = F.array_join(F.transform(letters, lambda c, i: F.substring(F.lit("!#$%&*+-=?@^_~"), draw(i) % 14 + 1, F.lit(1))), "")
+    plain = F.when(canonical.rlike("[0-9A-Za-z]"), shuffled(lambda c, i: F.lit(False))).otherwise(marks)
+    return made.otherwise(F.when(canonical.rlike(r"[^\x00-\x7F]"), foreign).otherwise(plain))
 
 
 def luhn(digits: Column) -> Column:
@@ -170,15 +218,17 @@ def written(type_: Column, value: Column, canonical_surrogate: Column) -> Column
     rest = lambda s: F.concat(s["out"], F.substring(canonical_surrogate, s["next"], F.length(canonical_surrogate)))
     case = F.array_join(F.transform(F.split(value, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(canonical_surrogate, i + 1, F.lit(1)))).otherwise(F.substring(canonical_surrogate, i + 1, F.lit(1)))), "")
     more = F.substring(canonical_surrogate, F.length(value) + 1, F.length(canonical_surrogate))
-    return F.when(type_.isin("card", "phone", "social", "bank"), rest(spelled)).when(type_ == "email", F.concat(case, more)).otherwise(canonical_surrogate)
+    shouted = F.when((F.upper(value) == value) & (F.lower(value) != value), F.upper(canonical_surrogate)).otherwise(canonical_surrogate)
+    named = F.when(type_.isin("given_m", "given_f", "given_n", "surname"), shouted).otherwise(canonical_surrogate)
+    return F.when(type_.isin("card", "phone", "social", "bank"), rest(spelled)).when(type_ == "email", F.concat(case, more)).otherwise(named)
 
 
 def assign(values: DataFrame, key: str = KEY) -> DataFrame:
     """(type, canonical, surrogate) for distinct (type, canonical): no two surrogates of a type are equal in spelling
-    regardless of case, and none is an entity of the corpus."""
+    regardless of case, none is its own entity's form, and none is an entity of the corpus but in the ring at the end."""
     real = values.select("type", F.lower("canonical").alias("look"))
     pending, done = values, []
-    for attempt in range(ATTEMPTS + 1):
+    for attempt in range(ATTEMPTS):
         drawn = pending.withColumn("surrogate", surrogate(F.col("type"), F.col("canonical"), attempt, key)).withColumn("look", F.lower("surrogate"))
         won = drawn.groupBy("type", "look").agg(F.min(F.struct("canonical", "surrogate")).alias("first"))
         won = won.join(real, ["type", "look"], "left_anti")
@@ -188,35 +238,49 @@ def assign(values: DataFrame, key: str = KEY) -> DataFrame:
         pending = materialize(pending.join(done[-1], ["type", "canonical"], "left_anti"), "pending")
         if pending.isEmpty():
             break
-    return reduce(DataFrame.unionByName, done)
+    # a ring within each format, by keyed places: ranges of hashes, so that no task orders a whole format
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("canonical", "[0-9]", "0"), r"\p{Lu}", "A"), r"\p{Ll}", "a")
+    at = F.xxhash64(F.lit(key), "type", "canonical")
+    ring = pending.select("type", "canonical", shape.alias("shape"), at.alias("at"), F.pmod(at, F.lit(256)).cast("int").alias("slice"))
+    ends = ring.groupBy("type", "shape", "slice").agg(F.min(F.struct("at", "canonical")).alias("first"))
+    order = Window.partitionBy("type", "shape").orderBy("slice")  # 256 rows a format
+    after = F.coalesce(F.lead("first").over(order), F.first("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    ring = ring.join(ends.select("type", "shape", "slice", after["canonical"].alias("onward")), ["type", "shape", "slice"])
+    inside = F.lead("canonical").over(Window.partitionBy("type", "shape", "slice").orderBy("at", "canonical"))
+    ringed = ring.withColumn("surrogate", F.coalesce(inside, "onward")).filter("surrogate <> canonical").select("type", "canonical", "surrogate")
+    return reduce(DataFrame.unionByName, [*done, ringed])
 
 
 def replace_entities(docs: DataFrame, *, key: str = KEY, count: str | None = None) -> DataFrame:
     """docs with every entity in `text` replaced; count: name of a column for the number of findings."""
     mark, found, swap = (unused(docs.columns, x) for x in ("_mark", "_found", "_swap"))
     text = F.col("text").cast("string")
-    maybe = F.coalesce(text.rlike(SOME), F.lit(False))
-    listed = docs.filter(maybe).select(F.md5(text.cast("binary")).alias("mark"), entities(text).alias("found")).filter(F.size("found") > 0)
-    listed = materialize(listed.groupBy("mark").agg(F.first("found").alias("found")), "findings")
-    single = listed.select("mark", F.explode(F.array_distinct("found")).alias("value")).select("mark", "value", F.explode(parts(F.col("value"))).alias("part")).select("mark", "value", "part.*")
-    surrogates = assign(materialize(single.select("type", "canonical").distinct(), "entities"), key)
-    swapped = single.join(surrogates, ["type", "canonical"]).withColumn("written", F.concat("before", written(F.col("type"), F.col("value"), F.col("surrogate"))))
-    swaps = swapped.groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("value", F.lit("\u0001"), F.col("place").cast("string")).alias("k"), F.col("written").alias("v")))).alias("swap"))
+    none = F.array().cast("array<string>")
+    scanned = materialize(docs.withColumn(found, F.when(F.coalesce(text.rlike(SOME), F.lit(False)), entities(text)).otherwise(none)), "scanned")
+    hit = scanned.filter(F.size(found) > 0).withColumn(mark, F.md5(text.cast("binary")))
+    listed = materialize(hit.select(F.col(mark).alias("mark"), F.explode(F.array_distinct(found)).alias("value")).distinct(), "findings")
+    single = listed.select("value").distinct().select("value", F.explode(parts(F.col("value"))).alias("part")).select("value", "part.*")
+    single = materialize(single, "parts")
+    surrogates = assign(materialize(single.filter("type not in ('kept', 'initials')").select("type", "canonical").distinct(), "entities"), key)
+    drawn = single.join(surrogates, ["type", "canonical"], "left")
+    word = F.when(F.col("type").isin(*_OF_NAMES), F.element_at(F.split(F.regexp_replace("value", r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[ \u0001]"), F.col("place") + 1)).otherwise(F.col("value"))
+    new = F.when(F.col("type") == "kept", F.col("canonical")).when(F.col("type") == "initials", other_initials(F.col("canonical"), key)).otherwise(written(F.col("type"), word, F.col("surrogate")))
+    new = F.coalesce(new, F.raise_error(F.concat(F.lit("no surrogate for a finding of type "), F.col("type"))).cast("string"))
+    spelled = drawn.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("place", F.concat("before", new).alias("piece")))).alias("pieces"))
+    spelled = spelled.select("value", F.array_join("pieces.piece", "").alias("new"))
+    swaps = listed.join(spelled, "value", "left").groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct(F.col("value").alias("k"), F.col("new").alias("v")))).alias("swap"))
 
     # rows without findings stay where they are; the others meet their replacements
-    clean = docs.filter(~maybe | (F.size(entities(text)) == 0))
-    hit = docs.filter(maybe).withColumn(found, entities(text)).filter(F.size(found) > 0).withColumn(mark, F.md5(text.cast("binary")))
-    hit = hit.join(swaps.select(F.col("mark").alias(mark), F.col("swap").alias(swap)), mark)
-    piece = lambda e, i: F.col(swap)[F.concat(e, F.lit(f"\u0001{i}"))]
-    new = F.transform(F.col(found), lambda e: F.concat(F.coalesce(piece(e, 0), e), F.coalesce(piece(e, 1), F.lit(""))))
-    between = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    hit = hit.join(swaps.select(F.col("mark").alias(mark), F.col("swap").alias(swap)), mark, "left")
+    lost = F.raise_error(F.lit("a finding has no replacement")).cast("string")
+    replaced = F.transform(found, lambda e: F.coalesce(F.col(swap)[e], lost))
+    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), replaced, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     hit = hit.withColumn("text", joined)
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    extra = [] if count is None else [F.size(found).cast("long").alias(count)]
-    none = [] if count is None else [F.lit(0).cast("long").alias(count)]
-    return clean.select(*docs.columns, *none).unionByName(hit.select(*docs.columns, *extra))
+    counted = [] if count is None else [F.size(found).cast("long").alias(count)]
+    clean = scanned.filter(F.size(found) == 0)
+    return clean.select(*docs.columns, *counted).unionByName(hit.select(*docs.columns, *counted))
 
 
 def op1_pii_surrogates(spark, sf_dir):
