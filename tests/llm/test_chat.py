@@ -30,18 +30,51 @@ def test_paths_are_ranked_and_read_back(spark):
     }
 
 
-def test_paths_equal_walking_up(spark):
+def plain_branches(rows, branches):
+    """The same by walking: rows (conv, id, parent, role, text, score); cycles are opened at their least id."""
+    by, out = {(r[0], r[1]): r for r in rows}, {}
+    parent = {k: (k[0], r[2]) if r[2] is not None and (k[0], r[2]) in by else None for k, r in by.items()}
+    opened = set()
+    for k in by:
+        seen, at = [], k
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = parent[at]
+        if at is not None:
+            least = min(seen[seen.index(at) :], key=lambda x: x[1])
+            parent[least] = None
+            opened.add(least)
+    for conv in {k[0] for k in by}:
+        tops = []
+        for k in by:
+            if k[0] == conv and k not in parent.values():
+                path, at = [], k
+                while at is not None:
+                    path.append(at)
+                    at = parent[at]
+                tops.append((-sum(by[x][5] or 0.0 for x in path), k[1], path[::-1]))
+        for n, (total, leaf, path) in enumerate(sorted(tops, key=lambda x: x[:2])[:branches], 1):
+            out[conv, n] = (leaf, -total, [(by[x][3] or "", by[x][4] or "") for x in path], any(x in opened for x in path))
+    return out
+
+
+def test_trees_with_cycles_equal_walking_up(spark):
     r = random.Random(4)
-    parent = {0: None} | {i: r.choice([i - 1, r.randrange(i)]) for i in range(1, 120)}
-    df = spark.createDataFrame([(1, i, p) for i, p in parent.items()], "conv long, id long, parent long")
-    got = {(x["leaf"], x["up"]): x["id"] for x in chat.paths(df).collect()}
-    want = {}
-    for leaf in set(parent) - set(parent.values()):
-        at, up = leaf, 0
-        while at is not None:
-            want[leaf, up] = at
-            at, up = parent[at], up + 1
-    assert got == want
+    rows = [(1, i, None if i == 0 else r.choice([i - 1, r.randrange(i)]), r.choice(["user", "assistant", None]), f"t{i} </s>", float(r.randrange(5))) for i in range(120)]
+    rows += [(2, 0, 1, "user", "a", 1.0), (2, 1, 2, "user", "b", 1.0), (2, 2, 0, "user", "c", 1.0), (2, 3, 2, "user", "tail", 4.0), (2, 4, 3, "user", "tail of it", None)]
+    rows += [(3, 5, 5, "user", "answers itself", 2.0), (4, 7, 8, "user", "x", 0.0), (4, 8, 7, "user", "y", 0.0), (4, 9, None, "user", "apart", 0.0)]
+    rows += [(5, i, i - 1 if i else 49, "user", str(i), 1.0) for i in range(50)]
+    for i in range(20):  # forests of any shape
+        rows += [(10 + i, k, r.choice([None, r.randrange(9), r.randrange(9)]), "user", f"{k}", float(r.randrange(3))) for k in range(r.randrange(1, 9))]
+    out = chat.format_trees(spark.createDataFrame(rows, TREE), branches=3).withColumn("back", chat.read_back(F.col("formatted")))
+    got = {(x["conv"], x["branch"]): (x["leaf"], x["score"], [tuple(t) for t in x["back"]], x["opened"]) for x in out.collect()}
+    assert got == plain_branches(rows, 3)
+
+
+def test_a_very_long_conversation_and_text(spark):
+    rows = [(1, i, i - 1 if i else None, "user", "x" * (200_000 if i == 3 else 1), 0.0) for i in range(2000)]
+    out = chat.format_trees(spark.createDataFrame(rows, TREE)).select("n_turns", F.length("formatted").alias("n")).collect()
+    assert [tuple(x) for x in out] == [(2000, 2000 * len("<|turn|>user\nx<|end|>") + 199_999)]
 
 
 def test_rows_with_ties_nulls_and_repetitions(spark):

@@ -1,17 +1,19 @@
 """Chat formatting: root-to-leaf paths of reply trees, by DataFrame functions only.
 
-Messages point to the message they answer. Paths are found by iterative self-joins that double their reach: after k rounds
-every message knows its ancestor 2^k steps up and every leaf the nearest 2^k messages above it, so a tree of depth d
-takes log2(d) rounds, on ids alone. Branches of a conversation are ranked by the sum of their scores, and each of the
-chosen ones becomes one formatted text.
+Messages point to the message they answer. Self-joins that double their reach give every message the sum of scores up to
+its root: after k rounds each knows its ancestor 2^k steps up and the sum between, so a tree of depth d takes log2(d)
+rounds, on ids and numbers alone. Branches of a conversation are ranked by that sum at their leaves, and only the chosen
+ones are listed, by the same doubled jumps, and become one formatted text each.
 
 A turn is written `<|turn|>role\\ntext<|end|>`. In roles and texts, control strings (of this template and of others in common
 use) get a backslash after their first character, one more if there are backslashes already, so none survives and
 unescaping gives the original back. The loss mask is read from the output: the texts of the assistant's turns.
 
-Defined cases: null role and text count as empty; a message whose parent is missing or null is a root; ties in a turn are
-ordered by role and text; equal rows of a turn stay as turns of their own; an empty table gives no rows; a null conv_id
-is a conversation of its own; other columns are ignored.
+Defined cases: null role and text count as empty; a message whose parent is missing or null is a root; a cycle of parents
+is opened at its least id, which becomes a root, and branches with that root have `opened` true; ties of branches go to
+the lesser leaf; ties in a turn are ordered by role and text; equal rows of a turn stay as turns of their own; an empty
+table gives no rows; a null conv_id is a conversation of its own; a text of any length is one turn, and a formatted
+conversation is as long as its turns together; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +25,6 @@ from zonewright.llm.common import materialize, table
 
 START, END = "<|turn|>", "<|end|>"
 TRAINED = "assistant"
-#: Rounds of doubling after which a cycle of parents is given up: longer paths cannot be.
-ROUNDS = 40
 
 # What follows the first character of a control string. None of it holds a first character itself, so that
 # escaping one string never changes how another is found.
@@ -59,42 +59,78 @@ def read_back(formatted: Column) -> Column:
     return F.transform(pieces, parse)
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(conv, leaf, up, id): every message above each leaf, up steps away (the leaf itself at 0).
+def climbed(messages: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """(conv, id, total) with the sum of scores up to the root; the jumps (conv, id, next) of 1, 2, 4, .. steps; and
+    (conv, id) of the messages at which cycles were opened.
 
-    messages: conv, id, parent; (conv, id) is unique, ids are never null.
+    messages: conv, id, parent, score; (conv, id) is unique, ids are never null.
     """
-    links = messages.select("conv", "id", "parent")
-    ids = links.select(F.col("conv").alias("c"), F.col("id").alias("up_id"))
-    known = links.filter(F.col("parent").isNotNull()).join(ids, F.col("conv").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("up_id"))).select("conv", "id", "up_id")
-    jumps = materialize(known, "jumps")
-    leaves = links.join(jumps.select(F.col("conv").alias("c"), F.col("up_id").alias("p")).distinct(), F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("p")), "left_anti")
-    reached = materialize(leaves.select("conv", F.col("id").alias("leaf"), F.lit(0).cast("long").alias("up"), "id"), "paths")
-    for k in range(ROUNDS):
-        if jumps.isEmpty():
-            break
-        step = jumps.select(F.col("conv").alias("c"), F.col("id").alias("from"), "up_id")
-        here = F.col("conv").eqNullSafe(F.col("c"))
-        further = reached.join(step, here & (F.col("id") == F.col("from"))).select("conv", "leaf", (F.col("up") + (1 << k)).alias("up"), F.col("up_id").alias("id"))
+    links = messages.select("conv", "id", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"))
+    ids = links.select(F.col("conv").alias("c"), F.col("id").alias("i"), F.lit(True).alias("there"))
+    known = links.filter("parent is not null").join(ids, F.col("conv").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("i")))
+    roots = links.join(known.select(F.col("conv").alias("c"), F.col("id").alias("i")), F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")), "left_anti")
+    begin = known.select("conv", "id", F.col("parent").alias("next"), "total").unionByName(roots.select("conv", "id", F.lit(None).cast("long").alias("next"), "total"))
+    start = begin = materialize(begin.withColumn("low", F.col("id")), "climb")
+    longest = begin.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    opened = begin.limit(0).select("conv", "id")
+    while True:
+        state, jumps = begin, []
+        while True:
+            going = state.filter("next is not null")
+            if going.isEmpty() or 1 << len(jumps) > longest:
+                break
+            jumps.append(going.select("conv", "id", "next"))
+            up = state.select(F.col("conv").alias("c"), F.col("id").alias("i"), F.col("next").alias("onward"), F.col("total").alias("more"), F.col("low").alias("lower"))
+            met = going.join(up, F.col("conv").eqNullSafe(F.col("c")) & (F.col("next") == F.col("i")))
+            met = met.select("conv", "id", F.col("onward").alias("next"), (F.col("total") + F.col("more")).alias("total"), F.least("low", "lower").alias("low"))
+            state = materialize(state.filter("next is null").unionByName(met), "climb")
+        if going.isEmpty():
+            return state.select("conv", "id", "total"), jumps, opened
+        # who still climbs after more steps than there are messages ends in a cycle, and has seen its least id
+        targets = going.select("conv", F.col("next").alias("id")).distinct()
+        opened = materialize(targets.join(state.select(F.col("conv").alias("c"), F.col("id").alias("i"), "low"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i"))).filter("id = low").select("conv", "id"), "opened")
+        cut = opened.select(F.col("conv").alias("c"), F.col("id").alias("i"), F.lit(True).alias("cut"))
+        begin = start.join(cut, F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")), "left")
+        begin = materialize(begin.withColumn("next", F.when(F.col("cut").isNull(), F.col("next"))).select("conv", "id", "next", "total", "low"), "climb")
+
+
+def leaves(jumps: list[DataFrame], totals: DataFrame) -> DataFrame:
+    """totals of the messages that no other answers."""
+    if not jumps:
+        return totals
+    answered = jumps[0].select(F.col("conv").alias("c"), F.col("next").alias("i")).distinct()
+    return totals.join(answered, F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")), "left_anti")
+
+
+def paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(conv, leaf, up, id): every message above each leaf (conv, id), up steps away (the leaf itself at 0)."""
+    reached = materialize(chosen.select("conv", F.col("id").alias("leaf"), F.lit(0).cast("long").alias("up"), "id"), "paths")
+    for k, jump in enumerate(jumps):
+        step = jump.select(F.col("conv").alias("c"), F.col("id").alias("i"), "next")
+        further = reached.join(step, F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i"))).select("conv", "leaf", (F.col("up") + (1 << k)).alias("up"), F.col("next").alias("id"))
         reached = materialize(reached.unionByName(further), "paths")
-        jumps = materialize(jumps.join(step.withColumnRenamed("up_id", "next"), here & (F.col("up_id") == F.col("from"))).select("conv", "id", F.col("next").alias("up_id")), "jumps")
     return reached
 
 
 def format_trees(messages: DataFrame, *, branches: int = 1) -> DataFrame:
-    """One row for each chosen branch: conv, leaf, branch (1 is the best), score, n_turns, formatted.
+    """One row for each chosen branch: conv, leaf, branch (1 is the best), score, n_turns, opened, formatted.
 
     messages: conv, id, parent, role, text, score. Branches are ranked by score (null: 0), then by leaf.
     """
-    found = paths(messages)
-    body = messages.select(F.col("conv").alias("c"), F.col("id").alias("i"), turn(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))).alias("turn"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    totals, jumps, opened = climbed(messages)
+    order = Window.partitionBy("conv").orderBy(F.desc("total"), "id")
+    best = materialize(leaves(jumps, totals).withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches), "branches")
+    body = messages.select(F.col("conv").alias("c"), F.col("id").alias("i"), turn(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))).alias("turn"))
     same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i"))
-    totals = found.join(body.select("c", "i", "score"), same).groupBy("conv", "leaf").agg(F.sum("score").alias("score"))
-    best = totals.withColumn("branch", F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf"))).filter(F.col("branch") <= branches)
-    chosen = best.select(F.col("conv").alias("bc"), F.col("leaf").alias("bl"), "branch", F.col("score").alias("total"))
-    turns = found.join(chosen, F.col("conv").eqNullSafe(F.col("bc")) & (F.col("leaf") == F.col("bl"))).join(body.drop("score"), same)
-    whole = turns.groupBy("conv", "leaf", "branch", "total").agg(F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("at"), "turn"))).alias("turns"))
-    return whole.select("conv", "leaf", "branch", F.col("total").alias("score"), F.size("turns").cast("long").alias("n_turns"), F.array_join(F.transform("turns", lambda t: t["turn"]), "").alias("formatted"))
+    turns = paths(best, jumps).join(body, same).drop("c", "i")
+    if opened.isEmpty():
+        turns = turns.withColumn("cut", F.lit(False))
+    else:
+        turns = turns.join(opened.select(F.col("conv").alias("c"), F.col("id").alias("i"), F.lit(True).alias("cut")), same, "left").drop("c", "i")
+    whole = turns.groupBy("conv", "leaf").agg(F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("at"), "turn"))).alias("turns"), F.coalesce(F.max("cut"), F.lit(False)).alias("opened"))
+    ranked = best.select(F.col("conv").alias("c"), F.col("id").alias("i"), "branch", F.col("total").alias("score"))
+    whole = whole.join(ranked, F.col("conv").eqNullSafe(F.col("c")) & (F.col("leaf") == F.col("i")))
+    return whole.select("conv", "leaf", "branch", "score", F.size("turns").cast("long").alias("n_turns"), "opened", F.array_join(F.transform("turns", lambda t: t["turn"]), "").alias("formatted"))
 
 
 def from_rows(conversations: DataFrame) -> DataFrame:
@@ -123,8 +159,7 @@ def digest(formatted: DataFrame) -> DataFrame:
 
 def op6_chat_formatting(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     return digest(format_trees(from_rows(rows.unionByName(extra))))
 
 
