@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from zonewright.llm import packing
 
@@ -16,7 +17,7 @@ def encoder():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab é\n\t'.,<|endoftext|>1 日\x00\x85", max_size=60))
+@given(st.text(alphabet="ab é\n\t'.,<|endoftext|>1 日\x00\x85\u0301\U0001d400\U00020000\u01c5\u02b0\u0bbeª\u2028", max_size=60))
 def test_ids_of_words_joined_are_the_ids_of_the_text(encoder, text):
     whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole
@@ -75,3 +76,19 @@ def test_repeated_rows_and_empty_tables(spark):
     rows = packing.pack(df, packing.tokenizer_path()).collect()
     assert len(rows) == 2 and sorted(r["offset"] for r in rows) == [0, rows[0]["length"]]
     assert packing.pack(df.limit(0), packing.tokenizer_path()).count() == 0
+
+
+def test_added_tokens_are_read_as_the_tokenizer_does(encoder):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert 50256 in encoder.tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids
+
+
+def test_a_hundred_thousand_rows_of_one_id(spark, encoder):
+    df = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.lit("a few words").alias("text"))
+    out = packing.pack(df, packing.tokenizer_path())
+    sizes = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count(F.lit(1)).alias("pieces"))
+    assert out.count() == 100_000 and sizes.filter("n > 1024").isEmpty()
+    assert out.agg(F.sum("length")).first()[0] / (1024 * sizes.count()) > 0.6  # blocks hold some 1,024 tokens of such short texts
+    blocks = out.groupBy(F.shiftright("sequence_id", 32)).count().agg(F.max("count")).first()[0]
+    assert blocks < 600

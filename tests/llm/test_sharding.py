@@ -52,3 +52,35 @@ def test_nulls_and_repeated_rows(spark):
     rows = sharding.shard(df).collect()
     check(rows, 5)
     assert sorted((r["size"], r["text_crc32"]) for r in rows)[0] == (1, 0)
+
+
+def test_a_hundred_thousand_rows_of_one_id(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    check(sharding.shard(df).collect(), 100_000)
+
+
+def test_cut_edges_equal_a_plain_count(spark):
+    # groups of 2 to 9 copies: a shard for each group keeps all links; the result keeps nearly all, and no quota is broken
+    rows = [(1000 * g + k, f"t{g}") for g in range(300) for k in range(2 + g % 8)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check(got, len(rows))
+    at = {r["doc_id"]: r["shard"] for r in got}
+    links = [(a[0], b[0]) for i, a in enumerate(rows) for b in rows[i + 1 : i + 9] if a[1] == b[1]]
+    cut = sum(at[a] != at[b] for a, b in links)
+    assert cut < 0.12 * len(links)
+
+
+def test_flows_stay_under_the_quota(spark):
+    r = __import__("random").Random(6)
+    state = [(p, s, r.randrange(1, 6)) for p in range(400) for s in r.sample(range(4), 2)]
+    total = sum(x[2] for x in state)
+    out = sharding.propagate(spark.createDataFrame(state, "part long, shard int, n long"), 4, total // 4 + 1, 6).collect()
+    sums = defaultdict(int)
+    for x in out:
+        sums[x["shard"]] += x["n"]
+    assert sum(sums.values()) == total and max(sums.values()) < 1.1 * (total // 4 + 1)
+    each = Counter()
+    for p, _, n in state:
+        each[p] += n
+    assert Counter({x["part"]: 0 for x in out}).keys() == each.keys() and all(sum(x["n"] for x in out if x["part"] == p) == n for p, n in list(each.items())[:50])
+    assert sum(n == 1 for n in Counter(x["part"] for x in out).values()) > 0.8 * 400

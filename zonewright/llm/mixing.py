@@ -3,7 +3,8 @@
 A source's weight is its share of tokens to the power of an exponent between 0 and 1 (one over the temperature),
 normalised. The exponent is searched by repeated sectioning until the weights meet a target entropy, or are as flat as a
 limit on repetition allows. The weights become token budgets: every source is read whole as many times as its budget
-holds, and the rest of it is spent on a block permutation: documents fall into blocks by a keyed hash, blocks and the
+holds, and the rest of it is spent on a block permutation: documents fall into as many blocks as a block has documents (the
+root of their number, so that neither grows faster) by a keyed hash, blocks and the
 documents in them are ordered by keyed hashes, and rows are taken in that order while they fit. Where the cut falls in a
 source is two hash values, so a document's copies follow from its own row and its source's row; texts never move.
 
@@ -11,8 +12,8 @@ Without a budget the least one is taken at which no source is read less than onc
 is dropped.
 
 Defined cases: a null source is a source of its own; null text has no tokens; a source without tokens keeps every row
-once; repeated rows fall on the same side of the cut; ties in hash values stay together; an empty table gives no rows;
-other columns are kept as they are.
+once; repeated rows fall on the same side of the cut; ties in hash values stay together; a text of any length is counted
+whole, and taken or left as a whole; an empty table gives no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -27,9 +28,6 @@ from zonewright.llm.common import bounded_broadcast, materialize, table, unused
 
 REPEATS = 1.5
 SEED = 20250101
-ROWS_PER_BLOCK = 1000
-#: Most blocks of one source: the table of blocks stays bounded by the number of sources, blocks grow instead.
-MOST_BLOCKS = 4096
 #: Sources up to which their table is broadcast; with more it is joined by a shuffle.
 BROADCAST_SOURCES = 20_000
 _SECTIONS, _SEARCHES = 32, 5
@@ -86,7 +84,7 @@ def mix(docs: DataFrame, *, repeats: float | None = REPEATS, entropy: float | No
     rows = rows.withColumn(n("mix_order"), F.xxhash64(F.lit(seed), *[F.col(c).cast("string") for c in ids]))
     small = materialize(rows.select(F.col(n("mix_source")).alias("source"), F.col(n("mix_tokens")).alias("tokens"), F.col(n("mix_order")).alias("doc")), "mix-rows")
     per_source = materialize(
-        small.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).withColumn("blocks", F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("docs") / ROWS_PER_BLOCK)).cast("int")), "mix-sources"
+        small.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).withColumn("blocks", F.ceil(F.sqrt("docs")).cast("int")), "mix-sources"
     )
     mixture = search_exponent(per_source, repeats=repeats, entropy=entropy, budget=budget)
     if mixture is None:

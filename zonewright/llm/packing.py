@@ -4,11 +4,13 @@ Every document becomes its token ids plus an end id and is cut into pieces: whol
 the rest in pieces of at most `piece` tokens. Whole windows stand alone. The rests of a block of documents are dealt to
 k windows by differencing: each partial partition is a vector of window sums, the two with the widest spread are merged
 largest sum against smallest, until one is left. k starts at the least count that can hold the tokens and rises while
-a window exceeds the capacity. Blocks come from a hash of doc_id and the row count, so the result does not depend on
-how Spark partitions the input; token ids never cross a shuffle, only piece rows do.
+a window exceeds the capacity. Blocks come from hashes of doc_id and the piece, and the row count, so the result does not
+depend on how Spark partitions the input; the rows of an id that more than a thousand rows have (or of null) are dealt by
+their place in the input besides, so that no block grows with them. Token ids never cross a shuffle, only piece rows do.
 
 Defined cases: null text counts as empty; an empty text is the end id alone; repeated rows are packed once each;
-null doc_id is a document like others; an empty table gives no rows; other columns are ignored.
+null doc_id is a document like others; ties in length are ordered by id, place and checksum; a text of any length is
+encoded whole by one task, and cut; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, buckets_for, hash_bucket, per_process, table
+from zonewright.llm.common import Remembered, hash_bucket, per_process, table, told_apart
 
 CAPACITY = 1024
 PIECE = 256
@@ -59,7 +61,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.merges, self.letters = self.tokenizer.model, _byte_letters()
         self.words = Remembered(self._word, CACHED_WORDS)
 
@@ -85,7 +88,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         self.words.trim()
-        if "\0" in text:  # the mark between words below
+        if "\0" in text or self.added(text):  # the mark between words below; tokens that are no words
             return self._plain(text)
         try:
             return b"".join(map(self.words.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
@@ -155,11 +158,11 @@ def _pieces(path: str, capacity: int, piece: int):
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 rows = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for doc_id, text, copy in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     ids = encoder.encode(text or "") + end
                     n = len(ids) // 4
-                    rows += [(doc_id, s, m, zlib.crc32(ids[4 * s : 4 * (s + m)]), n) for s, m in cuts(n, capacity, piece)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    rows += [(doc_id, s, m, zlib.crc32(ids[4 * s : 4 * (s + m)]), n, copy) for s, m in cuts(n, capacity, piece)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
 
     return run
 
@@ -183,9 +186,11 @@ def _pack(capacity: int):
 
 def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, piece: int = PIECE, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    pieces = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_pieces(tokenizer_path, capacity, piece), _PIECES)
-    blocks = buckets_for(docs.count(), docs_per_block, 1 << 30)
-    return pieces.withColumn("_block", hash_bucket(blocks, "doc_id")).groupBy("_block").applyInPandas(_pack(capacity), _PACKED)
+    rows = told_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id", "copy")
+    pieces = rows.select("doc_id", "text", "copy").mapInArrow(_pieces(tokenizer_path, capacity, piece), _PIECES + ", copy long")
+    blocks = max(1, -(-docs.count() // docs_per_block))
+    block = hash_bucket(blocks, "doc_id", "copy", "start", "ids_crc32").alias("_block")
+    return pieces.select(*[x.split()[0] for x in _PIECES.split(", ")], block).groupBy("_block").applyInPandas(_pack(capacity), _PACKED)
 
 
 def tokenizer_path() -> str:

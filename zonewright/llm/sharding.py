@@ -8,8 +8,13 @@ split beforehand into parts that move on their own, so no copy group can swamp a
 shards by rank in the group, rows beyond a shard's quota leave it, and they and the unlinked rows fill the quotas
 exactly: row counts differ by one at most.
 
+Work is dealt by hashes of doc_id, into as many buckets as a bucket has rows. The rows of an id that more than a thousand
+rows have (or of null) are told apart by their place in the input, so that they spread too; which of them goes where then
+depends on that place.
+
 Defined cases: null text counts as empty (all such rows are linked); null doc_ids and repeated rows are rows like
-others; an empty table gives no rows; other columns are ignored.
+others; ties in a ranking are rows that are alike in all that the result has; a very long text is a row like others (only
+its size and checksums travel); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,11 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import buckets_for, hash_bucket, materialize, spread_rank, table
+from zonewright.llm.common import buckets_for, hash_bucket, materialize, spread_rank, table, told_apart
 
 SHARDS = 16
 ROUNDS = 4
-ROWS_PER_BUCKET = 1000
 
 
 def _share(shards: int, *salt: str):
@@ -68,7 +72,7 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.unhex(F.md5(text.cast("binary"))).alias("group"),
     )
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(told_apart(nodes, "doc_id", "copy"), "nodes")
     rows = nodes.count()
     if not rows:
         return nodes.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), F.lit(False).alias("linked"))
@@ -79,29 +83,28 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     groups = materialize(nodes.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "groups")
     linked = nodes.join(groups, "group")
     # ties in doc_id: members with equal ids and texts are alike, so any order among them gives the same rows
-    linked = linked.withColumn("part", F.xxhash64("group", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / most))))
-    linked = materialize(linked.select("doc_id", "size", "text_crc32", "part", hash_bucket(shards, "doc_id").alias("first")), "linked")
+    linked = linked.withColumn("part", F.xxhash64("group", F.pmod(F.xxhash64("doc_id", "copy"), F.ceil(F.col("members") / most))))
+    linked = materialize(linked.select("doc_id", "copy", "size", "text_crc32", "part", hash_bucket(shards, "doc_id", "copy").alias("first")), "linked")
     start = linked.groupBy("part", F.col("first").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     state = propagate(materialize(start, "shards"), shards, quota, rounds)
 
     # members of a part by rank, in ranges of ranks for its shards; a part has at most a quarter of a quota
-    wide = buckets_for(rows, ROWS_PER_BUCKET)
-    spread = [("_fine", hash_bucket(max(1, buckets_for(most, ROWS_PER_BUCKET)), "doc_id"))]
-    ranked = spread_rank(linked, ["part"], spread, ["doc_id"], "rank")
+    spread = [("_fine", hash_bucket(buckets_for(most), "doc_id", "copy"))]
+    ranked = spread_rank(linked, ["part"], spread, ["doc_id", "copy"], "rank")
     spans = state.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("spans"))  # at most one entry a shard
     upto = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("past"), F.lit(-1).alias("shard")), lambda a, x: F.struct((a["past"] + x["n"]).alias("past"), F.when((a["shard"] < 0) & (F.col("rank") < a["past"] + x["n"]), x["shard"]).otherwise(a["shard"]).alias("shard")))
-    placed = ranked.join(spans, "part").withColumn("shard", upto["shard"]).select("doc_id", "size", "text_crc32", "part", "shard")
+    placed = ranked.join(spans, "part").withColumn("shard", upto["shard"]).select("doc_id", "copy", "size", "text_crc32", "part", "shard")
 
     # rows beyond the quota leave their shard; with the unlinked ones they fill what is free
-    per_shard = buckets_for(quota, ROWS_PER_BUCKET)
-    by_part = [("_part", hash_bucket(per_shard, "part")), ("_doc", hash_bucket(4, "doc_id"))]
-    placed = materialize(spread_rank(placed, ["shard"], by_part, ["part", "doc_id"], "slot"), "placed")
+    # by the hash of the part first: what leaves an overfull shard are whole parts as far as may be
+    by_part = [("_part", hash_bucket(buckets_for(quota), "part")), ("_doc", hash_bucket(buckets_for(buckets_for(most)), "doc_id", "copy"))]
+    placed = materialize(spread_rank(placed, ["shard"], by_part, ["part", "doc_id", "copy"], "slot"), "placed")
     limit = F.array(*[F.lit(q).cast("long") for q in quotas])
     within = placed.filter(F.col("slot") < F.get(limit, F.col("shard")))
     taken = {r["shard"]: r["n"] for r in within.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most one row a shard
-    rest = placed.filter(F.col("slot") >= F.get(limit, F.col("shard"))).select("doc_id", "size", "text_crc32", F.lit(True).alias("linked"))
-    singles = nodes.join(groups, "group", "left_anti").select("doc_id", "size", "text_crc32", F.lit(False).alias("linked"))
-    pool = spread_rank(rest.unionByName(singles), [], [("_at", hash_bucket(wide, "doc_id", "text_crc32"))], ["doc_id", "text_crc32", "size"], "rank")
+    rest = placed.filter(F.col("slot") >= F.get(limit, F.col("shard"))).select("doc_id", "copy", "size", "text_crc32", F.lit(True).alias("linked"))
+    singles = nodes.join(groups, "group", "left_anti").select("doc_id", "copy", "size", "text_crc32", F.lit(False).alias("linked"))
+    pool = spread_rank(rest.unionByName(singles), [], [("_at", hash_bucket(buckets_for(rows), "doc_id", "copy", "text_crc32"))], ["doc_id", "copy", "text_crc32", "size"], "rank")
     place, at = F.lit(-1), F.lit(0).cast("long")
     for s in reversed(range(shards)):
         before = sum(quotas[t] - taken.get(t, 0) for t in range(s))
