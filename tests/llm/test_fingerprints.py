@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from zonewright.llm import fingerprints as fp
 
@@ -31,8 +32,6 @@ def slow_fingerprint(text):
     size = 3
     while size * 64 < len(raw):
         size *= 2
-    while size > 3 and len(ends(size)) + 1 < 32:
-        size //= 2
     return f"{size}:{signature(size)}:{signature(2 * size)}"
 
 
@@ -92,3 +91,37 @@ def test_ties_nulls_single_and_empty(spark):
     one = fp.compare_with_next(df.filter("doc_id is null")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert fp.compare_with_next(df.limit(0)).count() == 0
+
+
+def test_shared_and_null_ids_are_split_and_ordered(spark):
+    r = random.Random(10)
+    some = lambda: "".join(r.choices("abc ", k=r.randrange(1, 40)))
+    rows = [(5, some()) for _ in range(300)] + [(5, "same text")] * 400 + [(None, some()) for _ in range(150)] + [(None, "x")] * 200 + [(i, some()) for i in range(-40, 40) if i != 5]
+    df = spark.createDataFrame([(*x, k) for k, x in enumerate(rows)], "doc_id long, text string, k long")
+    dealt = fp.ranges(df, 20).groupBy("range", "piece").count().collect()
+    assert max(x["count"] for x in dealt) < 120 and len(dealt) > 40
+    order = [(x["doc_id"], x["text"]) for x in df.select("doc_id", "text", F.xxhash64("text").alias("tie")).orderBy(F.col("doc_id").asc_nulls_first(), "tie", "text").collect()]
+    got = sorted((x["doc_id"] is not None, x["doc_id"], x["fingerprint"], x["edited_sha256"], x["near_next"]) for x in fp.compare_with_next(df, 20).collect())
+    want = []
+    for i, (k, text) in enumerate(order):
+        after = order[(i + 1) % len(order)][1]
+        changed = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        want.append((k is not None, k, fp.fingerprint(text), hashlib.sha256(changed.encode()).hexdigest(), fp.likeness(fp.fingerprint(text), fp.fingerprint(after))))
+    assert got == sorted(want)
+
+
+def test_a_hundred_thousand_rows_of_one_id(spark):
+    df = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    sizes = fp.ranges(df).groupBy("range", "piece").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] < 1000 and sizes[1] > 150
+    assert fp.compare_with_next(df).count() == 100_000
+
+
+def test_texts_of_equal_length_always_meet():
+    r = random.Random(12)
+    for n in (6, 12, 40, 900, 33_047):
+        text = "".join(r.choices("abcdefgh ", k=n))
+        other = text[: n - n // 2] + "".join(r.choices("ijklm", k=n // 2))
+        a, b = fp.fingerprint(text), fp.fingerprint(other)
+        assert a.split(":")[0] == b.split(":")[0]
+        assert n < 40 or fp.likeness(a, b) > 0.2

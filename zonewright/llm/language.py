@@ -5,14 +5,17 @@ document declares, the suffix of its address, and what its host usually holds. T
 `SAMPLE` labelled texts a language (those with the least keyed hash). Everything else comes from grouped aggregation over
 all documents: how often a declaration or suffix goes with a language as the text has it, and the languages of each host,
 smoothed towards its site, the site towards its top-level domain, that towards the whole, each with the weight of `KAPPA`
-documents. A document's own text does not count in its host's prior.
+documents. A document's own text does not count in its host's prior, and the declaration of a text that the model was
+fitted on counts as none, as the model has it already. Texts are scored once and written with their scores.
 
 Posteriors under `least` mean that the evidence does not decide, and texts without a letter have none: such documents are
 rejected, as are those whose language is not among the wanted ones, if any are named.
 
 Defined cases: null and empty texts have no letters and are rejected; a null declaration, suffix or host is no evidence
 (the host falls back to its parents); repeated rows are judged alike and each counts in the aggregates; without labelled
-texts every document is undecided; an empty table gives no rows; other columns are kept as they are.
+texts every document is undecided; of more labels than `LANGUAGES` the most frequent ones are languages (ties by name); ties
+of languages go to the one first by name; a text of any length is read whole; an empty table gives no rows; other columns
+are kept as they are.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from zonewright.llm.common import bounded_broadcast, materialize, table, unused
 
 SAMPLE = 300
+#: Languages at most: what the driver gathers is a table of this many rows of trigram counts.
+LANGUAGES = 100
 BUCKETS = 1 << 15
 KAPPA = 20.0
 LEAST = 0.5
@@ -46,6 +51,8 @@ class TextModel:
 
     languages: list[str]
     table: np.ndarray
+    #: (label, mark): the texts that it was fitted on, by their hash.
+    sample: DataFrame | None = None
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -60,7 +67,7 @@ def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lan
     rows = labelled.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).filter("label is not null and length(text) > 0")
     marks = rows.select("label", F.xxhash64("text").alias("mark")).distinct()
     # hashes are spread evenly: a share that leaves some four samples a label holds the least ones, and no task ranks more
-    sizes = materialize(marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "labels")
+    sizes = materialize(marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES), "labels")
     share = F.shiftrightunsigned("mark", 1) / F.lit(float(1 << 63)) * F.col("n")
     marks = marks.join(bounded_broadcast(sizes, BROADCAST_HOSTS), "label").filter(share <= 4 * sample).select("label", "mark")
     order = Window.partitionBy("label").orderBy(F.shiftrightunsigned("mark", 1), "mark")
@@ -74,7 +81,7 @@ def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lan
     counts = np.full((len(languages), BUCKETS), 0.02)
     for r in got:
         counts[languages.index(r["label"])] += np.frombuffer(r["counts"], np.int64)
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), chosen)
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,16 +97,18 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _scorer(model: TextModel | None):
     """A column function: log likelihoods of a text by language, or null if it has no letter."""
 
+    weights = None if model is None else model.table
+
     @F.arrow_udf("array<double>")
     def score(texts: pa.Array) -> pa.Array:
         scores: list[list[float] | None] = []
         for text in texts:
             text = text.as_py() or ""
-            if model is None or not _LETTER.search(text):
+            if weights is None or not _LETTER.search(text):
                 scores.append(None)
                 continue
             at = trigrams(text)
-            total = np.array([row[at].sum(dtype=np.float64) for row in model.table])
+            total = np.array([row[at].sum(dtype=np.float64) for row in weights])
             total *= min(1.0, EVIDENCE / len(at))
             scores.append((total - total.max()).tolist())
         return pa.array(scores, pa.list_(pa.float64()))
@@ -123,10 +132,11 @@ def address_parts(url: Column) -> dict[str, Column]:
     return {"host": host, "site": F.substring_index(host, ".", -2), "top": top, "suffix": F.coalesce(F.when(path != "", F.lower(path)), F.when(F.length(top) == 2, top))}
 
 
-def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", declared: Column | None = None, suffix: Column | None = None, host: list[Column] | None = None, least: float = LEAST, wanted: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", declared: Column | None = None, suffix: Column | None = None, host: list[Column] | None = None, least: float = LEAST, wanted: list[str] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """docs with language, language_probability and language_kept (under other names where those are taken).
 
-    declared, suffix: evidence columns; host: the host and its parents, from narrow to wide.
+    declared, suffix: evidence columns; host: the host and its parents, from narrow to wide; drop: columns of docs, the
+    text for one, that the result leaves out.
     """
     languages = model.languages if model else ["und"]
     n = len(languages)
@@ -137,17 +147,21 @@ def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", de
 
     score = _scorer(model)
 
-    def scored(keep: list[str]) -> DataFrame:
-        """The kept columns in a struct, the evidence, and the text's log likelihoods."""
-        return docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept") if keep else F.lit(0).alias("kept"),
-            *[(c if c is not None else none).cast("string").alias(k) for k, c in evidence.items()],
-            *[c.cast("string").alias(k) for k, c in zip(names, levels, strict=True)],
-            score(F.col(text).cast("string")).alias("score"),
-        )
-
-    small = scored([]).drop("kept").withColumn("p", F.when(F.col("score").isNotNull(), _normal(F.col("score"))))
-    seen = materialize(small.filter("p is not null").drop("score"), "language-evidence")
+    columns = [c for c in docs.columns if c not in drop]
+    # the kept columns in a struct, the evidence, and the text's log likelihoods
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("kept"),
+        *[(c if c is not None else none).cast("string").alias(k) for k, c in evidence.items()],
+        *[c.cast("string").alias(k) for k, c in zip(names, levels, strict=True)],
+        score(F.col(text).cast("string")).alias("score"),
+        F.xxhash64(F.col(text).cast("string")).alias("mark"),
+    )
+    if model is not None and model.sample is not None and declared is not None:  # LANGUAGES times SAMPLE rows at most
+        fitted = model.sample.select("mark", F.col("label").alias("fitted"))
+        rows = rows.join(F.broadcast(fitted), (rows["mark"] == fitted["mark"]) & (F.col("declared") == F.col("fitted")), "left").drop(fitted["mark"])
+        rows = rows.withColumn("declared", F.when(F.col("fitted").isNull(), F.col("declared"))).drop("fitted")
+    rows = materialize(rows.drop("mark").withColumn("p", F.when(F.col("score").isNotNull(), _normal(F.col("score")))), "language-scores")
+    seen = rows.filter("p is not null").drop("kept", "score")
     per_language = [F.sum(F.get("p", F.lit(i))).alias(f"n{i}") for i in range(n)]
     totals = seen.agg(*per_language).first()
     overall = [float(totals[f"n{i}"] or 0.0) + 1.0 for i in range(n)]
@@ -180,11 +194,9 @@ def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", de
             smooth = level.withColumn("smooth", F.zip_with("own", "parent", lambda a, b: (a + KAPPA * b) / (size + KAPPA)))
         tables["host"] = materialize(smooth.select(*names, "own", "parent"), "language-hosts")
 
-    rows = scored(docs.columns)
     for k, t in tables.items():
         keys = names if k == "host" else [k]
         rows = rows.join(bounded_broadcast(t, BROADCAST_HOSTS), keys, "left")
-    rows = rows.withColumn("p", F.when(F.col("score").isNotNull(), _normal(F.col("score"))))
     terms = [F.col("score")] + [F.coalesce(F.col(f"{k}_log"), F.array(*[F.lit(0.0)] * n)) for k in tables if k != "host"]
     if "host" in tables:
         # the document's own text leaves its host's counts
@@ -200,13 +212,14 @@ def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", de
     best = F.array_max("posterior")
     language = F.get(F.array(*[F.lit(x) for x in languages]), (F.array_position("posterior", best) - 1).cast("int"))
     kept = F.coalesce((best >= least) & (language.isin(wanted) if wanted is not None else F.lit(True)), F.lit(False))
-    out = [unused(docs.columns, x) for x in ("language", "language_probability", "language_kept")]
-    return rows.select(*[F.col(f"kept.`{c}`").alias(c) for c in docs.columns], F.coalesce(language, F.lit("und")).alias(out[0]), best.alias(out[1]), kept.alias(out[2]))
+    out = [unused(columns, x) for x in ("language", "language_probability", "language_kept")]
+    return rows.select(*[F.col(f"kept.`{c}`").alias(c) for c in columns], F.coalesce(language, F.lit("und")).alias(out[0]), best.alias(out[1]), kept.alias(out[2]))
 
 
-def identify_documents(docs: DataFrame) -> DataFrame:
-    """Documents: the column lang is the declaration and the label of the text model's sample, source is the host."""
-    return identify(docs, fit_text_model(docs), declared=F.col("lang"), host=[F.col("source")])
+def identify_documents(docs: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Documents: the column lang is the declaration and the label of the text model's sample; source is the host, and its
+    name without the number at its end the family above it. They have no addresses."""
+    return identify(docs, fit_text_model(docs), declared=F.col("lang"), host=[F.col("source"), F.regexp_replace(F.col("source"), "[0-9]+$", "")], drop=drop)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
@@ -216,8 +229,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
 
 def op2_language_id(spark, sf_dir):
-    out = identify_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
-    out = out.drop("text").withColumn("language_probability", F.round("language_probability", 6))
+    out = identify_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), drop=("text",))
+    out = out.withColumn("language_probability", F.round("language_probability", 6))
     return out.withColumnRenamed("language_kept", "kept")
 
 
@@ -228,5 +241,5 @@ def language_id_pages(spark, sf_dir):
     plain = F.regexp_replace(F.regexp_replace(F.col("html"), r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " "), r"<[^>]*>", " ")
     parts = address_parts(F.col("url"))
     rows = pages.select("page_id", "url", plain.alias("text"), F.lower(F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z]{2})", 1), F.lit(""))).alias("markup"))
-    out = identify(rows, fit_text_model(table(spark, sf_dir, "documents")), declared=F.col("markup"), suffix=parts["suffix"], host=[parts["host"], parts["site"], parts["top"]])
+    out = identify(rows, fit_text_model(table(spark, sf_dir, "documents")), declared=F.col("markup"), suffix=parts["suffix"], host=[parts["host"], parts["site"], parts["top"]], drop=("text",))
     return out.select("page_id", "markup", "language", F.round("language_probability", 6).alias("language_probability"), "language_kept")
