@@ -191,11 +191,13 @@ def test_logs(spark, tmp_path):
     log = "Enrichment coverage (1 candidates): a=0/1\nnoise\nEnrichment coverage (25 candidates): wayback_snapshots=25/25 open_page_rank=0/25\nHeld queue: held=12 new=5 released=3\nx WARNING y\n"
     (tmp_path / "run.log").write_text(log)
     lines = readers.log_lines(spark, str(tmp_path / "run.log"))
+    assert [r["line_no"] for r in lines.orderBy("line_no").collect()] == list(range(6))
     report = jobs.run_report(lines, F.lit("2026-01-01").cast("date"), F.lit("2026-03-01").cast("date"))
     assert rows(report["coverage"], "field", "state", "alarm") == [("open_page_rank", "dead", True), ("wayback_snapshots", "ok", False)]
     assert rows(report["held"]) == [("held", 12), ("new", 5), ("released", 3)]
     assert rows(report["freshness"]) == [(59, True)]
     assert dict(rows(report["signals"]))["warnings"] == 1
+    assert rows(report["categories"]) == [] and rows(report["strikes"]) == [] and rows(report["rejects"]) == [] and report["blind"].first()[0] is False
 
 
 def test_json_readers(spark, tmp_path):
@@ -243,6 +245,79 @@ def test_daily_run_keeps_all_names_without_a_ranker(spark):
     assert sorted(r["name"] for r in out["scored"].select("name").collect()) == names_
 
 
+def day_tables(spark, names_):
+    zone = spark.createDataFrame([("com", n) for n in names_], "tld string, name string")
+    today = spark.createDataFrame([("com", "stays.com")], "tld string, name string")
+    previous = spark.createDataFrame([], "tld string, name string, first_seen_date date, wayback_unknown boolean, wayback_unknown_attempts int, score int")
+    available = spark.createDataFrame([(n, True) for n in names_], "name string, is_available boolean")
+    evidence = spark.createDataFrame([(n, 500, dt.date(2025, 1, 1), 6.0, True, 900, False, False, False) for n in names_], "name string, wayback_snapshots int, wayback_last_snapshot date, open_page_rank double, cert_history boolean, cc_source_domain_count int, spam_flagged boolean, surbl_listed boolean, spamhaus_listed boolean")
+    return zone.unionByName(today), today, previous, spark.createDataFrame([], "name string"), available, evidence
+
+
+def test_a_ranker_that_answers_too_little_is_not_used(spark):
+    names_ = ["garden.com", "market.com", "silver.com", "station.com"]
+    score = lambda **k: spark.createDataFrame([(n + ".com", s, "r") for n, s in k.items()], "name string, phase2_score int, phase2_reason string")
+    c = jobs.Daily(gate=50, least_eligible=2)
+    zone, today, *rest = day_tables(spark, names_)
+    run = lambda ranker: jobs.daily_run(zone, today, *rest, day(), c, ranker=ranker)
+    out = run(score(garden=90, market=10, silver=55, station=50))
+    assert out["ranker"].first()["mode"] == "ranker" and rows(out["selected"], "name") == [("garden.com",), ("silver.com",), ("station.com",)]
+    out = run(score(garden=90, silver=55))
+    assert out["ranker"].first()["mode"] == "partial" and rows(out["selected"], "name") == [("garden.com",), ("silver.com",)]
+    for few in (score(garden=90, market=10, silver=20, station=0), score().limit(0) if False else score(other=99)):
+        out = run(few)
+        assert out["ranker"].first()["mode"] == "fallback" and len(rows(out["selected"], "name")) == 4 and out["overflow"].count() == 0
+
+
+def test_held_names_go_first_and_are_settled(spark):
+    zone, today, previous, deny, available, evidence = day_tables(spark, ["garden.com", "market.com", "silver.com", "station.com", "kept.com", "gone.com"])
+    zone = zone.filter("name not in ('kept.com', 'gone.com')")
+    held = spark.createDataFrame([("com", "Kept.com", dt.date(2026, 1, 19), 1), ("com", "gone.com", dt.date(2026, 1, 1), 4)], "tld string, name string, first_held_date date, checks int")
+    categories = spark.createDataFrame([(n, "clean") for n in ("garden.com", "kept.com")] + [("silver.com", "toxic"), ("station.com", "unknown")], "name string, category string")
+    available = available.filter("name <> 'gone.com'")
+    out = jobs.daily_run(zone, today, previous, deny, available, evidence, day(), held=held, categories=categories)
+    assert rows(out["published"], "name") == [("garden.com",), ("kept.com",)]
+    assert rows(out["held"], "name", "reasons") == [("market.com", ["content_unscreened"]), ("station.com", ["content_unscreened"])]
+    assert dict(rows(out["held_outcomes"])) == {"released": 1, "publish": 1, "expired": 1, "gone": 1, "new_held": 2}
+    assert rows(out["denylist"], "name") == [("silver.com",)] and rows(out["availability"]) == [(5, 0, 1)]
+
+
+def test_a_day_is_committed_output_first_and_names_last(spark, tmp_path):
+    zone, today, *rest = day_tables(spark, ["garden.com", "market.com"])
+    root = str(tmp_path / "state")
+    out = jobs.daily_run(zone, today, *rest, day())
+    import pytest
+
+    with pytest.raises(Exception):
+        jobs.commit_daily(out | {"denylist": out["denylist"].withColumn("x", F.raise_error(F.lit("lost"))).unionByName(spark.range(1).select(F.lit("n").alias("name"), day().alias("classified_date"), F.lit("v").alias("classifier_version"), F.raise_error(F.lit("lost")).cast("string").alias("x")), allowMissingColumns=True)}, today, root, "2026-01-20")
+    assert not (tmp_path / "state/names").exists() and (tmp_path / "state/payload").exists()
+    for _ in range(2):
+        jobs.commit_daily(out, today, root, "2026-01-20")
+    assert rows(readers.snapshot(spark, f"{root}/names", day="2026-01-20"), "name") == [("stays.com",)]
+    assert rows(readers.payload_rows(spark, f"{root}/payload", "name string"), "name") == [("garden.com",), ("market.com",)]
+    assert spark.read.json(f"{root}/drops").count() == 2
+
+
+def test_held_rows_without_dates_or_answers(spark):
+    held = spark.createDataFrame([("nodate", None, None), ("asked", dt.date(2026, 1, 19), 2)], "name string, first_held_date date, checks int")
+    none = spark.createDataFrame([], "name string")
+    survivors = spark.createDataFrame([], "name string, complete boolean, reasons array<string>")
+    confirmed = spark.createDataFrame([("nodate",)], "name string")
+    out = state.settle_held(held, none, none, survivors, none, day(), 3, confirmed=confirmed)
+    assert rows(out, "name", "action", F.col("first_held_date").cast("string"), "checks", "reasons") == [("asked", "held", "2026-01-19", 3, ["rdap_unknown"]), ("nodate", "held", "2026-01-20", 1, ["not_enriched"])]
+    new = spark.createDataFrame([("new",)], "name string")
+    assert rows(state.settle_held(held.limit(0), new, none, survivors, none, day(), 0), "action") == [("expired",)]
+
+
+def test_a_release_is_promoted_only_when_it_holds(spark, tmp_path):
+    vertices = spark.createDataFrame([(0, "com.a", 1), (1, "com.b", 1)], readers.VERTEX)
+    edges = spark.createDataFrame([(0, 1)], readers.EDGE)
+    pointer = spark.createDataFrame([("2026-may-jun-jul", None)], "current string, previous string")
+    go = lambda least, path: jobs.promote_release(vertices, edges, pointer, "2026-jun-jul-aug", str(tmp_path / path), day(), least_rows=least, present={"b.com": 1}, absent=["c.com"], keep=1)
+    assert rows(go(2, "one")["pointer"]) == [("2026-jun-jul-aug", "2026-may-jun-jul")]
+    assert rows(go(3, "two")["pointer"]) == [("2026-may-jun-jul", None)]
+
+
 def test_candidates_and_changes(spark):
     d = lambda n: dt.date(2026, 1, n)
     docs = spark.createDataFrame([("a.com", "available", 5, 2, d(1), d(9), 2001), ("b.com", "dropped", None, 0, d(5), d(5), None)], "domain string, status string, links int, captures int, first_seen date, last_seen date, first_year int")

@@ -246,11 +246,39 @@ def archive_observations(spark, sf_dir):
     return observations.observations(_full_events(spark, sf_dir), F.lit("2024-01-10").cast("date")).groupBy("name", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {_ARCHIVE_SQL}, by_day AS (SELECT * FROM archive QUALIFY row_number() OVER (PARTITION BY domain, drop_date ORDER BY source = 'live' DESC, event_id) = 1)
-SELECT domain, min(drop_date) AS first_seen, max(drop_date) AS last_seen, count(*) AS drop_days, 3 AS metrics, bool_or(event_type = 'purchase') AS ever_published, count(*) AS events FROM by_day GROUP BY domain""")
+_DOCUMENTS_SQL = f"""{_ARCHIVE_SQL}, by_day AS (SELECT * FROM archive QUALIFY row_number() OVER (PARTITION BY domain, drop_date ORDER BY source = 'live' DESC, event_id) = 1),
+docs AS (SELECT domain, min(drop_date) AS first_seen, max(drop_date) AS last_seen, count(*) AS drop_days, bool_or(event_type = 'purchase') AS ever_published, count(*) AS events,
+  CAST(arg_max(floor(value), drop_date) FILTER (event_type <> 'click') AS DOUBLE) AS links, arg_max(value, drop_date) FILTER (event_type = 'click') AS rank,
+  CAST(CASE WHEN bool_or(value > 10) THEN arg_max(floor(value / 25), drop_date) FILTER (value > 10) END AS DOUBLE) AS captures,
+  CASE WHEN bool_or(value > 10) THEN CASE WHEN arg_max(floor(value / 25), drop_date) FILTER (value > 10) > 0 THEN 'ok' ELSE 'none_found' END WHEN arg_max(value, drop_date) <= 2 THEN 'lookup_failed' ELSE 'not_checked' END AS captures_status,
+  CASE WHEN bool_or(value > 80) THEN 'clean' END AS verdict FROM by_day GROUP BY domain)
+"""
+
+
+def _documents(spark, sf_dir):
+    return jobs.api_snapshot(_full_events(spark, sf_dir), F.lit("2024-01-10").cast("date"))
+
+
+@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, first_seen, last_seen, drop_days, ever_published, events, captures, captures_status FROM docs""")
 def archive_documents(spark, sf_dir):
-    docs = jobs.api_snapshot(_full_events(spark, sf_dir), F.lit("2024-01-10").cast("date"))
-    return docs.select("domain", "zone.first_seen", "zone.last_seen", "zone.drop_days", F.size("metrics").alias("metrics"), "ever_published", "events")
+    return _documents(spark, sf_dir).select("domain", "zone.first_seen", "zone.last_seen", "zone.drop_days", "ever_published", "events", F.col("captures.value_num").alias("captures"), F.col("captures.status").alias("captures_status"))
+
+
+@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, 'com' AS tld, links, rank, captures, first_seen, last_seen, verdict FROM docs""")
+def archive_compact(spark, sf_dir):
+    return observations.compact(_documents(spark, sf_dir)).drop("status", "first_year")
+
+
+@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, first_seen, events FROM docs WHERE domain = 'user17.com'""")
+def archive_lookup(spark, sf_dir):
+    return observations.lookup(_documents(spark, sf_dir), " USER17.com. ").select("domain", "zone.first_seen", "events")
+
+
+@query(f"""WITH {_ARCHIVE_SQL}, by_day AS (SELECT * FROM archive WHERE domain = 'user17.com' QUALIFY row_number() OVER (PARTITION BY drop_date ORDER BY source = 'live' DESC, event_id) = 1), k AS (SELECT unnest(['availability', 'captures', 'category', 'cert_history', 'name_quality', 'open_page_rank', 'source_domain_count', 'left_zone']) AS name)
+SELECT CAST(drop_date AS TIMESTAMP) AS observed_at, name FROM by_day CROSS JOIN k""")
+def archive_domain_observations(spark, sf_dir):
+    seen = observations.observations(state.events_by_day(observations.grouped_events(_full_events(spark, sf_dir))), F.lit("2024-01-10").cast("date"))
+    return observations.of_domain(seen, "User17.com").select("observed_at", "name")
 
 
 # --- names, rules, scores ---------------------------------------------------------------------------------------------
@@ -470,7 +498,7 @@ def state_denylist_additions(spark, sf_dir):
 
 @query(f"""WITH {_SCORED_SQL}, x AS (SELECT *, id % 4 IN (0, 1) AS held, id % 4 <> 0 AS new, id % 10 = 0 AS registered, id % 6 <> 0 AS enriched, id % 6 <> 0 AND score >= 40 AS survived, evidence >= 4 AS complete, CAST(id % 12 AS INT) AS age FROM scored WHERE id % 4 <> 0 OR true)
 SELECT CASE WHEN held AND registered THEN 'reregistered' WHEN held AND survived AND complete THEN 'released' WHEN held AND enriched AND NOT survived THEN 'rejected' WHEN held AND age >= 7 THEN 'expired' WHEN held THEN 'held'
-  WHEN survived AND complete THEN 'publish' WHEN NOT survived THEN 'gone' ELSE 'new_held' END AS action, count(*) AS n FROM x GROUP BY 1""")
+  WHEN survived AND complete THEN 'publish' WHEN enriched AND NOT survived THEN 'gone' ELSE 'new_held' END AS action, count(*) AS n FROM x GROUP BY 1""")
 def state_held_queue(spark, sf_dir):
     rows = _scored(spark, sf_dir)
     today = F.lit("2026-01-20").cast("date")
@@ -840,3 +868,6 @@ def jobs_backfill(spark, sf_dir):
     rows = _t(spark, sf_dir, "events").select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit(".com")).alias("name"), F.to_date("ts").alias("first_seen_date"), F.to_date("ts").alias("snapshot_date"))
     none = spark.createDataFrame([], "domain string, drop_date date, source string, month string")
     return jobs.backfill(rows, none).groupBy("month").agg(F.count(F.lit(1)).alias("events"))
+
+
+from zonewright import catalog_jobs  # noqa: E402, F401  (its queries register themselves)

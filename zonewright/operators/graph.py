@@ -58,6 +58,22 @@ def bucket_counts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("release", count_bucket(F.col("source_domain_count")).alias("bucket")).agg(F.count(F.lit(1)).alias("names"))
 
 
+def bucket_ratios(counts: DataFrame, dimension: DataFrame) -> DataFrame:
+    """(release, previous, bucket, names, ratio): the names of a bucket against those of the release before it in time."""
+    table = bucket_counts(counts)
+    order = Window.orderBy("year", "end_month")
+    releases = table.select("release").distinct().join(F.broadcast(dimension), "release").withColumn("previous", F.lag("release").over(order)).select("release", "previous")  # one row a release
+    before = table.select(F.col("release").alias("previous"), "bucket", F.col("names").alias("_before"))
+    joined = table.join(releases, "release").join(before, ["previous", "bucket"], "left")
+    return joined.select("release", "previous", "bucket", "names", (F.col("names") / F.col("_before")).alias("ratio"))
+
+
+def current_release(pointer: DataFrame, release: str, checks: DataFrame) -> DataFrame:
+    """The pointer table (current, previous) after a refresh: moved on if every check holds, else as it was."""
+    passed = checks.agg(F.bool_and("ok").alias("ok"))
+    return passed.join(pointer, F.lit(True), "left").select(F.when(F.col("ok"), release).otherwise(F.col("current")).alias("current"), F.when(F.col("ok") & ~F.col("current").eqNullSafe(F.lit(release)), F.col("current")).otherwise(F.col("previous")).alias("previous"))
+
+
 def release_checks(counts: DataFrame, expected: str, *, least_rows: int, present: dict[str, int], absent: list[str]) -> DataFrame:
     """(place, check, ok): release id, row count, canaries present above their floor, canaries absent."""
     parts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("release") != expected).alias("foreign")]

@@ -117,6 +117,35 @@ def log_counters(lines: DataFrame, prefix: str) -> DataFrame:
     return last.select(F.explode(pairs).alias("counter", "n")).select("counter", F.col("n").cast("long").alias("n"))
 
 
+def log_map(lines: DataFrame, marker: str) -> DataFrame:
+    """(key, n) of the last line with the marker and a map behind it, `{'a': 1, 'b': 2}`."""
+    last = lines.filter(F.contains("value", F.lit(marker))).agg(F.max_by("value", "line_no").alias("value"))
+    pairs = F.regexp_extract_all(F.substring_index("value", marker, -1), F.lit("'[^']+':\\s*[0-9]+"), F.lit(0))
+    return last.select(F.explode(pairs).alias("p")).select(F.regexp_extract("p", "'([^']+)'", 1).alias("key"), F.regexp_extract("p", "([0-9]+)$", 1).cast("long").alias("n"))
+
+
+def log_tallies(lines: DataFrame, marker: str, words: tuple[str, ...]) -> DataFrame:
+    """(category, n) of the last line with the marker and all of `12 word, ..` behind it; none if a word is missing."""
+    counts = [F.regexp_extract(F.substring_index("value", marker, -1), rf"(?<![0-9])([0-9]+)\s+{w}\b", 1) for w in words]
+    found = lines.filter(F.contains("value", F.lit(marker)))
+    for c in counts:
+        found = found.filter(c != "")
+    last = found.agg(F.max_by("value", "line_no").alias("value")).filter("value is not null")
+    return last.select(F.inline(F.array(*[F.struct(F.lit(w).alias("category"), c.cast("long").alias("n")) for w, c in zip(words, counts)])))
+
+
+def log_strikes(lines: DataFrame, pattern: str) -> DataFrame:
+    """(host, strikes): the largest strike number that the log names of each host; pattern: groups for host and number."""
+    hits = lines.select(F.regexp_extract("value", pattern, 1).alias("host"), F.regexp_extract("value", pattern, 2).alias("n")).filter("host <> ''")
+    return hits.groupBy("host").agg(F.max(F.col("n").cast("int")).alias("strikes"))
+
+
+def excerpt_sources(rows: DataFrame) -> DataFrame:
+    """(excerpt_source, n) of rows with cached excerpts: reused, fetched (stale or missing ones that a fetch filled), missing."""
+    source = F.when(F.col("excerpt_source") == "reused", "reused").when(F.col("fetched"), "fetched").otherwise("missing")
+    return rows.groupBy(source.alias("excerpt_source")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def log_matches(lines: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """(metric, lines): how many lines each pattern meets, in one pass."""
     got = lines.agg(*[F.count_if(F.col("value").rlike(p)).alias(k) for k, p in patterns.items()])

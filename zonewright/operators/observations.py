@@ -69,18 +69,41 @@ def newest_answer(events: DataFrame, answered: Column) -> DataFrame:
 def documents(events: DataFrame, checked_since: Column) -> DataFrame:
     """One nested document a domain: zone, availability, metrics, captures, analysis, publication."""
     events = grouped_events(events)
+    seen = F.col("wayback_snapshots").isNotNull() & ~F.coalesce(F.col("wayback_unknown"), F.lit(False))
+    answered = newest_answer(events.filter("drop_date is not null"), seen)
+    status = scoring.capture_status(F.col("wayback_snapshots").isNotNull() | F.col("wayback_unknown"), F.col("wayback_unknown"), F.col("wayback_snapshots"))
+    captures = answered.select("domain", F.struct(F.col("wayback_snapshots").cast("double").alias("value_num"), status.alias("status"), F.coalesce("availability_confirmed_date", "drop_date").cast("timestamp").alias("observed_at")).alias("captures"))
     newest = latest(observations(events, checked_since))
     pick = lambda kind, what: F.max(F.when(F.col("kind") == kind, what))
     one = F.struct("name", "value_num", "value_bool", "observed_at", "status", "source")
     wide = newest.groupBy("domain").agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "metric", one))).alias("metrics"),
         pick("availability", F.struct("value_str", "observed_at", "source")).alias("availability"),
-        pick("captures", F.struct("value_num", "status", "observed_at")).alias("captures"),
         F.max(F.when(F.col("name") == "category", F.col("value_str"))).alias("category"),
         F.max(F.when(F.col("name") == "name_quality", F.col("value_num"))).alias("name_quality"),
     )
     analysis = F.when(F.col("category").isNotNull() | F.col("name_quality").isNotNull(), F.struct("category", "name_quality"))
-    return roll_up(events).join(wide, "domain").select("domain", F.struct("first_seen", "last_seen", "drop_days").alias("zone"), "availability", "metrics", "captures", analysis.alias("analysis"), "ever_published", "events")
+    return roll_up(events).join(wide, "domain").join(captures, "domain", "left").select("domain", F.struct("first_seen", "last_seen", "drop_days").alias("zone"), "availability", "metrics", "captures", analysis.alias("analysis"), "ever_published", "events")
+
+
+def lookup(docs: DataFrame, domain: str) -> DataFrame:
+    """The document of a domain as anyone may write it: no row if there is none."""
+    return docs.filter(F.col("domain") == names.normalize_domain(F.lit(domain), idna=False))
+
+
+def of_domain(rows: DataFrame, domain: str) -> DataFrame:
+    """The observations of a domain, oldest first."""
+    return rows.filter(F.col("domain") == names.normalize_domain(F.lit(domain), idna=False)).orderBy("observed_at", "kind", "name", "source")
+
+
+def compact(docs: DataFrame) -> DataFrame:
+    """The flat rows that candidate lists show and filter: domain, tld, status, links, rank, captures, first_seen, last_seen,
+    first_year, verdict."""
+    metric = lambda n: F.get(F.filter("metrics", lambda m: m["name"] == n), F.lit(0))["value_num"]
+    return docs.select(
+        "domain", names.tld(F.col("domain")).alias("tld"), F.col("availability.value_str").alias("status"), metric("source_domain_count").alias("links"), metric("open_page_rank").alias("rank"),
+        F.col("captures.value_num").alias("captures"), F.col("zone.first_seen").alias("first_seen"), F.col("zone.last_seen").alias("last_seen"), F.lit(None).cast("int").alias("first_year"), F.col("analysis.category").alias("verdict"),
+    )
 
 
 def candidates(docs: DataFrame, *, tld: str | None = None, status: str | None = None, least_links: int | None = None, has_captures: bool | None = None, first_after: str | None = None, updated_after: str | None = None, sort: str = "first_seen") -> DataFrame:

@@ -38,13 +38,13 @@ def host_quota(runtime_s: Column, workers: Column, throttle_s: Column) -> Column
     return F.when(throttle_s > 0, F.greatest(F.lit(1), F.floor(runtime_s * workers / throttle_s)))
 
 
-def within_quota(rows: DataFrame, quotas: DataFrame, day: str | None = None) -> DataFrame:
+def within_quota(rows: DataFrame, quotas: DataFrame, day: str | Column | None = None) -> DataFrame:
     """Rows (host, name, ..) within the quota of their host: by score if rows have phase2_score, else in an order that a
     hash of name and day gives, the same in every run of that day."""
     if "phase2_score" in rows.columns:
         order = [F.desc_nulls_last("phase2_score"), F.col("name")]
     else:
-        order = [F.xxhash64("name", F.lit(day or "")), F.col("name")]
+        order = [F.xxhash64("name", day if isinstance(day, Column) else F.lit(day or "")), F.col("name")]
     joined = rows.join(quotas.select("host", "quota"), "host", "left")
     free, asked = joined.filter("quota is null"), joined.filter("quota is not null")
     # first in slices of each host, so that one host's names are not ordered in one task

@@ -69,6 +69,13 @@ def keep_unless_registered(rows: DataFrame) -> DataFrame:
     return rows.filter(~F.col("dns_available").eqNullSafe(F.lit(False)))
 
 
+def available_only(rows: DataFrame, availability: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of names known to be free, one row of counts): unknown is turned away like registered, but counted apart."""
+    asked = rows.join(availability.groupBy("name").agg(F.bool_and("is_available").alias("is_available")), "name", "left")
+    counts = asked.agg(F.count_if("is_available").alias("available"), F.count_if(~F.col("is_available")).alias("registered"), F.count_if(F.col("is_available").isNull()).alias("unknown"))
+    return asked.filter("is_available").drop("is_available"), counts
+
+
 def with_publication(available: DataFrame, published: DataFrame) -> DataFrame:
     """All available rows, with was_published."""
     marks = published.select("name").distinct().withColumn("_published", F.lit(True))

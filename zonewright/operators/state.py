@@ -44,21 +44,29 @@ def split_toxic(rows: DataFrame, denylist: DataFrame) -> tuple[DataFrame, DataFr
     return marked.filter(~toxic).drop("_low", "_remembered"), marked.filter(toxic).drop("_low", "_remembered")
 
 
-def settle_held(held: DataFrame, candidates: DataFrame, enriched: DataFrame, survivors: DataFrame, registered: DataFrame, today: Column, window_days: int) -> DataFrame:
+def incomplete_reasons(required: tuple[str, ...] = ("wayback_snapshots", "open_page_rank")) -> Column:
+    """Why a row is not fully screened, as an array: empty if it is. Rows have snapshot_category and wayback_unknown."""
+    unscreened = F.coalesce(F.col("snapshot_category"), F.lit("unknown")) == "unknown"
+    reasons = [F.when(unscreened, "content_unscreened"), F.when(F.col("wayback_unknown"), "wayback_unknown"), *[F.when(F.col(c).isNull(), f"missing:{c}") for c in required]]
+    return F.array_compact(F.array(*reasons))
+
+
+def settle_held(held: DataFrame, candidates: DataFrame, enriched: DataFrame, survivors: DataFrame, registered: DataFrame, today: Column, window_days: int, confirmed: DataFrame | None = None) -> DataFrame:
     """One row a name with its action. All tables have name; held: first_held_date, checks; candidates are the new rows;
-    survivors: complete, reasons.
+    survivors: complete, reasons; confirmed: names known to be free (without it all that are not registered).
 
     Held: reregistered; released (survived, complete); rejected (enriched, filtered out); expired; held. New: publish;
-    gone; new_held.
+    gone; new_held, or expired where nothing is held at all. A held row without a date begins its window today.
     """
     flag = lambda df, c: df.select("name").distinct().withColumn(c, F.lit(True))
     old = held.select("name", "first_held_date", "checks").withColumn("_held", F.lit(True))
     new = flag(candidates, "_new")
     every = old.join(new, "name", "full")
     every = every.join(flag(registered, "_registered"), "name", "left").join(flag(enriched, "_enriched"), "name", "left")
+    every = every.join(flag(confirmed, "_free"), "name", "left") if confirmed is not None else every.withColumn("_free", F.lit(True))
     every = every.join(survivors.select("name", F.coalesce("complete", F.lit(False)).alias("complete"), "reasons").withColumn("_survived", F.lit(True)), "name", "left")
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    expired = F.datediff(today, F.col("first_held_date")) >= window_days
+    expired = F.datediff(today, F.coalesce("first_held_date", today)) >= window_days
     action = (
         F.when(yes("_held") & yes("_registered"), "reregistered")
         .when(yes("_held") & yes("_survived") & yes("complete"), "released")
@@ -66,13 +74,14 @@ def settle_held(held: DataFrame, candidates: DataFrame, enriched: DataFrame, sur
         .when(yes("_held") & expired, "expired")
         .when(yes("_held"), "held")
         .when(yes("_survived") & yes("complete"), "publish")
-        .when(~yes("_survived"), "gone")
+        .when(yes("_enriched") & ~yes("_survived"), "gone")
+        .when(F.lit(window_days <= 0), "expired")
         .otherwise("new_held")
     )
-    reasons = F.when(yes("_survived"), F.coalesce("reasons", F.array().cast("array<string>"))).when(yes("_enriched"), F.array().cast("array<string>")).otherwise(F.array(F.lit("not_enriched")))
+    reasons = F.when(yes("_survived"), F.coalesce("reasons", F.array().cast("array<string>"))).when(yes("_enriched"), F.array().cast("array<string>")).when(yes("_new") | yes("_free"), F.array(F.lit("not_enriched"))).otherwise(F.array(F.lit("rdap_unknown")))
     out = every.withColumn("action", action)
     return out.select(
-        "name", "action", F.coalesce("first_held_date", F.when(F.col("action") == "new_held", today)).alias("first_held_date"),
+        "name", "action", F.coalesce("first_held_date", F.when(F.col("action").isin("new_held", "held"), today)).alias("first_held_date"),
         F.when(F.col("action") == "held", F.coalesce("checks", F.lit(0)) + 1).when(F.col("action") == "new_held", 0).otherwise(F.col("checks")).cast("int").alias("checks"),
         F.when(F.col("action").isin("held", "new_held"), reasons).alias("reasons"),
     )

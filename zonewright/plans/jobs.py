@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from zonewright.functions import names, rules, scoring, text
 from zonewright.operators import graph, metrics, observations, ranking, signals, snapshot, state
+from zonewright.sources import writers
 from zonewright.sources.staging import staged
 
 
@@ -16,10 +17,18 @@ from zonewright.sources.staging import staged
 class Daily:
     rules: rules.Rules = rules.DEFAULT
     scoring: scoring.Scoring = scoring.DEFAULT
+    #: Names that a ranker is sent, the least score that goes on, and how many must have it for the ranking to count.
     narrow_to: int = 2500
     gate: int = 60
+    least_eligible: int = 10
+    #: Names that availability is asked for, the most natural ones first; 0: all.
+    most_checked: int = 15_000
     publish: int = 200
-    held_days: int = 7
+    held_days: int = 3
+    required: tuple[str, ...] = ("wayback_snapshots", "open_page_rank")
+    strict: bool = True
+    shadow: bool = False
+    classifier: str = "1"
     registrars: dict[str, str] = field(default_factory=lambda: {"registrar": "https://registrar.example/?q={domain}"})
 
 
@@ -30,50 +39,132 @@ def filtered_drops(yesterday: DataFrame, today: DataFrame, c: Daily = Daily()) -
     return dropped.withColumn("reject_reason", reason)
 
 
-def daily_run(yesterday: DataFrame, today: DataFrame, previous: DataFrame, denylist: DataFrame, availability: DataFrame, evidence: DataFrame, day: Column, c: Daily = Daily()) -> dict[str, DataFrame]:
-    """The tables of one day. availability: name, is_available. evidence: name and the signal columns.
-
-    The two tables that the rest fans out from, drops and scored survivors, are written once.
+def ranked(lexical: DataFrame, ranker: DataFrame | None, c: Daily = Daily()) -> tuple[DataFrame, DataFrame, bool]:
+    """(what goes on, the ranker's status row, whether it is ranked). ranker: name, phase2_score, phase2_reason of the names
+    that it answered for. Without a ranker, or where it answered too little, the whole list goes on as it is; else the
+    names at the gate or above, with their scores."""
+    if ranker is None:
+        return lexical, metrics.ranker_mode(lexical.limit(0).withColumn("phase2_score", F.lit(None).cast("int")), enabled=False, gate=c.gate, least=c.least_eligible), False
+    sent = ranking.pre_narrow(lexical, c.narrow_to).select(*lexical.columns)
+    answers = staged(sent.join(ranker.select("name", "phase2_score", "phase2_reason"), "name", "left"), "ranked")
+    status = metrics.ranker_mode(answers, enabled=True, gate=c.gate, least=c.least_eligible)
+    if status.first()["mode"] == "fallback":  # one row
+        return lexical, status, False
+    return answers.filter(F.col("phase2_score") >= c.gate), status, True
+
+
+def daily_run(
+    yesterday: DataFrame, today: DataFrame, previous: DataFrame, denylist: DataFrame, availability: DataFrame, evidence: DataFrame, day: Column, c: Daily = Daily(), *,
+    ranker: DataFrame | None = None, services: DataFrame | None = None, quotas: DataFrame | None = None, overflow: DataFrame | None = None, held: DataFrame | None = None, categories: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The tables of one day. availability: name, is_available (free names only are looked at further). evidence: name and
+    the signal columns. ranker: name, phase2_score, phase2_reason. services: tlds, urls, and quotas: host, quota, of the
+    hosts that availability is asked of. overflow: what was above the gate and not asked for on earlier days. held: tld,
+    name, first_held_date, checks of names whose screening was not complete. categories: name, category.
+
+    The tables that the rest fans out from are written once: drops, answers of the ranker, scored rows. What the day
+    leaves to the next one (overflow, held, denylist) comes back as tables, to be written by commit_daily.
     """
     drops = staged(filtered_drops(yesterday, today, c), "drops")
     lexical = drops.filter("reject_reason is null").drop("reject_reason")
-    # without a ranker the whole list goes on: only what a ranker is sent is narrowed
-    free = lexical.join(availability.filter("is_available").select("name"), "name", "left_semi")
+    eligible, status, is_ranked = ranked(lexical, ranker, c)
+    pool = ranking.pre_narrow(eligible, c.most_checked).select(*eligible.columns) if c.most_checked > 0 else eligible
+    if services is not None and quotas is not None:
+        pool = ranking.within_quota(ranking.hosts_of_tlds(pool, services), quotas, day.cast("string")).drop("host")
+    selected = staged(pool, "selected")
+    none_yet = eligible.select("tld", "name").limit(0).withColumn("first_seen_date", day)
+    left_over = state.overflow(none_yet if overflow is None else overflow, eligible.select("tld", "name") if is_ranked else none_yet.select("tld", "name"), selected, day)
+
+    # held names are asked for first, whatever the quotas
+    queue = (none_yet.select("tld", "name", day.alias("first_held_date"), F.lit(0).alias("checks")) if held is None else held).withColumn("name", F.lower(F.trim("name"))).filter("name <> ''").dropDuplicates(["name"])
+    asked = snapshot.concat_ahead(queue.drop("first_held_date", "checks"), selected)
+    free, turned_away = signals.available_only(asked, availability)
     enriched = free.join(evidence, "name", "left").withColumn("dropped_date", day)
-    remembered = denylist.select(F.lower("name").alias("name"), F.lit(True).alias("_remembered")).dropDuplicates(["name"])
+    for column, kind in (("snapshot_category", "string"), ("wayback_unknown", "boolean")):
+        if column not in enriched.columns:
+            enriched = enriched.withColumn(column, F.lit(None).cast(kind))
+    if categories is not None:
+        enriched = state.apply_category(enriched, categories, shadow=c.shadow)
+    enriched = staged(enriched, "enriched")
+
+    additions = state.denylist_additions(denylist, enriched.filter("snapshot_category = 'toxic'"), day, c.classifier)
+    remembered = denylist.select(F.lower("name").alias("name")).unionByName(additions.select("name")).distinct().withColumn("_remembered", F.lit(True))
     judged = enriched.join(remembered, "name", "left")
-    judged = judged.withColumn("reject_reason", rules.evidence_reason(F.col("spam_flagged"), F.col("surbl_listed"), F.col("spamhaus_listed"), F.col("snapshot_category"), F.col("_remembered"), F.col("wayback_snapshots"))).drop("_remembered")
+    reason = rules.evidence_reason(F.col("spam_flagged"), F.col("surbl_listed"), F.col("spamhaus_listed"), F.col("snapshot_category"), F.col("_remembered"), F.col("wayback_snapshots"), strict=c.strict)
+    judged = judged.withColumn("reject_reason", reason).drop("_remembered").withColumn("reasons", state.incomplete_reasons(c.required))
     scored = judged.withColumn("score", scoring.score(c.scoring)).withColumn("evidence", scoring.evidence_count(c.scoring))
     scored = scored.withColumn("soft", rules.soft_signal(F.col("name"), c.rules)).withColumn("verdict", scoring.verdict(F.col("soft"), F.col("snapshot_category"), F.col("score"), F.col("evidence"), c.scoring))
     scored = staged(scored, "scored")
-    survivors = scoring.quality_floor(scored.filter("reject_reason is null"), c.scoring)
-    listed = state.rolling_list(previous, today, survivors.filter("floor_reason is null"), day)
-    published = ranking.top(listed, c.publish).withColumn("registrars", scoring.registrar_links(F.col("name"), c.registrars))
+
+    survivors = scored.filter("reject_reason is null")
+    registered = asked.join(availability.filter("not is_available"), "name", "left_semi")
+    settled = state.settle_held(queue, free.filter("place = 1"), enriched, survivors.withColumn("complete", F.size("reasons") == 0), registered, day, c.held_days, confirmed=free)
+    settled = staged(settled, "settled")
+    if held is None:  # no queue is kept: what survives is judged by the floor alone
+        screened, queued = survivors, queue.select("tld", "name", "first_held_date", "checks").withColumn("reasons", F.array().cast("array<string>"))
+    else:
+        screened = survivors.join(settled.filter("action in ('released', 'publish')").select("name"), "name", "left_semi")
+        queued = settled.filter("action in ('held', 'new_held')").join(asked.select("name", "tld").dropDuplicates(["name"]), "name").select("tld", "name", "first_held_date", "checks", "reasons")
+    judged_out = scoring.quality_floor(screened, c.scoring)
+    listed = state.rolling_list(previous, today, judged_out.filter("floor_reason is null"), day)
+    published = staged(ranking.top(listed, c.publish).withColumn("registrars", scoring.registrar_links(F.col("name"), c.registrars)), "published")
     return {
-        "drops": drops, "rejects": metrics.reason_histogram(drops.unionByName(scored.select("tld", "name", "reject_reason"))), "scored": scored, "survivors": survivors, "listed": listed,
-        "published": scoring.published_row(published), "header": metrics.header(published),
+        "drops": drops, "rejects": metrics.reason_histogram(drops.unionByName(scored.select("tld", "name", "reject_reason"))), "ranker": status, "availability": turned_away, "selected": selected,
+        "scored": scored, "survivors": judged_out, "held_outcomes": metrics.value_counts(settled, "action"), "listed": listed, "published": scoring.published_row(published), "header": metrics.header(published),
+        "overflow": left_over, "held": queued, "denylist": additions, "available": signals.with_publication(enriched, published),
+        "funnel": metrics.funnel({"drops": drops, "lexical": lexical, "selected": selected, "available": enriched.filter("place = 1"), "survivors": survivors.filter("place = 1")}),
     }
 
 
+def commit_daily(tables: dict[str, DataFrame], today: DataFrame, root: str, day: str) -> None:
+    """Write a day: the published payload, then what the next day starts from, and the names themselves last, so that a run
+    that fails on the way leaves yesterday's names and finds the same drops again."""
+    writers.payload(tables["published"], tables["header"]).write.mode("overwrite").text(f"{root}/payload")
+    writers.hand_off(tables["drops"], f"{root}/drops", day)
+    writers.hand_off(tables["available"].select("name", "was_published"), f"{root}/available", day)
+    for name in ("overflow", "held", "denylist"):
+        tables[name].withColumn("day", F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/{name}")
+    writers.commit_snapshot(today, f"{root}/names", day)
+
+
 def graph_refresh(vertices: DataFrame, edges: DataFrame, release: str, *, least_rows: int, present: dict[str, int], absent: list[str]) -> tuple[DataFrame, DataFrame]:
     """(counts of the release, checks): the caller promotes the release when all checks are ok."""
     counts = staged(graph.link_release(vertices, edges).withColumn("release", F.lit(release)), "release")
     return counts, graph.release_checks(counts, release, least_rows=least_rows, present=present, absent=absent)
 
 
-def reclassify(rows: DataFrame, cache: DataFrame, replies: DataFrame, denylist: DataFrame, day: Column, *, mode: str = "default", most_age_days: int = 90, version: str = "1") -> dict[str, DataFrame]:
-    """Carried rows classified again: replies: name, category."""
-    wanted = state.targets(rows, mode)
-    with_cache = state.cached_excerpts(wanted, cache, day, most_age_days)
-    found = signals.requested_only(wanted, replies)
-    labelled = state.apply_category(rows, found, shadow=False)
-    additions = state.denylist_additions(denylist, found.filter("category = 'toxic'"), day, version)
+def promote_release(vertices: DataFrame, edges: DataFrame, pointer: DataFrame, release: str, path: str, built_at: Column, *, least_rows: int, present: dict[str, int], absent: list[str], keep: int, protected: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """A refresh to its end: the release is written and read back, checked as written, the pointer (current, previous) moves
+    on if it holds, and a plan says which releases go: never one that the pointer names."""
+    spark = vertices.sparkSession
+    meta = writers.write_release(graph.link_release(vertices, edges), path, release, built_at)
+    written = spark.read.parquet(path)
+    checks = staged(graph.release_checks(written.filter(F.col("release") == release), release, least_rows=least_rows, present=present, absent=absent), "checks")
+    moved = staged(graph.current_release(pointer, release, checks), "pointer")
+    named = [x for r in moved.collect() for x in (r["current"], r["previous"]) if x]  # one row
+    plan = graph.retention_plan(written, names.release_table(spark), keep, [*protected, *named])
+    return {"meta": meta, "checks": checks, "pointer": moved, "plan": plan, "buckets": graph.bucket_counts(written)}
+
+
+def reclassify(rows: DataFrame, cache: DataFrame, fetched: DataFrame, replies: DataFrame, denylist: DataFrame, day: Column, c: Daily = Daily(), *, mode: str = "default", top: int | None = None, most_age_days: int = 90) -> dict[str, DataFrame]:
+    """Carried rows classified again. cache: name, excerpt. fetched: name, excerpt, html of the excerpts that were asked for
+    anew. replies: name, category of the model. Parked markers and spam terms beat the model's word."""
+    wanted = state.targets(rows, mode, top)
+    known = state.cached_excerpts(wanted, cache, day, most_age_days)
+    fresh = known.filter("excerpt_source <> 'reused'").select("name").join(fetched, "name")
+    merged = staged(state.merge_cache(cache, fresh.select("name", "excerpt")), "excerpts")
+    pages = wanted.select("name").join(merged, "name", "left").join(fetched.select("name", "html"), "name", "left").select("name", "excerpt.title", "excerpt.meta_description", "excerpt.h1", "excerpt.h2", "html")
+    found = staged(signals.classify_excerpts(pages, signals.requested_only(wanted, replies), c.rules), "categories")
+    labelled = state.apply_category(rows, found, shadow=c.shadow)
+    additions = state.denylist_additions(denylist, found.filter("category = 'toxic'"), day, c.classifier)
     kept, evicted = state.split_toxic(labelled, denylist.select("name").unionByName(additions.select("name")))
-    return {"kept": kept, "evicted": evicted, "denylist": additions, "sources": metrics.value_counts(with_cache, "excerpt_source"), "header": metrics.header(kept)}
+    sources = metrics.excerpt_sources(known.join(fresh.filter(text.usable_excerpt(F.col("excerpt"))).select("name", F.lit(True).alias("fetched")), "name", "left"))
+    counts = metrics.category_counts(found, list(signals.CATEGORIES))
+    return {"kept": kept, "evicted": evicted, "denylist": additions, "cache": merged, "categories": counts, "blind": metrics.blind(counts), "sources": sources, "header": metrics.header(kept)}
 
 
 def refilter(rows: DataFrame, c: Daily = Daily()) -> DataFrame:
-    """A published table under the rules of today, verdicts made anew."""
+    """A published table under the rules of today, verdicts made anew. metrics.header gives its new header."""
     kept = rows.filter(rules.structural_reason(F.col("name"), c.rules).isNull())
     return kept.withColumn("verdict", scoring.verdict(rules.soft_signal(F.col("name"), c.rules), F.col("snapshot_category"), F.col("score"), F.col("evidence"), c.scoring))
 
@@ -117,10 +208,23 @@ def front_page(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ranking.by_score(fresh_today(rows)), ranking.by_score(rows.filter(F.coalesce("days_listed", F.lit(0)) > 0))
 
 
-def run_report(lines: DataFrame, release_end: Column, now: Column) -> dict[str, DataFrame]:
+def front_page_figures(stages: dict[str, DataFrame]) -> DataFrame:
+    """The funnel figures of the front page: no rows unless every stage is no larger than the one before."""
+    table = metrics.funnel(stages)
+    return table.join(table.agg(F.bool_and("consistent").alias("_all")).filter("_all"), F.lit(True)).select("place", "stage", "rows")
+
+
+def run_report(lines: DataFrame, release_end: Column, now: Column, categories: tuple[str, ...] = ("legitimate", "parked", "toxic", "empty", "unknown")) -> dict[str, DataFrame]:
+    """What a run's log says: coverage and its alarms, queue counters, rejects, category tallies and whether the classifier
+    was blind, strikes by host, lines by kind, freshness of the link release."""
     age, old = metrics.freshness(release_end, now)
     one = lines.sparkSession.range(1)
-    return {"coverage": metrics.coverage_alarms(metrics.log_coverage(lines)), "held": metrics.log_counters(lines, "Held queue"), "freshness": one.select(age.alias("age_days"), old.alias("stale")), "signals": metrics.log_matches(lines, {"host_stops": "circuit open for", "warnings": r"\bWARNING\b", "errors": r"\bERROR\b"})}
+    tallies = metrics.log_tallies(lines, "results", categories)
+    return {
+        "coverage": metrics.coverage_alarms(metrics.log_coverage(lines)), "held": metrics.log_counters(lines, "Held queue"), "rejects": metrics.log_map(lines, "rejections"),
+        "categories": tallies, "blind": metrics.blind(tallies), "strikes": metrics.log_strikes(lines, r"host (\S+) strike ([0-9]+)"), "freshness": one.select(age.alias("age_days"), old.alias("stale")),
+        "signals": metrics.log_matches(lines, {"host_stops": "circuit open for", "warnings": r"\bWARNING\b", "errors": r"\bERROR\b"}),
+    }
 
 
 def list_filter(rows: DataFrame, search: str, tld: str | None) -> DataFrame:

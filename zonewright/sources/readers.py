@@ -68,6 +68,20 @@ def dated_payloads(spark: SparkSession, path: str, row_schema: str) -> DataFrame
     return read.withColumn("snapshot_date", day).select("snapshot_date", F.inline("domains")).filter("name is not null")
 
 
+EXCERPT = "struct<snapshot_timestamp: string, title: string, meta_description: string, h1: array<string>, h2: array<string>>"
+
+
+def excerpt_cache(spark: SparkSession, path: str) -> DataFrame:
+    """(name, excerpt) of a JSON object of names; a null is a failure to remember, values of other kinds are dropped. None
+    at all if the file is missing or no object."""
+    try:
+        whole = spark.read.text(path, wholetext=True)
+    except AnalysisException:
+        return spark.createDataFrame([], f"name string, excerpt {EXCERPT}")
+    entries = whole.select(F.explode(F.from_json("value", "map<string, string>")).alias("name", "raw"))
+    return entries.filter(F.col("raw").isNull() | F.col("raw").rlike(r"^\s*\{")).select("name", F.from_json("raw", EXCERPT).alias("excerpt"))
+
+
 def archive(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All months of the event archive; empty before the first append."""
     try:
@@ -78,4 +92,4 @@ def archive(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, value) of one log file; the order of lines is kept."""
-    return spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line_no", "value"))

@@ -14,10 +14,12 @@ def commit_snapshot(names: DataFrame, path: str, day: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tld", "snapshot_date").parquet(path)
 
 
-def payload(rows: DataFrame, header: DataFrame) -> DataFrame:
-    """One row of JSON: header counts (absent where null) and the published rows, best first."""
+def payload(rows: DataFrame, header: DataFrame, most: int = 1000) -> DataFrame:
+    """One row of JSON: header counts (absent where null) and the published rows, best first; a payload is one document and
+    holds `most` rows."""
+    rows = rows.orderBy(F.desc_nulls_last("score"), "name").limit(most)
     order = F.struct((-F.coalesce("score", F.lit(-1))).alias("k"), "name", F.struct(*rows.columns).alias("row"))
-    listed = rows.agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["row"]).alias("domains"))  # the published list is capped
+    listed = rows.agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["row"]).alias("domains"))
     return header.crossJoin(F.broadcast(listed)).select(F.to_json(F.struct(*header.columns, "domains"), {"ignoreNullFields": "true"}).alias("value"))
 
 
@@ -30,6 +32,17 @@ def append_events(events: DataFrame, existing: DataFrame, path: str) -> int:
     return new.count()
 
 
+def stage_tables(drops: DataFrame, survivors: DataFrame, published: DataFrame) -> dict[str, DataFrame]:
+    """The stages of a day for dump_stages: rejects with their reason, survivors, those of them that were not published, and
+    those that were."""
+    return {"rejects": drops.filter("reject_reason is not null"), "survivors": survivors, "discards": survivors.join(published.select("name"), "name", "left_anti"), "published": published}
+
+
+def hand_off(rows: DataFrame, path: str, day: str) -> None:
+    """A day's full list (drops, or the set of free names) for the jobs after it; a second run of the day replaces it."""
+    rows.withColumn("day", F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").json(path)
+
+
 def dump_stages(stages: dict[str, DataFrame], path: str, order: str = "name") -> None:
     for name, rows in stages.items():
         rows.orderBy(order).select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(f"{path}/{name}")
