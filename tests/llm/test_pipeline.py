@@ -47,6 +47,20 @@ def test_stages(spark, tmp_path):
         assert zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])]) == r["ids_crc32"]
 
 
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars int, class string, language string, mix_pass int, copy int, _row string"
+    rows = [(i, f"plain words number {i} and some more of them", "en", "src0", 9, "a", "b", 1, 2, "c") for i in range(30)] + [(None, None, None, None, None, None, None, None, None, None)] * 2
+    for k, part in enumerate((rows, [])):
+        d = tmp_path / f"t{k}"
+        spark.createDataFrame(part, schema).write.parquet(str(d / "documents.parquet"))
+        docs = spark.read.parquet(str(d / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(d))
+            assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in spark.read.parquet(str(d / "documents.parquet")).schema]
+        found = corpus_pipeline.run(spark, str(d)).collect()
+        assert {r["doc_id"] for r in found} == {r[0] for r in part if r[1]}
+
+
 def test_run_is_registered(spark):
     from zonewright.llm import registry
 

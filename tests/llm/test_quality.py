@@ -68,3 +68,36 @@ def test_held_out_accuracy(spark):
     trees = quality.fit_on_labels(docs, labels.filter("doc_id % 2 = 0"))
     held = quality.judge(docs, trees).join(labels.filter("doc_id % 2 = 1"), "doc_id").select("quality", "kept").collect()
     assert sum((r["quality"] == 1) == r["kept"] for r in held) > 0.95 * len(held)
+
+
+def test_flat_arrays_score_as_walking_the_nodes_does():
+    g = np.random.default_rng(4)
+    x, y = g.uniform(size=(800, 4)), g.integers(0, 2, 800).astype(float)
+    x[::7, 2] = x[3, 2]  # ties at a threshold
+    trees = quality.fit(x, y, [0, 1, -1, 0], rounds=12)
+    edges = trees.threshold[np.isfinite(trees.threshold)]
+    x[:50, :] = g.choice(edges, (50, 4))  # values right at thresholds
+    for row, score in zip(x, trees.score(x), strict=True):
+        total = trees.start
+        for feature, threshold, value in zip(trees.feature, trees.threshold, trees.value, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (1 if row[feature[node]] <= threshold[node] else 2)
+            total += value[node - len(feature)]
+        assert abs(1 / (1 + np.exp(-total)) - score) < 1e-12
+
+
+def test_the_query_reads_every_text_whole(spark):
+    d = "/root/testdata/sf0.001"
+    rows = {r["doc_id"]: r for r in quality.op4_quality_rules(spark, d).collect()}
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    assert set(rows) == set(docs)
+    for k, r in rows.items():
+        n, chars, symbols, dups, repeats = brute(docs[k] or "")
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, dups, repeats)
+        assert r["base_failed"] == (n < 10 or 100 * repeats > 20 * n) and (not r["base_failed"] or not r["kept"])
+
+
+def test_a_very_long_text():
+    text = ("some words that go on " * 60_000) + "end"
+    assert quality.counts(text)[:5] == brute(text)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import bisect
 import re
 import string
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,9 +92,6 @@ class Index:
             for i, h in zip(at.tolist(), hashes.tolist(), strict=True):
                 self.places[h].append((k, i))
         self.hashes = np.array(sorted(self.places), np.int64)
-        prints = Counter(k for places in self.places.values() for k, _ in places)
-        #: Hits near one diagonal without which a match of the coverage cannot be: far fewer than a true one leaves.
-        self.needs = [max(1, prints[k] // 8) for k in range(len(self.words))]
 
     def ids(self, text: str) -> np.ndarray:
         """For each word of the text its number in the templates' vocabulary, or 0; words of punctuation only are -1."""
@@ -168,10 +165,8 @@ def scan(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple[str,
         start = 0
         while start < len(diagonals):  # hits whose diagonals lie within half a band make one candidate
             end = bisect.bisect_right(diagonals, diagonals[start] + BAND)
-            diagonal, n = diagonals[(start + end) // 2], end - start
+            diagonal = diagonals[(start + end) // 2]
             start = end
-            if n < index.needs[k]:
-                continue
             low, high = max(0, diagonal - BAND), min(len(ids), diagonal + len(template) + BAND)
             n, first, last = align(template, ids[low:high].tolist(), diagonal - low)
             if n >= coverage * len(template):
