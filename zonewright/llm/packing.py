@@ -34,7 +34,7 @@ PIECE = 256
 DOCS_PER_BLOCK = 256
 END_ID = 0
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 500_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
