@@ -15,6 +15,7 @@ from zonewright.functions import names, rules, scoring, text
 from zonewright.operators import graph, metrics, observations, ranking, signals, snapshot, state
 from zonewright.plans import jobs
 from zonewright.sources import readers
+from zonewright.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -604,9 +605,10 @@ def signals_captures(spark, sf_dir):
     return signals.captures(_t(spark, sf_dir, "events").select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit(".com")).alias("domain"), F.date_format("ts", "yyyyMMddHHmmss").alias("stamp")))
 
 
-@query("""SELECT 'user' || user_id || '.com' AS domain, count(DISTINCT event_type) AS cert_count, true AS cert_history FROM events GROUP BY user_id""")
+@query("""SELECT 'user' || user_id || '.com' AS domain, count(DISTINCT CASE WHEN value > 80 THEN event_type END) AS cert_count, bool_or(value > 80) AS cert_history FROM events GROUP BY user_id""")
 def signals_certificates(spark, sf_dir):
-    return signals.certificates(_t(spark, sf_dir, "events").select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit(".com")).alias("domain"), F.col("event_type").alias("id")))
+    rows = _t(spark, sf_dir, "events").select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit(".com")).alias("domain"), F.when(F.col("value") > 80, F.col("event_type")).alias("id"))
+    return signals.certificates(rows)
 
 
 @query("""WITH s AS (SELECT 'user' || user_id || '.com' AS domain, strftime(ts, '%Y%m%d%H%M%S') AS stamp, CAST(ts AS DATE) AS day FROM events WHERE event_type <> 'click'), m AS (SELECT min(CAST(ts AS DATE)) + 10 AS target FROM events)
@@ -660,7 +662,7 @@ scored AS (SELECT name, l, n, n * 7 % 100 AS score, n % 5 AS evidence, n * 200 A
 SELECT name, CASE WHEN contains(l, 'crypto') OR contains(l, 'vape') OR contains(l, 'dating') OR n % 6 = 0 THEN 'Caution' ELSE {_VERDICT_SQL} END AS verdict FROM scored""")
 def jobs_refilter(spark, sf_dir):
     n = F.length("name")
-    rows = _words(spark, sf_dir).select(
+    rows = staged(_words(spark, sf_dir), "words").select(  # such a table is stored: its filters are not to run before the distinct
         "name", F.when(n % 6 == 0, "parked").alias("snapshot_category"), (n * 7 % 100).alias("score"), (n % 5).alias("evidence"), (n * 200).alias("wayback_snapshots"), (n / 5).alias("open_page_rank"), F.when(n % 2 == 0, n).alias("cc_source_domain_count")
     )
     return jobs.refilter(rows).select("name", "verdict")
@@ -683,9 +685,10 @@ def signals_blocklist(spark, sf_dir):
     return _signals(spark, sf_dir).select("name", signals.blocklist_listed(answers, k == 2).alias("listed"))
 
 
-@query("""SELECT event_id, event_type = 'click' AS flagged, CASE WHEN event_type = 'click' THEN 'A,B' ELSE '' END AS types FROM events""")
+@query("""SELECT event_id, value > 60 AS flagged, CASE WHEN value > 60 THEN CASE WHEN event_type < 'm' THEN event_type || ',m' WHEN event_type > 'm' THEN 'm,' || event_type END ELSE '' END AS types FROM events""")
 def signals_threats(spark, sf_dir):
-    body = F.when(F.col("event_type") == "click", '{"matches": [{"threatType": "B"}, {"threatType": "A"}, {"threatType": "B"}]}').otherwise("{}")
+    threat = lambda x: F.struct(x.alias("threatType"))
+    body = F.when(F.col("value") > 60, F.to_json(F.struct(F.array(threat(F.lit("m")), threat(F.col("event_type")), threat(F.lit("m"))).alias("matches")))).otherwise("{}")
     flagged, types = signals.threat_reply(body)
     return _t(spark, sf_dir, "events").select("event_id", flagged.alias("flagged"), F.array_join(types, ",").alias("types"))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_collecting: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Where the session names none, a local master gets one of its own; on a
@@ -33,11 +37,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
+    for paths in _collecting:
+        paths.append(path)
     return out
 
 
+@contextlib.contextmanager
+def collected() -> Iterator[list[str]]:
+    """The folders that are staged within: for remove(), once what is made from them is written itself."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the folders of staged tables that nothing reads any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, [df.staged_at])
