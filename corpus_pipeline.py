@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonewright.llm import jaccard_join, language, mixing, packing, pii
-from zonewright.llm.common import materialize
+from zonewright.llm.common import discard, materialize
+from zonewright.sources.staging import collected, remove
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with collected() as scratch:
+            out = stage(spark, docs, sf_dir)
+        docs = materialize(out, name.replace(" ", "-"))
+        # what the stage read and staged is not needed once its result is written
+        remove(spark, scratch)
+        if written is not None:
+            discard(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
