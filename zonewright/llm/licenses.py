@@ -8,7 +8,8 @@ diagonal; the aligned words give the coverage of the template and the span in th
 one for each match of at least `coverage`.
 
 Defined cases: null and empty texts give no rows; a repeated row gives its matches again; a template found twice in a
-text gives two rows; a null doc_id is passed through; texts without matches and empty tables give none; other columns are
+text gives two rows; of overlapping candidates of one template the longest match stays (ties: the shorter span, then the
+first); a text of any length is scanned whole; a null doc_id is passed through; texts without matches and empty tables give none; other columns are
 ignored.
 """
 

@@ -7,7 +7,8 @@ tree is a complete binary tree, so all trees together are three numpy arrays, an
 level by level without a Python loop over rows.
 
 Defined cases: null text counts as no text (no words, base_failed); a null doc_id is passed through; repeated rows are
-judged alike; without labelled rows of both kinds there is no verdict but the base rules' (score null); an empty table
+judged alike; texts of any length are counted whole, by one task each; labels that contradict each other count as the
+better one; without labelled rows of both kinds there is no verdict but the base rules' (score null); an empty table
 gives no rows; other columns are ignored.
 """
 
