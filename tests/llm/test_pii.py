@@ -122,7 +122,7 @@ NAMES = {
     "Mr. O'Brien": ["O'Brien"], "MR. SMITH": ["SMITH"], "Mr. John Q. Smith": ["John", "Q.", "Smith"], "Mr. McDonald": ["McDonald", "Donald"], "Mrs. Smith-Jones": ["Smith", "Jones"],
     "Dr. Smith": ["Smith"], "Mr. J. R. R. Tolkien": ["J.", "Tolkien"], "Ms J.K. Rowling": ["J.", "K.", "Rowling"], "Herr von der Leyen": ["Leyen"], "Frau Anna van den Berg": ["Anna", "Berg"],
     "Prof. Marie Anne Dupont": ["Marie", "Anne", "Dupont"], "Señora García": ["García"], "Mr. D’Arcy": ["D’Arcy", "Arcy"], "Госпожа Анна Иванова": ["Анна", "Иванова"], "Κύριος Παππάς": ["Παππάς"],
-    "Mr. 王小明": ["王", "小", "明"], "MRS ANNA SMITH": ["ANNA", "SMITH"], "Mme Lefèvre": ["Lefèvre"], "Mr. R.Smith": ["R.", "Smith"], "Mr Ó Súilleabháin": ["Súilleabháin"],
+    "Mr. 王小明": ["王", "小", "明"], "MRS ANNA SMITH": ["ANNA", "SMITH"], "Mme Lefèvre": ["Lefèvre"], "Mr. R.Smith": ["R.", "Smith"], "Mr Ó Súilleabháin": ["Súilleabháin"], "MR Smith": [],
 }
 
 
@@ -131,9 +131,9 @@ def test_no_real_name_stays(spark):
     rows = run(spark, texts)
     for i, (name, gone) in enumerate(NAMES.items()):
         out = rows[i]["text"]
-        assert rows[i]["n"] == 1 and out.startswith("then " + name.split(" ")[0] + " ") and out.endswith(", it was"), out
+        assert rows[i]["n"] == bool(gone) and out.startswith("then " + name.split(" ")[0] + " ") and out.endswith(", it was"), out
         assert not any(g in out for g in gone), (name, out)
-        if name.split(" ")[-1].isascii():
+        if gone and name.split(" ")[-1].isascii():
             assert out[:-8].split(" ")[-1].isascii()
     assert re.fullmatch(r"then MR\. [A-Z]+, it was", rows[1]["text"]) and re.fullmatch(r"then Mr\. [A-Z][a-z]+ [A-Z]\. [A-Z][a-z]+, it was", rows[2]["text"])
     assert " von der " in rows[8]["text"] and " van den " in rows[9]["text"] and re.fullmatch("[\u0370-\u03ff]+", rows[14]["text"].split()[2][:-1])
@@ -144,7 +144,7 @@ def test_replacement_equals_a_plain_version_over_generated_names(spark):
 
     r = random.Random(3)
     part = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randrange(2, 4))).capitalize()
-    people = [(r.choice(["Mr", "Mrs", "Dr", "Herr", "MS"]) + r.choice([".", ""]), [part() for _ in range(r.randrange(1, 3))]) for _ in range(300)]
+    people = [(r.choice(["Mr", "Mrs.", "Dr", "Dr.", "Herr", "MS."]), [part() for _ in range(r.randrange(1, 3))]) for _ in range(300)]
     texts = [" and ".join(f"{t} {' '.join(w)}" for t, w in people[i : i + 3]) + " went home" for i in range(0, 300, 3)]
     rows, to = run(spark, texts), {}
     for i, text in enumerate(texts):

@@ -48,8 +48,8 @@ ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-_TITLES = sorted({x for ts in TITLES.values() for t in ts for x in (t, t.upper())}, key=lambda x: (-len(x), x))
-_TITLE = "|".join(_TITLES)
+_TITLES = sorted((t for ts in TITLES.values() for t in ts), key=lambda x: (-len(x), x))
+_TITLE, _SHOUTED = "|".join(_TITLES), "|".join(t.upper() for t in _TITLES)
 #: Goes on over inner capitals, hyphens and apostrophes, but for a possessive s; with one small letter at least, in
 #: capitals throughout, or of letters that have no case.
 _GOES_ON = r"(?:[\p{L}\p{M}]|[-‐‑](?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))"
@@ -64,10 +64,11 @@ def _person(word: str, words: int) -> str:
     return rf"(?:{_INITIALS} ?)*(?:{_PARTICLE} )*{word}(?: {_INITIALS})*(?: (?:{_PARTICLE} )*{word}){{0,{words - 1}}}"
 
 
-NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.? (?:{_person(_WORD, 3)}|{_person(_CAPITALS, 2)}|{_UNCASED})"
+#: A title in capitals marks a name in capitals, or with its dot any name.
+NAME = rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:{_person(_WORD, 3)}|{_person(_CAPITALS, 2)}|{_UNCASED})|(?:{_SHOUTED})(?:\.? {_person(_CAPITALS, 2)}|\. {_person(_WORD, 3)}))"
 ANY = f"{SECRET}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
 #: What every entity has somewhere; the quick test that most texts fail.
-SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE})\.? \p{{L}}|(?i:password|passwd|secret|api_key|token)"
+SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE}|{_SHOUTED})\.? \p{{L}}|(?i:password|passwd|secret|api_key|token)"
 
 #: Types of the parts of a name that get surrogates.
 _OF_NAMES = ("given_m", "given_f", "given_n", "surname")
