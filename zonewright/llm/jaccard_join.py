@@ -464,8 +464,10 @@ def candidate_groups(names: DataFrame, *, threshold: float = THRESHOLD, recall:
         runs, depth = needed, max(depth, reached)
     labels = _relabelled(names, links)
     discard(names)
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("label")
-    return materialize(labels.join(sizes, "label").select("id", "label"), "groups")
+    # a label is the least id of its group: a join by id, so that a large group is no hot key
+    others = labels.filter("label <> id")
+    heads = labels.join(others.select(F.col("label").alias("id")).distinct(), "id", "left_semi")
+    return materialize(others.select("id", "label").unionByName(heads.select("id", "label")), "groups")
 
 
 def compared(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -534,7 +536,8 @@ def classes(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall
     links, counts = compared(content, threshold)
     labels = components(links)
     whole = reps.join(labels, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
-    least = whole.groupBy("class").agg(F.min("least").alias("class_id"))
+    # written first, so that the join by class has an exchange of its own, which AQE splits where a class is large
+    least = materialize(whole.groupBy("class").agg(F.min("least").alias("class_id")), "least")
     whole = whole.join(counts, "id", "left").join(least, "class").select(
         "set_id", "class", "class_id", (F.col("copies") - 1).alias("n_copies"), F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links"), (F.coalesce("doc_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links")
     )
