@@ -559,11 +559,12 @@ def keep_one(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recal
     repeated = materialize(repeated.join(dropped, "row", "left_anti"), "repeated")
     mark = unused(docs.columns, "_row")
     marked = docs.withColumn(mark, row_key(docs))
-    as_mark = lambda keys: keys.select(F.col("row").alias(mark))
+    # always by shuffle: what is dropped grows with the input, whatever its size here
+    as_mark = lambda keys: keys.select(F.col("row").alias(mark)).hint("merge")
     if repeated.isEmpty():
         return marked.join(as_mark(dropped), mark, "left_anti").select(*docs.columns)
     plain = marked.join(as_mark(dropped.unionByName(repeated)), mark, "left_anti")
-    once = marked.join(bounded_broadcast(as_mark(repeated), BROADCAST_ROWS), mark, "left_semi").dropDuplicates([mark])
+    once = marked.join(bounded_broadcast(repeated.select(F.col("row").alias(mark)), BROADCAST_ROWS), mark, "left_semi").dropDuplicates([mark])
     return plain.select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
