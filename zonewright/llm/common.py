@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonewright.sources.staging import discard, staged as materialize
 
-__all__ = ["Remembered", "bounded_broadcast", "buckets_for", "discard", "hash_bucket", "materialize", "per_process", "small_batches", "spread_rank", "table", "told_apart", "unused"]
+__all__ = ["Remembered", "bounded_broadcast", "buckets_for", "discard", "hash_bucket", "in_order", "materialize", "per_process", "small_batches", "spread_rank", "table", "told_apart", "unused"]
 #: Rows of one id from which on they are told apart, and ids of that kind up to which their list is broadcast.
 MANY_ROWS = 1000
 BROADCAST_IDS = 20_000
@@ -74,6 +74,15 @@ def buckets_for(rows: int) -> int:
     return max(1, math.isqrt(max(0, rows - 1)) + 1)
 
 
+def in_order(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """rows, written in the whole order with a long that ascends in it and counts each written range without gaps: the
+    range is `name >> 33`. Ranges are cut by a sample of the rows, which are numbered first, so that equal rows spread too;
+    which of some equal rows comes first depends on the input's layout. rows are read twice, so they should be cheap."""
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    return materialize(dealt.withColumn(name, F.monotonically_increasing_id()), "in-order")
+
+
 def told_apart(rows: DataFrame, key: str, name: str) -> DataFrame:
     """rows with a long that differs among the rows of one key where these are more than MANY_ROWS, and is 0
     for others: hashes of key and name then spread a hot or null key over many buckets. Which of them gets which number

@@ -8,13 +8,14 @@ from zonewright.llm.fingerprints import op8_document_fingerprints
 from zonewright.llm.jaccard_join import op5_ngram_jaccard_join
 from zonewright.llm.language import language_id_pages, op2_language_id
 from zonewright.llm.licenses import op7_license_scans
+from zonewright.llm.merkle import OP12_SQL, op12_merkle_manifest
 from zonewright.llm.mixing import op9_mixing_sources
 from zonewright.llm.packing import op3_packing
 from zonewright.llm.pii import op1_pii_surrogates
 from zonewright.llm.quality import op4_quality_rules
 from zonewright.llm.sharding import op10_sharding
 
-_QUERIES = (op1_pii_surrogates, op2_language_id, op3_packing, op4_quality_rules, op5_ngram_jaccard_join, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding, language_id_pages)
+_QUERIES = (op1_pii_surrogates, op2_language_id, op3_packing, op4_quality_rules, op5_ngram_jaccard_join, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding, op12_merkle_manifest, language_id_pages)
 
 
 def queries() -> dict:
@@ -22,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op6_chat_formatting": OP6_SQL}
+    return {"op6_chat_formatting": OP6_SQL, "op12_merkle_manifest": OP12_SQL}
