@@ -15,8 +15,9 @@ from zonewright.llm.pii import op1_pii_surrogates
 from zonewright.llm.quality import op4_quality_rules
 from zonewright.llm.sharding import op10_sharding
 from zonewright.llm.structure import OP11_SQL, op11_structure_repair
+from zonewright.llm.toxicity import op13_toxicity
 
-_QUERIES = (op1_pii_surrogates, op2_language_id, op3_packing, op4_quality_rules, op5_ngram_jaccard_join, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding, op11_structure_repair, op12_merkle_manifest, language_id_pages)
+_QUERIES = (op1_pii_surrogates, op2_language_id, op3_packing, op4_quality_rules, op5_ngram_jaccard_join, op6_chat_formatting, op7_license_scans, op8_document_fingerprints, op9_mixing_sources, op10_sharding, op11_structure_repair, op12_merkle_manifest, op13_toxicity, language_id_pages)
 
 
 def queries() -> dict:
