@@ -155,8 +155,11 @@ def test_page_excerpts(spark):
 
 
 def test_final_category(spark):
-    df = spark.createDataFrame([("clean", [], "p"), ("clean", ["t"], None), ("toxic", ["t"], None), ("clean", [], None)], "m string, s array<string>, p string")
-    assert [r[0] for r in df.select(signals.final_category(F.col("m"), F.col("s"), F.col("p"))).collect()] == ["parked", "spam", "toxic", "clean"]
+    df = spark.createDataFrame([("legitimate", [], "p"), ("legitimate", ["t"], None), ("toxic", ["t"], None), ("legitimate", [], None), ("legitimate", ["t"], "p")], "m string, s array<string>, p string")
+    final = lambda *a: [r[0] for r in df.select(signals.final_category(F.col("m"), F.col("s"), F.col("p"), *a)).collect()]
+    assert final() == ["parked", "toxic", "toxic", "legitimate", "toxic"]
+    assert final(" Empty ") == ["parked", "empty", "toxic", "legitimate", "empty"]
+    assert final("none") == ["parked", "legitimate", "toxic", "legitimate", "parked"], "an action that is no category changes nothing"
     asked = spark.createDataFrame([("a",), ("b",)], "name string")
     answers = spark.createDataFrame([("a", "clean"), ("other", "clean")], "name string, category string")
     assert rows(signals.requested_only(asked, answers)) == [("a", "clean"), ("b", "unknown")]

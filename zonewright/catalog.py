@@ -472,12 +472,12 @@ def metrics_label_coverage(spark, sf_dir):
     return metrics.coverage(_t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left"), "quality", "toxic")
 
 
-@query("""WITH j AS (SELECT CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'clean' WHEN quality = 0 THEN 'spam' ELSE 'unknown' END AS category FROM documents LEFT JOIN labels USING (doc_id)),
-c AS (SELECT unnest(['clean', 'parked', 'empty', 'spam', 'toxic', 'unknown']) AS category)
+@query("""WITH j AS (SELECT CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'legitimate' WHEN quality = 0 THEN 'parked' ELSE 'unknown' END AS category FROM documents LEFT JOIN labels USING (doc_id)),
+c AS (SELECT unnest(['legitimate', 'parked', 'toxic', 'empty', 'unknown']) AS category)
 SELECT c.category, count(j.category) AS n FROM c LEFT JOIN j ON c.category = j.category GROUP BY c.category""")
 def metrics_category_counts(spark, sf_dir):
     joined = _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
-    rows = joined.withColumn("category", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "spam").otherwise("unknown"))
+    rows = joined.withColumn("category", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "legitimate").when(F.col("quality") == 0, "parked").otherwise("unknown"))
     return metrics.category_counts(rows, list(signals.CATEGORIES))
 
 
@@ -873,4 +873,4 @@ def jobs_backfill(spark, sf_dir):
     return jobs.backfill(rows, none).groupBy("month").agg(F.count(F.lit(1)).alias("events"))
 
 
-from zonewright import catalog_jobs  # noqa: E402, F401  (its queries register themselves)
+from zonewright import catalog_jobs, catalog_stores  # noqa: E402, F401  (their queries register themselves)

@@ -61,7 +61,7 @@ def sources_archive(spark, sf_dir):
 @query(f"""WITH {_SCORED_SQL}, d AS (SELECT unnest([DATE '2026-01-01', DATE '2026-01-02']) AS snapshot_date) SELECT snapshot_date, name, score FROM d, (SELECT name, score FROM scored ORDER BY score DESC, name LIMIT 300)""")
 def sources_payloads(spark, sf_dir):
     folder, rows = _folder(spark, "payloads"), _scored(spark, sf_dir).withColumn("days_listed", F.lit(0)).select("name", "score", "days_listed")
-    document = writers.payload(rows, metrics.header(rows), 300)
+    document = writers.payload(ranking.top(rows, 300), metrics.header(rows))
     for day in ("2026-01-01", "2026-01-02"):
         document.coalesce(1).write.text(f"{folder}/{day}")
     # the date stands in the file's own name
@@ -77,7 +77,7 @@ def sources_payloads(spark, sf_dir):
 @query(f"""WITH {_SCORED_SQL} SELECT name, score FROM scored ORDER BY score DESC, name LIMIT 50""")
 def sources_payload_rows(spark, sf_dir):
     path, rows = _folder(spark, "payload"), _scored(spark, sf_dir).withColumn("days_listed", F.lit(0)).select("name", "score", "days_listed")
-    writers.payload(rows, metrics.header(rows), 50).write.text(path)
+    writers.payload(ranking.top(rows, 50), metrics.header(rows)).write.text(path)
     return readers.payload_rows(spark, path, "name string, score int")
 
 
@@ -179,12 +179,12 @@ def archive_newest_answer(spark, sf_dir):
     return observations.newest_answer(_archive(spark, sf_dir), F.col("value") > 95).select("domain", "ingest_order")
 
 
-@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 5 = 0 THEN 'parked' WHEN id % 3 = 0 AND id % 7 <> 1 THEN 'spam' WHEN id % 7 = 1 THEN 'toxic' WHEN id % 7 = 2 THEN 'clean' ELSE 'unknown' END AS category FROM signals""")
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 THEN 'toxic' WHEN id % 5 = 0 THEN 'parked' WHEN id % 7 = 1 THEN 'toxic' WHEN id % 7 = 2 THEN 'legitimate' ELSE 'unknown' END AS category FROM signals""")
 def signals_final_category(spark, sf_dir):
     k = F.col("id")
     none = F.array().cast("array<string>")
     rows = _signals(spark, sf_dir).select("id", "name", F.when(k % 3 == 0, "get CIALIS now").alias("title"), F.lit(None).cast("string").alias("meta_description"), none.alias("h1"), none.alias("h2"), F.when(k % 5 == 0, "<b>This Domain Is For Sale</b>").alias("html"))
-    model = rows.filter(k % 7 < 3).filter(k % 7 > 0).select("name", F.when(k % 7 == 1, "toxic").otherwise("clean").alias("category"))
+    model = rows.filter(k % 7 < 3).filter(k % 7 > 0).select("name", F.when(k % 7 == 1, "toxic").otherwise("legitimate").alias("category"))
     return signals.classify_excerpts(rows.drop("id"), model)
 
 
@@ -217,7 +217,7 @@ def metrics_freshness(spark, sf_dir):
 
 @query("""SELECT count(*) > 0 AND count(*) FILTER (quality IS NOT NULL) = 0 AS blind FROM labels""")
 def metrics_blind(spark, sf_dir):
-    rows = _t(spark, sf_dir, "labels").withColumn("category", F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "spam").otherwise("unknown"))
+    rows = _t(spark, sf_dir, "labels").withColumn("category", F.when(F.col("quality") == 1, "legitimate").when(F.col("quality") == 0, "parked").otherwise("unknown"))
     return metrics.blind(metrics.category_counts(rows, list(signals.CATEGORIES)))
 
 
@@ -316,12 +316,12 @@ def jobs_daily_run_funnel(spark, sf_dir):
 
 
 @query(f"""WITH {_SCORED_SQL}, r AS (SELECT name, id, score FROM scored), w AS (SELECT * FROM r WHERE id % 3 > 0 ORDER BY score DESC NULLS LAST, name LIMIT 400),
-f AS (SELECT name, id, CASE WHEN id % 6 = 1 THEN 'parked' WHEN id % 4 = 1 THEN 'toxic' WHEN id % 4 = 2 THEN 'clean' ELSE 'unknown' END AS c FROM w)
+f AS (SELECT name, id, CASE WHEN id % 10 = 3 THEN 'toxic' WHEN id % 6 = 1 THEN 'parked' WHEN id % 4 = 1 THEN 'toxic' WHEN id % 4 = 2 THEN 'clean' ELSE 'unknown' END AS c FROM w)
 SELECT r.name, CASE WHEN r.id % 3 = 0 THEN 'clean' ELSE f.c END AS snapshot_category FROM r LEFT JOIN f USING (name) WHERE f.c IS DISTINCT FROM 'toxic' AND r.id % 50 <> 7""")
 def jobs_reclassify(spark, sf_dir):
     k = F.col("id")
     rows = _scored(spark, sf_dir).select("id", "name", "score", F.when(k % 3 == 0, "clean").alias("snapshot_category"), F.lit(0).alias("days_listed"))
-    excerpt = F.struct(F.lit("20260110000000").alias("snapshot_timestamp"), F.concat(F.lit("Shop "), F.col("name")).alias("title"), F.lit(None).cast("string").alias("meta_description"), F.array().cast("array<string>").alias("h1"), F.array().cast("array<string>").alias("h2"))
+    excerpt = F.struct(F.lit("20260110000000").alias("snapshot_timestamp"), F.concat(F.when(k % 10 == 3, "Payday Loan ").otherwise("Shop "), F.col("name")).alias("title"), F.lit(None).cast("string").alias("meta_description"), F.array().cast("array<string>").alias("h1"), F.array().cast("array<string>").alias("h2"))
     cache = rows.filter(k % 2 == 0).select("name", excerpt.alias("excerpt"))
     fetched = rows.filter(k % 2 == 1).select("name", excerpt.alias("excerpt"), F.when(k % 6 == 1, "buy this domain").otherwise("<p>").alias("html"))
     replies = rows.filter(k % 4 > 0).filter(k % 4 < 3).select("name", F.when(k % 4 == 1, "toxic").otherwise("clean").alias("category"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from zonewright.functions import names
+from zonewright.functions import names, terms
 
 
 @dataclass(frozen=True)
@@ -45,9 +45,11 @@ def first_of(*rules: tuple[Column, Column | str]) -> Column:
     return out
 
 
-def _first_hit(terms: tuple[str, ...], hit) -> Column:
-    """The first term, in the order of the list, that hit() holds for."""
-    return F.coalesce(*[F.when(hit(t), t) for t in terms], F.lit(None).cast("string"))
+def _first_hit(words: tuple[str, ...], text: Column, hit, place: terms.Place = terms.ANYWHERE) -> Column:
+    """The first term, in the order of the list, that hit() holds for; a long list is searched in one pass."""
+    if len(words) >= terms.AUTOMATON_FROM:
+        return F.get(terms.matches(text, [(words, place)]), F.lit(0))
+    return F.coalesce(*[F.when(hit(t), t) for t in words], F.lit(None).cast("string"))
 
 
 def _literally(term: str) -> str:
@@ -61,18 +63,18 @@ def matched_keyword(name: Column, rules: Rules = DEFAULT) -> Column:
     both = F.array_union(coarse, names.fine_tokens(name))
     exact = F.get(F.array_intersect(F.array(*[F.lit(t) for t in rules.keywords]), both), F.lit(0)) if rules.keywords else F.lit(None).cast("string")
     low = F.lower(name)
-    begun = _first_hit(rules.prefixes, lambda t: low.rlike(rf"(?:^|[.-]){_literally(t)}[^.-]"))
+    begun = _first_hit(rules.prefixes, low, lambda t: low.rlike(rf"(?:^|[.-]){_literally(t)}[^.-]"), terms.BEGINS)
     return F.coalesce(exact, begun)
 
 
 def matched_substring(name: Column, rules: Rules = DEFAULT) -> Column:
     label = F.lower(names.label(name))
-    return _first_hit(rules.substrings, lambda t: F.contains(label, F.lit(t)))
+    return _first_hit(rules.substrings, label, lambda t: F.contains(label, F.lit(t)))
 
 
 def soft_signal(name: Column, rules: Rules = DEFAULT) -> Column:
     label = F.lower(names.label(name))
-    return _first_hit(rules.soft, lambda t: F.contains(label, F.lit(t))).isNotNull()
+    return _first_hit(rules.soft, label, lambda t: F.contains(label, F.lit(t))).isNotNull()
 
 
 def structural_reason(name: Column, rules: Rules = DEFAULT) -> Column:
@@ -123,6 +125,8 @@ def spam_matches(fields: Column, rules: Rules = DEFAULT) -> Column:
     """Spam terms in an array of fields, in the order of the lists. A Latin term stands between other characters than
     ASCII letters and digits; terms of other scripts stand anywhere; none spans two fields."""
     text = F.lower(F.array_join(F.filter(fields, lambda x: x.isNotNull()), "\n"))
+    if len(rules.spam_terms) + len(rules.spam_cjk) >= terms.AUTOMATON_FROM:
+        return terms.matches(text, [(rules.spam_terms, terms.APART), (rules.spam_cjk, terms.ANYWHERE)])
     latin = [F.when(text.rlike(rf"(?<![a-z0-9]){_literally(t)}(?![a-z0-9])"), t) for t in rules.spam_terms]
     other = [F.when(F.contains(text, F.lit(t)), t) for t in rules.spam_cjk]
     return F.array_compact(F.array(*latin, *other))
@@ -130,7 +134,7 @@ def spam_matches(fields: Column, rules: Rules = DEFAULT) -> Column:
 
 def parked_marker(html: Column, rules: Rules = DEFAULT) -> Column:
     low = F.lower(html)
-    return _first_hit(rules.parked, lambda t: F.contains(low, F.lit(t)))
+    return _first_hit(rules.parked, low, lambda t: F.contains(low, F.lit(t)))
 
 
 def all_pass(*reasons: Column) -> Column:

@@ -98,10 +98,12 @@ def verdict_or_fallback(stored: Column, score_: Column, c: Scoring = DEFAULT) ->
     return F.coalesce(F.when(stored.isin("Clean", "Promising", "Caution"), stored), F.when(score_ >= c.clean_from, "Clean").when(score_ >= c.promising_from, "Promising").otherwise("Caution"))
 
 
-def quality_floor(rows: DataFrame, c: Scoring = DEFAULT) -> DataFrame:
-    """rows with floor_reason: low_score first, then incomplete; null passes."""
+def quality_floor(rows: DataFrame, c: Scoring = DEFAULT, evidence: Column | None = None) -> DataFrame:
+    """rows with floor_reason: low_score first, then incomplete; null passes. evidence: sources that reported, by default
+    the column of that name."""
+    evidence = F.col("evidence") if evidence is None else evidence
     low = F.coalesce(F.col("score"), F.lit(0)) < c.floor_score
-    return rows.withColumn("floor_reason", F.when(low, "low_score").when(F.col("evidence") < c.floor_evidence, "incomplete"))
+    return rows.withColumn("floor_reason", F.when(low, "low_score").when(evidence < c.floor_evidence, "incomplete"))
 
 
 def floor_counts(rows: DataFrame) -> DataFrame:

@@ -134,3 +134,23 @@ def source_health(rows: DataFrame, drops: DataFrame) -> DataFrame:
     """The newest observation of each source, the zones' drop dates among them."""
     both = rows.select("source", "observed_at").unionByName(drops.select(F.lit("zone").alias("source"), F.col("drop_date").cast("timestamp").alias("observed_at")))
     return both.groupBy("source").agg(F.max("observed_at").alias("latest"))
+
+
+def roll_up_parts(events: DataFrame) -> DataFrame:
+    """What a domain's events of a month come to, small enough to be kept and merged: the drop days as a bitmap of one int,
+    first and last day, ever published, events. Undated ones are of month `unknown`."""
+    month = F.coalesce(F.date_format("drop_date", "yyyy-MM"), F.lit("unknown"))
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth("drop_date") - 1)
+    return events.groupBy("domain", month.alias("month")).agg(
+        F.coalesce(F.bit_or(bit), F.lit(0)).alias("days"), F.min("drop_date").alias("first_seen"), F.max("drop_date").alias("last_seen"),
+        F.max(F.coalesce("was_published", F.lit(False))).alias("ever_published"), F.count(F.lit(1)).alias("events"),
+    )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("domain", "month").agg(F.bit_or("days").alias("days"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("ever_published").alias("ever_published"), F.sum("events").alias("events"))
+
+
+def roll_up_of(parts: DataFrame) -> DataFrame:
+    """roll_up()'s rows from parts, at most one a domain and month."""
+    return parts.groupBy("domain").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum(F.bit_count("days")).alias("drop_days"), F.max("ever_published").alias("ever_published"), F.sum("events").alias("events"))

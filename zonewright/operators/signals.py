@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -13,7 +14,7 @@ from pyspark.sql.types import StringType
 from zonewright.functions import rules
 
 # The categories of the classifier.
-CATEGORIES = ("clean", "parked", "empty", "spam", "toxic", "unknown")
+CATEGORIES = ("legitimate", "parked", "toxic", "empty", "unknown")
 
 
 def registry_reply(rows: DataFrame) -> DataFrame:
@@ -154,22 +155,43 @@ def ranker_reply(rows: DataFrame, json: str = "body") -> DataFrame:
     return items.filter("trim(name) <> ''").select(F.lower(F.trim("name")).alias("name"), score.alias("phase2_score"), F.substring(F.trim("reason"), 1, 120).alias("phase2_reason"))
 
 
+#: What a scan of JSON stops at: an escape of any character, a quote, a brace.
+_MARKS = re.compile(r'\\.|["{}]', re.DOTALL)
+
+
+def outer_objects(text: str) -> list[str]:
+    """The spans between outermost braces, in one pass; braces and quotes within strings don't count. What is left open at
+    the end is no span."""
+    spans, depth, begin, quoted = [], 0, 0, False
+    for m in _MARKS.finditer(text):
+        mark = m.group() if quoted else m.group()[-1]  # outside of strings nothing is escaped
+        if mark == '"':
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif mark == "{":
+            begin, depth = (m.start() if depth == 0 else begin), depth + 1
+        elif mark == "}" and depth:
+            depth -= 1
+            if depth == 0:
+                spans.append(text[begin : m.end()])
+    return spans
+
+
 @F.arrow_udf(StringType())
 def _salvage(texts: pa.Array) -> pa.Array:
-    """Complete objects of a broken array, as an array."""
+    """Whole objects of a broken array, as an array; objects within a broken one are not looked for."""
     import json
 
+    def reads(span: str) -> bool:
+        try:
+            return isinstance(json.loads(span), dict)
+        except (ValueError, RecursionError):
+            return False
+
     def one(text: str | None) -> str | None:
-        if text is None:
-            return None
-        decoder, found, at = json.JSONDecoder(), [], max(text.find("["), 0)
-        while (at := text.find("{", at)) >= 0:
-            try:
-                item, at = decoder.raw_decode(text, at)
-                found.append(item)
-            except ValueError:
-                at += 1
-        return json.dumps(found) if found else None
+        found = [s for s in outer_objects(text or "") if reads(s)]
+        return f"[{','.join(found)}]" if found else None
 
     return pa.array([one(t.as_py()) for t in texts], pa.string())
 
@@ -189,9 +211,13 @@ def category(word: Column) -> Column:
     return F.when(low.isin(*CATEGORIES), low).otherwise("unknown")
 
 
-def final_category(model: Column, spam_terms: Column, parked: Column) -> Column:
-    """A parked marker beats the model; spam terms do unless the model said toxic."""
-    return F.when(parked.isNotNull(), "parked").when((F.size(spam_terms) > 0) & (model != "toxic"), "spam").otherwise(model)
+def final_category(model: Column, spam_terms: Column, parked: Column, action: str = "toxic") -> Column:
+    """A parked marker beats the model, and spam terms beat both unless the word is toxic already: they make it `action`, or
+    change nothing if that is no category."""
+    word, action = F.when(parked.isNotNull(), "parked").otherwise(model), action.strip().lower()
+    if action not in CATEGORIES[:-1]:
+        return word
+    return F.when((F.size(spam_terms) > 0) & (word != "toxic"), action).otherwise(word)
 
 
 def requested_only(requested: DataFrame, replies: DataFrame) -> DataFrame:
@@ -214,8 +240,9 @@ def enrich(candidates: DataFrame, sources: dict[str, tuple[Enricher | None, list
     return candidates
 
 
-def classify_excerpts(excerpts: DataFrame, model: DataFrame, r: rules.Rules = rules.DEFAULT) -> DataFrame:
-    """(name, category) from excerpts (name, title, meta_description, h1, h2, html) and the model's categories."""
+def classify_excerpts(excerpts: DataFrame, model: DataFrame, r: rules.Rules = rules.DEFAULT, action: str = "toxic") -> DataFrame:
+    """(name, category) from excerpts (name, title, meta_description, h1, h2, html) and the model's categories; action: what
+    spam terms make of a name."""
     fields = F.concat(F.array("title", "meta_description"), F.coalesce("h1", F.array().cast("array<string>")), F.coalesce("h2", F.array().cast("array<string>")))
     joined = excerpts.join(model.select("name", F.col("category").alias("_model")), "name", "left")
-    return joined.select("name", final_category(F.coalesce("_model", F.lit("unknown")), rules.spam_matches(fields, r), rules.parked_marker(F.col("html"), r)).alias("category"))
+    return joined.select("name", final_category(F.coalesce("_model", F.lit("unknown")), rules.spam_matches(fields, r), rules.parked_marker(F.col("html"), r), action).alias("category"))

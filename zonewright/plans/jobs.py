@@ -29,6 +29,8 @@ class Daily:
     strict: bool = True
     shadow: bool = False
     classifier: str = "1"
+    #: What spam terms in an excerpt make of a name.
+    signature_action: str = "toxic"
     registrars: dict[str, str] = field(default_factory=lambda: {"registrar": "https://registrar.example/?q={domain}"})
 
 
@@ -93,6 +95,8 @@ def daily_run(
     reason = rules.evidence_reason(F.col("spam_flagged"), F.col("surbl_listed"), F.col("spamhaus_listed"), F.col("snapshot_category"), F.col("_remembered"), F.col("wayback_snapshots"), strict=c.strict)
     judged = judged.withColumn("reject_reason", reason).drop("_remembered").withColumn("reasons", state.incomplete_reasons(c.required))
     scored = judged.withColumn("score", scoring.score(c.scoring)).withColumn("evidence", scoring.evidence_count(c.scoring))
+    # a failed look-up of captures is no evidence for a verdict, and no fault of a name that is to be published
+    scored = scored.withColumn("reported", scoring.evidence_count(c.scoring, F.col("wayback_unknown")))
     scored = scored.withColumn("soft", rules.soft_signal(F.col("name"), c.rules)).withColumn("verdict", scoring.verdict(F.col("soft"), F.col("snapshot_category"), F.col("score"), F.col("evidence"), c.scoring))
     scored = staged(scored, "scored")
 
@@ -105,7 +109,7 @@ def daily_run(
     else:
         screened = survivors.join(settled.filter("action in ('released', 'publish')").select("name"), "name", "left_semi")
         queued = settled.filter("action in ('held', 'new_held')").join(asked.select("name", "tld").dropDuplicates(["name"]), "name").select("tld", "name", "first_held_date", "checks", "reasons")
-    judged_out = scoring.quality_floor(screened, c.scoring)
+    judged_out = scoring.quality_floor(screened, c.scoring, F.col("reported")).drop("reported")
     listed = state.rolling_list(previous, today, judged_out.filter("floor_reason is null"), day)
     published = staged(ranking.top(listed, c.publish).withColumn("registrars", scoring.registrar_links(F.col("name"), c.registrars)), "published")
     return {
@@ -148,13 +152,13 @@ def promote_release(vertices: DataFrame, edges: DataFrame, pointer: DataFrame, r
 
 def reclassify(rows: DataFrame, cache: DataFrame, fetched: DataFrame, replies: DataFrame, denylist: DataFrame, day: Column, c: Daily = Daily(), *, mode: str = "default", top: int | None = None, most_age_days: int = 90) -> dict[str, DataFrame]:
     """Carried rows classified again. cache: name, excerpt. fetched: name, excerpt, html of the excerpts that were asked for
-    anew. replies: name, category of the model. Parked markers and spam terms beat the model's word."""
+    anew. replies: name, category of the model. Parked markers beat the model's word, and spam terms both."""
     wanted = state.targets(rows, mode, top)
     known = state.cached_excerpts(wanted, cache, day, most_age_days)
     fresh = known.filter("excerpt_source <> 'reused'").select("name").join(fetched, "name")
     merged = staged(state.merge_cache(cache, fresh.select("name", "excerpt")), "excerpts")
     pages = wanted.select("name").join(merged, "name", "left").join(fetched.select("name", "html"), "name", "left").select("name", "excerpt.title", "excerpt.meta_description", "excerpt.h1", "excerpt.h2", "html")
-    found = staged(signals.classify_excerpts(pages, signals.requested_only(wanted, replies), c.rules), "categories")
+    found = staged(signals.classify_excerpts(pages, signals.requested_only(wanted, replies), c.rules, c.signature_action), "categories")
     labelled = state.apply_category(rows, found, shadow=c.shadow)
     additions = state.denylist_additions(denylist, found.filter("category = 'toxic'"), day, c.classifier)
     kept, evicted = state.split_toxic(labelled, denylist.select("name").unionByName(additions.select("name")))

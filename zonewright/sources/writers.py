@@ -14,10 +14,9 @@ def commit_snapshot(names: DataFrame, path: str, day: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tld", "snapshot_date").parquet(path)
 
 
-def payload(rows: DataFrame, header: DataFrame, most: int = 1000) -> DataFrame:
-    """One row of JSON: header counts (absent where null) and the published rows, best first; a payload is one document and
-    holds `most` rows."""
-    rows = rows.orderBy(F.desc_nulls_last("score"), "name").limit(most)
+def payload(rows: DataFrame, header: DataFrame) -> DataFrame:
+    """One row of JSON: header counts (absent where null) and the published rows, best first. A payload is one document: the
+    caller decides how many rows are published, and makes the header from the same."""
     order = F.struct((-F.coalesce("score", F.lit(-1))).alias("k"), "name", F.struct(*rows.columns).alias("row"))
     listed = rows.agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["row"]).alias("domains"))
     return header.crossJoin(F.broadcast(listed)).select(F.to_json(F.struct(*header.columns, "domains"), {"ignoreNullFields": "true"}).alias("value"))
