@@ -194,7 +194,7 @@ def test_logs(spark, tmp_path):
     log = "Enrichment coverage (1 candidates): a=0/1\nnoise\nEnrichment coverage (25 candidates): wayback_snapshots=25/25 open_page_rank=0/25\nHeld queue: held=12 new=5 released=3\nx WARNING y\n"
     (tmp_path / "run.log").write_text(log)
     lines = readers.log_lines(spark, str(tmp_path / "run.log"))
-    assert [r["line_no"] for r in lines.orderBy("line_no").collect()] == list(range(6))
+    assert [r["line_no"] for r in lines.orderBy("line_no").collect()] == list(range(5))
     report = jobs.run_report(lines, F.lit("2026-01-01").cast("date"), F.lit("2026-03-01").cast("date"))
     assert rows(report["coverage"], "field", "state", "alarm") == [("open_page_rank", "dead", True), ("wayback_snapshots", "ok", False)]
     assert rows(report["held"]) == [("held", 12), ("new", 5), ("released", 3)]

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonewright.functions import rules, terms
-from zonewright.operators import graph, observations, signals, snapshot
-from zonewright.sources import digests, releases, roll_up
+from zonewright.operators import graph, metrics, observations, ranking, signals, snapshot
+from zonewright.plans import jobs
+from zonewright.sources import digests, readers, releases, roll_up
 
 
 def rows(df, *columns):
@@ -148,3 +149,68 @@ def test_roll_up_day_by_day_equals_the_whole_build(spark, tmp_path):
     assert rows(roll_up.roll_up(spark, root), *columns) == rows(observations.roll_up(df), *columns)
     read = roll_up.parts(spark, root, ["2026-02"]).inputFiles()
     assert read and all("month=2026-02" in f for f in read)
+
+
+# --- pages, quotas, lines ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("order", ["first_seen", "links", "first_year"])
+def test_walking_all_pages_gives_the_sorted_table(spark, order):
+    rng = random.Random(4)
+    data = [(f"d{i}.com", rng.choice([None, 1.0, 2.5, 7.0]), rng.choice([None, 2001, 2002]), f"2026-01-0{rng.randint(1, 5)}") for i in range(70)]
+    df = spark.createDataFrame(data, "domain string, links double, first_year int, at string").select("domain", "links", "first_year", F.to_date("at").alias("first_seen"))
+    keys = observations.ORDERS[order]
+    wanted = [r["domain"] for r in df.orderBy(*ranking.sort_order(keys)).collect()]
+    got, token = [], None
+    while True:
+        shown, token = ranking.page_of(df, keys, 16, token, order)
+        got += [r["domain"] for r in shown.collect()]
+        if token is None:
+            break
+    assert got == wanted
+    _, token = ranking.page_of(df, keys, 16, None, order)
+    for bad, scope in ((token, "other"), ("?", order), (token[:-4], order)):
+        with pytest.raises(ValueError, match="token"):
+            ranking.page_of(df, keys, 16, bad, scope)
+
+
+def test_quota_by_threshold_equals_ranks(spark):
+    rng = random.Random(6)
+    data = [(rng.choice(["a", "a", "a", "b", "c"]), f"n{i}", rng.choice([None, 5, 60, 60, 60, 61])) for i in range(400)]
+    df = spark.createDataFrame(data, "host string, name string, phase2_score int")
+    quotas = spark.createDataFrame([("a", 77), ("b", 1000), ("x", 3)], "host string, quota int")
+    wanted = []
+    for host, quota in (("a", 77), ("b", 1000), ("c", 10**9)):
+        wanted += sorted((r for r in data if r[0] == host), key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))[:quota]
+    assert rows(ranking.within_quota(df, quotas), "host", "name", "phase2_score") == sorted(wanted, key=repr)
+    plain = df.drop("phase2_score")
+    first = rows(ranking.within_quota(plain, quotas, "d1"))
+    assert first == rows(ranking.within_quota(plain.repartition(7), quotas, "d1")) != rows(ranking.within_quota(plain, quotas, "d2"))
+    assert sum(r[0] == "a" for r in first) == 77
+
+
+def test_log_lines_of_many_splits(spark, tmp_path):
+    path = tmp_path / "run.log"
+    path.write_text("".join(f"{i} {'x' * (i % 50)}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = readers.log_lines(spark, str(path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["line_no"], int(r["value"].split()[0])) for r in lines) == [(i, i) for i in range(3000)]
+
+
+def test_live_records_keep_what_rows_have(spark):
+    df = spark.createDataFrame([("a.com", "com", 7, "Caution", False, 3, None), ("b.com", "com", 80, "Clean", True, None, "2026-01-18T05:00:00Z")], "name string, tld string, score int, verdict string, was_published boolean, wayback_snapshots int, availability_verified_at string")
+    day = F.lit("2026-01-20").cast("date")
+    got = jobs.live_records(df.withColumn("dropped_date", day), day)
+    assert rows(got.select("domain", F.col("availability_confirmed_date").cast("string"), "score", "was_published", "wayback_snapshots", "open_page_rank", "source")) == [("a.com", "2026-01-20", 7, False, 3, None, "live"), ("b.com", "2026-01-18", 80, True, None, None, "live")]
+    assert {f.split()[0] for f in jobs.ARCHIVE.split(", ")} == set(got.columns)
+
+
+def test_counts_are_taken_while_tables_are_written(spark):
+    counted = metrics.Counted()
+    counted.of(spark.range(10), all=F.lit(True), even=F.col("id") % 2 == 0).collect()
+    counted.of(spark.range(7), last=F.col("id") > 0).collect()
+    assert [tuple(r) for r in counted.table(spark).collect()] == [(0, "all", 10, True), (1, "even", 5, True), (2, "last", 6, False)]

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonewright.catalog import _ARCHIVE_SQL, _COUNTS_SQL, _DAYS_SQL, _NATURAL, _WORDS_SQL, _archive, _days, _graph, _t, _words, query
-from zonewright.catalog_jobs import _folder
+from zonewright.catalog import _ARCHIVE_SQL, _COUNTS_SQL, _DAYS_SQL, _DOCUMENTS_SQL, _NATURAL, _WORDS_SQL, _archive, _days, _documents, _full_events, _graph, _t, _words, query
+from zonewright.catalog_jobs import _DAY_SQL, _day, _folder
 from zonewright.functions import names, rules
-from zonewright.operators import graph, signals
-from zonewright.sources import digests, releases, roll_up
+from zonewright.operators import graph, observations, ranking, signals
+from zonewright.plans import jobs
+from zonewright.sources import digests, readers, releases, roll_up, writers
 
 
 @query(f"WITH {_DAYS_SQL} SELECT y.tld, y.name FROM days y, bounds WHERE y.day = yesterday AND y.tld IN (SELECT tld FROM days, bounds WHERE day = today) AND y.name NOT IN (SELECT name FROM days, bounds WHERE day = today)")
@@ -56,3 +57,56 @@ def signals_salvaged_replies(spark, sf_dir):
     )
     read = signals.model_array(reply, "array<struct<name: string>>")
     return _t(spark, sf_dir, "events").select("event_id", F.array_join(F.transform(read, lambda x: x["name"]), ",").alias("names"))
+
+
+@query("""SELECT event_type AS kind, max(event_id) AS last_event, max(event_id) - min(event_id) + 1 = count(*) AS gapless FROM (SELECT 'all' AS event_type, event_id FROM events) GROUP BY event_type""")
+def sources_log_lines(spark, sf_dir):
+    path, e = _folder(spark, "log"), _t(spark, sf_dir, "events")
+    # one file, read in splits; the number in a line is the line's own
+    e.select(F.concat(F.lit("line "), F.col("event_id").cast("string"), F.lit(" "), F.repeat(F.lit("x"), (F.col("event_id") % 90).cast("int"))).alias("value"), "event_id").coalesce(1).sortWithinPartitions("event_id").select("value").write.text(path)
+    lines = readers.log_lines(spark, path).withColumn("event_id", F.regexp_extract("value", "^line ([0-9]+)", 1).cast("long"))
+    found = lines.agg(F.max_by("event_id", "line_no").alias("last_event"), F.min(F.col("event_id") - F.col("line_no")).alias("low"), F.max(F.col("event_id") - F.col("line_no")).alias("high"))
+    return found.select(F.lit("all").alias("kind"), "last_event", (F.col("low") == F.col("high")).alias("gapless"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Name "' || event_type || '", Inc.' WHEN 1 THEN 'R' || user_id WHEN 2 THEN NULL ELSE 'é' || user_id END AS registrar FROM events""")
+def signals_registrar(spark, sf_dir):
+    k, user = F.col("event_id") % 4, F.col("user_id").cast("string")
+    card = (
+        F.when(k == 0, F.concat(F.lit('["vcard", [["version", {}, "text", "4.0"], ["fn", {"x": {"y": "}"}}, "text", "Name \\"'), F.col("event_type"), F.lit('\\", Inc."]]]')))
+        .when(k == 1, F.concat(F.lit('["vcard", [["org", {}, "text", ["fn", "no"]], ["tel", {"type": ["voice"]}, "uri", "tel:1"], ["FN", {}, "text", "R'), user, F.lit('"], ["fn", {}, "text", "later"]]]')))
+        .when(k == 2, F.lit('["vcard", [["version", {}, "text", "4.0"]]]')).otherwise(F.concat(F.lit('["vcard", [["fn", {}, "text", "\\u00e9'), user, F.lit('"]]]')))
+    )
+    body = F.concat(F.lit('{"entities": [{"roles": ["abuse"], "vcardArray": ["vcard", [["fn", {}, "text", "abuse"]]]}, {"vcardArray": '), card, F.lit(', "roles": ["technical", "registrar"]}]}'))
+    rows = _t(spark, sf_dir, "events").select("event_id", F.lit(200).alias("http_status"), body.alias("body"))
+    return signals.registry_reply(rows).select("event_id", "registrar")
+
+
+@query(f"""WITH {_DOCUMENTS_SQL}, r AS (SELECT domain, row_number() OVER (ORDER BY links DESC NULLS LAST, domain) - 1 AS k, count(*) OVER () AS n FROM docs) SELECT domain, k // 60 AS page, k % 60 AS place FROM r""")
+def archive_candidate_pages(spark, sf_dir):
+    rows = observations.compact(_documents(spark, sf_dir)).select("domain", "links")
+    out, token, page = None, None, 0
+    while out is None or token:
+        shown, token = ranking.page_of(rows, observations.ORDERS["links"], 60, token, "links")
+        placed = ranking.numbered(shown, *ranking.sort_order(observations.ORDERS["links"])).select("domain", F.lit(page).cast("long").alias("page"), (F.col("rn") - 1).alias("place"))
+        out, page = placed if out is None else out.unionByName(placed), page + 1
+    return out
+
+
+@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, last_seen AS drop_date, 8 * drop_days AS observations, year(last_seen) AS last_year, CASE WHEN substr(domain, 5, 1) IN ('1', '2') THEN 'Shop ' || domain END AS sample_title FROM docs""")
+def archive_document_fields(spark, sf_dir):
+    events = _full_events(spark, sf_dir).withColumn("wayback_last_snapshot", F.col("drop_date")).withColumn("wayback_snapshots", F.lit(1)).withColumn("wayback_unknown", F.lit(False))
+    title = F.when(F.substring("domain", 5, 1).isin("1", "2"), F.concat(F.lit("Shop "), F.col("domain"))).otherwise(" ")
+    excerpts = events.select("domain").distinct().select(F.upper("domain").alias("name"), F.struct(title.alias("title")).alias("excerpt"))
+    docs = jobs.api_snapshot(events, F.lit("2024-01-10").cast("date"), excerpts)
+    return docs.select("domain", "availability.drop_date", "observations", "captures.last_year", "captures.sample_title")
+
+
+@query(f"""WITH {_DAY_SQL}, known AS (SELECT name FROM k WHERE k % 29 = 0 AND k % 3 = 0)
+SELECT name AS domain, DATE '2026-01-20' AS drop_date, 'available' AS availability_status, DATE '2026-01-20' AS availability_confirmed_date, 'live' AS source, '2026-01' AS month, snaps AS wayback_snapshots, cat AS snapshot_category FROM enriched""")
+def jobs_daily_run_archived(spark, sf_dir):
+    root, tables = _folder(spark, "day"), _day(spark, sf_dir)
+    rows = tables["archive"]
+    for _ in range(2):  # the second time appends nothing
+        writers.append_events(rows, readers.archive(spark, root, jobs.ARCHIVE), root)
+    return readers.archive(spark, root, jobs.ARCHIVE).select("domain", "drop_date", "availability_status", "availability_confirmed_date", "source", "month", "wayback_snapshots", "snapshot_category")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -93,6 +93,25 @@ def ranker_mode(rows: DataFrame, *, enabled: bool, gate: int, least: int) -> Dat
     return got.select(mode.alias("mode"), "total", "failed", "above_gate")
 
 
+class Counted:
+    """Counts of rows taken while tables are written: no stage is read again for its count."""
+
+    def __init__(self):
+        self.observed: list[tuple[str, Observation]] = []
+
+    def of(self, df: DataFrame, **conditions: Column) -> DataFrame:
+        """df, to be written once; a count for each condition that a row may meet."""
+        seen = Observation()
+        self.observed += [(c, seen) for c in conditions]
+        return df.observe(seen, *[F.count_if(condition).alias(c) for c, condition in conditions.items()])
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """funnel()'s rows, in the order in which stages were given."""
+        counts = [(i, stage, seen.get.get(stage, 0)) for i, (stage, seen) in enumerate(self.observed)]
+        rows = [(i, stage, n, i == 0 or n <= counts[i - 1][2]) for i, stage, n in counts]
+        return spark.createDataFrame(rows, "place int, stage string, rows long, consistent boolean")
+
+
 def funnel(stages: dict[str, DataFrame]) -> DataFrame:
     """(place, stage, rows) of each stage, and whether it is no larger than the one before."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("place"), F.lit(n).alias("stage"), "rows") for i, (n, df) in enumerate(stages.items())]

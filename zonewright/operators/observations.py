@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonewright.functions import names, scoring
+from zonewright.operators import ranking
 
 _OBSERVATION = ("observed_at", "kind", "name", "value_num", "value_bool", "value_str", "status", "source")
 
@@ -66,13 +67,21 @@ def newest_answer(events: DataFrame, answered: Column) -> DataFrame:
     return events.withColumn("_rank", F.row_number().over(Window.partitionBy("domain").orderBy(*order))).filter("_rank = 1").drop("_rank")
 
 
-def documents(events: DataFrame, checked_since: Column) -> DataFrame:
-    """One nested document a domain: zone, availability, metrics, captures, analysis, publication."""
+def documents(events: DataFrame, checked_since: Column, excerpts: DataFrame | None = None) -> DataFrame:
+    """One nested document a domain: zone, availability, metrics, captures, analysis, publication, number of observations.
+    excerpts: name, excerpt with a title."""
     events = grouped_events(events)
+    if "wayback_last_snapshot" not in events.columns:
+        events = events.withColumn("wayback_last_snapshot", F.lit(None).cast("date"))
     seen = F.col("wayback_snapshots").isNotNull() & ~F.coalesce(F.col("wayback_unknown"), F.lit(False))
     answered = newest_answer(events.filter("drop_date is not null"), seen)
     status = scoring.capture_status(F.col("wayback_snapshots").isNotNull() | F.col("wayback_unknown"), F.col("wayback_unknown"), F.col("wayback_snapshots"))
-    captures = answered.select("domain", F.struct(F.col("wayback_snapshots").cast("double").alias("value_num"), status.alias("status"), F.coalesce("availability_confirmed_date", "drop_date").cast("timestamp").alias("observed_at")).alias("captures"))
+    captures = answered.select("domain", F.struct(F.col("wayback_snapshots").cast("double").alias("value_num"), status.alias("status"), F.coalesce("availability_confirmed_date", "drop_date").cast("timestamp").alias("observed_at"), F.year("wayback_last_snapshot").alias("last_year")).alias("captures"))
+    title = F.lit(None).cast("string")
+    if excerpts is not None:
+        known = excerpts.select(F.lower("name").alias("domain"), F.col("excerpt.title").alias("_title")).groupBy("domain").agg(F.max("_title").alias("_title"))
+        captures, title = captures.join(known, "domain", "left"), F.when(F.trim("_title") != "", F.col("_title"))
+    captures = captures.select("domain", F.col("captures").withField("sample_title", title).alias("captures"))
     newest = latest(observations(events, checked_since))
     pick = lambda kind, what: F.max(F.when(F.col("kind") == kind, what))
     one = F.struct("name", "value_num", "value_bool", "observed_at", "status", "source")
@@ -83,7 +92,10 @@ def documents(events: DataFrame, checked_since: Column) -> DataFrame:
         F.max(F.when(F.col("name") == "name_quality", F.col("value_num"))).alias("name_quality"),
     )
     analysis = F.when(F.col("category").isNotNull() | F.col("name_quality").isNotNull(), F.struct("category", "name_quality"))
-    return roll_up(events).join(wide, "domain").join(captures, "domain", "left").select("domain", F.struct("first_seen", "last_seen", "drop_days").alias("zone"), "availability", "metrics", "captures", analysis.alias("analysis"), "ever_published", "events")
+    zone = F.struct("first_seen", "last_seen", "drop_days", F.col("last_seen").cast("timestamp").alias("left_zone_at"))
+    # seven an event, and one for each day on which the name left its zone
+    number = (7 * F.col("events") + F.col("drop_days")).alias("observations")
+    return roll_up(events).join(wide, "domain").join(captures, "domain", "left").select("domain", zone.alias("zone"), F.col("availability").withField("drop_date", F.col("last_seen")).alias("availability"), "metrics", "captures", analysis.alias("analysis"), "ever_published", "events", number)
 
 
 def lookup(docs: DataFrame, domain: str) -> DataFrame:
@@ -106,6 +118,10 @@ def compact(docs: DataFrame) -> DataFrame:
     )
 
 
+#: The orders of candidate lists and of the change feed: columns, and whether they descend; nulls come last.
+ORDERS = {"first_seen": [("first_seen", True), ("domain", False)], "links": [("links", True), ("domain", False)], "first_year": [("first_year", False), ("domain", False)], "changes": [("last_seen", False), ("domain", False)]}
+
+
 def candidates(docs: DataFrame, *, tld: str | None = None, status: str | None = None, least_links: int | None = None, has_captures: bool | None = None, first_after: str | None = None, updated_after: str | None = None, sort: str = "first_seen") -> DataFrame:
     """Flat rows (domain, status, links, captures, first_seen, last_seen, first_year) filtered and sorted; unknown links
     never reach a minimum, dates are strict."""
@@ -121,8 +137,7 @@ def candidates(docs: DataFrame, *, tld: str | None = None, status: str | None =
         docs = docs.filter(F.col("first_seen") > F.lit(first_after).cast("date"))
     if updated_after is not None:
         docs = docs.filter(F.col("last_seen") > F.lit(updated_after).cast("date"))
-    order = {"first_seen": [F.desc("first_seen")], "links": [F.desc_nulls_last("links")], "first_year": [F.asc_nulls_last("first_year")]}[sort]
-    return docs.orderBy(*order, "domain")
+    return docs.orderBy(*ranking.sort_order(ORDERS[sort]))
 
 
 def changes(docs: DataFrame, since: Column) -> DataFrame:

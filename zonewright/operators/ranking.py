@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,13 +49,17 @@ def within_quota(rows: DataFrame, quotas: DataFrame, day: str | Column | None =
         order = [F.desc_nulls_last("phase2_score"), F.col("name")]
     else:
         order = [F.xxhash64("name", day if isinstance(day, Column) else F.lit(day or "")), F.col("name")]
-    joined = rows.join(quotas.select("host", "quota"), "host", "left")
-    free, asked = joined.filter("quota is null"), joined.filter("quota is not null")
-    # first in slices of each host, so that one host's names are not ordered in one task
-    for slices in (64, 1):
-        place = F.row_number().over(Window.partitionBy("host", F.pmod(F.xxhash64("name"), F.lit(slices))).orderBy(*order))
-        asked = asked.withColumn("_rank", place).filter(F.col("_rank") <= F.col("quota")).drop("_rank")
-    return free.unionByName(asked).drop("quota")
+    # bins in that order, how many names each host has in them, and the bin in which its quota ends
+    step = -F.floor("phase2_score") if "phase2_score" in rows.columns else F.shiftright(order[0], 48)
+    joined = staged(rows.join(quotas.select("host", "quota"), "host", "left").withColumn("_bin", F.coalesce(step.cast("long"), F.lit(1 << 40))), "asked")
+    counts = joined.filter("quota is not null").groupBy("host", "quota", "_bin").agg(F.count(F.lit(1)).alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("host").orderBy("_bin"))
+    ends = counts.withColumn("_to", so_far).filter(F.col("_to") >= F.col("quota")).groupBy("host").agg(F.min(F.struct("_bin", (F.col("quota") - F.col("_to") + F.col("n")).alias("left"))).alias("end"))
+    cut = joined.join(ends.select("host", F.col("end._bin").alias("_end"), F.col("end.left").alias("_left")), "host", "left")
+    within = cut.filter(F.col("quota").isNull() | F.col("_end").isNull() | (F.col("_bin") < F.col("_end")))
+    # only the last bin of a host is ordered by name
+    last = numbered_within(cut.filter("quota is not null and _bin = _end"), "host", *order).filter(F.col("rn") <= F.col("_left")).drop("rn")
+    return within.unionByName(last).drop("quota", "_bin", "_end", "_left")
 
 
 def with_ranker_scores(rows: DataFrame, scores: DataFrame, placeholder: str = "not scored") -> DataFrame:
@@ -90,6 +98,17 @@ def numbered(rows: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
     return inside.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_in")).drop("_range", "_n", "_before", "_in")
 
 
+def numbered_within(rows: DataFrame, group: str, *order: Column, name: str = "rn") -> DataFrame:
+    """rows with their place from 1 in their group; a group of any size is spread over ranges."""
+    dealt = rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order).withColumn("_id", F.monotonically_increasing_id())
+    dealt = staged(dealt, "ranges").withColumn("_range", F.shiftright("_id", 33))
+    spans = dealt.groupBy(group, "_range").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_n"))  # one row a range and group
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = spans.withColumn("_before", before).select(F.col(group).alias("_group"), F.col("_range").alias("_of"), "_low", "_before")
+    joined = dealt.join(spans, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return joined.withColumn(name, F.col("_before") + F.col("_id") - F.col("_low") + 1).drop("_id", "_range", "_group", "_of", "_low", "_before")
+
+
 def pages(rows: DataFrame, size: int, *order: Column) -> DataFrame:
     """rows with page from 1."""
     return numbered(rows, *order).withColumn("page", F.ceil(F.col("rn") / size)).drop("rn")
@@ -108,6 +127,47 @@ def page_after(rows: DataFrame, limit: int, most: int = 100, after: tuple | None
     return rows.orderBy(F.desc("score"), "name").limit(limit)
 
 
+Keys = list[tuple[str, bool]]
+
+
+def sort_order(keys: Keys) -> list[Column]:
+    """Columns with whether they descend, as an order with nulls last."""
+    return [F.desc_nulls_last(c) if down else F.asc_nulls_last(c) for c, down in keys]
+
+
+def after_row(keys: Keys, values: list[Column]) -> Column:
+    """Rows that come after one with these values: by the first key that differs. Nothing comes after a null but what later
+    keys tell apart."""
+    later, equal = F.lit(False), F.lit(True)
+    for (c, down), v in zip(keys, values, strict=True):
+        beyond = F.col(c) < v if down else F.col(c) > v
+        later = later | (equal & v.isNotNull() & F.coalesce(beyond, F.col(c).isNull()))
+        equal = equal & F.col(c).eqNullSafe(v)
+    return later
+
+
+def page_of(rows: DataFrame, keys: Keys, size: int, token: str | None = None, scope: str = "", most: int = 100) -> tuple[DataFrame, str | None]:
+    """(a page of at most `most` rows in the order of the keys, the token of the page after or None). The keys tell all rows
+    apart; a token holds its page's last row and belongs to one scope, such as a query's parameters. No offset is counted."""
+    size, mark = max(1, min(most, size)), hashlib.sha256(scope.encode()).hexdigest()[:16]
+    types = dict(rows.dtypes)
+    if token is not None:
+        try:
+            held = json.loads(base64.urlsafe_b64decode(token + "=" * (-len(token) % 4)))
+            values, of = held["k"], held["s"]
+        except (ValueError, KeyError, TypeError) as broken:
+            raise ValueError("no such token") from broken
+        if of != mark or len(values) != len(keys):
+            raise ValueError("the token does not belong to this query")
+        rows = rows.filter(after_row(keys, [F.lit(v).cast(types[c]) for v, (c, _) in zip(values, keys, strict=True)]))
+    shown = rows.orderBy(*sort_order(keys)).limit(size + 1)
+    ends = shown.select(*[F.col(c).cast("string").alias(c) for c, _ in keys]).collect()  # a page and one row
+    if len(ends) <= size:
+        return shown, None
+    last = json.dumps({"k": list(ends[size - 1]), "s": mark}, separators=(",", ":")).encode()
+    return rows.orderBy(*sort_order(keys)).limit(size), base64.urlsafe_b64encode(last).decode().rstrip("=")
+
+
 def cursor(score: Column, name: Column, query: str) -> Column:
     """A token for page_after that holds for one query only."""
     return F.base64(F.to_json(F.struct(score.alias("s"), name.alias("n"), F.substring(F.sha2(F.lit(query), 256), 1, 16).alias("q"))).cast("binary"))

@@ -25,7 +25,10 @@ def registry_reply(rows: DataFrame) -> DataFrame:
     body = F.from_json("body", "events array<struct<eventAction: string, eventDate: string>>, entities array<struct<roles: array<string>, vcardArray: string>>")
     ev = lambda action: F.get(F.filter(body["events"], lambda e: F.lower(e["eventAction"]) == action), F.lit(0))["eventDate"]
     registrar = F.get(F.filter(body["entities"], lambda e: F.array_contains(e["roles"], "registrar")), F.lit(0))["vcardArray"]
-    full_name = F.nullif(F.regexp_extract(registrar, r'\[\s*"fn"\s*,\s*\{[^}]*\}\s*,\s*"text"\s*,\s*"((?:[^"\\]|\\.)*)"', 1), F.lit(""))
+    # a card is ["vcard", [[name, parameters, type, value], ..]]: each level is read as texts of the one below
+    texts = lambda c: F.from_json(c, "array<string>")
+    card = F.transform(texts(F.get(texts(registrar), F.lit(1))), texts)
+    full_name = F.nullif(F.get(F.get(F.filter(card, lambda p: F.lower(F.get(p, F.lit(0))) == "fn"), F.lit(0)), F.lit(3)), F.lit(""))
     return rows.select("*", F.when(F.col("http_status") == 404, True).when(F.col("http_status") == 200, False).alias("is_available"), F.substring(F.coalesce(ev("expiration"), ev("registrar expiration")), 1, 10).alias("expiration_date"), full_name.alias("registrar"))
 
 

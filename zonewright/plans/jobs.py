@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonewright.functions import names, rules, scoring, text
 from zonewright.operators import graph, metrics, observations, ranking, signals, snapshot, state
-from zonewright.sources import writers
+from zonewright.sources import readers, writers
 from zonewright.sources.staging import staged
 
 
@@ -67,13 +67,14 @@ def daily_run(
     The tables that the rest fans out from are written once: drops, answers of the ranker, scored rows. What the day
     leaves to the next one (overflow, held, denylist) comes back as tables, to be written by commit_daily.
     """
-    drops = staged(filtered_drops(yesterday, today, c), "drops")
+    counted = metrics.Counted()
+    drops = staged(counted.of(filtered_drops(yesterday, today, c), drops=F.lit(True), lexical=F.col("reject_reason").isNull()), "drops")
     lexical = drops.filter("reject_reason is null").drop("reject_reason")
     eligible, status, is_ranked = ranked(lexical, ranker, c)
     pool = ranking.pre_narrow(eligible, c.most_checked).select(*eligible.columns) if c.most_checked > 0 else eligible
     if services is not None and quotas is not None:
         pool = ranking.within_quota(ranking.hosts_of_tlds(pool, services), quotas, day.cast("string")).drop("host")
-    selected = staged(pool, "selected")
+    selected = staged(counted.of(pool, selected=F.lit(True)), "selected")
     none_yet = eligible.select("tld", "name").limit(0).withColumn("first_seen_date", day)
     left_over = state.overflow(none_yet if overflow is None else overflow, eligible.select("tld", "name") if is_ranked else none_yet.select("tld", "name"), selected, day)
 
@@ -87,7 +88,7 @@ def daily_run(
             enriched = enriched.withColumn(column, F.lit(None).cast(kind))
     if categories is not None:
         enriched = state.apply_category(enriched, categories, shadow=c.shadow)
-    enriched = staged(enriched, "enriched")
+    enriched = staged(counted.of(enriched, available=F.col("place") == 1), "enriched")
 
     additions = state.denylist_additions(denylist, enriched.filter("snapshot_category = 'toxic'"), day, c.classifier)
     remembered = denylist.select(F.lower("name").alias("name")).unionByName(additions.select("name")).distinct().withColumn("_remembered", F.lit(True))
@@ -98,7 +99,7 @@ def daily_run(
     # a failed look-up of captures is no evidence for a verdict, and no fault of a name that is to be published
     scored = scored.withColumn("reported", scoring.evidence_count(c.scoring, F.col("wayback_unknown")))
     scored = scored.withColumn("soft", rules.soft_signal(F.col("name"), c.rules)).withColumn("verdict", scoring.verdict(F.col("soft"), F.col("snapshot_category"), F.col("score"), F.col("evidence"), c.scoring))
-    scored = staged(scored, "scored")
+    scored = staged(counted.of(scored, survivors=F.col("reject_reason").isNull() & (F.col("place") == 1)), "scored")
 
     survivors = scored.filter("reject_reason is null")
     registered = asked.join(availability.filter("not is_available"), "name", "left_semi")
@@ -116,7 +117,8 @@ def daily_run(
         "drops": drops, "rejects": metrics.reason_histogram(drops.unionByName(scored.select("tld", "name", "reject_reason"))), "ranker": status, "availability": turned_away, "selected": selected,
         "scored": scored, "survivors": judged_out, "held_outcomes": metrics.value_counts(settled, "action"), "listed": listed, "published": scoring.published_row(published), "header": metrics.header(published),
         "overflow": left_over, "held": queued, "denylist": additions, "available": signals.with_publication(enriched, published),
-        "funnel": metrics.funnel({"drops": drops, "lexical": lexical, "selected": selected, "available": enriched.filter("place = 1"), "survivors": survivors.filter("place = 1")}),
+        "archive": live_records(signals.with_publication(scored, published), day),
+        "funnel": counted.table(today.sparkSession),
     }
 
 
@@ -125,12 +127,33 @@ def commit_daily(tables: dict[str, DataFrame], today: DataFrame, root: str, day:
     that fails on the way leaves yesterday's names and finds the same drops again."""
     writers.payload(tables["published"], tables["header"]).write.mode("overwrite").text(f"{root}/payload")
     writers.hand_off(tables["drops"], f"{root}/drops", day)
-    writers.hand_off(tables["available"].select("name", "was_published"), f"{root}/available", day)
+    writers.hand_off(tables["archive"], f"{root}/available", day)
+    spark = today.sparkSession
+    writers.append_events(tables["archive"], readers.archive(spark, f"{root}/archive", ARCHIVE), f"{root}/archive")
     for name in ("overflow", "held", "denylist"):
         tables[name].withColumn("day", F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/{name}")
     writers.commit_snapshot(today, f"{root}/names", day)
 
 
+#: What a live record keeps of a row's signals, where the row has them, with their types.
+SIGNALS = {
+    "wayback_snapshots": "int", "wayback_last_snapshot": "date", "wayback_unknown": "boolean", "open_page_rank": "double", "cert_history": "boolean", "cc_source_domain_count": "int", "snapshot_category": "string",
+    "snapshot_classifier_version": "string", "previous_registrar": "string", "rdap_status": "array<string>", "rdap_expiration": "string",
+}
+ARCHIVE = "domain string, tld string, drop_date date, availability_status string, availability_confirmed_date date, phase2_score int, score int, verdict string, was_published boolean, source string, " + ", ".join(f"{c} {t}" for c, t in SIGNALS.items())
+
+
+def live_records(available: DataFrame, day: Column) -> DataFrame:
+    """The archive's records of all names known to be free, the low-scoring ones too: available has name, tld, dropped_date,
+    score, verdict, was_published and signals. Availability was confirmed when the registry said so, else on the day."""
+    value = lambda c, t: (F.col(c) if c in available.columns else F.lit(None)).cast(t).alias(c)
+    confirmed = F.to_date(F.substring("availability_verified_at", 1, 10)) if "availability_verified_at" in available.columns else F.lit(None).cast("date")
+    return available.select(
+        F.col("name").alias("domain"), "tld", F.col("dropped_date").alias("drop_date"), F.lit("available").alias("availability_status"), F.coalesce(confirmed, day).alias("availability_confirmed_date"),
+        value("phase2_score", "int"), F.col("score").cast("int").alias("score"), "verdict", "was_published", F.lit("live").alias("source"), *[value(c, t) for c, t in SIGNALS.items()],
+    )
+
+
 def graph_refresh(vertices: DataFrame, edges: DataFrame, release: str, *, least_rows: int, present: dict[str, int], absent: list[str]) -> tuple[DataFrame, DataFrame]:
     """(counts of the release, checks): the caller promotes the release when all checks are ok."""
     counts = staged(graph.link_release(vertices, edges).withColumn("release", F.lit(release)), "release")
@@ -180,8 +203,9 @@ def backfill(payloads: DataFrame, existing: DataFrame) -> DataFrame:
     return state.new_events(existing, state.first_occurrences(rows, ["domain", "drop_date"], [F.col("snapshot_date")]))
 
 
-def api_snapshot(events: DataFrame, checked_since: Column) -> DataFrame:
-    return observations.documents(state.events_by_day(observations.grouped_events(events)), checked_since)
+def api_snapshot(events: DataFrame, checked_since: Column, excerpts: DataFrame | None = None) -> DataFrame:
+    """The documents of an archive; excerpts (name, excerpt) give their sample titles."""
+    return observations.documents(state.events_by_day(observations.grouped_events(events)), checked_since, excerpts)
 
 
 def page_selection(rows: DataFrame, index: DataFrame, denylist: DataFrame, cache: DataFrame, day: Column) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zonewright.sources.staging import staged
+
 VERTEX = "id long, reversed_domain string, num_hosts long"
 EDGE = "from_id long, to_id long"
 SNAPSHOT = "tld string, snapshot_date date, name string"
@@ -91,5 +93,11 @@ def archive(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value) of one log file; the order of lines is kept."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+    """(file, line_no, value) of log files, lines numbered from 0 in each. A file may be read in many splits: a line's number
+    is its place in the split, after the lines of the splits before."""
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = staged(read, "log")
+    splits = lines.groupBy("file", "begin").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))  # one row a split
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(splits.withColumn("before", before).drop("n"), ["file", "begin"])
+    return placed.select("file", (F.col("before") + F.col("at") - F.col("low")).alias("line_no"), "value")
