@@ -172,3 +172,45 @@ def test_a_finding_without_a_surrogate_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(pii, "assign", lambda values, key: values.withColumn("surrogate", F.lit("x")).limit(0))
     with pytest.raises(Exception, match="no surrogate"):
         run(spark, ["mail a@b.com"])
+
+
+def test_titles_stack_and_any_blank_follows(spark):
+    people = {
+        "Herr Dr. Hans Müller": "Herr Dr. ", "Frau Prof. Dr. Eva Klein": "Frau Prof. Dr. ", "Mr.  John Smith": "Mr.  ", "Mr.\nSmith": "Mr.\n", "mr. smith": "mr. ", "M. Dupont": "M. ", "Sir Isaac Newton": "Sir ",
+        "DR. PROF. SMITH": "DR. PROF. ",
+    }
+    rows = run(spark, [f"then {p}, it was" for p in people])
+    for i, (person, head) in enumerate(people.items()):
+        out = rows[i]["text"]
+        assert out.startswith("then " + head) and out.endswith(", it was") and rows[i]["n"] == 1
+        assert not any(w in out for w in person.removeprefix(head).split()), out
+    assert any(re.search(rf"Eva|{e} ", rows[1]["text"]) for e in pii.ENDINGS["latin", "f"])
+    assert re.fullmatch(r"then mr\. [a-z]+, it was", rows[4]["text"])
+
+
+def test_one_person_one_surrogate_and_two_people_two(spark):
+    rows = run(spark, [
+        "Mr. John Smith came. Later Smith left; John was tired, SMITH's car and Smithson too.",
+        "Dr. Maria Silva and Mrs. Maria Silva",
+        "Mr. P. Smith and Mr. R. Smith, " + ", ".join(f"Mr. {c}. Smith" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZÉÓ"),
+        "call +1 555 123 4567 or 555 123 4567 now",
+        "a text of Smith and John alone",
+    ])
+    given, surname = re.match(r"Mr\. (\w+) (\w+) came", rows[0]["text"]).groups()
+    assert rows[0]["text"] == f"Mr. {given} {surname} came. Later {surname} left; {given} was tired, {surname.upper()}'s car and Smithson too."
+    a, b = re.match(r"Dr\. (\w+ \w+) and Mrs\. (\w+ \w+)", rows[1]["text"]).groups()
+    assert a == b and any(a.split()[0].endswith(e) for e in pii.ENDINGS["latin", "f"])
+    initials = re.findall(r"Mr\. (\w)\. ", rows[2]["text"])
+    assert len(initials) == 30 and len(set(initials)) == 28 and all(x != y for x, y in zip(initials[2:], "ABCDEFGHIJKLMNOPQRSTUVWXYZÉÓ"))
+    x, y = re.fullmatch(r"call \+1 (\d{3} \d{3} \d{4}) or (\d{3} \d{3} \d{4}) now", rows[3]["text"]).groups()
+    assert x == y != "555 123 4567"
+    assert rows[4]["text"] == "a text of Smith and John alone", "names are found by a title in the same text"
+
+
+def test_addresses_tokens_and_passwords(spark):
+    cases = ["at 2001:db8::1 or", "at fe80:0:0:0:202:b3ff:fe1e:8329 or", "set pwd=hunter22xyz or", "Authorization: Bearer abcdef123456 or", "passphrase: abc def99"]
+    rows = run(spark, [*cases, "std::vector a::b 12:30:45 10:20", "bearer of news"])
+    for i, gone in enumerate(("2001:db8", "202:b3ff", "hunter22xyz", "abcdef123456")):
+        assert rows[i]["n"] == 1 and gone not in rows[i]["text"] and rows[i]["text"].endswith(" or") and rows[i]["text"].split(" ")[0] == cases[i].split(" ")[0]
+    assert re.fullmatch(r"at [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f] or", rows[0]["text"])
+    assert [rows[i]["text"] for i in (5, 6)] == ["std::vector a::b 12:30:45 10:20", "bearer of news"]

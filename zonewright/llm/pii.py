@@ -1,12 +1,14 @@
 """Personal data: keyed surrogates for detected entities, by DataFrame functions only.
 
-Found are e-mail addresses, phone numbers, payment cards, social security and bank account numbers, IPv4 addresses, access
-keys and other secrets, and names after a title. Every entity has a canonical form (digits of a number, an address in
+Found are e-mail addresses, phone numbers, payment cards, social security and bank account numbers, IPv4 and IPv6 addresses,
+access keys, bearer tokens and other secrets, and names after one or more titles. Every entity has a canonical form (digits of a number, an address in
 lower case, a given name or surname in lower case), so different spellings of one entity keep one surrogate. A surrogate
 comes from a keyed SHA-256 of type, canonical form and attempt, and looks like the original: digits for digits, letters
 for letters of the same case, the separators as written, a valid check digit where there was one, octets in range, given
 names of the same gender and script (letter by letter of the same script where there are no syllables for it), other
-initials for initials; titles and particles of names stay. Collisions are checked over the whole corpus: a surrogate that
+initials for initials (a keyed permutation, so different ones stay different); titles and particles of names stay. A given
+name without a gendered title anywhere takes the surrogate of its mentions with one. Words of a found name are replaced
+wherever they stand alone in the same text. Collisions are checked over the whole corpus: a surrogate that
 is a real entity, or that another entity has, is drawn again, so distinct entities stay distinct. Entities that draw in
 vain `ATTEMPTS` times (of formats with few values, nearly all of them real) take each other's forms in a keyed ring. What
 has no surrogate even then is an error: nothing found is ever written as it was.
@@ -21,6 +23,7 @@ is set anew in rewritten rows; other columns stay as they are, whatever their na
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,8 +36,8 @@ ATTEMPTS = 16
 
 # The patterns of the entities, and the titles that mark a name with their gender.
 TITLES = {
-    "m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
+    "m": ("Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
+    "f": ("Mrs", "Ms", "Miss", "Lady", "Dame", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
     "n": ("Dr", "Prof", "Professor", "Doctor", "Mx", "Доктор"),
 }
 PARTICLES = ("van", "von", "der", "den", "de", "di", "da", "del", "della", "la", "le", "du", "dos", "das", "bin", "ibn", "al", "el", "ter", "ten", "zu", "zum", "zur", "af", "y")
@@ -42,9 +45,12 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 KEYED = r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
 _SET = r"[=:][ \t]{0,4}[\"']?"
 #: The cheap looks back come first: most places fail them.
-SECRET = rf"(?<=[=: \t\"'])(?![\"'])(?<={_SET})(?<=(?i:password|passwd|secret|api_key|token)[\"']?[ \t]{{0,4}}{_SET})[^\s\"']{{6,}}"
+SECRET = rf"(?<=[=: \t\"'])(?![\"'])(?<={_SET})(?<=(?i:password|passwd|pwd|passphrase|secret|api_key|token)[\"']?[ \t]{{0,4}}{_SET})[^\s\"']{{6,}}"
+BEARER = r"(?<=(?i:bearer) )[A-Za-z0-9._~+/-]{8,}=*"
 BANK = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?!\.?[0-9])"
+#: With all groups, or shortened; what begins with a group of at least three digits and holds a decimal one.
+ADDRESS6 = r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{3,4}:)(?=[A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){1,7}:)(?![0-9A-Za-z:])"
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -64,11 +70,19 @@ def _person(word: str, words: int) -> str:
     return rf"(?:{_INITIALS} ?)*(?:{_PARTICLE} )*{word}(?: {_INITIALS})*(?: (?:{_PARTICLE} )*{word}){{0,{words - 1}}}"
 
 
-#: A title in capitals marks a name in capitals, or with its dot any name.
-NAME = rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:{_person(_WORD, 3)}|{_person(_CAPITALS, 2)}|{_UNCASED})|(?:{_SHOUTED})(?:\.? {_person(_CAPITALS, 2)}|\. {_person(_WORD, 3)}))"
-ANY = f"{SECRET}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
+_GAP = r"\s{1,3}"
+_LOW = "mr|mrs|ms|mme"
+#: One title or more; M only with its dot and alone, as it is an initial after others.
+_HEAD = rf"(?:(?:(?:{_TITLE})\.?{_GAP})+|M\.{_GAP})"
+_SHOUTED_HEAD = rf"(?:(?:{_SHOUTED})\.?{_GAP})+"
+#: A title in capitals marks a name in capitals, or with its dot any name; one in small letters, with its dot, a small word.
+NAME = rf"(?<!\p{{L}})(?:{_HEAD}(?:{_person(_WORD, 3)}|{_person(_CAPITALS, 2)}|{_UNCASED})|{_SHOUTED_HEAD}{_person(_CAPITALS, 2)}|(?:{_SHOUTED})\.{_GAP}{_person(_WORD, 3)}|(?:{_LOW})\.{_GAP}\p{{Ll}}{{2,}})"
+_ANY_HEAD = rf"^(?:{_HEAD}|{_SHOUTED_HEAD}|(?:{_LOW})\.{_GAP})"
+ANY = f"{SECRET}|{BEARER}|{EMAIL}|{KEYED}|{BANK}|{ADDRESS}|{ADDRESS6}|{SOCIAL}|{CARD}|{PHONE}|{NAME}"
+#: The words between findings, each by itself, and what is between them.
+_APART = rf"\p{{L}}(?:{_GOES_ON})*|[^\p{{L}}]+"
 #: What every entity has somewhere; the quick test that most texts fail.
-SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE}|{_SHOUTED})\.? \p{{L}}|(?i:password|passwd|secret|api_key|token)"
+SOME = rf"[0-9@]|AKIA[A-Z]{{16}}|(?<!\p{{L}})(?:{_TITLE}|{_SHOUTED}|M\.|(?:{_LOW})\.)\.?{_GAP}\p{{L}}|(?i:password|passwd|pwd|passphrase|secret|api_key|token|bearer)"
 
 #: Types of the parts of a name that get surrogates.
 _OF_NAMES = ("given_m", "given_f", "given_n", "surname")
@@ -103,19 +117,28 @@ def entities(text: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    rules = [("email", f"^{EMAIL}$"), ("name", f"^{NAME}$"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*[0-9]$"), ("bank", f"^{BANK}$")]
+    rules = [("email", f"^{EMAIL}$"), ("name", f"^{NAME}$"), ("access_key", f"^{KEYED}$"), ("address", f"^{ADDRESS}$"), ("address6", f"^{ADDRESS6}$"), ("social", f"^{SOCIAL}$"), ("card", f"^{CARD}$"), ("phone", r"^[+(0-9][0-9 .()-]*[0-9]$"), ("bank", f"^{BANK}$")]
     return reduce(lambda rest, r: F.when(value.rlike(r[1]), r[0]).otherwise(rest), reversed(rules), F.lit("secret"))
 
 
+def _joined(value: Column) -> Column:
+    """A name without its titles; initials that touch each other or the next word are parts of their own."""
+    return F.regexp_replace(F.regexp_replace(value, _ANY_HEAD, ""), r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001")
+
+
+def words_of(value: Column) -> Column:
+    """The titles of a name with the blanks after them, then its words."""
+    return F.concat(F.array(F.regexp_extract(value, _ANY_HEAD, 0)), F.split(_joined(value), "[ \u0001]"))
+
+
 def parts(value: Column) -> Column:
     """The entities in a finding: array of (place, type, canonical, before), where `before` is written before the
     surrogate; of a name: the title, particles (both of type `kept`), initials, given name and surnames."""
     k = kind(value)
-    # initials that touch each other or the next word are parts of their own
-    words = F.split(F.regexp_replace(value, r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[ \u0001]")
-    spaced = F.split(F.regexp_replace(F.regexp_replace(value, r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[^ \u0001]", ""), "")
-    title = F.lower(F.regexp_replace(F.get(words, F.lit(0)), r"\.$", ""))
-    gender = F.when(title.isin(*[t.lower() for t in TITLES["m"]]), "given_m").when(title.isin(*[t.lower() for t in TITLES["f"]]), "given_f").otherwise("given_n")
+    words, spaced = words_of(value), F.split(F.regexp_replace(_joined(value), "[^ \u0001]", ""), "")
+    titles = F.transform(F.split(F.lower(F.get(words, F.lit(0))), r"\s+"), lambda t: F.regexp_replace(t, r"\.$", ""))
+    of = lambda g: F.arrays_overlap(titles, _literal([t.lower() for t in TITLES[g]] + ["m"] * (g == "m")))
+    gender = F.when(of("m"), "given_m").when(of("f"), "given_f").otherwise("given_n")
     sort = F.transform(words, lambda w, i: F.when((i == 0) | w.isin(*PARTICLES), "kept").when(w.rlike(f"^{_INITIALS}$"), "initials").otherwise("word"))
     names = F.size(F.filter(sort, lambda x: x == "word"))
     first = F.array_position(sort, F.lit("word")) - 1
@@ -125,26 +148,30 @@ def parts(value: Column) -> Column:
             i.alias("place"),
             F.when(F.get(sort, i) != "word", F.get(sort, i)).when((names > 1) & (i == first), gender).otherwise("surname").alias("type"),
             F.when(F.get(sort, i) == "word", F.lower(w)).otherwise(w).alias("canonical"),
-            F.when((i > 0) & (F.get(spaced, i - 1) == " "), " ").otherwise("").alias("before"),
+            F.when((i > 1) & (F.get(spaced, i - 2) == " "), " ").otherwise("").alias("before"),
         ),
     )
-    plain = F.when(k.isin("card", "phone", "social"), F.regexp_replace(value, "[^0-9+]", "")).when(k == "email", F.lower(value)).when(k == "bank", F.regexp_replace(value, " ", "")).otherwise(value)
+    digits = F.regexp_replace(value, "[^0-9+]", "")
+    # a number with the country code 1 is the same number without it
+    plain = F.when(k == "phone", F.regexp_replace(digits, r"^\+1(?=[0-9]{10}$)", "")).when(k.isin("card", "social"), digits).when(k.isin("email", "address6"), F.lower(value)).when(k == "bank", F.regexp_replace(value, " ", "")).otherwise(value)
     return F.when(k != "name", F.array(F.struct(F.lit(0).alias("place"), k.alias("type"), plain.alias("canonical"), F.lit("").alias("before")))).otherwise(of_name)
 
 
-def other_initials(value: Column, key: str) -> Column:
-    """Each capital of initials moved on in its alphabet by a keyed step."""
-    step = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{key}|initials|"), value), 256), 1, 4), 16, 10).cast("int")
-    alphabets = [LETTERS["[А-ЯЁ]"], "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+# Capitals of names by alphabet.
+CAPITALS = (
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "ĀĂĄĆĈĊČĎĐĒĔĖĘĚĜĞĠĢĤĦĨĪĬĮİĴĶĹĻĽŁŃŅŇŌŎŐŒŔŖŘŚŜŞŠŢŤŦŨŪŬŮŰŲŴŶŸŹŻŽ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+)
 
-    def moved(c: Column) -> Column:
-        out = F.substring(F.lit(alphabets[-1]), step % 26 + 1, F.lit(1))  # capitals of other alphabets
-        for letters in alphabets:
-            at = F.instr(F.lit(letters), c)
-            out = F.when(at > 0, F.substring(F.lit(letters), (at + step % (len(letters) - 1)) % len(letters) + 1, F.lit(1))).otherwise(out)
-        return F.when(c == ".", c).otherwise(out)
 
-    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), moved), "")
+def other_initials(value: Column, key: str) -> Column:
+    """Each capital of initials becomes another of its alphabet: the next one in a keyed order, so that different initials
+    stay different. Capitals of other alphabets become an X."""
+    pairs = []
+    for letters in CAPITALS:
+        ring = sorted(letters, key=lambda c: hashlib.sha256(f"{key}|initials|{c}".encode()).hexdigest())
+        pairs += zip(ring, ring[1:] + ring[:1])
+    source, to = ("".join(x) for x in zip(*pairs))
+    return F.regexp_replace(F.translate(value, source, to), rf"[^.{to}]", "X")
 
 
 def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Column:
@@ -177,6 +204,7 @@ def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Colum
     bank = shuffled(lambda c, i: i < 2)
     address = F.array_join(F.transform(F.split(canonical, r"\."), lambda c, i: (draw(i) % 254 + 1).cast("string")), ".")
 
+    address6 = F.array_join(F.transform(letters, lambda c, i: F.when(c == ":", c).otherwise(F.substring(F.lit("0123456789abcdef"), draw(i) % 16 + 1, F.lit(1)))), "")
     other = lambda c, i: reduce(lambda rest, r: F.when(c.rlike(r[0]), F.substring(F.lit(r[1]), draw(i) % len(r[1]) + 1, F.lit(1))).otherwise(rest), reversed(LETTERS.items()), c)
     foreign = F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike(r"[\x00-\x7F]"), like(c, i)).otherwise(other(c, i))), "")
 
@@ -187,7 +215,7 @@ def surrogate(type_: Column, canonical: Column, attempt: int, key: str) -> Colum
     def named(gender: str) -> Column:
         return F.when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic", gender)).when(canonical.rlike(r"[a-z]"), name("latin", gender)).otherwise(F.initcap(foreign))
 
-    made = F.when(type_ == "email", email).when(type_ == "phone", phone).when(type_ == "card", card).when(type_ == "access_key", access).when(type_ == "bank", bank).when(type_ == "address", address)
+    made = F.when(type_ == "email", email).when(type_ == "phone", phone).when(type_ == "card", card).when(type_ == "access_key", access).when(type_ == "bank", bank).when(type_ == "address", address).when(type_ == "address6", address6)
     made = made.when(type_ == "given_m", named("m")).when(type_ == "given_f", named("f")).when(type_ == "given_n", named("n")).when(type_ == "surname", named("s"))
     marks = F.array_join(F.transform(letters, lambda c, i: F.substring(F.lit("!#$%&*+-=?@^_~"), draw(i) % 14 + 1, F.lit(1))), "")
     plain = F.when(canonical.rlike("[0-9A-Za-z]"), shuffled(lambda c, i: F.lit(False))).otherwise(marks)
@@ -208,6 +236,8 @@ def with_check_digit(digits: Column) -> Column:
 
 def written(type_: Column, value: Column, canonical_surrogate: Column) -> Column:
     """The surrogate in the spelling of the finding: separators and case as they were."""
+    abroad = (type_ == "phone") & F.regexp_replace(value, "[^0-9+]", "").rlike(r"^\+1[0-9]{10}$")
+    canonical_surrogate = F.when(abroad, F.concat(F.lit("+1"), canonical_surrogate)).otherwise(canonical_surrogate)
     spelled = F.aggregate(
         F.split(value, ""),
         F.struct(F.lit("").alias("out"), F.lit(1).alias("next")),
@@ -219,7 +249,7 @@ def written(type_: Column, value: Column, canonical_surrogate: Column) -> Column
     rest = lambda s: F.concat(s["out"], F.substring(canonical_surrogate, s["next"], F.length(canonical_surrogate)))
     case = F.array_join(F.transform(F.split(value, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(canonical_surrogate, i + 1, F.lit(1)))).otherwise(F.substring(canonical_surrogate, i + 1, F.lit(1)))), "")
     more = F.substring(canonical_surrogate, F.length(value) + 1, F.length(canonical_surrogate))
-    shouted = F.when((F.upper(value) == value) & (F.lower(value) != value), F.upper(canonical_surrogate)).otherwise(canonical_surrogate)
+    shouted = F.when((F.upper(value) == value) & (F.lower(value) != value), F.upper(canonical_surrogate)).when((F.lower(value) == value) & (F.upper(value) != value), F.lower(canonical_surrogate)).otherwise(canonical_surrogate)
     named = F.when(type_.isin("given_m", "given_f", "given_n", "surname"), shouted).otherwise(canonical_surrogate)
     return F.when(type_.isin("card", "phone", "social", "bank"), rest(spelled)).when(type_ == "email", F.concat(case, more)).otherwise(named)
 
@@ -254,7 +284,7 @@ def assign(values: DataFrame, key: str = KEY) -> DataFrame:
 
 def replace_entities(docs: DataFrame, *, key: str = KEY, count: str | None = None) -> DataFrame:
     """docs with every entity in `text` replaced; count: name of a column for the number of findings."""
-    mark, found, swap = (unused(docs.columns, x) for x in ("_mark", "_found", "_swap"))
+    mark, found, swap, known = (unused(docs.columns, x) for x in ("_mark", "_found", "_swap", "_known"))
     text = F.col("text").cast("string")
     none = F.array().cast("array<string>")
     scanned = materialize(docs.withColumn(found, F.when(F.coalesce(text.rlike(SOME), F.lit(False)), entities(text)).otherwise(none)), "scanned")
@@ -262,20 +292,34 @@ def replace_entities(docs: DataFrame, *, key: str = KEY, count: str | None = Non
     listed = materialize(hit.select(F.col(mark).alias("mark"), F.explode(F.array_distinct(found)).alias("value")).distinct(), "findings")
     single = listed.select("value").distinct().select("value", F.explode(parts(F.col("value"))).alias("part")).select("value", "part.*")
     single = materialize(single, "parts")
+    # a given name after a title of no gender is the same as after one that has it
+    gendered = single.filter("type in ('given_m', 'given_f')").groupBy("canonical").agg(F.min("type").alias("_type"))
+    of_none = single.filter("type = 'given_n'").join(gendered, "canonical", "left").withColumn("type", F.coalesce("_type", "type"))
+    single = materialize(single.filter("type <> 'given_n'").unionByName(of_none.select(single.columns)), "parts")
     surrogates = assign(materialize(single.filter("type not in ('kept', 'initials')").select("type", "canonical").distinct(), "entities"), key)
     drawn = single.join(surrogates, ["type", "canonical"], "left")
-    word = F.when(F.col("type").isin(*_OF_NAMES), F.element_at(F.split(F.regexp_replace("value", r"((?:\p{Lu}\.)+)(?=\p{L})", "$1\u0001"), "[ \u0001]"), F.col("place") + 1)).otherwise(F.col("value"))
+    word = F.when(F.col("type").isin(*_OF_NAMES), F.element_at(words_of(F.col("value")), F.col("place") + 1)).otherwise(F.col("value"))
     new = F.when(F.col("type") == "kept", F.col("canonical")).when(F.col("type") == "initials", other_initials(F.col("canonical"), key)).otherwise(written(F.col("type"), word, F.col("surrogate")))
     new = F.coalesce(new, F.raise_error(F.concat(F.lit("no surrogate for a finding of type "), F.col("type"))).cast("string"))
+    renamed = drawn.filter(F.col("type").isin(*_OF_NAMES)).select("value", word.alias("word"), F.struct("type", new.alias("new")).alias("as")).filter(F.length("word") > 1)
     spelled = drawn.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("place", F.concat("before", new).alias("piece")))).alias("pieces"))
     spelled = spelled.select("value", F.array_join("pieces.piece", "").alias("new"))
     swaps = listed.join(spelled, "value", "left").groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct(F.col("value").alias("k"), F.col("new").alias("v")))).alias("swap"))
 
+    # words of a text's names, for where they stand alone; a surname if a word is one as well
+    words = listed.join(renamed, "value").groupBy("mark", "word").agg(F.max("as").alias("as"))
+    words = words.groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct("word", "as.new"))).alias("names"))
+    swaps = swaps.join(words, "mark", "left")
+
     # rows without findings stay where they are; the others meet their replacements
-    hit = hit.join(swaps.select(F.col("mark").alias(mark), F.col("swap").alias(swap)), mark, "left")
+    hit = hit.join(swaps.select(F.col("mark").alias(mark), F.col("swap").alias(swap), F.col("names").alias(known)), mark, "left")
+
+    def again(piece: Column) -> Column:
+        other = lambda t: F.coalesce(F.col(known)[t], F.when((F.upper(t) == t) & (F.length(t) > 1), F.upper(F.col(known)[F.initcap(F.lower(t))])), t)
+        return F.when(F.col(known).isNull(), piece).otherwise(F.array_join(F.transform(F.regexp_extract_all(piece, F.lit(_APART), F.lit(0)), other), ""))
     lost = F.raise_error(F.lit("a finding has no replacement")).cast("string")
     replaced = F.transform(found, lambda e: F.coalesce(F.col(swap)[e], lost))
-    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), replaced, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), replaced, lambda a, b: F.concat(again(a), F.coalesce(b, F.lit("")))), "")
     hit = hit.withColumn("text", joined)
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
