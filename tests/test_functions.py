@@ -111,3 +111,10 @@ def test_texts_of_others(spark):
 def test_link_trend(spark, history, trend):
     rows = [([("r", n) for n in history],)]
     assert values(spark, rows, scoring.link_trend(F.col("h")), "h array<struct<release string, source_domain_count long>>") == [trend]
+
+
+def test_release_tables_reach_as_far_as_the_data(spark):
+    df = spark.createDataFrame([("1994-nov-dec-jan",), ("2050-2051-nov-dec-jan",), ("2051-oct-nov-dec",), ("nightly",), (None,)], "release string")
+    known = df.join(names.release_table_of(df), "release")
+    assert sorted((r["release"], r["year"]) for r in known.collect()) == [("2050-2051-nov-dec-jan", 2051), ("2051-oct-nov-dec", 2051)]
+    assert names.release_table_of(df.filter("release = 'nightly'")).count() == 24

@@ -104,7 +104,7 @@ def graph_link_history(spark, sf_dir):
     counts = _yearly(spark, sf_dir)
     window = counts.select("release").distinct()
     last = window.agg(F.max("release")).first()[0]  # one row
-    window = graph.release_window(window, names.release_table(spark, 1990, 2035), last or "", 3)
+    window = graph.release_window(window, names.release_table_of(window), last or "", 3)
     candidates = _t(spark, sf_dir, "part").select(F.concat(F.lit("part"), F.col("p_partkey").cast("string"), F.lit(".com")).alias("name"))
     out = graph.with_link_history(candidates, counts, window).filter("cc_backlink_history is not null")
     shown = F.array_join(F.transform("cc_backlink_history", lambda h: F.concat(h["release"], F.lit("="), F.coalesce(h["source_domain_count"].cast("string"), F.lit("?")))), ",")
@@ -121,7 +121,7 @@ def graph_release_gate(spark, sf_dir):
 @query(f"""WITH {_YEARLY_SQL}, r AS (SELECT release, row_number() OVER (ORDER BY release DESC) AS k FROM (SELECT DISTINCT release FROM yearly))
 SELECT release, CASE WHEN k <= 2 OR release = '1993-apr-may-jun' THEN 'keep' ELSE 'delete' END AS action FROM r""")
 def graph_retention_plan(spark, sf_dir):
-    return graph.retention_plan(_yearly(spark, sf_dir), names.release_table(spark, 1990, 2035), 2, ["1993-apr-may-jun"])
+    return graph.retention_plan(_yearly(spark, sf_dir), names.release_table_of(_yearly(spark, sf_dir)), 2, ["1993-apr-may-jun"])
 
 
 @query(f"""WITH {_YEARLY_SQL}, a AS (SELECT id, arg_max(n, release) AS new, arg_min(n, release) AS old, count(*) AS k FROM yearly GROUP BY id)
@@ -873,4 +873,4 @@ def jobs_backfill(spark, sf_dir):
     return jobs.backfill(rows, none).groupBy("month").agg(F.count(F.lit(1)).alias("events"))
 
 
-from zonewright import catalog_jobs, catalog_stores  # noqa: E402, F401  (their queries register themselves)
+from zonewright import catalog_jobs, catalog_stores, catalog_streams  # noqa: E402, F401  (their queries register themselves)

@@ -191,7 +191,7 @@ def signals_final_category(spark, sf_dir):
 @query(f"""WITH {_YEARLY_SQL}, b AS (SELECT release, CASE WHEN n = 0 THEN '0' WHEN n < 10 THEN '1-9' WHEN n < 100 THEN '10-99' WHEN n < 1000 THEN '100-999' ELSE '>=1000' END AS bucket, count(*) AS names FROM yearly GROUP BY ALL),
 r AS (SELECT release, lag(release) OVER (ORDER BY release) AS previous FROM (SELECT DISTINCT release FROM b)) SELECT b.release, r.previous, b.bucket, b.names, b.names / p.names AS ratio FROM b JOIN r USING (release) LEFT JOIN b p ON p.release = r.previous AND p.bucket = b.bucket""")
 def graph_release_ratios(spark, sf_dir):
-    return graph.bucket_ratios(_yearly(spark, sf_dir), names.release_table(spark, 1990, 2035))
+    return graph.bucket_ratios(_yearly(spark, sf_dir), names.release_table_of(_yearly(spark, sf_dir)))
 
 
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, array_to_string(list_filter([CASE WHEN id % 4 <> 1 THEN 'content_unscreened' END, CASE WHEN id % 6 = 0 THEN 'wayback_unknown' END, CASE WHEN wayback_snapshots IS NULL THEN 'missing:wayback_snapshots' END, CASE WHEN open_page_rank IS NULL THEN 'missing:open_page_rank' END], lambda x: x IS NOT NULL), ',') AS reasons FROM signals""")

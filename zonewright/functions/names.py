@@ -146,6 +146,14 @@ def release_table(spark, first_year: int = 2017, last_year: int = 2035):
     return ends.select(name.alias("release"), "year", "end_month", shown.alias("label"))
 
 
+def release_table_of(releases):
+    """The `release_table` of the years that a table's release names begin with, and of the one after: read from the data, so
+    no release is ever past its end. Names that begin with no year count for nothing."""
+    years = releases.select(F.regexp_extract("release", "^([0-9]{4})-", 1).try_cast("int").alias("year")).agg(F.min("year").alias("low"), F.max("year").alias("high")).first()
+    low = years["low"] if years["low"] is not None else 2017
+    return release_table(releases.sparkSession, low, (years["high"] if years["high"] is not None else low) + 1)
+
+
 def page_link(name: Column, archived: Column) -> Column:
     """The own page of an archived name in safe characters, else an anchor in the list."""
     return F.when(F.coalesce(archived, F.lit(False)) & name.rlike("^[a-z0-9.-]+$"), F.concat(F.lit("/d/"), name, F.lit("/"))).otherwise(F.concat(F.lit("/#"), name))

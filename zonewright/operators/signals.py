@@ -17,19 +17,25 @@ from zonewright.functions import rules
 CATEGORIES = ("legitimate", "parked", "toxic", "empty", "unknown")
 
 
-def registry_reply(rows: DataFrame) -> DataFrame:
-    """rows with is_available (404 yes, 200 no, else unknown), expiration_date and registrar.
+def registry_columns(status: Column, body: Column) -> dict[str, Column]:
+    """is_available (404 yes, 200 no, else unknown), expiration_date and registrar of a reply.
 
     The expiration event comes before that of the registrar; the registrar is the name of the first such entity.
     """
-    body = F.from_json("body", "events array<struct<eventAction: string, eventDate: string>>, entities array<struct<roles: array<string>, vcardArray: string>>")
+    body = F.from_json(body, "events array<struct<eventAction: string, eventDate: string>>, entities array<struct<roles: array<string>, vcardArray: string>>")
     ev = lambda action: F.get(F.filter(body["events"], lambda e: F.lower(e["eventAction"]) == action), F.lit(0))["eventDate"]
     registrar = F.get(F.filter(body["entities"], lambda e: F.array_contains(e["roles"], "registrar")), F.lit(0))["vcardArray"]
     # a card is ["vcard", [[name, parameters, type, value], ..]]: each level is read as texts of the one below
     texts = lambda c: F.from_json(c, "array<string>")
     card = F.transform(texts(F.get(texts(registrar), F.lit(1))), texts)
     full_name = F.nullif(F.get(F.get(F.filter(card, lambda p: F.lower(F.get(p, F.lit(0))) == "fn"), F.lit(0)), F.lit(3)), F.lit(""))
-    return rows.select("*", F.when(F.col("http_status") == 404, True).when(F.col("http_status") == 200, False).alias("is_available"), F.substring(F.coalesce(ev("expiration"), ev("registrar expiration")), 1, 10).alias("expiration_date"), full_name.alias("registrar"))
+    expires = F.substring(F.coalesce(ev("expiration"), ev("registrar expiration")), 1, 10)
+    return {"is_available": F.when(status == 404, True).when(status == 200, False), "expiration_date": expires, "registrar": full_name}
+
+
+def registry_reply(rows: DataFrame) -> DataFrame:
+    """rows (http_status, body) with the columns of `registry_columns`."""
+    return rows.select("*", *[c.alias(n) for n, c in registry_columns(F.col("http_status"), F.col("body")).items()])
 
 
 def blocklist_listed(addresses: Column, no_such_name: Column) -> Column:
@@ -41,7 +47,7 @@ def blocklist_listed(addresses: Column, no_such_name: Column) -> Column:
 def page_rank(body: Column) -> Column:
     """found: false gives 0; a body that is no JSON gives null; a rank that is no number gives 0."""
     read = F.from_json(body, "found boolean, page_rank_decimal string, rank string")
-    return F.when(read.isNull() | F.coalesce(read["found"], read["page_rank_decimal"], read["rank"]).isNull(), None).when(read["found"].eqNullSafe(F.lit(False)), 0.0).otherwise(F.coalesce(read["page_rank_decimal"].try_cast("double"), F.lit(0.0)))
+    return F.when(read.isNull() | F.coalesce(read["found"].cast("string"), read["page_rank_decimal"], read["rank"]).isNull(), None).when(read["found"].eqNullSafe(F.lit(False)), 0.0).otherwise(F.coalesce(read["page_rank_decimal"].try_cast("double"), F.lit(0.0)))
 
 
 def threat_reply(body: Column) -> tuple[Column, Column]:

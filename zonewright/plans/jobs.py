@@ -169,7 +169,7 @@ def promote_release(vertices: DataFrame, edges: DataFrame, pointer: DataFrame, r
     checks = staged(graph.release_checks(written.filter(F.col("release") == release), release, least_rows=least_rows, present=present, absent=absent), "checks")
     moved = staged(graph.current_release(pointer, release, checks), "pointer")
     named = [x for r in moved.collect() for x in (r["current"], r["previous"]) if x]  # one row
-    plan = graph.retention_plan(written, names.release_table(spark), keep, [*protected, *named])
+    plan = graph.retention_plan(written, names.release_table_of(written), keep, [*protected, *named])
     return {"meta": meta, "checks": checks, "pointer": moved, "plan": plan, "buckets": graph.bucket_counts(written)}
 
 

@@ -101,3 +101,8 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = lines.join(splits.withColumn("before", before).drop("n"), ["file", "begin"])
     return placed.select("file", (F.col("before") + F.col("at") - F.col("low")).alias("line_no"), "value")
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """Replies as they landed: JSON lines in a folder a source (`source=registry/..`), of which only those asked for are read."""
+    return spark.read.schema("domain string, http_status int, body string, fetched_at timestamp, source string").json(root)
