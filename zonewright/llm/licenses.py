@@ -2,10 +2,12 @@
 
 Texts and templates are read as lower-case words without punctuation at their ends. The hashes of all runs of `GRAM` words
 of a template are winnowed (the least of every `WINDOW` neighbours stays) into an inverted index, small and fixed, that
-every task holds. Documents are winnowed the same way, so any stretch of GRAM + WINDOW - 1 words that they share with a
-template meets the index. Hits of one template at nearby diagonals form a candidate, which is aligned in a band around its
-diagonal; the aligned words give the coverage of the template and the span in the text, in code points. The rows are
-one for each match of at least `coverage`.
+every task holds. All runs of a document are looked up there, so any stretch of GRAM + WINDOW - 1 words that it shares with
+a template meets the index. Where a match at the threshold may leave only shorter stretches of a template (short ones: four
+of five words are two runs of two), its runs of that length are all indexed: whichever words are changed, left out or
+replaced, what reaches `coverage` has a hit. Hits of one template at nearby diagonals form a candidate; where the words
+around it suffice, it is aligned in a band around its diagonal, and the aligned words give the coverage of the template and
+the span in the text, in code points. The rows are one for each match of at least `coverage`.
 
 Defined cases: null and empty texts give no rows; a repeated row gives its matches again; a template found twice in a
 text gives two rows; of overlapping candidates of one template the longest match stays (ties: the shorter span, then the
@@ -16,9 +18,10 @@ ignored.
 from __future__ import annotations
 
 import bisect
+import math
 import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,44 +82,62 @@ def normal(word: str) -> str:
 
 
 class Index:
-    """The inverted index of the templates' winnowed fingerprints."""
+    """The inverted indexes of the templates' fingerprints, one for each length of run, made for a coverage."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = list(templates)
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
+        self.names, self.coverage = list(templates), coverage
         self.words = [[w for w in map(normal, t.split()) if w] for t in templates.values()]
         self.number = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for t in self.words for w in t))}
         self.known = Remembered(lambda w: self.number.get(n, 0) if (n := normal(w)) else -1, CACHED_WORDS)
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, words in enumerate(self.words):
-            ids = np.array([self.number[w] for w in words], np.int64)
-            at, hashes = winnow(ids)
-            for i, h in zip(at.tolist(), hashes.tolist(), strict=True):
-                self.places[h].append((k, i))
-        self.hashes = np.array(sorted(self.places), np.int64)
-
-    def ids(self, text: str) -> np.ndarray:
+        self.ids = [[self.number[w] for w in words] for words in self.words]
+        self.needed = [math.ceil(coverage * len(words) - 1e-9) for words in self.words]
+        # as many words as may be left out shift what follows them
+        self.bands = [max(BAND, len(ids) - n) for ids, n in zip(self.ids, self.needed, strict=True)]
+        self.times = [Counter(ids) for ids in self.ids]
+        self.places: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for k, ids in enumerate(self.ids):
+            run = least_run(len(ids), self.needed[k])
+            size = min(GRAM, run)
+            if size:
+                hashes = grams(np.array(ids, np.int64), size)
+                at = winnow(hashes) if run >= GRAM + WINDOW - 1 else np.arange(len(hashes))
+                for i in at.tolist():
+                    self.places[size][int(hashes[i])].append((k, i))
+        self.hashes = {size: np.array(sorted(held), np.int64) for size, held in self.places.items()}
+
+    def read(self, text: str) -> np.ndarray:
         """For each word of the text its number in the templates' vocabulary, or 0; words of punctuation only are -1."""
         self.known.trim()
         words = text.split()
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
 
-def winnow(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the fingerprints: the least gram hash (the rightmost of equals) of every WINDOW in a row."""
-    m = len(ids) - GRAM + 1
+def least_run(words: int, needed: int) -> int:
+    """The longest run of neighbouring words that is sure to be left of so many when only `needed` are."""
+    gaps = words - needed
+    return -(-needed // (gaps + 1))
+
+
+def grams(ids: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all runs of so many words."""
+    m = len(ids) - size + 1
     if m < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     code = np.zeros(m, np.uint64)
-    for k in range(GRAM):
+    for k in range(size):
         code = (code ^ ids[k : k + m].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         code ^= code >> np.uint64(29)
-    code = (code >> np.uint64(1)).astype(np.int64)
-    best = np.arange(max(1, m - WINDOW + 1))
+    return (code >> np.uint64(1)).astype(np.int64)
+
+
+def winnow(hashes: np.ndarray) -> np.ndarray:
+    """The places of the fingerprints: the least hash (the rightmost of equals) of every WINDOW in a row."""
+    m = len(hashes)
+    best = np.arange(min(m, max(1, m - WINDOW + 1)))
     for k in range(1, min(WINDOW, m)):
         other = np.arange(k, k + len(best))
-        best = np.where(code[other] <= code[best], other, best)
-    least = best[np.concatenate([[True], best[1:] != best[:-1]])]
-    return least, code[least]
+        best = np.where(hashes[other] <= hashes[best], other, best)
+    return best[np.concatenate([[True], best[1:] != best[:-1]])] if m else best
 
 
 def align(template: list[int], ids: list[int], diagonal: int, band: int = BAND) -> tuple[int, int, int]:
@@ -143,34 +164,39 @@ def align(template: list[int], ids: list[int], diagonal: int, band: int = BAND)
     return best[0], best[2], best[3]
 
 
-def scan(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int, int]]:
+def hits(ids: np.ndarray, index: Index) -> dict[int, list[int]]:
+    """The diagonals (place in the text less place in the template) of the runs that each template shares with the text."""
+    found: dict[int, list[int]] = defaultdict(list)
+    for size, known in index.hashes.items():
+        hashes = grams(ids, size)
+        if len(hashes):
+            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            for i in np.flatnonzero(known[place] == hashes).tolist():
+                for k, t in index.places[size][int(hashes[i])]:
+                    found[k].append(i - t)
+    return found
+
+
+def scan(text: str, index: Index) -> list[tuple[str, float, int, int, int, int]]:
     """(template, coverage, start, end, words matched, words of the template) of each match in the text."""
-    all_ids = index.ids(text)
+    all_ids = index.read(text)
     real = np.flatnonzero(all_ids >= 0)
     ids = all_ids[real]
-    at, hashes = winnow(ids)
-    if not len(at):
-        return []
-    place = np.minimum(np.searchsorted(index.hashes, hashes), len(index.hashes) - 1)
-    hit = index.hashes[place] == hashes
-    if not hit.any():
-        return []
-    found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for i, h in zip(at[hit].tolist(), hashes[hit].tolist(), strict=True):
-        for k, t in index.places[h]:
-            found[k].append((i, i - t))
     spans, out = None, []
-    for k, hits in found.items():
-        template, done = [index.number[w] for w in index.words[k]], []
-        diagonals = sorted(d for _, d in hits)
+    for k, diagonals in sorted(hits(ids, index).items()):
+        template, band, done = index.ids[k], index.bands[k], []
+        diagonals.sort()
         start = 0
         while start < len(diagonals):  # hits whose diagonals lie within half a band make one candidate
-            end = bisect.bisect_right(diagonals, diagonals[start] + BAND)
+            end = bisect.bisect_right(diagonals, diagonals[start] + band)
             diagonal = diagonals[(start + end) // 2]
             start = end
-            low, high = max(0, diagonal - BAND), min(len(ids), diagonal + len(template) + BAND)
-            n, first, last = align(template, ids[low:high].tolist(), diagonal - low)
-            if n >= coverage * len(template):
+            low, high = max(0, diagonal - band), min(len(ids), diagonal + len(template) + band)
+            near = ids[low:high].tolist()
+            if sum(min(n, near.count(t)) for t, n in index.times[k].items()) < index.needed[k]:
+                continue  # too few of the template's words, in whatever order
+            n, first, last = align(template, near, diagonal - low, band)
+            if n >= index.needed[k]:
                 done.append((low + first, low + last, n))
         kept: list[tuple[int, int, int]] = []
         for first, last, n in sorted(done, key=lambda x: (-x[2], x[1] - x[0], x[0])):
@@ -188,11 +214,11 @@ _OUT = "doc_id long, license string, coverage double, span_start long, span_end
 
 def _scan(templates: dict[str, str], coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = per_process(f"licenses {sorted(templates.items())}", lambda: Index(templates))
+        index = per_process(f"licenses {coverage} {sorted(templates.items())}", lambda: Index(templates, coverage))
         types = [pa.int64(), pa.string(), pa.float64(), *[pa.int64()] * 4]
         names = [x.split()[0] for x in _OUT.split(", ")]
         for batch in batches:
-            rows = [(doc_id, *m) for doc_id, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True) for m in scan(text or "", index, coverage)]
+            rows = [(doc_id, *m) for doc_id, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True) for m in scan(text or "", index)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
