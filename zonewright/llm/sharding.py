@@ -4,9 +4,10 @@ Linked documents (here: those with equal texts) should share a shard; shards sho
 a table (group, shard, rows): members of a group are alike, so it says all. Every round joins it with what each group
 sees of its members: a group prefers the shard where most of them are and moves the others there, as far as the quotas of
 the receiving shards allow; groups in overfull shards move to the emptiest. Groups larger than a quarter of a quota are
-split beforehand into parts that move on their own, so no copy group can swamp a shard. In the end members get their
-shards by rank in the group, rows beyond a shard's quota leave it, and they and the unlinked rows fill the quotas
-exactly: row counts differ by one at most.
+split beforehand into parts that move on their own, so no copy group can swamp a shard. In the end what is still spread
+follows its largest share, parts that a shard's quota has no room for leave it as a whole, and they (the largest first) and
+the unlinked rows fill the quotas exactly: row counts differ by one at most, and only a part across the end of a shard is
+split, at most one a shard.
 
 Work is dealt by hashes of doc_id, into as many buckets as a bucket has rows. The rows of an id that more than a thousand
 rows have (or of null) are told apart by their place in the input, so that they spread too; which of them goes where then
@@ -88,31 +89,34 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     start = linked.groupBy("part", F.col("first").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     state = propagate(materialize(start, "shards"), shards, quota, rounds)
 
-    # members of a part by rank, in ranges of ranks for its shards; a part has at most a quarter of a quota
-    spread = [("_fine", hash_bucket(buckets_for(most), "doc_id", "copy"))]
-    ranked = spread_rank(linked, ["part"], spread, ["doc_id", "copy"], "rank")
-    spans = state.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("spans"))  # at most one entry a shard
-    upto = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("past"), F.lit(-1).alias("shard")), lambda a, x: F.struct((a["past"] + x["n"]).alias("past"), F.when((a["shard"] < 0) & (F.col("rank") < a["past"] + x["n"]), x["shard"]).otherwise(a["shard"]).alias("shard")))
-    placed = ranked.join(spans, "part").withColumn("shard", upto["shard"]).select("doc_id", "copy", "size", "text_crc32", "part", "shard")
-
-    # rows beyond the quota leave their shard; with the unlinked ones they fill what is free
-    # by the hash of the part first: what leaves an overfull shard are whole parts as far as may be
-    by_part = [("_part", hash_bucket(buckets_for(quota), "part")), ("_doc", hash_bucket(buckets_for(buckets_for(most)), "doc_id", "copy"))]
-    placed = materialize(spread_rank(placed, ["shard"], by_part, ["part", "doc_id", "copy"], "slot"), "placed")
-    limit = F.array(*[F.lit(q).cast("long") for q in quotas])
-    within = placed.filter(F.col("slot") < F.get(limit, F.col("shard")))
-    taken = {r["shard"]: r["n"] for r in within.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most one row a shard
-    rest = placed.filter(F.col("slot") >= F.get(limit, F.col("shard"))).select("doc_id", "copy", "size", "text_crc32", F.lit(True).alias("linked"))
-    singles = nodes.join(groups, "group", "left_anti").select("doc_id", "copy", "size", "text_crc32", F.lit(False).alias("linked"))
-    pool = spread_rank(rest.unionByName(singles), [], [("_at", hash_bucket(buckets_for(rows), "doc_id", "copy", "text_crc32"))], ["doc_id", "copy", "text_crc32", "size"], "rank")
-    place, at = F.lit(-1), F.lit(0).cast("long")
-    for s in reversed(range(shards)):
-        before = sum(quotas[t] - taken.get(t, 0) for t in range(s))
+    # what is still spread follows its largest share; parts beyond a shard's quota leave it, each as a whole
+    whole = state.groupBy("part").agg(F.max(F.struct("n", F.xxhash64("part", "shard").alias("tie"), "shard"))["shard"].alias("shard"), F.sum("n").alias("n"))
+    limit = F.get(F.array(*[F.lit(q).cast("long") for q in quotas]), F.col("shard"))
+    by_part = [("_part", hash_bucket(buckets_for(quota), "part"))]
+    whole = spread_rank(materialize(whole, "parts"), ["shard"], by_part, ["part"], "before", weight="n")
+    whole = materialize(whole.withColumn("stays", F.col("before") + F.col("n") <= limit).drop("before"), "parts")
+    staying = spread_rank(whole.filter("stays"), ["shard"], by_part, ["part"], "at", weight="n")
+    # the largest first, so that what little room is left after them goes to small ones and to single rows
+    by_size = [("_size", (-F.floor(F.log2("n"))).cast("int")), ("_part", hash_bucket(buckets_for(rows), "part"))]
+    leaving = spread_rank(whole.filter("not stays"), [], by_size, ["part"], "at", weight="n")
+    parts = materialize(staying.unionByName(leaving), "parts")
+    sums = whole.groupBy("stays", "shard").agg(F.sum("n").alias("n")).collect()  # at most two rows a shard
+    taken = {r["shard"]: r["n"] for r in sums if r["stays"]}
+    left = sum(r["n"] for r in sums if not r["stays"])
+
+    # members by rank in their part, which has at most a quarter of a quota; then what leaves and the single rows fill what is free
+    fine = [("_fine", hash_bucket(buckets_for(most), "doc_id", "copy"))]
+    members = spread_rank(linked, ["part"], fine, ["doc_id", "copy"], "rank").join(parts.select("part", "shard", "stays", "at"), "part")
+    members = members.select("doc_id", "size", "text_crc32", F.when(F.col("stays"), F.col("shard")).alias("shard"), (F.col("at") + F.col("rank")).alias("rank"), F.lit(True).alias("linked"))
+    singles = nodes.join(groups, "group", "left_anti").select("doc_id", "copy", "size", "text_crc32")
+    singles = spread_rank(singles, [], [("_at", hash_bucket(buckets_for(rows), "doc_id", "copy", "text_crc32"))], ["doc_id", "copy", "text_crc32", "size"], "rank")
+    singles = singles.select("doc_id", "size", "text_crc32", F.lit(None).cast("int").alias("shard"), (F.col("rank") + left).alias("rank"), F.lit(False).alias("linked"))
+    place, at, before = F.col("shard"), F.col("rank"), 0
+    for s in sorted(range(shards), key=lambda s: taken.get(s, 0) - quotas[s]):
         free = quotas[s] - taken.get(s, 0)
-        here = (F.col("rank") >= before) & (F.col("rank") < before + free)
-        place, at = F.when(here, s).otherwise(place), F.when(here, F.col("rank") - before + taken.get(s, 0)).otherwise(at)
-    filled = pool.select("doc_id", "size", "text_crc32", place.alias("shard"), at.cast("long").alias("slot"), "linked")
-    return within.select("doc_id", "size", "text_crc32", "shard", "slot", F.lit(True).alias("linked")).unionByName(filled)
+        here = F.col("shard").isNull() & (F.col("rank") >= before) & (F.col("rank") < before + free)
+        place, at, before = F.when(here, s).otherwise(place), F.when(here, F.col("rank") - before + taken.get(s, 0)).otherwise(at), before + free
+    return members.unionByName(singles).select("doc_id", "size", "text_crc32", place.alias("shard"), at.cast("long").alias("slot"), "linked")
 
 
 def op10_sharding(spark, sf_dir):
