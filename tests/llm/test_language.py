@@ -60,7 +60,7 @@ def test_posterior_equals_a_plain_computation(spark):
         logs = score(r["text"]) + (0 if d is None else np.log((d + language.KAPPA * d.sum() / share.sum()) / (share + language.KAPPA))) + np.log(np.maximum(host[r["source"]] - own, 0) + language.KAPPA * wide + 1e-9)
         want = normal(logs)
         assert abs(want.max() - r["language_probability"]) < 1e-6 and model.languages[int(want.argmax())] == r["language"]
-    assert n == 3
+    assert n == 4 and model.languages[-1] == "und"
 
 
 def test_address_parts(spark):
@@ -76,6 +76,25 @@ def test_no_labels_and_empty_tables(spark):
     assert language.identify_documents(docs.limit(0)).count() == 0
 
 
+def test_foreign_texts_are_rejected_and_noise_is_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    foreign = ["Ο ποταμός στρίβει εκεί που στέκεται το σπίτι και οι άνθρωποι περπατούν", "房子立在河流转弯的地方，人们在那里行走", "Дом стоит там, где река поворачивает, и люди ходят туда"]
+    noisy = [f"{t} 4734663219866878 +1 (545) 555-9112 token = 40d78a45c418324758e099eb7cb89bc0f5fa9f62" for t in (r["text"][:60] for r in docs.filter("length(text) > 60").orderBy("doc_id").limit(20).collect())]
+    rows = [(-1 - i, t, lang, "new") for i, t in enumerate(foreign) for lang in (None, "en")] + [(-100 - i, t, None, "new") for i, t in enumerate(noisy)]
+    every = docs.union(spark.createDataFrame(rows, docs.schema))
+    found = language.identify(every, language.fit_text_model(docs), declared=F.col("lang"), host=[F.col("source")])
+    out = {(r["doc_id"], r["lang"]): r for r in found.collect()}
+    assert all(r["language_kept"] for (i, _), r in out.items() if i >= 0 and r["text"] and re.search(r"[^\W\d_]", r["text"]))
+    for i, _, lang, _ in rows:
+        assert out[i, lang]["language_kept"] == (i <= -100) and (i <= -100 or out[i, lang]["language"] == "und")
+
+
+def test_labels_beyond_the_bound_and_und(spark):
+    docs = corpus(spark, [(900 + i, "la maison est là", "und", None) for i in range(50)])
+    model = language.fit_text_model(docs, languages=2)
+    assert model.languages == ["de", "en", "und"]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit_text_model(docs.filter("doc_id % 2 = 0"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,12 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, most: int = 1000) -> None:
-    """Let Arrow batches of this session hold at most so many rows: rows here are texts or sets of kilobytes, and the
-    default of 10,000 rows a batch costs each Python worker and its executor tens of megabytes several times over."""
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 1000) -> Iterator[None]:
+    """Let Arrow batches of what is written inside hold at most so many rows: rows here are texts or sets of kilobytes, and
+    the default of 10,000 rows a batch costs each Python worker and its executor tens of megabytes several times over.
+    The session has its own setting again afterwards."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= most:
+    before = spark.conf.get(key, "10000")
+    if not 0 < int(before) <= most:
         spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:

@@ -8,13 +8,17 @@ smoothed towards its site, the site towards its top-level domain, that towards t
 documents. A document's own text does not count in its host's prior, and the declaration of a text that the model was
 fitted on counts as none, as the model has it already. Texts are scored once and written with their scores.
 
+One more class, `und`, stands for languages that the model does not know: every trigram has the same likelihood there, less
+than an even share of all trigrams and more than one that a language has never shown. Texts in a foreign script go to it;
+a short text that is half numbers and keys does not.
+
 Posteriors under `least` mean that the evidence does not decide, and texts without a letter have none: such documents are
-rejected, as are those whose language is not among the wanted ones, if any are named.
+rejected, as are those of the class `und`, and those whose language is not among the wanted ones, if any are named.
 
 Defined cases: null and empty texts have no letters and are rejected; a null declaration, suffix or host is no evidence
 (the host falls back to its parents); repeated rows are judged alike and each counts in the aggregates; without labelled
-texts every document is undecided; of more labels than `LANGUAGES` the most frequent ones are languages (ties by name); ties
-of languages go to the one first by name; a text of any length is read whole; an empty table gives no rows; other columns
+texts every document is undecided; the label `und` is none; of more labels than the parameter `languages` the most frequent
+ones are languages (ties by name), and texts of others go to the nearest one or to `und`; ties of languages go to the one first by name; a text of any length is read whole; an empty table gives no rows; other columns
 are kept as they are.
 """
 
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +37,13 @@ from pyspark.sql import functions as F
 from zonewright.llm.common import bounded_broadcast, materialize, table, unused
 
 SAMPLE = 300
-#: Languages at most: what the driver gathers is a table of this many rows of trigram counts.
+#: Languages at most: the driver gathers one row of trigram counts (256 KB) for each.
 LANGUAGES = 100
+UNKNOWN = "und"
+#: What a trigram that a language has not shown counts.
+UNSEEN = 0.02
+#: Where the unknown class lies between a trigram never seen (0) and an even share of all (1), in logs.
+STRANGE = 0.25
 BUCKETS = 1 << 15
 KAPPA = 20.0
 LEAST = 0.5
@@ -62,26 +72,33 @@ def trigrams(text: str) -> np.ndarray:
     return (code * np.uint32(2654435761)) >> np.uint32(17)
 
 
-def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel | None:
-    """A model from at most `sample` texts of each label; labels are the distinct values of a short list."""
-    rows = labelled.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).filter("label is not null and length(text) > 0")
+def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> TextModel | None:
+    """A model from at most `sample` texts of each of the `languages` most frequent labels, and the unknown class."""
+    rows = labelled.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).filter((F.col("label") != UNKNOWN) & (F.length("text") > 0))
     marks = rows.select("label", F.xxhash64("text").alias("mark")).distinct()
     # hashes are spread evenly: a share that leaves some four samples a label holds the least ones, and no task ranks more
-    sizes = materialize(marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES), "labels")
+    sizes = materialize(marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(languages), "labels")
     share = F.shiftrightunsigned("mark", 1) / F.lit(float(1 << 63)) * F.col("n")
     marks = marks.join(bounded_broadcast(sizes, BROADCAST_HOSTS), "label").filter(share <= 4 * sample).select("label", "mark")
     order = Window.partitionBy("label").orderBy(F.shiftrightunsigned("mark", 1), "mark")
     chosen = materialize(marks.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= sample).select("label", "mark"), "sample")
     texts = rows.withColumn("mark", F.xxhash64("text")).join(bounded_broadcast(chosen, BROADCAST_HOSTS), ["label", "mark"], "left_semi").dropDuplicates(["label", "mark"])
-    # the sample is small: a few tasks sum its trigrams, and the driver gets a row for each task and label
-    got = texts.select("label", "text").repartition(4).mapInArrow(_count_trigrams, "label string, counts binary").collect()
+    # the sample is small: a few tasks sum its trigrams, and the driver gets a row for each label
+    counted = texts.select("label", "text").repartition(4).mapInArrow(_count_trigrams, "label string, counts binary")
+    got = counted.groupBy("label").applyInPandas(_sum_counts, "label string, counts binary").collect()
     if not got:
         return None
-    languages = sorted({r["label"] for r in got})
-    counts = np.full((len(languages), BUCKETS), 0.02)
-    for r in got:
-        counts[languages.index(r["label"])] += np.frombuffer(r["counts"], np.int64)
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), chosen)
+    got.sort(key=lambda r: r["label"])
+    counts = np.array([np.frombuffer(r["counts"], np.int64) for r in got]) + UNSEEN
+    logs = np.log(counts / counts.sum(axis=1, keepdims=True))
+    unseen, even = np.log(UNSEEN / counts.sum(axis=1).max()), -np.log(BUCKETS)
+    unknown = np.full((1, BUCKETS), unseen + STRANGE * (even - unseen))
+    return TextModel([*(r["label"] for r in got), UNKNOWN], np.concatenate([logs, unknown]).astype(np.float32), chosen)
+
+
+def _sum_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
+    return pd.DataFrame({"label": rows["label"].iloc[:1], "counts": [total.tobytes()]})
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +155,7 @@ def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", de
     declared, suffix: evidence columns; host: the host and its parents, from narrow to wide; drop: columns of docs, the
     text for one, that the result leaves out.
     """
-    languages = model.languages if model else ["und"]
+    languages = model.languages if model else [UNKNOWN]
     n = len(languages)
     none = F.lit(None).cast("string")
     levels = list(host or [])
@@ -211,9 +228,9 @@ def identify(docs: DataFrame, model: TextModel | None, *, text: str = "text", de
     rows = rows.withColumn("posterior", F.when(F.col("score").isNotNull(), _normal(total)))
     best = F.array_max("posterior")
     language = F.get(F.array(*[F.lit(x) for x in languages]), (F.array_position("posterior", best) - 1).cast("int"))
-    kept = F.coalesce((best >= least) & (language.isin(wanted) if wanted is not None else F.lit(True)), F.lit(False))
+    kept = F.coalesce((best >= least) & (language != UNKNOWN) & (language.isin(wanted) if wanted is not None else F.lit(True)), F.lit(False))
     out = [unused(columns, x) for x in ("language", "language_probability", "language_kept")]
-    return rows.select(*[F.col(f"kept.`{c}`").alias(c) for c in columns], F.coalesce(language, F.lit("und")).alias(out[0]), best.alias(out[1]), kept.alias(out[2]))
+    return rows.select(*[F.col(f"kept.`{c}`").alias(c) for c in columns], F.coalesce(language, F.lit(UNKNOWN)).alias(out[0]), best.alias(out[1]), kept.alias(out[2]))
 
 
 def identify_documents(docs: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
