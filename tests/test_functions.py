@@ -96,6 +96,11 @@ def test_evidence_counts_sources_and_no_links(spark):
     assert values(spark, rows, scoring.evidence_count(scoring.Scoring(sources={}), F.col("wayback_unknown")), schema) == [2, 3]
 
 
+def test_ends_lose_white_space_of_any_kind(spark):
+    assert values(spark, ["\t a b\u00a0\r\n", "\u2003\u3000", "", None, "a"], text.stripped(x)) == ["a b", "", "", None, "a"]
+    assert values(spark, ["\n not scored\t", "\u00a0", " fine\n"], scoring.ranker_reason(x)) == [None, None, "fine"]
+
+
 def test_texts_of_others(spark):
     x = F.col("x")
     assert values(spark, ["a‮b\x00c   d", "x" * 12, None], text.clean_untrusted(x, 10)) == ["a b c d", "x" * 9 + "…", None]

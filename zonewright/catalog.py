@@ -252,6 +252,7 @@ docs AS (SELECT domain, min(drop_date) AS first_seen, max(drop_date) AS last_see
   CAST(arg_max(floor(value), drop_date) FILTER (event_type <> 'click') AS DOUBLE) AS links, arg_max(value, drop_date) FILTER (event_type = 'click') AS rank,
   CAST(CASE WHEN bool_or(value > 10) THEN arg_max(floor(value / 25), drop_date) FILTER (value > 10) END AS DOUBLE) AS captures,
   CASE WHEN bool_or(value > 10) THEN CASE WHEN arg_max(floor(value / 25), drop_date) FILTER (value > 10) > 0 THEN 'ok' ELSE 'none_found' END WHEN arg_max(value, drop_date) <= 2 THEN 'lookup_failed' ELSE 'not_checked' END AS captures_status,
+  arg_max(CASE WHEN source = 'live' OR drop_date >= DATE '2024-01-10' THEN 'available' ELSE 'dropped' END, drop_date) AS status,
   CASE WHEN bool_or(value > 80) THEN 'clean' END AS verdict FROM by_day GROUP BY domain)
 """
 
@@ -265,9 +266,9 @@ def archive_documents(spark, sf_dir):
     return _documents(spark, sf_dir).select("domain", "zone.first_seen", "zone.last_seen", "zone.drop_days", "ever_published", "events", F.col("captures.value_num").alias("captures"), F.col("captures.status").alias("captures_status"))
 
 
-@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, 'com' AS tld, links, rank, captures, first_seen, last_seen, verdict FROM docs""")
+@query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, 'com' AS tld, status, links, rank, captures, first_seen, last_seen, CAST(NULL AS INT) AS first_year, verdict FROM docs""")
 def archive_compact(spark, sf_dir):
-    return observations.compact(_documents(spark, sf_dir)).drop("status", "first_year")
+    return observations.compact(_documents(spark, sf_dir))
 
 
 @query(f"""WITH {_DOCUMENTS_SQL} SELECT domain, first_seen, events FROM docs WHERE domain = 'user17.com'""")
@@ -709,14 +710,14 @@ def signals_requested_only(spark, sf_dir):
 
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, CAST(least(100, greatest(0, id % 150)) AS INT) AS phase2_score, 'because ' || tld AS phase2_reason FROM signals""")
 def signals_ranker_reply(spark, sf_dir):
-    body = F.to_json(F.array(F.struct(F.col("name"), (F.col("id") % 150).cast("string").alias("score"), F.concat(F.lit(" because "), F.col("tld"), F.lit(" ")).alias("reason"))))
+    body = F.to_json(F.array(F.struct(F.col("name"), (F.col("id") % 150).cast("string").alias("score"), F.concat(F.lit("\n because "), F.col("tld"), F.lit("\t\u00a0")).alias("reason"))))
     return signals.ranker_reply(_signals(spark, sf_dir).select(body.alias("body")))
 
 
-@query(f"""WITH {_SIGNAL_SQL} SELECT name, id % 6 = 0 AS was_published FROM signals WHERE id % 2 = 0""")
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, id % 3 = 0 AS was_published FROM signals""")
 def signals_publication(spark, sf_dir):
     rows = _signals(spark, sf_dir)
-    return signals.with_publication(rows.filter("id % 2 = 0").select("name"), rows.filter("id % 3 = 0"))
+    return signals.with_publication(rows.select("name"), rows.filter("id % 3 = 0"))
 
 
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 THEN 50 ELSE 0 END AS phase2_score, CASE WHEN id % 3 = 0 THEN 'ok' ELSE 'not scored' END AS phase2_reason FROM signals""")
@@ -768,12 +769,16 @@ cache AS (SELECT page_id, 'p' || page_id AS name, CASE WHEN page_id % 5 > 0 THEN
 
 
 def _excerpts(spark, sf_dir):
-    pages = _t(spark, sf_dir, "pages").filter("page_id % 3 > 0")
+    """A cache that knows two pages of three: the others are the ones that a look-up misses."""
+    return _page_excerpts(_t(spark, sf_dir, "pages").filter("page_id % 3 > 0"))
+
+
+def _page_excerpts(pages, *columns):
     title = F.when(F.col("page_id") % 5 > 0, F.regexp_extract("html", "<h1>([^<]*)</h1>", 1))
     stamp = F.when(F.col("page_id") % 2 == 0, "20250101000000").otherwise("20260110000000")
     empty = F.array().cast("array<string>")
     excerpt = F.struct(stamp.alias("snapshot_timestamp"), title.alias("title"), F.lit(None).cast("string").alias("meta_description"), empty.alias("h1"), empty.alias("h2"))
-    return pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), excerpt.alias("excerpt"))
+    return pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), excerpt.alias("excerpt"), *columns)
 
 
 @query(f"""WITH {_EXCERPT_SQL} SELECT 'p' || pages.page_id AS name, CASE WHEN title IS NULL THEN 'missing' WHEN date_diff('day', strptime(stamp, '%Y%m%d%H%M%S')::DATE, DATE '2026-01-20') > 90 THEN 'refetch' ELSE 'reused' END AS excerpt_source FROM pages LEFT JOIN cache USING (page_id)""")

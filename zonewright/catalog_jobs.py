@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from zonewright.catalog import _SCORED_SQL, _SIGNAL_SQL, _STRUCTURAL_SQL, _TRIGRAM_SQL, _WORDS_SQL, _YEARLY_SQL, _COUNTS_SQL, _DAYS_SQL, _NATURAL, _archive, _days, _excerpts, _graph, _scored, _signals, _t, _words, _yearly, query
+from zonewright.catalog import _SCORED_SQL, _SIGNAL_SQL, _STRUCTURAL_SQL, _TRIGRAM_SQL, _WORDS_SQL, _YEARLY_SQL, _COUNTS_SQL, _DAYS_SQL, _NATURAL, _archive, _days, _page_excerpts, _graph, _scored, _signals, _t, _words, _yearly, query
 from zonewright.functions import names, rules, scoring, text
 from zonewright.operators import graph, metrics, observations, ranking, signals, state
 from zonewright.plans import jobs
@@ -146,8 +146,8 @@ def scoring_link_history(spark, sf_dir):
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 2 THEN 'fine ' || tld END AS reason FROM signals""")
 def scoring_ranker_reason(spark, sf_dir):
     k = F.col("id") % 3
-    raw = F.when(k == 0, "  ").when(k == 1, " Not Scored ").otherwise(F.concat(F.lit(" fine "), F.col("tld"), F.lit("\t ")))
-    return _signals(spark, sf_dir).select("name", scoring.ranker_reason(F.trim(F.replace(raw, F.lit("\t"), F.lit(" ")))).alias("reason"))
+    raw = F.when(k == 0, " \n ").when(k == 1, "\r\nNot Scored\u2003").otherwise(F.concat(F.lit("\u00a0fine "), F.col("tld"), F.lit("\t ")))
+    return _signals(spark, sf_dir).select("name", scoring.ranker_reason(raw).alias("reason"))
 
 
 @query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS at FROM events""")
@@ -157,11 +157,19 @@ def text_parse_time(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", text.parse_time(raw).alias("at"))
 
 
-@query("""WITH c AS (SELECT page_id, CASE WHEN page_id % 5 > 0 THEN trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) END AS t, CASE WHEN page_id % 2 = 0 THEN '20250101000000' ELSE '20260110000000' END AS stamp FROM pages WHERE page_id % 3 > 0),
-x AS (SELECT page_id, nullif(t, '') AS t, stamp FROM c) SELECT 'p' || page_id AS name, t AS title, CASE WHEN t IS NOT NULL THEN stamp END AS captured FROM x""")
+@query("""WITH c AS (SELECT page_id, CASE WHEN page_id % 5 > 0 THEN trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) END AS t, CASE WHEN page_id % 2 = 0 THEN '20250101000000' ELSE '20260110000000' END AS stamp,
+  trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS body FROM pages),
+x AS (SELECT page_id, nullif(t, '') AS t, stamp, CASE WHEN page_id % 7 < 3 THEN nullif(CASE WHEN length(body) > 200 THEN rtrim(substr(body, 1, 199)) || '…' ELSE body END, '') END AS meta FROM c)
+SELECT 'p' || page_id AS name, t AS title, meta AS meta_description, CASE WHEN page_id % 4 = 0 THEN 'one,three,four' ELSE '' END AS h1, CASE WHEN page_id % 4 = 0 THEN 5 ELSE 0 END AS h2, CASE WHEN t IS NOT NULL OR meta IS NOT NULL OR page_id % 4 = 0 THEN stamp END AS captured FROM x""")
 def text_evidence_fields(spark, sf_dir):
-    fields = text.evidence_fields(F.col("excerpt"), F.col("name"))
-    return _excerpts(spark, sf_dir).select("name", fields["title"].alias("title"), fields["captured"].alias("captured"))
+    heads = F.col("page_id") % 4 == 0
+    none, some = F.array().cast("array<string>"), lambda *texts: F.array(*[F.lit(x) for x in texts])
+    raw = F.regexp_replace("html", "<[^>]*>", "\u200b ")
+    pages = _page_excerpts(_t(spark, sf_dir, "pages"), "page_id", raw.alias("raw"))
+    excerpt = F.col("excerpt").withField("meta_description", F.when(F.col("page_id") % 7 < 3, F.col("raw")))
+    excerpt = excerpt.withField("h1", F.when(heads, some(" one", "\n", "three ", "four", "five")).otherwise(none)).withField("h2", F.when(heads, some(*"abcdefg")).otherwise(none))
+    fields = text.evidence_fields(excerpt, F.col("name"))
+    return pages.select("name", fields["title"].alias("title"), fields["meta_description"].alias("meta_description"), F.array_join(fields["h1"], ",").alias("h1"), F.size(fields["h2"]).alias("h2"), fields["captured"].alias("captured"))
 
 
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 2 = 0 THEN '/d/' || name || '/' ELSE '/#' || name END AS link FROM signals""")

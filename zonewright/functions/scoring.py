@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import names
+from zonewright.functions.text import stripped
 
 
 @dataclass(frozen=True)
@@ -140,7 +141,7 @@ PLACEHOLDER_REASONS = ("n/a", "none", "not scored")
 
 
 def ranker_reason(raw: Column) -> Column:
-    clean = F.nullif(F.trim(raw), F.lit(""))
+    clean = F.nullif(stripped(raw), F.lit(""))
     return F.when(F.lower(clean).isin(*PLACEHOLDER_REASONS), None).otherwise(clean)
 
 

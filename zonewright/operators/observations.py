@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonewright.functions import names, scoring
+from zonewright.functions import names, scoring, text
 from zonewright.operators import ranking
 
 _OBSERVATION = ("observed_at", "kind", "name", "value_num", "value_bool", "value_str", "status", "source")
@@ -49,7 +49,7 @@ def latest(rows: DataFrame, key: list[str] | None = None) -> DataFrame:
 
 def grouped_events(events: DataFrame) -> DataFrame:
     """events with domain normalised; those that are no names with a dot are gone."""
-    low = F.regexp_replace(F.lower(F.trim("domain")), r"\.$", "")
+    low = F.regexp_replace(F.lower(text.stripped(F.col("domain"))), r"\.$", "")
     return events.withColumn("domain", low).filter(F.contains("domain", F.lit(".")))
 
 
@@ -80,7 +80,7 @@ def documents(events: DataFrame, checked_since: Column, excerpts: DataFrame | No
     title = F.lit(None).cast("string")
     if excerpts is not None:
         known = excerpts.select(F.lower("name").alias("domain"), F.col("excerpt.title").alias("_title")).groupBy("domain").agg(F.max("_title").alias("_title"))
-        captures, title = captures.join(known, "domain", "left"), F.when(F.trim("_title") != "", F.col("_title"))
+        captures, title = captures.join(known, "domain", "left"), F.when(text.stripped(F.col("_title")) != "", F.col("_title"))
     captures = captures.select("domain", F.col("captures").withField("sample_title", title).alias("captures"))
     newest = latest(observations(events, checked_since))
     pick = lambda kind, what: F.max(F.when(F.col("kind") == kind, what))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from zonewright.functions import rules
+from zonewright.functions import rules, text
 
 # The categories of the classifier.
 CATEGORIES = ("legitimate", "parked", "toxic", "empty", "unknown")
@@ -161,7 +161,7 @@ def ranker_reply(rows: DataFrame, json: str = "body") -> DataFrame:
     name are dropped."""
     items = rows.select(F.inline(F.from_json(json, "array<struct<name: string, score: string, reason: string>>")))
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(F.round(F.col("score").try_cast("double")).cast("int"), F.lit(0))))
-    return items.filter("trim(name) <> ''").select(F.lower(F.trim("name")).alias("name"), score.alias("phase2_score"), F.substring(F.trim("reason"), 1, 120).alias("phase2_reason"))
+    return items.withColumn("name", text.stripped(F.col("name"))).filter("name <> ''").select(F.lower("name").alias("name"), score.alias("phase2_score"), F.substring(text.stripped(F.col("reason")), 1, 120).alias("phase2_reason"))
 
 
 #: What a scan of JSON stops at: an escape of any character, a quote, a brace.
@@ -208,7 +208,7 @@ def _salvage(texts: pa.Array) -> pa.Array:
 def model_array(reply: Column, schema: str) -> Column:
     """A model's reply as an array: fences stripped, from the first to the last bracket; only replies that do not read so
     go to Python, which keeps their complete objects."""
-    bare = F.regexp_replace(F.trim(reply), r"^```[a-zA-Z]*\s*|\s*```$", "")
+    bare = F.regexp_replace(text.stripped(reply), r"^```[a-zA-Z]*\s*|\s*```$", "")
     outer = F.regexp_extract(bare, r"(?s)(\[.*\])", 1)
     read = F.from_json(outer, schema)
     whole = F.when(F.get_json_object(outer, "$[0]").isNotNull() | outer.rlike(r"^\[\s*\]$"), read)

@@ -32,8 +32,8 @@ def rolling_list(previous: DataFrame, today_names: DataFrame, new: DataFrame, to
 
 def denylist_additions(denylist: DataFrame, found: DataFrame, today: Column, version: str) -> DataFrame:
     """Rows to append: names not yet on the list, lower-case, each once. Entries never age and keep their first date."""
-    fresh = found.select(F.lower(F.trim("name")).alias("name")).filter("name <> ''").distinct()
-    return fresh.join(denylist.select(F.lower(F.trim("name")).alias("name")), "name", "left_anti").select("name", today.alias("classified_date"), F.lit(version).alias("classifier_version"))
+    fresh = found.select(F.lower(text.stripped(F.col("name"))).alias("name")).filter("name <> ''").distinct()
+    return fresh.join(denylist.select(F.lower(text.stripped(F.col("name"))).alias("name")), "name", "left_anti").select("name", today.alias("classified_date"), F.lit(version).alias("classifier_version"))
 
 
 def split_toxic(rows: DataFrame, denylist: DataFrame) -> tuple[DataFrame, DataFrame]:
