@@ -97,6 +97,7 @@ def test_evidence_counts_sources_and_no_links(spark):
 
 
 def test_ends_lose_white_space_of_any_kind(spark):
+    x = F.col("x")
     assert values(spark, ["\t a b\u00a0\r\n", "\u2003\u3000", "", None, "a"], text.stripped(x)) == ["a b", "", "", None, "a"]
     assert values(spark, ["\n not scored\t", "\u00a0", " fine\n"], scoring.ranker_reason(x)) == [None, None, "fine"]
 
