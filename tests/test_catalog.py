@@ -47,3 +47,8 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(catalog.oracle_sql()) == set(catalog.queries())
+
+
+def test_requested_only_reads_the_words_of_the_classifier(spark):
+    found = {r["category"] for r in catalog.queries()["signals_requested_only"](spark, SF).select("category").distinct().collect()}
+    assert found == {"legitimate", "unknown"}

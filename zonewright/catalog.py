@@ -702,10 +702,11 @@ def signals_registry_reply(spark, sf_dir):
     return signals.registry_reply(rows).select("name", "is_available", "expiration_date")
 
 
-@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 AND id % 2 = 0 THEN 'clean' ELSE 'unknown' END AS category FROM signals WHERE id % 2 = 0""")
+@query(f"""WITH {_SIGNAL_SQL} SELECT name, CASE WHEN id % 3 = 0 AND id % 5 > 0 THEN 'legitimate' ELSE 'unknown' END AS category FROM signals WHERE id % 2 = 0""")
 def signals_requested_only(spark, sf_dir):
     rows = _signals(spark, sf_dir)
-    return signals.requested_only(rows.filter("id % 2 = 0"), rows.filter("id % 3 = 0").select("name", signals.category(F.lit(" Clean. ")).alias("category")))
+    word = F.when(F.col("id") % 5 > 0, " Legitimate. ").otherwise(" Clean. ")  # the classifier has no such category: unknown
+    return signals.requested_only(rows.filter("id % 2 = 0"), rows.filter("id % 3 = 0").select("name", signals.category(word).alias("category")))
 
 
 @query(f"""WITH {_SIGNAL_SQL} SELECT name, CAST(least(100, greatest(0, id % 150)) AS INT) AS phase2_score, 'because ' || tld AS phase2_reason FROM signals""")
