@@ -174,6 +174,20 @@ def test_walking_all_pages_gives_the_sorted_table(spark, order):
             ranking.page_of(df, keys, 16, bad, scope)
 
 
+@pytest.mark.parametrize("order", ["first_seen", "links", "first_year"])
+def test_pages_placed_at_once_are_those_of_a_walk(spark, order):
+    rng = random.Random(8)
+    data = [(f"d{i}.com", rng.choice([None, 1.0, 2.5]), rng.choice([None, 2001, 2002]), f"2026-01-0{rng.randint(1, 5)}") for i in range(50)]
+    df = spark.createDataFrame(data, "domain string, links double, first_year int, at string").select("domain", "links", "first_year", F.to_date("at").alias("first_seen"))
+    keys, wanted, token, page = observations.ORDERS[order], [], None, 0
+    while page == 0 or token:
+        shown, token = ranking.page_of(df, keys, 16, token, order)
+        wanted += [(r["domain"], page, i) for i, r in enumerate(shown.orderBy(*ranking.sort_order(keys)).collect())]
+        page += 1
+    placed = ranking.placed_on_pages(df, keys, 16)
+    assert rows(placed, "domain", "page", "place") == sorted(wanted, key=repr) and placed.columns == [*df.columns, "page", "place"]
+
+
 def test_quota_by_threshold_equals_ranks(spark):
     rng = random.Random(6)
     data = [(rng.choice(["a", "a", "a", "b", "c"]), f"n{i}", rng.choice([None, 5, 60, 60, 60, 61])) for i in range(400)]

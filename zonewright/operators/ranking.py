@@ -168,6 +168,14 @@ def page_of(rows: DataFrame, keys: Keys, size: int, token: str | None = None, sc
     return rows.orderBy(*sort_order(keys)).limit(size), base64.urlsafe_b64encode(last).decode().rstrip("=")
 
 
+def placed_on_pages(rows: DataFrame, keys: Keys, size: int, most: int = 100) -> DataFrame:
+    """rows with page and place on it, both from 0: where a walk by `page_of` from the first token to the last shows them. All
+    pages come from one numbering, so a table of any number of pages costs what one of few does."""
+    size = max(1, min(most, size))
+    at = F.col("_at") - 1
+    return numbered(rows, *sort_order(keys), name="_at").withColumns({"page": F.floor(at / size).cast("long"), "place": (at % size).cast("long")}).drop("_at")
+
+
 def cursor(score: Column, name: Column, query: str) -> Column:
     """A token for page_after that holds for one query only."""
     return F.base64(F.to_json(F.struct(score.alias("s"), name.alias("n"), F.substring(F.sha2(F.lit(query), 256), 1, 16).alias("q"))).cast("binary"))
