@@ -52,3 +52,13 @@ def test_every_query_has_sql():
 def test_requested_only_reads_the_words_of_the_classifier(spark):
     found = {r["category"] for r in catalog.queries()["signals_requested_only"](spark, SF).select("category").distinct().collect()}
     assert found == {"legitimate", "unknown"}
+
+
+def test_page_excerpts_read_references_as_their_sql(spark, tmp_path):
+    texts = ["a &amp; b", "cut &amp", "&quot;q&quot", "&am", "&notit; &notin;", "&#38;&#x26;&#X41 &#128; &#0; &#xD800; &#99999999999999999999; &#xFFFF;x &#", "&nbsp;x\u2003 y&#11;z&nbsp", "& &&amp;amp;", "it's &apos;"]
+    pages = [(i, "u", f"<title>{t}</title><h1>{t[::-1] if i % 2 else t}</h1>") for i, t in enumerate(texts)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    wanted = con.sql(catalog.oracle_sql()["signals_page_excerpts"]).fetchall()
+    assert sorted(map(tuple, catalog.queries()["signals_page_excerpts"](spark, str(tmp_path)).collect())) == sorted(wanted)

@@ -7,6 +7,8 @@ snapshots and archive events, customers with their orders are candidates with si
 from __future__ import annotations
 
 from collections.abc import Callable
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -549,7 +551,28 @@ def text_link_parameters(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.with_parameters(F.col("url"), {"ref": "list"}).alias("link"))
 
 
-@query(r"""SELECT page_id, nullif(rtrim(regexp_replace(trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')), '\s+', ' ', 'g')[1:200]), '') AS title, nullif(regexp_replace(trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')), '\s+', ' ', 'g')[1:200], '') AS h1 FROM pages""")
+def _texts(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+#: Titles and headings with their character references read as HTML reads them: the longest name of the standard's that
+#: begins the reference (some need no semicolon), or a number. Any white space is one blank.
+_EXCERPT_SQL = rf"""
+refs AS (SELECT unnest({_texts(html5)}) AS ref, unnest({_texts(html5.values())}) AS chars),
+raw AS (SELECT page_id, 'title' AS part, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages UNION ALL SELECT page_id, 'h1', regexp_extract(html, '<h1>([^<]*)</h1>', 1) FROM pages),
+pieces AS (SELECT page_id, part, unnest(string_split(t, '&')) AS piece, generate_subscripts(string_split(t, '&'), 1) AS k FROM raw),
+named AS (SELECT page_id, part, k, arg_max(chars, length(ref)) AS chars, max(length(ref)) AS n FROM pieces JOIN refs ON k > 1 AND left(piece, 2) = left(ref, 2) AND starts_with(piece, ref) GROUP BY ALL),
+numbered AS (SELECT *, regexp_extract(piece, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)', 1) AS number FROM pieces),
+coded AS (SELECT *, CASE WHEN number = '' THEN NULL WHEN lower(number[2]) = 'x' THEN coalesce(try_cast('0x' || rtrim(number[3:], ';') AS BIGINT), 1114112) ELSE coalesce(try_cast(rtrim(number[2:], ';') AS BIGINT), 1114112) END AS code FROM numbered),
+decoded AS (SELECT page_id, part, string_agg(CASE WHEN k = 1 THEN piece WHEN n IS NOT NULL THEN chars || piece[n + 1:] WHEN code IS NULL THEN '&' || piece
+    ELSE CASE WHEN code < 160 THEN {_texts(unescape(f"&#{n};") for n in range(160))}[code + 1] WHEN code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533)
+      WHEN code BETWEEN 64976 AND 65007 OR code % 65536 >= 65534 THEN '' ELSE chr(CAST(code AS INT)) END || piece[length(number) + 1:] END, '' ORDER BY k) AS t
+  FROM coded LEFT JOIN named USING (page_id, part, k) GROUP BY ALL),
+flat AS (SELECT page_id, part, trim(regexp_replace(t, '[\s\x0B\x1C-\x1F\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))[1:200] AS t FROM decoded)
+"""
+
+
+@query(f"WITH {_EXCERPT_SQL} SELECT page_id, nullif(rtrim(max(t) FILTER (part = 'title')), '') AS title, nullif(max(t) FILTER (part = 'h1'), '') AS h1 FROM flat GROUP BY page_id")
 def signals_page_excerpts(spark, sf_dir):
     found = signals.page_excerpts(_t(spark, sf_dir, "pages"), "page_id", "html")
     return found.select("page_id", F.rtrim("title").alias("title"), F.get("h1", F.lit(0)).alias("h1"))
