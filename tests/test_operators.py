@@ -328,3 +328,28 @@ def test_candidates_and_changes(spark):
     assert [r["domain"] for r in observations.candidates(docs, least_links=0).collect()] == ["a.com"]
     assert [r["domain"] for r in observations.candidates(docs, first_after="2026-01-01").collect()] == ["b.com"]
     assert rows(observations.changes(docs, F.lit("2026-01-04").cast("date")), "domain", "change") == [("a.com", "updated"), ("b.com", "added")]
+
+
+def test_similar_rows_are_neither_sorted_by_group_nor_by_name(spark):
+    data = [(f"{g}{i}", g, (i * 7) % 5) for g, n in (("a", 9), ("b", 2), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(data, "name string, tld string, score int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = ranking.similar_rows(df, n=3)
+        plan = found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "Window" not in plan
+    best = lambda name, g: sorted((r for r in data if r[1] == g and r[0] != name), key=lambda r: (-r[2], r[0]))[:3]
+    assert rows(found) == sorted((name, r[0], i + 1) for name, g, _ in data for i, r in enumerate(best(name, g)))
+
+
+def test_inbound_counts_by_release_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PAIRS_AT_ONCE", 10)
+    data = [(2000 + i % 2, i % 7, i % 3) for i in range(100)]
+    edges = spark.createDataFrame(data, "year int, from_id long, to_id long")
+    found = graph.inbound_counts(edges, "year", rows=100)
+    assert "hashpartitioning(year#" in (plan := found._jdf.queryExecution().toString()) and ", 10), REPARTITION_BY_NUM" in plan
+    assert rows(found) == sorted((y, t, len({f for a, f, b in data if (a, b) == (y, t)})) for y, t in {(y, t) for y, _, t in data})
+    assert rows(graph.inbound_counts(edges)) == sorted((t, len({f for _, f, b in data if b == t})) for t in {t for _, _, t in data})

@@ -13,6 +13,10 @@ from zonewright.functions import names
 from zonewright.sources.staging import staged
 
 
+#: Groups up to which the best rows of each are sent to every task; beyond, both sides are shuffled.
+BROADCAST_GROUPS = 20_000
+
+
 def by_score(rows: DataFrame) -> DataFrame:
     """Scored rows, best first, ties by name."""
     return rows.filter("score is not null").orderBy(F.desc("score"), "name")
@@ -75,12 +79,15 @@ def hosts_of_tlds(rows: DataFrame, services: DataFrame) -> DataFrame:
 
 
 def similar_rows(rows: DataFrame, group: str = "tld", n: int = 5) -> DataFrame:
-    """(name, other, place): for each row the best n others of its group. Only n + 1 rows a group are joined."""
+    """(name, other, place): for each row the best n others of its group. The n + 1 best rows of a group are one row to
+    join: a row finds its others there, so rows are neither sorted by group nor multiplied before a place is known."""
     w = Window.partitionBy(group).orderBy(F.desc("score"), "name")
-    best = rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n + 1).select(group, F.col("name").alias("other"), "_rank")
-    pairs = rows.select("name", group).join(best, group).filter(F.col("name") != F.col("other"))
-    place = F.row_number().over(Window.partitionBy("name", group).orderBy("_rank"))
-    return pairs.withColumn("place", place).filter(F.col("place") <= n).select("name", "other", "place")
+    best = rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n + 1).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_rank", "name"))).alias("_best"))
+    best = staged(best, "best")
+    few = best.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    others = F.slice(F.filter("_best", lambda b: b["name"] != F.col("name")), 1, n)
+    listed = rows.select("name", group).join(F.broadcast(best) if few else best, group).select("name", F.posexplode(others).alias("_at", "_other"))
+    return listed.select("name", F.col("_other.name").alias("other"), (F.col("_at") + 1).alias("place"))
 
 
 def sort_nulls_last(rows: DataFrame, column: str, descending: bool, tie: str = "name") -> DataFrame:
