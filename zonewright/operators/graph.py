@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from zonewright.functions import names
 
 
-def inbound_counts(edges: DataFrame) -> DataFrame:
-    """(to_id, source_domain_count): distinct sources by target.
+#: Pairs that one task makes distinct: its hash table is that large, however many edges there are.
+PAIRS_AT_ONCE = 1_000_000
 
-    Pairs are made distinct first: that spreads the edges of a hub by (to, from), and each task counts what is left.
+
+def inbound_counts(edges: DataFrame, *by: str, rows: int | None = None) -> DataFrame:
+    """(.. by, to_id, source_domain_count): distinct sources by target, and by more columns such as a release.
+
+    Pairs are made distinct first: that spreads the edges of a hub by (to, from), and each task counts what is left. With the
+    number of rows they are dealt over so many tasks that none holds more than PAIRS_AT_ONCE or so.
     """
-    return edges.select("from_id", "to_id").distinct().groupBy("to_id").agg(F.count(F.lit(1)).alias("source_domain_count"))
+    pairs = edges.select(*by, "from_id", "to_id")
+    if rows is not None:
+        pairs = pairs.repartition(-(-rows // PAIRS_AT_ONCE) or 1, *by, "from_id", "to_id")
+    return pairs.distinct().groupBy(*by, "to_id").agg(F.count(F.lit(1)).alias("source_domain_count"))
 
 
 def link_release(vertices: DataFrame, edges: DataFrame) -> DataFrame:
