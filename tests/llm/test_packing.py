@@ -23,6 +23,20 @@ def test_ids_of_words_joined_are_the_ids_of_the_text(encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab é\n\t'.,<|endoftext|>1²_#日\x00\x85\u0301\u2028", max_size=30), max_size=8))
+def test_ids_of_texts_at_once_are_those_of_each(encoder, texts):
+    wanted = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(texts)] == wanted
+    assert sum((texts[a:b] for a, b in packing._slices(texts, 40)), []) == texts
+
+
+@pytest.mark.parametrize("word", [" zqx.", " zqx###", " zqx42", " 7zqx@zqx.zqx"])
+def test_marks_and_digits_of_a_word_take_no_encoding_of_their_own(encoder, monkeypatch, word):
+    monkeypatch.setattr(encoder, "_plain", None)
+    assert np.frombuffer(encoder._word(word), "<u4").tolist() == encoder.tokenizer.encode(word, add_special_tokens=False).ids
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(1, 256), min_size=1, max_size=200))
 def test_windows_hold_every_item_once_within_the_capacity(lengths):

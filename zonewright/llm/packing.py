@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +34,17 @@ CAPACITY = 1024
 PIECE = 256
 DOCS_PER_BLOCK = 256
 END_ID = 0
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 150_000
+#: Words and units whose ids a worker remembers.
+CACHED_WORDS = 400_000
+#: Characters of text that are encoded at once; a longer text is alone.
+ENCODED_AT_ONCE = 4_000_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 #: A word as the fast path knows it: no white space but one blank before it.
 _WORD = re.compile(r" ?\S+")
+#: The units of a word without apostrophes (which begin units of their own) whose digits and marks are ASCII.
+_UNITS = re.compile(r" ?(?:[^\W\d_]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -82,9 +87,12 @@ class Encoder:
         letters = word[1:] if word[0] == " " else word
         if letters.isalpha():
             return self._unit(word)
-        if letters[:-1].isalpha() and letters[-1] in ".,":
-            return self._unit(word[:-1]) + self._unit(word[-1])
-        return self._plain(word)
+        units = _UNITS.findall(word)
+        if sum(map(len, units)) < len(word) or any(not (u.isascii() or u.lstrip(" ").isalpha()) for u in units):
+            return self._plain(word)
+        if len(units) == 1:
+            return self._unit(word)
+        return b"".join(map(self.words.__getitem__, units))
 
     def encode(self, text: str) -> bytes:
         self.words.trim()
@@ -95,6 +103,39 @@ class Encoder:
         except TypeError:  # an unusual word among them
             return self._plain(text)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """`encode` of each text; a word that the texts repeat is looked up once."""
+        self.words.trim()
+        out: list[bytes | None] = [self._plain(t) if "\0" in t or self.added(t) else None for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        if not rest:
+            return out
+        split = pc.split_pattern(pa.array([texts[i].replace("\n", "\0\n\0").replace(" ", "\0 ") for i in rest], pa.large_string()), "\0")
+        first, words = split.offsets.to_numpy()[:-1], split.values.dictionary_encode()  # no text is without a word, if an empty one
+        found = list(map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))  # much sooner listed than by to_pylist
+        at, ids = words.indices.to_numpy(), np.frombuffer(b"".join(f or b"" for f in found), "<u4")
+        lengths = np.array([len(f or b"") // 4 for f in found], dtype=np.int64)
+        n = lengths[at]
+        ends = np.cumsum(n)
+        ids = ids[np.arange(n.sum()) + np.repeat((np.cumsum(lengths) - lengths)[at] - ends + n, n)]
+        unusual = np.logical_or.reduceat(np.array([f is None for f in found])[at], first)
+        stops = ends[np.append(first[1:], len(at)) - 1]
+        for i, a, b, whole in zip(rest, np.append(0, stops[:-1]), stops, unusual, strict=True):
+            out[i] = self._plain(texts[i]) if whole else ids[a:b].tobytes()
+        return out
+
+
+def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of texts with at most so many characters, or with one text."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        if i > begin and size + len(t) > most:
+            yield begin, i
+            begin, size = i, 0
+        size += len(t)
+    if texts:
+        yield begin, len(texts)
+
 
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens: whole windows, then the rest in near-equal pieces."""
@@ -155,11 +196,11 @@ def _pieces(path: str, capacity: int, piece: int):
         encoder = per_process(f"encoder {path}", lambda: Encoder(path))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            ids_of, texts, copies = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()], batch.column(2).to_pylist()
+            for a, b in _slices(texts, ENCODED_AT_ONCE):
                 rows = []
-                for doc_id, text, copy in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    ids = encoder.encode(text or "") + end
+                for doc_id, ids, copy in zip(ids_of[a:b], encoder.encode_all(texts[a:b]), copies[a:b], strict=True):
+                    ids += end
                     n = len(ids) // 4
                     rows += [(doc_id, s, m, zlib.crc32(ids[4 * s : 4 * (s + m)]), n, copy) for s, m in cuts(n, capacity, piece)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
