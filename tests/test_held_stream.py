@@ -2,8 +2,10 @@
 
 import datetime
 import random
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from zonewright.operators import state
@@ -88,3 +90,16 @@ def test_nulls_repeats_and_late_days(spark, tmp_path):
 def test_no_window_holds_nothing(window, wanted):
     _, said = held.settle(None, DAY, dict.fromkeys(FLAGS, False) | {"new": True}, window)
     assert [s[1] for s in said] == [wanted]
+
+
+def test_a_row_crosses_as_a_day_and_bits_in_one_number():
+    kept, timers = [], []
+    queue = held.HeldQueue(3)
+    queue.held = SimpleNamespace(get=lambda: None, update=kept.append, clear=None)
+    queue.handle = SimpleNamespace(registerTimer=timers.append, deleteTimer=None)
+    number = (DAY - datetime.date(1970, 1, 1)).days * 32
+    seen = [Row(name="a", seen=number), Row(name="a", seen=number + 0b00001), Row(name="a", seen=number + 32 + 0b00100)]
+    said = [tuple(r) for r in queue.handleInputRows(("a",), iter(seen), None)]
+    assert said == [("a", DAY, "new_held", DAY, 0), ("a", day(1), "rejected", DAY, 0)] and not kept and not timers
+    said = [tuple(r) for r in queue.handleInputRows(("a",), iter(seen[:2]), None)]
+    assert said == [("a", DAY, "new_held", DAY, 0)] and kept == [(DAY, 0, DAY)] and len(timers) == 1

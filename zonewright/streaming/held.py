@@ -20,6 +20,7 @@ _STATE = "first_held_date date, checks int, last_day date"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _DAY = datetime.timedelta(days=1)
+_EPOCH = datetime.date(1970, 1, 1)
 _FLAGS = ("new", "registered", "enriched", "survived", "complete")
 
 Held = tuple[datetime.date, int, datetime.date]
@@ -77,7 +78,7 @@ class HeldQueue(StatefulProcessor):
 
     def _end(self, held: Held) -> int:
         """The first millisecond after the start of the window's last day: past it, that day is over."""
-        return ((held[0] + self.window_days * _DAY) - datetime.date(1970, 1, 1)).days * 86_400_000 + 1
+        return ((held[0] + self.window_days * _DAY) - _EPOCH).days * 86_400_000 + 1
 
     def _entry(self) -> Held | None:
         found = self.held.get()
@@ -90,9 +91,10 @@ class HeldQueue(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         days: dict[datetime.date, dict[str, bool]] = {}
         for r in rows:
-            flags = days.setdefault(r["day"], dict.fromkeys(_FLAGS, False))
-            for f in _FLAGS:
-                flags[f] = flags[f] or bool(r[f])
+            number, bits = divmod(r["seen"], 1 << len(_FLAGS))
+            flags = days.setdefault(_EPOCH + number * _DAY, dict.fromkeys(_FLAGS, False))
+            for i, f in enumerate(_FLAGS):
+                flags[f] = flags[f] or bool(bits >> i & 1)
         was = now = self._entry()
         for day in sorted(days):
             if now and day <= now[2]:
@@ -121,6 +123,9 @@ def settled(observed: DataFrame, window_days: int, queue: DataFrame | None = Non
     comes more than an hour after a later day is late and dropped. A window ends when a later day than its last is seen.
     """
     stamped = observed.filter("name is not null and day is not null").withColumn("ts", F.timestamp_millis(F.unix_date("day").cast("long") * 86_400_000))
+    # a row crosses to Python as its name, its time and one number: the day and a bit a flag
+    bits = sum((F.coalesce(F.col(f), F.lit(False)).cast("long") * (1 << i) for i, f in enumerate(_FLAGS)), F.lit(0))
+    stamped = stamped.select("name", "ts", (F.unix_date("day").cast("long") * (1 << len(_FLAGS)) + bits).alias("seen"))
     # a day's files may come in several batches: the watermark stays behind its start
     names = stamped.withWatermark("ts", "1 hour").groupBy("name")
     begin = None if queue is None else queue.select("name", "first_held_date", "checks", "last_day").groupBy("name")
