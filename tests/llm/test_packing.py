@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +108,32 @@ def test_a_hundred_thousand_rows_of_one_id(spark, encoder):
     assert out.agg(F.sum("length")).first()[0] / (1024 * sizes.count()) > 0.6  # blocks hold some 1,024 tokens of such short texts
     blocks = out.groupBy(F.shiftright("sequence_id", 32)).count().agg(F.max("count")).first()[0]
     assert blocks < 600
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    def told(*settings):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())] * 6, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
+
+        return run
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(packing, "_pieces", told)
+    monkeypatch.setattr(packing, "_pack", lambda capacity: lambda key, rows: rows.drop(columns="_block").assign(sequence_id=0, offset=0))
+    df = spark.range(3500).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text")).coalesce(1)
+    sizes = [r["doc_id"] for r in packing.pack(df, "").collect()]
+    assert sum(sizes) == 3500 and max(sizes) <= 1000
+    assert spark.conf.get(key, None) == before
+
+
+def test_ids_are_written_in_little_memory(encoder):
+    texts = [" ".join(f"{'zqxj' * 4}{(i * 37 + j) % 97}" for j in range(400)) for i in range(250)]
+    wanted = [encoder.encode(t) for t in texts]
+    tracemalloc.start()
+    found = encoder.encode_all(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == wanted
+    assert peak < 4 * sum(map(len, found))  # the result itself, a run's arrays of ids and places, and the words

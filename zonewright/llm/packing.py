@@ -19,7 +19,7 @@ import heapq
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, hash_bucket, per_process, table, told_apart
+from zonewright.llm.common import Remembered, hash_bucket, materialize, per_process, small_batches, table, told_apart
 
 CAPACITY = 1024
 PIECE = 256
@@ -38,6 +38,8 @@ END_ID = 0
 CACHED_WORDS = 400_000
 #: Characters of text that are encoded at once; a longer text is alone.
 ENCODED_AT_ONCE = 4_000_000
+#: Words whose ids are written out at once: a few such arrays of ids and places are held besides the words.
+WRITTEN_AT_ONCE = 65_536
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -111,30 +113,34 @@ class Encoder:
         if not rest:
             return out
         split = pc.split_pattern(pa.array([texts[i].replace("\n", "\0\n\0").replace(" ", "\0 ") for i in rest], pa.large_string()), "\0")
-        first, words = split.offsets.to_numpy()[:-1], split.values.dictionary_encode()  # no text is without a word, if an empty one
+        marks, words = split.offsets.to_numpy(), split.values.dictionary_encode()  # no text is without a word, if an empty one
+        del split
         found = list(map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))  # much sooner listed than by to_pylist
         at, ids = words.indices.to_numpy(), np.frombuffer(b"".join(f or b"" for f in found), "<u4")
         lengths = np.array([len(f or b"") // 4 for f in found], dtype=np.int64)
-        n = lengths[at]
-        ends = np.cumsum(n)
-        ids = ids[np.arange(n.sum()) + np.repeat((np.cumsum(lengths) - lengths)[at] - ends + n, n)]
-        unusual = np.logical_or.reduceat(np.array([f is None for f in found])[at], first)
-        stops = ends[np.append(first[1:], len(at)) - 1]
-        for i, a, b, whole in zip(rest, np.append(0, stops[:-1]), stops, unusual, strict=True):
-            out[i] = self._plain(texts[i]) if whole else ids[a:b].tobytes()
+        begins = np.cumsum(lengths) - lengths
+        unusual = np.logical_or.reduceat(np.array([f is None for f in found])[at], marks[:-1])
+        for a, b in _slices(np.diff(marks).tolist(), WRITTEN_AT_ONCE, int):
+            run = at[marks[a] : marks[b]]
+            n = lengths[run]
+            ends = np.cumsum(n)
+            written = ids[np.arange(ends[-1]) + np.repeat(begins[run] - ends + n, n)]
+            stops = ends[marks[a + 1 : b + 1] - marks[a] - 1]
+            for i, c, d, whole in zip(rest[a:b], np.append(0, stops[:-1]), stops, unusual[a:b], strict=True):
+                out[i] = self._plain(texts[i]) if whole else written[c:d].tobytes()
         return out
 
 
-def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
-    """(from, to) of runs of texts with at most so many characters, or with one text."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        if i > begin and size + len(t) > most:
+def _slices(items: list, most: int, size: Callable = len) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of items whose sizes (of texts: characters) make at most so much, or with one item."""
+    begin = total = 0
+    for i, n in enumerate(map(size, items)):
+        if i > begin and total + n > most:
             yield begin, i
-            begin, size = i, 0
-        size += len(t)
-    if texts:
-        yield begin, len(texts)
+            begin, total = i, 0
+        total += n
+    if items:
+        yield begin, len(items)
 
 
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int, int]]:
@@ -196,13 +202,14 @@ def _pieces(path: str, capacity: int, piece: int):
         encoder = per_process(f"encoder {path}", lambda: Encoder(path))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            ids_of, texts, copies = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()], batch.column(2).to_pylist()
-            for a, b in _slices(texts, ENCODED_AT_ONCE):
+            for a, b in _slices(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist(), ENCODED_AT_ONCE, int):
+                ids_of, texts, copies = (c.to_pylist() for c in batch.slice(a, b - a).columns)
                 rows = []
-                for doc_id, ids, copy in zip(ids_of[a:b], encoder.encode_all(texts[a:b]), copies[a:b], strict=True):
+                for doc_id, ids, copy in zip(ids_of, encoder.encode_all([t or "" for t in texts]), copies, strict=True):
                     ids += end
                     n = len(ids) // 4
                     rows += [(doc_id, s, m, zlib.crc32(ids[4 * s : 4 * (s + m)]), n, copy) for s, m in cuts(n, capacity, piece)]
+                pa.default_memory_pool().release_unused()  # else a worker keeps what the words of the largest run took
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
 
     return run
@@ -228,7 +235,9 @@ def _pack(capacity: int):
 def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, piece: int = PIECE, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     rows = told_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id", "copy")
-    pieces = rows.select("doc_id", "text", "copy").mapInArrow(_pieces(tokenizer_path, capacity, piece), _PIECES + ", copy long")
+    # a batch of texts stands in the executor and in its Python worker at once
+    with small_batches(docs.sparkSession):
+        pieces = materialize(rows.select("doc_id", "text", "copy").mapInArrow(_pieces(tokenizer_path, capacity, piece), _PIECES + ", copy long"), "pieces")
     blocks = max(1, -(-docs.count() // docs_per_block))
     block = hash_bucket(blocks, "doc_id", "copy", "start", "ids_crc32").alias("_block")
     return pieces.select(*[x.split()[0] for x in _PIECES.split(", ")], block).groupBy("_block").applyInPandas(_pack(capacity), _PACKED)
