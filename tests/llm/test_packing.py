@@ -137,3 +137,23 @@ def test_ids_are_written_in_little_memory(encoder):
     tracemalloc.stop()
     assert found == wanted
     assert peak < 4 * sum(map(len, found))  # the result itself, a run's arrays of ids and places, and the words
+
+
+def test_a_worker_drops_what_it_loaded_for_another_step():
+    from zonewright.llm import common, jaccard_join
+
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two three", None]), pa.array([0, 0])], names=["doc_id", "text", "copy"])
+    rows = pa.RecordBatch.from_arrays([pa.array([b"1"]), pa.array([1]), pa.array(["one two three four five six"])], names=["row", "doc_id", "text"])
+    path = packing.tokenizer_path()
+    packed = [b.to_pydict() for b in packing._pieces(path, 1024, 256)(iter([texts]))]
+    assert list(common._worker_state()) == [f"encoder {path}"]
+    held = common._worker_state()[f"encoder {path}"]
+    list(packing._pieces(path, 1024, 256)(iter([texts])))
+    assert common._worker_state()[f"encoder {path}"] is held  # the tasks of one step share it
+    list(jaccard_join._sets(5)(iter([rows])))
+    assert list(common._worker_state()) == ["gram_words"]
+    list(jaccard_join._children(jaccard_join.SKETCH, 0.8, range(1))(iter([])))
+    assert list(common._worker_state()) == []
+    assert [b.to_pydict() for b in packing._pieces(path, 1024, 256)(iter([texts]))] == packed
+    packing._pack(1024)((0,), packing.pd.DataFrame({"doc_id": [1], "start": [0], "length": [4], "ids_crc32": [0], "_block": [0]}))
+    assert list(common._worker_state()) == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import sys
 import types
@@ -9,12 +10,13 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonewright.sources.staging import discard, staged as materialize
 
-__all__ = ["Remembered", "bounded_broadcast", "buckets_for", "discard", "hash_bucket", "in_order", "materialize", "per_process", "small_batches", "spread_rank", "table", "told_apart", "unused"]
+__all__ = ["Remembered", "bounded_broadcast", "buckets_for", "discard", "hash_bucket", "in_order", "lean", "let_go", "materialize", "per_process", "small_batches", "spread_rank", "table", "told_apart", "unused"]
 #: Rows of one id from which on they are told apart, and ids of that kind up to which their list is broadcast.
 MANY_ROWS = 1000
 BROADCAST_IDS = 20_000
@@ -103,11 +105,48 @@ def told_apart(rows: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def per_process(name: str, make: Callable[[], Any]) -> Any:
-    """make(), once in each Python process: what a worker has loaded serves all its tasks."""
-    held = sys.modules.setdefault("zonewright_worker_state", types.ModuleType("zonewright_worker_state"))
-    if not hasattr(held, name):
-        setattr(held, name, make())
-    return getattr(held, name)
+    """make(), once in each Python process: what a worker has loaded serves all its tasks, until it loads something else."""
+    let_go(but=name)
+    held = _worker_state()
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
+def _worker_state() -> dict[str, Any]:
+    module = sys.modules.setdefault("zonewright_worker_state", types.ModuleType("zonewright_worker_state"))
+    return vars(module).setdefault("held", {})
+
+
+def let_go(but: str | None = None) -> None:
+    """Drop what this Python process has loaded for other steps."""
+    held = _worker_state()
+    if others := [k for k in held if k != but]:
+        for k in others:
+            del held[k]
+        give_back()
+
+
+def give_back() -> None:
+    """Return what this Python process has freed to the system; Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):  # not every C library has it
+        trim(0)
+
+
+def lean(step: Callable[[Iterator], Iterator], keeps: str | None = None) -> Callable[[Iterator], Iterator]:
+    """step, a function of a task's batches, in a worker that holds nothing else: what was loaded for other steps (but not
+    what per_process has under the name `keeps`) goes before it, what the task freed goes after it. Spark lets idle workers
+    live for a minute, so what they hold stands beside the full heap of stages that have no Python at all."""
+
+    def run(batches: Iterator) -> Iterator:
+        let_go(but=keeps)
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+
+    return run
 
 
 class Remembered(dict):

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, bounded_broadcast, discard, materialize, per_process, small_batches, spread_rank, table, unused
+from zonewright.llm.common import Remembered, bounded_broadcast, discard, lean, materialize, per_process, small_batches, spread_rank, table, unused
 
 N = 5
 THRESHOLD = 0.8
@@ -152,7 +152,7 @@ def _sets(n: int):
                 columns = [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), *(pa.array(c) for c in signed.T.copy())]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _SETS.split(", ")])
 
-    return run
+    return lean(run, keeps="gram_words")
 
 
 def _items(n: int):
@@ -164,7 +164,7 @@ def _items(n: int):
                 made = [grams(t.as_py() or "", n, words).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=["row", "items"])
 
-    return run
+    return lean(run, keeps="gram_words")
 
 
 _CHILDREN = "id long, label long, path long"
@@ -205,7 +205,7 @@ def _children(coordinates: int, threshold: float, all_runs: range | None):
                 at = pa.array(member)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(child.view(np.int64))], names=["id", "label", "path"])
 
-    return run
+    return lean(run)
 
 
 def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +253,7 @@ def _agreeing(least: int):
                     a, b = spanning_forest(*(np.concatenate(x) for x in zip(*found)))
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return run
+    return lean(run)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
@@ -321,7 +321,7 @@ def by_group(keys: int, compare):
         if held and (out := compare(held)):
             yield _compared(out)
 
-    return run
+    return lean(run)
 
 
 _COMPARED = "a long, b long, sets long, docs long"
@@ -483,7 +483,7 @@ def compared(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     certain_links, certain = None, None
     if not large.isEmpty():
         pivots = members.join(large.select(F.col("pivot").alias("id")), "id", "left_semi").select("class_id", F.col("items").alias("of_pivot"))
-        far = members.join(pivots, "class_id").select("class_id", "id", "items", "of_pivot").mapInArrow(_distances, "class_id long, id long, distance int")
+        far = members.join(pivots, "class_id").select("class_id", "id", "items", "of_pivot").mapInArrow(lean(_distances), "class_id long, id long, distance int")
         far = materialize(far, "distances").join(weighed.select("id", "copies", "weight"), "id").join(large, "class_id")
         # order by distance; places come from sums, so no task orders a whole group
         mix = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / 10_000)).cast("int")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import bounded_broadcast, materialize, table, unused
+from zonewright.llm.common import bounded_broadcast, lean, materialize, table, unused
 
 SAMPLE = 300
 #: Languages at most: the driver gathers one row of trigram counts (256 KB) for each.
@@ -84,7 +84,7 @@ def fit_text_model(labelled: DataFrame, *, text: str = "text", label: str = "lan
     chosen = materialize(marks.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= sample).select("label", "mark"), "sample")
     texts = rows.withColumn("mark", F.xxhash64("text")).join(bounded_broadcast(chosen, BROADCAST_HOSTS), ["label", "mark"], "left_semi").dropDuplicates(["label", "mark"])
     # the sample is small: a few tasks sum its trigrams, and the driver gets a row for each label
-    counted = texts.select("label", "text").repartition(4).mapInArrow(_count_trigrams, "label string, counts binary")
+    counted = texts.select("label", "text").repartition(4).mapInArrow(lean(_count_trigrams), "label string, counts binary")
     got = counted.groupBy("label").applyInPandas(_sum_counts, "label string, counts binary").collect()
     if not got:
         return None
@@ -116,8 +116,7 @@ def _scorer(model: TextModel | None):
 
     weights = None if model is None else model.table
 
-    @F.arrow_udf("array<double>")
-    def score(texts: pa.Array) -> pa.Array:
+    def scored(texts: pa.Array) -> pa.Array:
         scores: list[list[float] | None] = []
         for text in texts:
             text = text.as_py() or ""
@@ -130,6 +129,10 @@ def _scorer(model: TextModel | None):
             scores.append((total - total.max()).tolist())
         return pa.array(scores, pa.list_(pa.float64()))
 
+    @F.arrow_udf("array<double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from lean(lambda arrays: map(scored, arrays))(batches)
+
     return score
 
 

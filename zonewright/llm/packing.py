@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import Remembered, hash_bucket, materialize, per_process, small_batches, table, told_apart
+from zonewright.llm.common import Remembered, hash_bucket, lean, let_go, materialize, per_process, small_batches, table, told_apart
 
 CAPACITY = 1024
 PIECE = 256
@@ -198,8 +198,10 @@ def windows_for(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]
 
 
 def _pieces(path: str, capacity: int, piece: int):
+    name = f"encoder {path}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(f"encoder {path}", lambda: Encoder(path))
+        encoder = per_process(name, lambda: Encoder(path))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for a, b in _slices(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist(), ENCODED_AT_ONCE, int):
@@ -212,11 +214,12 @@ def _pieces(path: str, capacity: int, piece: int):
                 pa.default_memory_pool().release_unused()  # else a worker keeps what the words of the largest run took
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
 
-    return run
+    return lean(run, keeps=name)
 
 
 def _pack(capacity: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        let_go()  # all texts are encoded by now
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
         lengths = rows["length"].tolist()
         whole = sum(x == capacity for x in lengths)
