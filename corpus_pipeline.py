@@ -31,7 +31,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, packing.tokenizer_path())
+    # executors that have run the stages before hold a full heap; the memory beside it is scarcer here than time
+    return packing.pack(docs, packing.tokenizer_path(), texts_at_once=250, remembered=100_000)
 
 
 STAGES = [

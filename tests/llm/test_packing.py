@@ -146,10 +146,10 @@ def test_a_worker_drops_what_it_loaded_for_another_step():
     rows = pa.RecordBatch.from_arrays([pa.array([b"1"]), pa.array([1]), pa.array(["one two three four five six"])], names=["row", "doc_id", "text"])
     path = packing.tokenizer_path()
     packed = [b.to_pydict() for b in packing._pieces(path, 1024, 256)(iter([texts]))]
-    assert list(common._worker_state()) == [f"encoder {path}"]
-    held = common._worker_state()[f"encoder {path}"]
+    assert list(common._worker_state()) == [f"encoder {path} {packing.CACHED_WORDS}"]
+    held = common._worker_state()[f"encoder {path} {packing.CACHED_WORDS}"]
     list(packing._pieces(path, 1024, 256)(iter([texts])))
-    assert common._worker_state()[f"encoder {path}"] is held  # the tasks of one step share it
+    assert common._worker_state()[f"encoder {path} {packing.CACHED_WORDS}"] is held  # the tasks of one step share it
     list(jaccard_join._sets(5)(iter([rows])))
     assert list(common._worker_state()) == ["gram_words"]
     list(jaccard_join._children(jaccard_join.SKETCH, 0.8, range(1))(iter([])))
@@ -157,3 +157,25 @@ def test_a_worker_drops_what_it_loaded_for_another_step():
     assert [b.to_pydict() for b in packing._pieces(path, 1024, 256)(iter([texts]))] == packed
     packing._pack(1024)((0,), packing.pd.DataFrame({"doc_id": [1], "start": [0], "length": [4], "ids_crc32": [0], "_block": [0]}))
     assert list(common._worker_state()) == []
+
+
+def test_pipeline_packs_with_less_memory_to_the_same_rows(spark, monkeypatch):
+    import corpus_pipeline
+
+    seen, pieces, whole = [], packing._pieces, packing.Remembered
+
+    def told(*settings):
+        step = pieces(*settings)
+
+        def run(batches):
+            yield from step(b for b in batches if b.num_rows <= 250)  # a larger batch would be missed below
+
+        return run
+
+    df = spark.range(900).select(F.col("id").alias("doc_id"), F.concat(F.lit("a few words and number "), F.col("id")).alias("text")).coalesce(1)
+    wanted = sorted(packing.pack(df, packing.tokenizer_path()).collect())
+    monkeypatch.setattr(packing, "_pieces", told)
+    monkeypatch.setattr(packing, "Remembered", lambda make, most: seen.append(most) or whole(make, most))
+    assert sorted(corpus_pipeline.packed(spark, df, "").collect()) == wanted
+    packing.Encoder(packing.tokenizer_path(), 100_000)
+    assert seen == [100_000]

@@ -32,13 +32,13 @@ def small_batches(spark: SparkSession, most: int = 1000) -> Iterator[None]:
     the default of 10,000 rows a batch costs each Python worker and its executor tens of megabytes several times over.
     The session has its own setting again afterwards."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, "10000")
-    if not 0 < int(before) <= most:
+    before = spark.conf.get(key, None)
+    if not 0 < int(before or 10000) <= most:
         spark.conf.set(key, str(most))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:

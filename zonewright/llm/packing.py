@@ -36,6 +36,8 @@ DOCS_PER_BLOCK = 256
 END_ID = 0
 #: Words and units whose ids a worker remembers.
 CACHED_WORDS = 400_000
+#: Texts that go to a Python worker at once.
+TEXTS_AT_ONCE = 1000
 #: Characters of text that are encoded at once; a longer text is alone.
 ENCODED_AT_ONCE = 4_000_000
 #: Words whose ids are written out at once: a few such arrays of ids and places are held besides the words.
@@ -64,14 +66,14 @@ class Encoder:
     the merges at once.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.merges, self.letters = self.tokenizer.model, _byte_letters()
-        self.words = Remembered(self._word, CACHED_WORDS)
+        self.words = Remembered(self._word, remembered)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -197,11 +199,11 @@ def windows_for(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]
         k += 1
 
 
-def _pieces(path: str, capacity: int, piece: int):
-    name = f"encoder {path}"
+def _pieces(path: str, capacity: int, piece: int, remembered: int = CACHED_WORDS):
+    name = f"encoder {path} {remembered}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(name, lambda: Encoder(path))
+        encoder = per_process(name, lambda: Encoder(path, remembered))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for a, b in _slices(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist(), ENCODED_AT_ONCE, int):
@@ -235,12 +237,15 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, piece: int = PIECE, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, piece: int = PIECE, docs_per_block: int = DOCS_PER_BLOCK, texts_at_once: int = TEXTS_AT_ONCE, remembered: int = CACHED_WORDS) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    texts_at_once, remembered: texts of a batch and words that a Python worker holds; fewer take less memory and more time,
+    and change no row."""
     rows = told_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id", "copy")
     # a batch of texts stands in the executor and in its Python worker at once
-    with small_batches(docs.sparkSession):
-        pieces = materialize(rows.select("doc_id", "text", "copy").mapInArrow(_pieces(tokenizer_path, capacity, piece), _PIECES + ", copy long"), "pieces")
+    with small_batches(docs.sparkSession, texts_at_once):
+        pieces = materialize(rows.select("doc_id", "text", "copy").mapInArrow(_pieces(tokenizer_path, capacity, piece, remembered), _PIECES + ", copy long"), "pieces")
     blocks = max(1, -(-docs.count() // docs_per_block))
     block = hash_bucket(blocks, "doc_id", "copy", "start", "ids_crc32").alias("_block")
     return pieces.select(*[x.split()[0] for x in _PIECES.split(", ")], block).groupBy("_block").applyInPandas(_pack(capacity), _PACKED)
